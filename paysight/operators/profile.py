@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from paysight.functions.buckets import equal_width_bin
 from paysight.operators.quantiles import DEFAULT_REL_ERROR, quantile_values, quantiles_by
+from paysight.runtime import SmallTable
 from paysight.schema import TARGET, YEAR
 
 
@@ -101,53 +102,81 @@ def top_k(df: DataFrame, col: str, k: int = 15) -> DataFrame:
     )
 
 
-def group_quartiles(
+def _quartile_columns(out: DataFrame, keys: Sequence[str]) -> DataFrame:
+    return out.select(
+        *keys,
+        "n",
+        "p25",
+        "median_salary",
+        "p75",
+        (F.col("median_salary") - F.col("p25")).alias("err_low"),
+        (F.col("p75") - F.col("median_salary")).alias("err_high"),
+    )
+
+
+def quartiles_by_dimension(
     df: DataFrame,
-    group_col: str,
+    dims: Sequence[tuple[str, int, int]],
     target: str = TARGET,
-    top_n: int = 15,
-    min_count: int = 300,
     rel_error: float = DEFAULT_REL_ERROR,
 ) -> DataFrame:
-    """Count, p25, median, p75 and error-bar offsets for the largest groups
-    with at least ``min_count`` rows (A5, A12, A13, C5).
+    """Group quartiles for several dimensions at once.
 
-    The group sizes are counted first; quantiles are computed only for the
-    ``top_n`` kept groups (a semi-join against at most ``top_n`` keys).
+    ``dims`` holds ``(column, top_n, min_count)``. Rows are stacked to
+    ``(dimension, value, target)`` so one grouped pass serves every
+    dimension. Per dimension, groups with at least ``min_count`` rows are
+    kept, the ``top_n`` largest (ties by value, nulls first). Output is long:
+    ``dimension, value, n, p25, median_salary, p75, err_low, err_high``.
     """
-    sizes = (
-        df.groupBy(group_col)
-        .agg(F.count(F.lit(1)).alias("n"))
-        .where(F.col("n") >= F.lit(min_count))
-        .orderBy(F.desc("n"), F.asc_nulls_first(group_col))
-        .limit(top_n)
+    stacked = df.select(
+        F.col(target).alias("_t"),
+        F.inline(
+            F.array(*[F.struct(F.lit(c).alias("dimension"), F.col(c).cast("string").alias("value")) for c, _, _ in dims])
+        ),
     )
+    keys = ["dimension", "value"]
     if rel_error > 0:
         accuracy = int(round(1.0 / rel_error))
-        q = (
-            df.groupBy(group_col)
-            .agg(F.percentile_approx(target, [0.25, 0.5, 0.75], accuracy).alias("_gq"))
-            .select(
-                group_col,
-                F.col("_gq")[0].alias("p25"),
-                F.col("_gq")[1].alias("median_salary"),
-                F.col("_gq")[2].alias("p75"),
-            )
+        stats = stacked.groupBy(*keys).agg(
+            F.count(F.lit(1)).alias("n"), F.percentile_approx("_t", [0.25, 0.5, 0.75], accuracy).alias("_gq")
         )
-        out = _null_safe_join(sizes, q, [group_col])
-    else:
-        kept = _null_safe_join(df, F.broadcast(sizes.select(group_col)), [group_col], how="left_semi")
-        q = quantiles_by(kept, target, [0.25, 0.5, 0.75], by=[group_col], names=["p25", "median_salary", "p75"], rel_error=0.0)
-        out = _null_safe_join(sizes, q, [group_col])
-    return out.select(
-        group_col,
-        "n",
-        "p25",
-        "median_salary",
-        "p75",
-        (F.col("median_salary") - F.col("p25")).alias("err_low"),
-        (F.col("p75") - F.col("median_salary")).alias("err_high"),
-    ).orderBy(F.desc("n"), F.asc_nulls_first(group_col))
+        stats = stats.select(
+            *keys, "n", F.col("_gq")[0].alias("p25"), F.col("_gq")[1].alias("median_salary"), F.col("_gq")[2].alias("p75")
+        )
+        tops = [
+            stats.where((F.col("dimension") == c) & (F.col("n") >= min_n))
+            .orderBy(F.desc("n"), F.asc_nulls_first("value"))
+            .limit(top_n)
+            for c, top_n, min_n in dims
+        ]
+        return _quartile_columns(reduce(lambda a, b: a.unionByName(b), tops), keys)
+    counts = stacked.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    tops = [
+        counts.where((F.col("dimension") == c) & (F.col("n") >= min_n))
+        .orderBy(F.desc("n"), F.asc_nulls_first("value"))
+        .limit(top_n)
+        for c, top_n, min_n in dims
+    ]
+    # at most sum(top_n) rows: a parameter-bounded table
+    sizes = SmallTable(reduce(lambda a, b: a.unionByName(b), tops))
+    kept = _null_safe_join(stacked, sizes.for_join().select(*keys), keys, how="left_semi")
+    q = quantiles_by(kept, "_t", [0.25, 0.5, 0.75], by=keys, names=["p25", "median_salary", "p75"], rel_error=0.0)
+    return _quartile_columns(_null_safe_join(sizes.df, q, keys), keys)
+
+
+def group_quartiles(
+    df: DataFrame,
+    group_col: str,
+    target: str = TARGET,
+    top_n: int = 15,
+    min_count: int = 300,
+    rel_error: float = DEFAULT_REL_ERROR,
+) -> DataFrame:
+    """Quartiles for one dimension, keyed by the column itself; quantiles
+    are computed only for the kept groups."""
+    long = quartiles_by_dimension(df, [(group_col, top_n, min_count)], target, rel_error)
+    typed = long.select(F.col("value").cast(df.schema[group_col].dataType).alias(group_col), *long.columns[2:])
+    return typed.orderBy(F.desc("n"), F.asc_nulls_first(group_col))
 
 
 def trend(df: DataFrame, target: str = TARGET, year: str = YEAR, rel_error: float = DEFAULT_REL_ERROR) -> DataFrame:

@@ -14,7 +14,8 @@ accuracy, rank error at most ``rel_error * n``.
 1. one aggregation gives ``n`` and a sketch bracket ``[L, U]`` around each
    target rank (``p -/+ 2 / accuracy``);
 2. one counting pass gives how many values fall below ``L`` and inside the
-   bracket, so the rank inside the bracket is known;
+   bracket, so the rank inside the bracket is known (skipped when every
+   group is small: the bracket is then the whole group);
 3. while a bracket still holds more than ``max_candidates`` values, an
    equal-width histogram of the bracket narrows it further;
 4. a window over the few remaining candidates per (group, p) picks the row.
@@ -37,6 +38,8 @@ from paysight.runtime import SmallTable
 DEFAULT_REL_ERROR = 1e-4
 DEFAULT_ACCURACY = 10_000
 MAX_CANDIDATES = 2_000_000
+# groups up to this size skip the bracket count and rank the whole group
+WHOLE_GROUP_MAX = 10_000
 REFINE_BINS = 4096
 MAX_ROUNDS = 12
 
@@ -99,7 +102,7 @@ def _sketch_state(base: DataFrame, keys: list[str], probs: Sequence[float], accu
             for i, p in enumerate(probs)
         ]
     )
-    return agg.select(*keys, F.inline(rows))
+    return agg.select(*keys, "_q_n", F.inline(rows))
 
 
 def _count_state(base: DataFrame, state: _State, keys: list[str]) -> DataFrame:
@@ -199,7 +202,21 @@ def exact_quantiles(
     names = list(names) if names else [f"q{i}" for i in range(len(probs))]
     base, keys = _prepare(df, col, by)
     first = _State(_sketch_state(base, keys, probs, accuracy))
-    state = _State(_count_state(base, first, keys))
+    largest_group = first.df.agg(F.max("_q_n")).first()[0]
+    if largest_group is None or largest_group <= min(max_candidates, WHOLE_GROUP_MAX):
+        # every group is small: rank whole groups instead of counting a bracket
+        state = _State(
+            first.df.select(
+                *keys,
+                _P,
+                "_q_k",
+                F.lit(float("-inf")).alias("_q_lo"),
+                F.lit(float("inf")).alias("_q_hi"),
+                "_q_n",
+            )
+        )
+    else:
+        state = _State(_count_state(base, first, keys))
     first.release()
     for _ in range(MAX_ROUNDS):
         open_ = state.df.where(F.col("_q_lo") < F.col("_q_hi"))

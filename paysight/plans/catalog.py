@@ -38,7 +38,7 @@ from paysight.operators.text import fill_text, split_tokens
 from paysight.operators.trim import impute_median, trim_quantiles
 from paysight.operators.union import union_by_name
 from paysight.plans.eda import report
-from paysight.plans.gold import gold, train
+from paysight.plans.gold import gold, train, train_gbt_only
 from paysight.plans.silver import SilverParams, silver
 from paysight.schema import TARGET, safe_double, select_available
 from paysight.sources.tables import load_table, survey_view
@@ -219,11 +219,7 @@ def q_missing_rates(spark, sf):
 
 def q_group_quartiles(spark, sf):
     usable = positive(_survey(spark, sf), TARGET)
-    parts = []
-    for col, top_n, min_n in QUARTILE_DIMS:
-        g = prof.group_quartiles(usable, col, TARGET, top_n, min_n, EXACT)
-        parts.append(g.select(F.lit(col).alias("dimension"), F.col(col).alias("value"), *g.columns[1:]))
-    return union_by_name(parts, allow_missing=False)
+    return prof.quartiles_by_dimension(usable, QUARTILE_DIMS, TARGET, EXACT)
 
 
 def q_top_groups(spark, sf):
@@ -399,9 +395,15 @@ def q_diagnostics_lr(spark, sf):
     return _rounded_hist(d["residual_hist"])
 
 
+def _layout(spark) -> int:
+    """Training-row partitions: one per core of the cluster, so the layout
+    (and so GBT) is the same from run to run without shrinking big data."""
+    return spark.sparkContext.defaultParallelism
+
+
 def _trained(spark, sf, version):
     g, pipe = gold(silver_frame(spark, sf))
-    return g, pipe, train(g, version, fixed_partitions=4)
+    return g, pipe, train(g, version, fixed_partitions=_layout(spark))
 
 
 def _metrics_out(res) -> DataFrame:
@@ -423,7 +425,7 @@ def q_train_v2(spark, sf):
 def q_batch_score(spark, sf):
     silver_df = silver_frame(spark, sf)
     g, pipe = gold(silver_df)
-    res = train(g, "v1", fixed_partitions=4)
+    model = train_gbt_only(g, "v1", fixed_partitions=_layout(spark))
     requests = positive(silver_df, TARGET).select(
         "ResponseId",
         "YearsCodeProNum_imp",
@@ -434,7 +436,7 @@ def q_batch_score(spark, sf):
         "LanguageHaveWorkedWith",
         "DatabaseHaveWorkedWith",
     )
-    return score(requests, pipe, res.models["gbt_v1"]).select("ResponseId", "pred_log", "salary_pred")
+    return score(requests, pipe, model).select("ResponseId", "pred_log", "salary_pred")
 
 
 def q_run_report(spark, sf):

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from paysight.operators.filters import at_most, positive
-from paysight.operators.profile import corr_long, group_quartiles, histogram, missingness, top_k, trend
+from paysight.operators.profile import corr_long, histogram, missingness, quartiles_by_dimension, top_k, trend
 from paysight.operators.quantiles import DEFAULT_REL_ERROR, quantile_values
 from paysight.operators.sample import hash_sample
 from paysight.schema import TARGET
@@ -49,9 +49,9 @@ def eda(silver_df: DataFrame, key: str = "ResponseId", rel_error: float = DEFAUL
         "trend": trend(df, rel_error=rel_error),
         "report": report(silver_df, rel_error),
     }
-    for col, n, m in QUARTILE_GROUPS:
-        if col in df.columns:
-            out[f"quartiles_{col}"] = group_quartiles(df, col, TARGET, n, m, rel_error)
+    dims = [d for d in QUARTILE_GROUPS if d[0] in df.columns]
+    if dims:
+        out["quartiles"] = quartiles_by_dimension(df, dims, TARGET, rel_error)
     if "YearsCodeProNum_imp" in df.columns:
         pts = df.select(key, "YearsCodeProNum_imp", TARGET).dropna()
         out["scatter_years_pro"] = hash_sample(pts, key, 50_000).select(

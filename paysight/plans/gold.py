@@ -14,6 +14,7 @@ from paysight.operators.models import GBT_V1, GBT_V2, LR_V1, LR_V2, evaluate, tr
 from paysight.operators.quantiles import DEFAULT_REL_ERROR
 from paysight.operators.sample import hash_split
 from paysight.operators.trim import trim_quantiles
+from paysight.runtime import stage_table
 from paysight.schema import TARGET, require_columns
 
 KEY = "ResponseId"
@@ -26,12 +27,43 @@ def gold(silver_df: DataFrame, spec: FeatureSpec | None = None) -> tuple[DataFra
     df = positive(silver_df, TARGET)
     spec = spec or FeatureSpec.choose(df)
     keep = [c for c in [KEY, TARGET, *spec.numeric, *spec.categorical, *spec.text] if c in df.columns]
-    df = df.select(*keep)
+    # read by every fitting pass and the final transform: stage it once
+    df = stage_table(df.select(*keep), "gold-input")
     model = fit_features(df, spec)
     out_cols = [c for c in [KEY] if c in df.columns] + ["features", TARGET]
     return model.transform(df).select(*out_cols), model
 
 
+def _training_rows(gold_df: DataFrame, trim: bool, rel_error: float, train_pct: int, fixed_partitions: int | None):
+    df = gold_df
+    if trim:
+        df = trim_quantiles(positive(df, TARGET), TARGET, 0.01, 0.99, rel_error)
+    labelled = with_label(df).select(KEY, "features", "label")
+    train_df, test_df = hash_split(labelled, KEY, train_pct)
+    if fixed_partitions:
+        train_df = train_df.repartitionByRange(fixed_partitions, KEY).sortWithinPartitions(KEY)
+    return train_df, test_df
+
+
+def train_gbt_only(
+    gold_df: DataFrame,
+    version: str = "v1",
+    train_pct: int = 80,
+    rel_error: float = DEFAULT_REL_ERROR,
+    fixed_partitions: int | None = None,
+):
+    """The boosted-trees model of ``version`` alone, on the same training
+    rows :func:`train` uses (for scoring jobs that need only it)."""
+    require_columns(gold_df, ["features", TARGET, KEY])
+    _, gbt_params, trim = SETTINGS[version]
+    train_df, _ = _training_rows(gold_df, trim, rel_error, train_pct, fixed_partitions)
+    train_df = train_df.persist()
+    try:
+        return train_gbt(train_df, gbt_params)
+    finally:
+        train_df.unpersist()
+
+
 @dataclass
 class TrainResult:
     metrics: DataFrame
@@ -58,13 +90,7 @@ def train(
     require_columns(gold_df, ["features", TARGET, KEY])
     lr_params, gbt_params, trim = SETTINGS[version]
     gbt_params = {**gbt_params, **(gbt_overrides or {})}
-    df = gold_df
-    if trim:
-        df = trim_quantiles(positive(df, TARGET), TARGET, 0.01, 0.99, rel_error)
-    labelled = with_label(df).select(KEY, "features", "label")
-    train_df, test_df = hash_split(labelled, KEY, train_pct)
-    if fixed_partitions:
-        train_df = train_df.repartitionByRange(fixed_partitions, KEY).sortWithinPartitions(KEY)
+    train_df, test_df = _training_rows(gold_df, trim, rel_error, train_pct, fixed_partitions)
     train_df = train_df.persist()
     lr = train_lr(train_df, lr_params)
     gbt = train_gbt(train_df, gbt_params)

@@ -7,6 +7,7 @@ the session they are handed.
 from __future__ import annotations
 
 import logging
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -70,14 +71,15 @@ def maybe_broadcast(
 class SmallTable:
     """A small derived table, materialised once and counted.
 
-    It is checkpointed into the shared folder when one is configured and
-    persisted otherwise (lost blocks are then recomputed from lineage).
+    It is written as a table into the shared checkpoint folder when one is
+    configured and persisted otherwise (lost blocks are then recomputed from lineage).
     ``rows`` is exact, so the broadcast decision rests on a checked size.
     """
 
     def __init__(self, df: DataFrame, max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS):
         if checkpoint_dir(df.sparkSession) is not None:
-            self.df = df.checkpoint(eager=True)
+            # one job writes it; a reliable RDD checkpoint would compute it twice
+            self.df = stage_table(df.coalesce(1), "small")
             self.persisted = False
         else:
             self.df = df.persist()
@@ -96,3 +98,34 @@ class SmallTable:
     def release(self) -> None:
         if self.persisted:
             self.df.unpersist()
+
+
+def stage_table(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once as Parquet under the shared checkpoint folder and
+    read it back, so several passes (model fits) read a columnar table
+    instead of re-deriving a long lineage. Without a configured folder the
+    frame is persisted instead (lost blocks are recomputed)."""
+    root = checkpoint_dir(df.sparkSession)
+    if root is None:
+        out = df.persist()
+        out.count()
+        return out
+    path = f"{root.rstrip('/')}/paysight-stage/{name}-{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+def ensure_parallelism(df: DataFrame) -> DataFrame:
+    """Spread an under-partitioned input over the cluster's cores.
+
+    A scan of one unsplittable file (one Parquet row group, a multi-line
+    CSV) is a single task, and every narrow operator after it stays in that
+    task. When the scan yields fewer partitions than
+    ``spark.default.parallelism`` it is round-robin repartitioned to that
+    number; large inputs already have more splits and are returned as they
+    are, so no shuffle is added at scale.
+    """
+    target = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df

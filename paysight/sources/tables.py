@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paysight.runtime import maybe_broadcast
+from paysight.runtime import ensure_parallelism, maybe_broadcast
 
 TABLES = [
     "region",
@@ -30,8 +30,12 @@ TABLES = [
 ]
 
 
-def load_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+def load_table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
+    """A driver table. With ``spread`` an input with fewer splits than
+    cores is spread out first (see :func:`paysight.runtime.ensure_parallelism`);
+    worth it only ahead of CPU-heavy row work."""
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return ensure_parallelism(df) if spread else df
 
 
 def _mod(c: Column, m: int) -> Column:
@@ -45,7 +49,7 @@ def survey_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders-customer join is left to the planner (sort-merge with AQE skew
     handling at scale, broadcast when AQE sees a small side).
     """
-    orders = load_table(spark, sf_dir, "orders").select(
+    orders = load_table(spark, sf_dir, "orders", spread=True).select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"
     )
     customer = load_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
