@@ -23,10 +23,34 @@ def hash_split(df: DataFrame, key: str, train_pct: int = 80) -> tuple[DataFrame,
     return df.where(b < F.lit(train_pct)), df.where(b >= F.lit(train_pct))
 
 
-def hash_sample(df: DataFrame, key: str, n: int = 50_000) -> DataFrame:
-    """``n`` rows in md5-of-key order: a reproducible sample of fixed size.
+def _prefix(key: str) -> F.Column:
+    """First 32 bits of ``md5(key)`` as a number (same order as the hex text)."""
+    return F.conv(F.substring(md5_order_key(key), 1, 8), 16, 10).cast("bigint")
+
 
-    Planned as ``TakeOrderedAndProject``: each task keeps its own top ``n``
-    and one merge keeps ``n``; the sample size is the feature here.
+def hash_sample(df: DataFrame, key: str, n: int = 50_000) -> DataFrame:
+    """The first ``n`` rows in md5-of-key order: a reproducible fixed-size
+    sample (ties on the digest broken by the key).
+
+    A plain ``orderBy(...).limit(n)`` sends every task's local top ``n`` to
+    one task, which does not scale with the number of partitions. md5 is
+    uniform, and rows whose 32-bit digest prefix is below a threshold ``t``
+    are exactly the first rows in md5 order. One aggregation counts the rows
+    under a ladder of thresholds (halving each step); the smallest one that
+    holds at least ``n`` rows (so about ``n`` to ``2n`` rows) filters the
+    input before the ordered limit. The result equals the plain ordered
+    limit, but the final sort sees only those rows.
     """
-    return df.orderBy(md5_order_key(key), F.col(key)).limit(n)
+    full = 1 << 32
+    ladder = [full >> j for j in range(40)]
+    counts = (
+        df.select(_prefix(key).alias("_p"))
+        .agg(*[F.count_if(F.col("_p") < F.lit(t)).alias(f"c{j}") for j, t in enumerate(ladder)])
+        .first()
+    )
+    threshold = full
+    for j, t in enumerate(ladder):
+        if counts[f"c{j}"] >= n:
+            threshold = t
+    kept = df if threshold >= full else df.where(_prefix(key) < F.lit(threshold))
+    return kept.orderBy(md5_order_key(key), F.col(key)).limit(n)

@@ -78,8 +78,10 @@ class SmallTable:
 
     def __init__(self, df: DataFrame, max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS):
         if checkpoint_dir(df.sparkSession) is not None:
-            # one job writes it; a reliable RDD checkpoint would compute it twice
-            self.df = stage_table(df.coalesce(1), "small")
+            # one job writes it (a reliable RDD checkpoint would compute it
+            # twice); no coalesce, which would pull the upstream aggregation
+            # into one task — AQE sizes the output partitions
+            self.df = stage_table(df, "small")
             self.persisted = False
         else:
             self.df = df.persist()

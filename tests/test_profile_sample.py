@@ -71,3 +71,13 @@ def test_hash_sample_is_stable(spark):
     s1 = [r[0] for r in hash_sample(df, "k", 50).collect()]
     s2 = [r[0] for r in hash_sample(df.repartition(5), "k", 50).collect()]
     assert s1 == s2 and len(s1) == 50
+
+
+def test_hash_sample_equals_plain_ordered_limit(spark):
+    from paysight.functions.buckets import md5_order_key
+
+    df = spark.range(4000).withColumnRenamed("id", "k")
+    for n in (1, 37, 1000, 5000):
+        got = [r[0] for r in hash_sample(df, "k", n).collect()]
+        want = [r[0] for r in df.orderBy(md5_order_key("k"), "k").limit(n).collect()]
+        assert got == want
