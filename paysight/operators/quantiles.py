@@ -9,19 +9,25 @@ ignored.
 per group, ``approxQuantile`` globally): one pass, memory bounded by the
 accuracy, rank error at most ``rel_error * n``.
 
-``rel_error == 0`` is exact and still bounded per task:
-
-1. one aggregation gives ``n`` and a sketch bracket ``[L, U]`` around each
-   target rank (``p -/+ 2 / accuracy``);
-2. one counting pass gives how many values fall below ``L`` and inside the
-   bracket, so the rank inside the bracket is known (skipped when every
-   group is small: the bracket is then the whole group);
+``rel_error == 0`` is exact and every step is a mergeable aggregation or a
+bounded window:
+
+1. one aggregation counts values per (group, bin) over 65,536 fixed bins of
+   ``sign(x) * log1p(|x|)`` (log-spaced, so any range and any skew is
+   covered without a prior min/max pass). Partial counts combine map-side
+   and the shuffle is keyed by bin, so a group holding a third of all rows
+   still spreads over many reducers;
+2. a window over each group's bins (at most 65,536 rows) finds the bin that
+   holds each target rank: that bin's ``[min, max]`` is the bracket and the
+   rank inside it is known. Bins are checked to be contiguous in value; if
+   they ever were not, one counting pass re-bases the rank exactly;
 3. while a bracket still holds more than ``max_candidates`` values, an
    equal-width histogram of the bracket narrows it further;
-4. a window over the few remaining candidates per (group, p) picks the row.
+4. a window over the remaining candidates per (group, p) picks the row.
 
-No per-group value map is built and nothing goes through the driver except
-the largest bracket size (a scalar) per round.
+No per-group value map or sketch buffer is merged in one task, and nothing
+goes through the driver except the largest bracket size (a scalar) per
+round.
 """
 
 from __future__ import annotations
@@ -36,10 +42,10 @@ from pyspark.sql import functions as F
 from paysight.runtime import SmallTable
 
 DEFAULT_REL_ERROR = 1e-4
-DEFAULT_ACCURACY = 10_000
 MAX_CANDIDATES = 2_000_000
-# groups up to this size skip the bracket count and rank the whole group
-WHOLE_GROUP_MAX = 10_000
+LOG_BINS = 1 << 16
+# |sign(x) * log1p(|x|)| < 710 for every finite double
+_T_SPAN = 710.0
 REFINE_BINS = 4096
 MAX_ROUNDS = 12
 
@@ -81,28 +87,55 @@ def _prepare(df: DataFrame, col: str | Column, by: Sequence[str]) -> tuple[DataF
     return base, keys
 
 
-def _sketch_state(base: DataFrame, keys: list[str], probs: Sequence[float], accuracy: int) -> DataFrame:
-    """Per (group, p): target rank ``k`` and sketch bracket ``[L, U]``."""
-    margin = 2.0 / accuracy
-    lows = [max(0.0, p - margin) for p in probs]
-    highs = [min(1.0, p + margin) for p in probs]
-    agg = base.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("_q_n"),
-        F.percentile_approx(_X, lows + highs, accuracy).alias("_q_br"),
+def _log_bin(x: Column) -> Column:
+    """Fixed log-spaced bin of ``x``: monotone in ``x`` (checked per group)."""
+    t = F.signum(x) * F.log1p(F.abs(x))
+    width = 2 * _T_SPAN / LOG_BINS
+    raw = F.floor((t + F.lit(_T_SPAN)) / F.lit(width))
+    return (
+        F.when(t >= F.lit(_T_SPAN), F.lit(LOG_BINS - 1))
+        .when(t <= F.lit(-_T_SPAN), F.lit(0))
+        .otherwise(F.least(F.greatest(raw, F.lit(0)), F.lit(LOG_BINS - 1)))
+        .cast("int")
     )
-    n_p = len(probs)
-    rows = F.array(
-        *[
-            F.struct(
-                F.lit(i).alias(_P),
-                _rank(p, F.col("_q_n")).alias("_q_k"),
-                F.col("_q_br").getItem(i).alias("_q_lo"),
-                F.col("_q_br").getItem(n_p + i).alias("_q_hi"),
-            )
-            for i, p in enumerate(probs)
-        ]
+
+
+def _histogram_state(base: DataFrame, keys: list[str], probs: Sequence[float]) -> tuple[DataFrame, bool, SmallTable]:
+    """Per (group, p): the log bin holding rank ``k``, as a bracket with the
+    rank re-based to it. Returns the state and whether every group's bins
+    were contiguous in value (then the re-based rank is exact)."""
+    hist = SmallTable(
+        base.groupBy(*keys, _log_bin(F.col(_X)).alias("_q_b")).agg(
+            F.count(F.lit(1)).alias("_q_c"), F.min(_X).alias("_q_min"), F.max(_X).alias("_q_max")
+        )
+    )
+    # at most LOG_BINS rows per group reach these windows
+    by_bin = Window.partitionBy(*keys).orderBy("_q_b")
+    running = by_bin.rowsBetween(Window.unboundedPreceding, 0)
+    whole = Window.partitionBy(*keys)
+    h = (
+        hist.df.withColumn("_q_cum", F.sum("_q_c").over(running))
+        .withColumn("_q_total", F.sum("_q_c").over(whole))
+        .withColumn("_q_prev_max", F.lag("_q_max").over(by_bin))
+        .withColumn("_q_breaks", F.sum(F.when(F.col("_q_prev_max") >= F.col("_q_min"), 1).otherwise(0)).over(whole))
+    )
+    per_p = F.array(*[F.struct(F.lit(i).alias(_P), _rank(p, F.col("_q_total")).alias("_q_k")) for i, p in enumerate(probs)])
+    h = h.select("*", F.inline(per_p))
+    hit = h.where((F.col("_q_cum") >= F.col("_q_k")) & (F.col("_q_cum") - F.col("_q_c") < F.col("_q_k")))
+    state = hit.select(
+        *keys,
+        _P,
+        (F.col("_q_k") - (F.col("_q_cum") - F.col("_q_c"))).alias("_q_k"),
+        F.col("_q_k").alias("_q_k_abs"),
+        F.col("_q_min").alias("_q_lo"),
+        F.col("_q_max").alias("_q_hi"),
+        F.col("_q_c").alias("_q_n"),
+        F.col("_q_breaks"),
     )
-    return agg.select(*keys, "_q_n", F.inline(rows))
+    state = SmallTable(state)
+    contiguous = state.df.agg(F.max("_q_breaks")).first()[0] in (None, 0)
+    hist.release()
+    return state.df, contiguous, state
 
 
 def _count_state(base: DataFrame, state: _State, keys: list[str]) -> DataFrame:
@@ -153,7 +186,14 @@ def _refine(base: DataFrame, state: _State, keys: list[str], bins: int) -> DataF
     cand = _candidates(base, state, keys)
     lo, hi, x = F.col("_q_lo"), F.col("_q_hi"), F.col(_X)
     width = hi - lo
-    b = F.when(width > 0, F.least(F.floor((x - lo) * F.lit(float(bins)) / width), F.lit(bins - 1))).otherwise(0)
+    inf = F.lit(float("inf"))
+    # monotone in x; infinite bracket ends park finite values in the middle bin
+    b = (
+        F.when(x <= lo, F.lit(0))
+        .when(x >= hi, F.lit(bins - 1))
+        .when(width == inf, F.lit(bins // 2))
+        .otherwise(F.least(F.floor((x - lo) * F.lit(float(bins)) / width), F.lit(bins - 1)))
+    )
     hist = (
         cand.withColumn("_q_b", b.cast("int"))
         .groupBy(*keys, _P, "_q_k", "_q_b")
@@ -194,30 +234,21 @@ def exact_quantiles(
     probs: Sequence[float],
     by: Sequence[str] = (),
     names: Sequence[str] | None = None,
-    accuracy: int = DEFAULT_ACCURACY,
     max_candidates: int = MAX_CANDIDATES,
 ) -> DataFrame:
     """Exact lower quantiles per group: one row per group, one column per p."""
     probs = [float(p) for p in probs]
     names = list(names) if names else [f"q{i}" for i in range(len(probs))]
     base, keys = _prepare(df, col, by)
-    first = _State(_sketch_state(base, keys, probs, accuracy))
-    largest_group = first.df.agg(F.max("_q_n")).first()[0]
-    if largest_group is None or largest_group <= min(max_candidates, WHOLE_GROUP_MAX):
-        # every group is small: rank whole groups instead of counting a bracket
-        state = _State(
-            first.df.select(
-                *keys,
-                _P,
-                "_q_k",
-                F.lit(float("-inf")).alias("_q_lo"),
-                F.lit(float("inf")).alias("_q_hi"),
-                "_q_n",
-            )
-        )
+    state_df, contiguous, held = _histogram_state(base, keys, probs)
+    if contiguous:
+        state = _State(state_df.drop("_q_k_abs", "_q_breaks"))
     else:
-        state = _State(_count_state(base, first, keys))
-    first.release()
+        # a bin straddled its neighbour: re-base the rank by counting
+        absolute = _State(state_df.select(*keys, _P, F.col("_q_k_abs").alias("_q_k"), "_q_lo", "_q_hi", "_q_n"))
+        state = _State(_count_state(base, absolute, keys))
+        absolute.release()
+    held.release()
     for _ in range(MAX_ROUNDS):
         open_ = state.df.where(F.col("_q_lo") < F.col("_q_hi"))
         biggest = open_.agg(F.max("_q_n")).first()[0]

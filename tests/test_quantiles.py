@@ -80,3 +80,33 @@ def test_impute_median(spark):
     out = impute_median(df, ["a", "b"], 0.0).orderBy(F.col("a").asc_nulls_first()).collect()
     assert [r["a_imp"] for r in out] == [3.0, 1.0, 3.0, 10.0]
     assert all(r["b_imp"] is None for r in out)  # all-null column is left null, no error
+
+
+def test_extreme_and_signed_values(spark):
+    vals = [-float("inf"), -1e300, -5.0, -0.0, 0.0, 1e-300, 2.5, 3.0, 3.0, 1e12, 1e300, float("inf")]
+    rnd = random.Random(3)
+    rows = [(rnd.choice(["a", "b"]), v) for v in vals for _ in range(rnd.randint(1, 40))]
+    df = spark.createDataFrame(rows, "g string, x double")
+    got = exact_quantiles(df, "x", PROBS, by=["g"], max_candidates=5).collect()
+    got = {(r["g"],): [r[f"q{i}"] for i in range(len(PROBS))] for r in got}
+    assert got == _disc(df, PROBS, ["g"])
+
+
+def test_non_contiguous_bins_fall_back_to_counting(spark, monkeypatch):
+    import paysight.operators.quantiles as q
+
+    # a deliberately non-monotone binning: results must stay exact
+    monkeypatch.setattr(q, "_log_bin", lambda x: (F.abs(F.hash(x)) % 7).cast("int"))
+    df = _data(spark, n=800, seed=11)
+    got = exact_quantiles(df, "x", PROBS, by=["g"]).collect()
+    got = {(r["g"],): [r[f"q{i}"] for i in range(len(PROBS))] for r in got}
+    assert got == _disc(df, PROBS, ["g"])
+
+
+def test_hot_group_exact(spark):
+    # one key holds most rows; brackets are refined until small
+    rows = [("hot", float(i % 997)) for i in range(6000)] + [("cold", float(i)) for i in range(10)]
+    df = spark.createDataFrame(rows, "g string, x double")
+    got = exact_quantiles(df, "x", [0.5, 0.9], by=["g"], max_candidates=50).collect()
+    got = {(r["g"],): [r["q0"], r["q1"]] for r in got}
+    assert got == _disc(df, [0.5, 0.9], ["g"])
