@@ -100,21 +100,19 @@ def _log_bin(x: Column) -> Column:
     )
 
 
-def _histogram_state(base: DataFrame, keys: list[str], probs: Sequence[float]) -> tuple[DataFrame, bool, SmallTable]:
+def _histogram_state(base: DataFrame, keys: list[str], probs: Sequence[float]) -> tuple[DataFrame, bool, "_State"]:
     """Per (group, p): the log bin holding rank ``k``, as a bracket with the
     rank re-based to it. Returns the state and whether every group's bins
     were contiguous in value (then the re-based rank is exact)."""
-    hist = SmallTable(
-        base.groupBy(*keys, _log_bin(F.col(_X)).alias("_q_b")).agg(
-            F.count(F.lit(1)).alias("_q_c"), F.min(_X).alias("_q_min"), F.max(_X).alias("_q_max")
-        )
+    hist = base.groupBy(*keys, _log_bin(F.col(_X)).alias("_q_b")).agg(
+        F.count(F.lit(1)).alias("_q_c"), F.min(_X).alias("_q_min"), F.max(_X).alias("_q_max")
     )
     # at most LOG_BINS rows per group reach these windows
     by_bin = Window.partitionBy(*keys).orderBy("_q_b")
     running = by_bin.rowsBetween(Window.unboundedPreceding, 0)
     whole = Window.partitionBy(*keys)
     h = (
-        hist.df.withColumn("_q_cum", F.sum("_q_c").over(running))
+        hist.withColumn("_q_cum", F.sum("_q_c").over(running))
         .withColumn("_q_total", F.sum("_q_c").over(whole))
         .withColumn("_q_prev_max", F.lag("_q_max").over(by_bin))
         .withColumn("_q_breaks", F.sum(F.when(F.col("_q_prev_max") >= F.col("_q_min"), 1).otherwise(0)).over(whole))
@@ -132,10 +130,9 @@ def _histogram_state(base: DataFrame, keys: list[str], probs: Sequence[float]) -
         F.col("_q_c").alias("_q_n"),
         F.col("_q_breaks"),
     )
-    state = SmallTable(state)
-    contiguous = state.df.agg(F.max("_q_breaks")).first()[0] in (None, 0)
-    hist.release()
-    return state.df, contiguous, state
+    held = _State(state)
+    contiguous = held.df.agg(F.max("_q_breaks")).first()[0] in (None, 0)
+    return held.df, contiguous, held
 
 
 def _count_state(base: DataFrame, state: _State, keys: list[str]) -> DataFrame:
@@ -242,13 +239,13 @@ def exact_quantiles(
     base, keys = _prepare(df, col, by)
     state_df, contiguous, held = _histogram_state(base, keys, probs)
     if contiguous:
-        state = _State(state_df.drop("_q_k_abs", "_q_breaks"))
+        state = held  # extra columns are ignored downstream
     else:
         # a bin straddled its neighbour: re-base the rank by counting
         absolute = _State(state_df.select(*keys, _P, F.col("_q_k_abs").alias("_q_k"), "_q_lo", "_q_hi", "_q_n"))
         state = _State(_count_state(base, absolute, keys))
         absolute.release()
-    held.release()
+        held.release()
     for _ in range(MAX_ROUNDS):
         open_ = state.df.where(F.col("_q_lo") < F.col("_q_hi"))
         biggest = open_.agg(F.max("_q_n")).first()[0]
