@@ -439,6 +439,21 @@ def q_batch_score(spark, sf):
     return score(requests, pipe, model).select("ResponseId", "pred_log", "salary_pred")
 
 
+def q_stream_landing(spark, sf):
+    """Survey rows written as year-partitioned CSV files, landed by the file
+    stream into bronze, read back (S1, S8, streaming landing)."""
+    import uuid
+
+    from paysight.runtime import scratch_root
+    from paysight.streaming.landing import BATCH_COL, land_stream
+
+    run = f"{scratch_root(spark).rstrip('/')}/paysight-landing-run/{uuid.uuid4().hex}"
+    survey = _survey(spark, sf)
+    survey.write.partitionBy("SurveyYear").option("header", True).csv(f"{run}/inbox")
+    land_stream(spark, f"{run}/inbox", f"{run}/bronze", f"{run}/checkpoint", year_pattern=r"SurveyYear=(\d{4})")
+    return spark.read.parquet(f"{run}/bronze").drop(BATCH_COL)
+
+
 def q_run_report(spark, sf):
     return report(silver_frame(spark, sf), EXACT)
 
@@ -487,4 +502,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "train_v2": q_train_v2,
     "batch_score": q_batch_score,
     "run_report": q_run_report,
+    "stream_landing": q_stream_landing,
 }

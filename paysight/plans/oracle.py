@@ -8,6 +8,7 @@ The derived ``survey`` view is an inline CTE in every text that needs it.
 from __future__ import annotations
 
 from paysight.operators.filters import ROLE_WORDS
+from paysight.schema import SURVEY_SCHEMA
 from paysight.plans.catalog import CORR_COLS, QUARTILE_DIMS, RARE_MIN, SAMPLE_N
 
 SURVEY_CTE = """survey AS (
@@ -331,6 +332,35 @@ def _profile_sql(group: bool) -> str:
     )
 
 
+def _landing_sql() -> str:
+    present = {
+        "ResponseId": "CAST(ResponseId AS VARCHAR)",
+        "Country": "Country",
+        "Age": "Age",
+        "Employment": "Employment",
+        "EdLevel": "EdLevel",
+        "YearsCodePro": "YearsCodePro",
+        "DevType": "DevType",
+        "OrgSize": "OrgSize",
+        "LanguageHaveWorkedWith": "LanguageHaveWorkedWith",
+        "DatabaseHaveWorkedWith": "DatabaseHaveWorkedWith",
+        "MainBranch": "MainBranch",
+        "RemoteWork": "RemoteWork",
+        "ConvertedCompYearly": "ConvertedCompYearly",
+        "CompTotal": "CompTotal",
+        "SurveyYear": "SurveyYear",
+    }
+    sql_type = {"string": "VARCHAR", "double": "DOUBLE", "int": "INTEGER"}
+    cols = []
+    for f in SURVEY_SCHEMA.fields:
+        expr = present.get(f.name, f"CAST(NULL AS {sql_type[f.dataType.simpleString()]})")
+        if f.name in present and f.dataType.simpleString() == "string" and f.name != "ResponseId":
+            # the CSV reader returns an empty field as null (its default nullValue is "")
+            expr = f"NULLIF({expr}, '')"
+        cols.append(f"{expr} AS {f.name}")
+    return with_ctes(SURVEY_CTE, body="SELECT " + ", ".join(cols) + " FROM survey")
+
+
 ORACLE: dict[str, str] = {
     "survey_base": with_ctes(SURVEY_CTE, body="SELECT * FROM survey"),
     "union_strict": _batches(False),
@@ -441,4 +471,5 @@ ORACLE: dict[str, str] = {
     "best_model": _best_sql(),
     "diagnostics_lr": _diag_sql(),
     "run_report": _report_sql(),
+    "stream_landing": _landing_sql(),
 }

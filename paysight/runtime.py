@@ -131,3 +131,21 @@ def ensure_parallelism(df: DataFrame) -> DataFrame:
     if df.rdd.getNumPartitions() < target:
         return df.repartition(target)
     return df
+
+
+def scratch_root(spark: SparkSession) -> str:
+    """Folder for intermediate files: the shared ``spark.checkpoint.dir``.
+
+    Only a local-mode session without one gets a temporary folder (as tests
+    do); on a cluster an unset checkpoint folder is an error, never a
+    machine-local path.
+    """
+    root = checkpoint_dir(spark)
+    if root is not None:
+        return root
+    if spark.sparkContext.master.startswith("local"):
+        import tempfile
+
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="paysight-ckpt-"))
+        return spark.sparkContext.getCheckpointDir()
+    raise ValueError("set spark.checkpoint.dir to a shared folder")

@@ -29,6 +29,7 @@ FAST = [
     "token_counts",
     "lr_enet_1f",
     "best_model",
+    "stream_landing",
 ]
 
 
