@@ -398,7 +398,9 @@ def q_diagnostics_lr(spark, sf):
 def _layout(spark) -> int:
     """Training-row partitions: one per core of the cluster, so the layout
     (and so GBT) is the same from run to run without shrinking big data."""
-    return spark.sparkContext.defaultParallelism
+    from paysight.runtime import default_parallelism
+
+    return default_parallelism(spark)
 
 
 def _trained(spark, sf, version):

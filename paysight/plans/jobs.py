@@ -28,6 +28,7 @@ from paysight.plans.eda import eda as eda_tables
 from paysight.plans.gold import gold as gold_stage
 from paysight.plans.gold import train as train_stage
 from paysight.plans.silver import SilverParams, silver
+from paysight.runtime import default_parallelism
 from paysight.schema import TARGET, YEAR
 from paysight.sources.files import read_bronze, read_survey_years, write_bronze, write_table
 from paysight.sources.models import load_pipeline, load_regressor, save_model
@@ -57,7 +58,7 @@ def gold_job(spark: SparkSession, silver_path: str, out: str, pipeline_path: str
 def train_job(spark: SparkSession, gold_path: str, models_dir: str, version: str = "v1", metrics_path: str | None = None):
     """Fit both models; each is saved under a versioned path and the
     metrics table marks the best one (lowest log RMSE, ties to LR)."""
-    res = train_stage(spark.read.parquet(gold_path), version, fixed_partitions=spark.sparkContext.defaultParallelism)
+    res = train_stage(spark.read.parquet(gold_path), version, fixed_partitions=default_parallelism(spark))
     for name, model in res.models.items():
         save_model(model, f"{models_dir.rstrip('/')}/{name}")
     m = res.metrics

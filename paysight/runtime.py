@@ -26,7 +26,10 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
     was given at start-up or someone called ``setCheckpointDir``. A value
     only present in the SQL conf is applied to the context here.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # a remote (Connect) session has no SparkContext
+        return spark.conf.get("spark.checkpoint.dir", None)
     current = sc.getCheckpointDir()
     if current:
         return current
@@ -127,8 +130,12 @@ def ensure_parallelism(df: DataFrame) -> DataFrame:
     number; large inputs already have more splits and are returned as they
     are, so no shuffle is added at scale.
     """
-    target = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
+    try:
+        target = df.sparkSession.sparkContext.defaultParallelism
+        partitions = df.rdd.getNumPartitions()
+    except Exception:  # no RDD view of the plan (remote session): leave it
+        return df
+    if partitions < target:
         return df.repartition(target)
     return df
 
@@ -149,3 +156,11 @@ def scratch_root(spark: SparkSession) -> str:
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="paysight-ckpt-"))
         return spark.sparkContext.getCheckpointDir()
     raise ValueError("set spark.checkpoint.dir to a shared folder")
+
+
+def default_parallelism(spark: SparkSession, fallback: int = 8) -> int:
+    """Cores of the cluster (``spark.default.parallelism``)."""
+    try:
+        return spark.sparkContext.defaultParallelism
+    except Exception:
+        return int(spark.conf.get("spark.default.parallelism", str(fallback)))
