@@ -42,19 +42,6 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
     return None
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into ``spark.checkpoint.dir``.
-
-    Without a configured folder the frame is returned as it is: lineage is
-    then recomputed on reuse, which is slower but still survives executor
-    loss. A machine-local folder is never invented here.
-    """
-    if checkpoint_dir(df.sparkSession) is None:
-        log.warning("spark.checkpoint.dir is unset; keeping lineage")
-        return df
-    return df.checkpoint(eager=True)
-
-
 def maybe_broadcast(
     df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS
 ) -> tuple[DataFrame, bool]:
