@@ -43,24 +43,49 @@ def train_gbt(train: DataFrame, params: Mapping = GBT_V1, features: str = "featu
     return GBTRegressor(featuresCol=features, labelCol=label, **dict(params)).fit(train)
 
 
-def evaluate(pred: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
-    """All metrics in one aggregation.
-
-    Log scale: ``rmse_log``, ``r2_log`` (as ``RegressionEvaluator``). Real
-    scale after ``expm1``: ``mae``, ``rmse`` over rows with a prediction;
-    ``n_infinite`` counts predictions whose ``expm1`` overflows.
-    """
+def _metrics(label: str, prediction: str) -> list:
     y, p = F.col(label), F.col(prediction)
     err = y - p
     t, s = F.expm1(y), F.expm1(p)
     has = p.isNotNull()
-    return pred.agg(
+    return [
         F.count(F.lit(1)).alias("n"),
         F.sqrt(F.avg(err * err)).alias("rmse_log"),
         (F.lit(1.0) - F.sum(err * err) / (F.var_pop(y) * F.count(y))).alias("r2_log"),
         F.avg(F.when(has, F.abs(t - s))).alias("mae"),
         F.sqrt(F.avg(F.when(has, (t - s) * (t - s)))).alias("rmse"),
         F.count_if(s == F.lit(float("inf"))).alias("n_infinite"),
+    ]
+
+
+def evaluate(pred: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
+    """All metrics in one aggregation.
+
+    Log scale: ``rmse_log``, ``r2_log`` (as ``RegressionEvaluator``). Real
+    scale after ``expm1``: ``mae``, ``rmse`` over rows with a prediction;
+    ``n_infinite`` counts predictions whose ``expm1`` overflows.
+    """
+    return pred.agg(*_metrics(label, prediction))
+
+
+def evaluate_clipped(
+    pred: DataFrame,
+    label: str = "label",
+    prediction: str = "prediction",
+    lower: float = 0.01,
+    upper: float = 0.99,
+    rel_error: float = DEFAULT_REL_ERROR,
+) -> DataFrame:
+    """:func:`evaluate` plus the real-scale errors of predictions clamped to
+    the label's quantile range (``mae_clipped``, ``rmse_clipped``), so an
+    overflowing ``expm1`` cannot dominate them. One aggregation after the
+    clip bounds are fitted."""
+    clipped = clip_predictions(pred, label, prediction, lower, upper, rel_error)
+    t, s = F.expm1(F.col(label)), F.expm1(F.col("prediction_clip"))
+    return clipped.agg(
+        *_metrics(label, prediction),
+        F.avg(F.abs(t - s)).alias("mae_clipped"),
+        F.sqrt(F.avg((t - s) * (t - s))).alias("rmse_clipped"),
     )
 
 

@@ -20,16 +20,32 @@ from paysight.schema import TARGET, require_columns
 KEY = "ResponseId"
 
 
-def gold(silver_df: DataFrame, spec: FeatureSpec | None = None) -> tuple[DataFrame, PipelineModel]:
+def gold(
+    silver_df: DataFrame,
+    spec: FeatureSpec | None = None,
+    fit_on: str = "all",
+    train_pct: int = 80,
+) -> tuple[DataFrame, PipelineModel]:
     """Positive-salary rows -> ``(ResponseId, features, target)`` plus the
-    fitted pipeline (M7, M8, S13)."""
+    fitted pipeline (M7, M8, S13).
+
+    ``fit_on="all"`` fits vocabularies, labels and scales on every row (the
+    original behaviour); ``"train"`` fits them only on the rows the hash
+    split puts in training, so test rows never shape the features.
+    """
     require_columns(silver_df, [TARGET])
+    if fit_on not in ("all", "train"):
+        raise ValueError("fit_on must be 'all' or 'train'")
     df = positive(silver_df, TARGET)
     spec = spec or FeatureSpec.choose(df)
     keep = [c for c in [KEY, TARGET, *spec.numeric, *spec.categorical, *spec.text] if c in df.columns]
     # read by every fitting pass and the final transform: stage it once
     df = stage_table(df.select(*keep), "gold-input")
-    model = fit_features(df, spec)
+    fit_rows = df
+    if fit_on == "train":
+        require_columns(df, [KEY])
+        fit_rows, _ = hash_split(df, KEY, train_pct)
+    model = fit_features(fit_rows, spec)
     out_cols = [c for c in [KEY] if c in df.columns] + ["features", TARGET]
     return model.transform(df).select(*out_cols), model
 

@@ -171,3 +171,30 @@ def test_diagnostics_tables(spark):
     lo, hi = clipped.agg(F.min("prediction_clip"), F.max("prediction_clip")).first()
     q = clipped.approxQuantile("label", [0.01, 0.99], 0.0)
     assert lo >= q[0] - 1e-12 and hi <= q[1] + 1e-12
+
+
+def test_fit_on_train_only(spark):
+    from paysight.operators.sample import hash_split
+    from paysight.plans.gold import gold
+
+    df = _survey_like(spark)
+    g_all, m_all = gold(df)
+    g_train, m_train = gold(df, fit_on="train")
+    assert g_train.count() == g_all.count()
+    # the indexer of the train-only fit saw only training rows
+    train_rows, _ = hash_split(df, "ResponseId", 80)
+    idx = m_train.stages[0]
+    counts = {r[0]: r[1] for r in train_rows.groupBy("CountryGrouped").count().collect()}
+    assert idx.labelsArray[0][0] == max(counts, key=lambda k: (counts[k], [-ord(c) for c in k]))
+    with pytest.raises(ValueError):
+        gold(df, fit_on="test")
+
+
+def test_evaluate_clipped(spark):
+    from paysight.operators.models import evaluate_clipped
+
+    df = _lr_data(spark)
+    pred = train_lr(df, LR_V1).transform(df)
+    ev = evaluate_clipped(pred, rel_error=0.0).first()
+    assert ev["mae_clipped"] is not None and ev["rmse_clipped"] >= ev["mae_clipped"]
+    assert ev["n"] == df.count()
