@@ -41,3 +41,25 @@ def test_exact_first_round_is_a_mergeable_histogram(spark):
     assert "percentile" not in state_df._jdf.queryExecution().optimizedPlan().toString().lower()
     assert state_df.count() == 13
     held.release()
+
+
+def test_silver_on_bronze_prunes_and_pushes(spark, tmp_dir):
+    import os
+
+    from paysight.plans.silver import SilverParams, fit_silver
+    from paysight.sources.files import read_bronze, write_bronze
+    from paysight.sources.tables import survey_view
+
+    from conftest import SF_SMALL
+
+    path = os.path.join(tmp_dir, "bronze")
+    write_bronze(survey_view(spark, SF_SMALL).withColumn("Extra", F.lit("x")), path)
+    bronze = read_bronze(spark, path, years=[1996, 1997])
+    model = fit_silver(bronze, SilverParams(rel_error=0.0, min_country=5))
+    plan = _plan(model.transform(bronze))
+    # trim bounds and null checks reach the Parquet scan, years are pruned
+    assert "IsNotNull(ConvertedCompYearly)" in plan
+    assert "GreaterThanOrEqual(ConvertedCompYearly," in plan and "LessThanOrEqual(ConvertedCompYearly," in plan
+    assert "SurveyYear" in plan.split("PartitionFilters: [")[1] or "SurveyYear" in plan.split("PartitionFilters: [")[2]
+    schemas = [part.split(",", 1)[0] for part in plan.split("ReadSchema: ")[1:]]
+    assert schemas and all("Extra" not in s for s in plan.split("ReadSchema: ")[1:])
