@@ -100,7 +100,9 @@ def _log_bin(x: Column) -> Column:
     )
 
 
-def _histogram_state(base: DataFrame, keys: list[str], probs: Sequence[float]) -> tuple[DataFrame, bool, "_State"]:
+def _histogram_state(
+    base: DataFrame, keys: list[str], probs: Sequence[float], tolerance: float = 0.0
+) -> tuple[DataFrame, bool, "_State"]:
     """Per (group, p): the log bin holding rank ``k``, as a bracket with the
     rank re-based to it. Returns the state and whether every group's bins
     were contiguous in value (then the re-based rank is exact)."""
@@ -129,6 +131,8 @@ def _histogram_state(base: DataFrame, keys: list[str], probs: Sequence[float]) -
         F.col("_q_max").alias("_q_hi"),
         F.col("_q_c").alias("_q_n"),
         F.col("_q_breaks"),
+        # brackets this small may answer with their lower end (approximate mode)
+        F.floor(F.lit(float(tolerance)) * F.col("_q_total")).cast("bigint").alias("_q_tol"),
     )
     held = _State(state)
     contiguous = held.df.agg(F.max("_q_breaks")).first()[0] in (None, 0)
@@ -165,6 +169,7 @@ def _count_state(base: DataFrame, state: _State, keys: list[str]) -> DataFrame:
     return joined.select(
         *[F.col(f"s.{k}").alias(k) for k in keys],
         F.col(f"s.{_P}").alias(_P),
+        F.col("s._q_tol").alias("_q_tol"),
         F.when(ok, k_rel).otherwise(F.col("s._q_k")).alias("_q_k"),
         F.when(ok, F.col("s._q_lo")).otherwise(F.col("c._q_min")).alias("_q_lo"),
         F.when(ok, F.col("s._q_hi")).otherwise(F.col("c._q_max")).alias("_q_hi"),
@@ -193,7 +198,7 @@ def _refine(base: DataFrame, state: _State, keys: list[str], bins: int) -> DataF
     )
     hist = (
         cand.withColumn("_q_b", b.cast("int"))
-        .groupBy(*keys, _P, "_q_k", "_q_b")
+        .groupBy(*keys, _P, "_q_k", "_q_tol", "_q_b")
         .agg(F.count(F.lit(1)).alias("_q_c"), F.min(_X).alias("_q_min"), F.max(_X).alias("_q_max"))
     )
     w = Window.partitionBy(*keys, _P).orderBy("_q_b").rowsBetween(Window.unboundedPreceding, 0)
@@ -206,22 +211,32 @@ def _refine(base: DataFrame, state: _State, keys: list[str], bins: int) -> DataF
         F.col("_q_min").alias("_q_lo"),
         F.col("_q_max").alias("_q_hi"),
         F.col("_q_c").alias("_q_n"),
+        "_q_tol",
     )
 
 
+def _open() -> Column:
+    """Brackets that still need ranking: more than one value and more values
+    than the rank tolerance allows."""
+    return (F.col("_q_lo") < F.col("_q_hi")) & (F.col("_q_n") > F.col("_q_tol"))
+
+
 def _select(base: DataFrame, state: _State, keys: list[str]) -> DataFrame:
-    """Pick the ranked value. A bracket with ``L == U`` already is the answer;
-    only open brackets (each at most ``max_candidates`` rows) go through the
-    window."""
-    lo, hi = F.col("_q_lo"), F.col("_q_hi")
-    cand = _candidates(base, state, keys).where(lo < hi)
+    """Pick the ranked value. A closed bracket (``L == U``, or within the
+    rank tolerance) answers with its lower end; only open brackets (each at
+    most ``max_candidates`` rows) go through the window, and when none is
+    open the data is not read again."""
+    open_ = _open()
+    resolved = state.df.where(~open_).select(*keys, _P, F.col("_q_lo").alias("_q_v"))
+    if state.df.where(open_).count() == 0:
+        return resolved
+    cand = _candidates(base, state, keys).where(open_)
     w = Window.partitionBy(*keys, _P).orderBy(_X)
     picked = (
         cand.withColumn("_q_rn", F.row_number().over(w))
         .where(F.col("_q_rn") == F.col("_q_k"))
         .select(*keys, _P, F.col(_X).alias("_q_v"))
     )
-    resolved = state.df.where(lo == hi).select(*keys, _P, lo.alias("_q_v"))
     return picked.unionByName(resolved)
 
 
@@ -232,23 +247,31 @@ def exact_quantiles(
     by: Sequence[str] = (),
     names: Sequence[str] | None = None,
     max_candidates: int = MAX_CANDIDATES,
+    rank_tolerance: float = 0.0,
 ) -> DataFrame:
-    """Exact lower quantiles per group: one row per group, one column per p."""
+    """Lower quantiles per group: one row per group, one column per p.
+
+    Exact by default. With ``rank_tolerance = e`` a bracket holding at most
+    ``e * n`` values answers with its smallest value, so the result is a real
+    value whose rank is off by less than ``e * n`` (the sketch guarantee),
+    computed with the same mergeable passes.
+    """
     probs = [float(p) for p in probs]
     names = list(names) if names else [f"q{i}" for i in range(len(probs))]
     base, keys = _prepare(df, col, by)
-    state_df, contiguous, held = _histogram_state(base, keys, probs)
+    state_df, contiguous, held = _histogram_state(base, keys, probs, rank_tolerance)
     if contiguous:
         state = held  # extra columns are ignored downstream
     else:
         # a bin straddled its neighbour: re-base the rank by counting
-        absolute = _State(state_df.select(*keys, _P, F.col("_q_k_abs").alias("_q_k"), "_q_lo", "_q_hi", "_q_n"))
+        absolute = _State(
+            state_df.select(*keys, _P, F.col("_q_k_abs").alias("_q_k"), "_q_lo", "_q_hi", "_q_n", "_q_tol")
+        )
         state = _State(_count_state(base, absolute, keys))
         absolute.release()
         held.release()
     for _ in range(MAX_ROUNDS):
-        open_ = state.df.where(F.col("_q_lo") < F.col("_q_hi"))
-        biggest = open_.agg(F.max("_q_n")).first()[0]
+        biggest = state.df.where(_open()).agg(F.max("_q_n")).first()[0]
         if biggest is None or biggest <= max_candidates:
             break
         narrower = _State(_refine(base, state, keys, REFINE_BINS))
@@ -270,8 +293,20 @@ def approx_quantiles(
     by: Sequence[str] = (),
     names: Sequence[str] | None = None,
     rel_error: float = DEFAULT_REL_ERROR,
+    method: str = "sketch",
 ) -> DataFrame:
-    """Sketch quantiles per group in one aggregation (bounded memory)."""
+    """Approximate quantiles per group, rank error at most ``rel_error * n``.
+
+    ``method="sketch"`` is Spark's ``percentile_approx`` (one pass; the
+    partial sketches of one group merge in one reducer). ``"histogram"``
+    uses the mergeable histogram selection of :func:`exact_quantiles` with
+    a rank tolerance: no single-reducer merge for a hot group, at the cost of
+    a second pass when a bracket is still too wide.
+    """
+    if method == "histogram":
+        return exact_quantiles(df, col, probs, by=by, names=names, rank_tolerance=rel_error)
+    if method != "sketch":
+        raise ValueError("method must be 'sketch' or 'histogram'")
     probs = [float(p) for p in probs]
     names = list(names) if names else [f"q{i}" for i in range(len(probs))]
     accuracy = max(1, int(math.ceil(1.0 / rel_error)))
@@ -290,11 +325,12 @@ def quantiles_by(
     by: Sequence[str] = (),
     names: Sequence[str] | None = None,
     rel_error: float = DEFAULT_REL_ERROR,
+    method: str = "sketch",
 ) -> DataFrame:
     """Quantiles per group; exact when ``rel_error == 0``."""
     if rel_error <= 0:
         return exact_quantiles(df, col, probs, by=by, names=names)
-    return approx_quantiles(df, col, probs, by=by, names=names, rel_error=rel_error)
+    return approx_quantiles(df, col, probs, by=by, names=names, rel_error=rel_error, method=method)
 
 
 def quantile_values(

@@ -110,3 +110,23 @@ def test_hot_group_exact(spark):
     got = exact_quantiles(df, "x", [0.5, 0.9], by=["g"], max_candidates=50).collect()
     got = {(r["g"],): [r["q0"], r["q1"]] for r in got}
     assert got == _disc(df, [0.5, 0.9], ["g"])
+
+
+def test_histogram_method_rank_error_bounded(spark):
+    n_per = 3000
+    rows = [(g, float((i * 7919) % 10007) + g) for g in range(3) for i in range(n_per)]
+    df = spark.createDataFrame(rows, "g int, x double")
+    probs = [0.1, 0.5, 0.9]
+    for err in (0.001, 0.05):
+        got = approx_quantiles(df, "x", probs, by=["g"], rel_error=err, method="histogram").collect()
+        for r in got:
+            xs = sorted(x for g, x in rows if g == r["g"])
+            for i, p in enumerate(probs):
+                k = max(1, math.ceil(p * n_per))
+                v = r[f"q{i}"]
+                assert v in xs
+                lo_rank = xs.index(v) + 1
+                hi_rank = len(xs) - xs[::-1].index(v)
+                assert lo_rank - err * n_per <= k + 1e-9 and k <= hi_rank + err * n_per + 1e-9
+    with pytest.raises(ValueError):
+        approx_quantiles(df, "x", probs, method="nope")
