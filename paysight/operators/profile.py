@@ -36,6 +36,7 @@ def profile(
     target: str = TARGET,
     by: Sequence[str] = (),
     rel_error: float = DEFAULT_REL_ERROR,
+    method: str = "sketch",
 ) -> DataFrame:
     """Rows, non-null and null target counts, mean and median.
 
@@ -50,17 +51,17 @@ def profile(
         F.count_if(x.isNull()).alias("n_salary_null"),
         F.avg(x).alias("mean_salary"),
     ]
-    if rel_error > 0:
+    if rel_error > 0 and method == "sketch":
         accuracy = int(round(1.0 / rel_error))
         stats.append(F.percentile_approx(x, 0.5, accuracy).alias("median_salary"))
         out = df.groupBy(*by).agg(*stats)
     else:
         counts = df.groupBy(*by).agg(*stats)
         if by:
-            med = quantiles_by(df, target, [0.5], by=by, names=["median_salary"], rel_error=0.0)
+            med = quantiles_by(df, target, [0.5], by=by, names=["median_salary"], rel_error=rel_error, method=method)
             out = _null_safe_join(counts, med, by)
         else:
-            vals = quantile_values(df, target, [0.5], rel_error=0.0)
+            vals = quantile_values(df, target, [0.5], rel_error=rel_error)
             median = vals[0] if vals else None
             out = counts.withColumn("median_salary", F.lit(median).cast("double"))
     return out.orderBy(*by) if by else out
@@ -119,6 +120,7 @@ def quartiles_by_dimension(
     dims: Sequence[tuple[str, int, int]],
     target: str = TARGET,
     rel_error: float = DEFAULT_REL_ERROR,
+    method: str = "sketch",
 ) -> DataFrame:
     """Group quartiles for several dimensions at once.
 
@@ -135,7 +137,7 @@ def quartiles_by_dimension(
         ),
     )
     keys = ["dimension", "value"]
-    if rel_error > 0:
+    if rel_error > 0 and method == "sketch":
         accuracy = int(round(1.0 / rel_error))
         stats = stacked.groupBy(*keys).agg(
             F.count(F.lit(1)).alias("n"), F.percentile_approx("_t", [0.25, 0.5, 0.75], accuracy).alias("_gq")
@@ -160,7 +162,9 @@ def quartiles_by_dimension(
     # at most sum(top_n) rows: a parameter-bounded table
     sizes = SmallTable(reduce(lambda a, b: a.unionByName(b), tops))
     kept = _null_safe_join(stacked, sizes.for_join().select(*keys), keys, how="left_semi")
-    q = quantiles_by(kept, "_t", [0.25, 0.5, 0.75], by=keys, names=["p25", "median_salary", "p75"], rel_error=0.0)
+    q = quantiles_by(
+        kept, "_t", [0.25, 0.5, 0.75], by=keys, names=["p25", "median_salary", "p75"], rel_error=rel_error, method=method
+    )
     return _quartile_columns(_null_safe_join(sizes.df, q, keys), keys)
 
 
@@ -171,24 +175,31 @@ def group_quartiles(
     top_n: int = 15,
     min_count: int = 300,
     rel_error: float = DEFAULT_REL_ERROR,
+    method: str = "sketch",
 ) -> DataFrame:
     """Quartiles for one dimension, keyed by the column itself; quantiles
     are computed only for the kept groups."""
-    long = quartiles_by_dimension(df, [(group_col, top_n, min_count)], target, rel_error)
+    long = quartiles_by_dimension(df, [(group_col, top_n, min_count)], target, rel_error, method)
     typed = long.select(F.col("value").cast(df.schema[group_col].dataType).alias(group_col), *long.columns[2:])
     return typed.orderBy(F.desc("n"), F.asc_nulls_first(group_col))
 
 
-def trend(df: DataFrame, target: str = TARGET, year: str = YEAR, rel_error: float = DEFAULT_REL_ERROR) -> DataFrame:
+def trend(
+    df: DataFrame,
+    target: str = TARGET,
+    year: str = YEAR,
+    rel_error: float = DEFAULT_REL_ERROR,
+    method: str = "sketch",
+) -> DataFrame:
     """Rows and median target per year."""
-    if rel_error > 0:
+    if rel_error > 0 and method == "sketch":
         accuracy = int(round(1.0 / rel_error))
         out = df.groupBy(year).agg(
             F.count(F.lit(1)).alias("n"), F.percentile_approx(target, 0.5, accuracy).alias("median_salary")
         )
     else:
         n = df.groupBy(year).agg(F.count(F.lit(1)).alias("n"))
-        med = quantiles_by(df, target, [0.5], by=[year], names=["median_salary"], rel_error=0.0)
+        med = quantiles_by(df, target, [0.5], by=[year], names=["median_salary"], rel_error=rel_error, method=method)
         out = _null_safe_join(n, med, [year])
     return out.orderBy(year)
 

@@ -35,8 +35,13 @@ def report(df: DataFrame, rel_error: float = DEFAULT_REL_ERROR) -> DataFrame:
     return df.sparkSession.createDataFrame(rows, "metric string, value double")
 
 
-def eda(silver_df: DataFrame, key: str = "ResponseId", rel_error: float = DEFAULT_REL_ERROR) -> dict[str, DataFrame]:
-    """All chart tables on the positive-salary rows of ``silver_df``."""
+def eda(
+    silver_df: DataFrame, key: str = "ResponseId", rel_error: float = DEFAULT_REL_ERROR, method: str = "sketch"
+) -> dict[str, DataFrame]:
+    """All chart tables on the positive-salary rows of ``silver_df``.
+
+    ``method`` picks how grouped approximate quantiles are computed
+    (``"sketch"`` or the fan-in-free ``"histogram"``)."""
     df = positive(silver_df, TARGET)
     qs = quantile_values(df, TARGET, [0.99], rel_error)
     hist_rows = salary_hist_frame(df, qs[0] if qs else None)
@@ -46,12 +51,12 @@ def eda(silver_df: DataFrame, key: str = "ResponseId", rel_error: float = DEFAUL
         "salary_hist_log": histogram(hist_rows, "log_salary", 60),
         "top_countries": top_k(df, "CountryGrouped", 15) if "CountryGrouped" in df.columns else None,
         "corr": corr_long(df, CORR_COLUMNS),
-        "trend": trend(df, rel_error=rel_error),
+        "trend": trend(df, rel_error=rel_error, method=method),
         "report": report(silver_df, rel_error),
     }
     dims = [d for d in QUARTILE_GROUPS if d[0] in df.columns]
     if dims:
-        out["quartiles"] = quartiles_by_dimension(df, dims, TARGET, rel_error)
+        out["quartiles"] = quartiles_by_dimension(df, dims, TARGET, rel_error, method)
     if "YearsCodeProNum_imp" in df.columns:
         pts = df.select(key, "YearsCodeProNum_imp", TARGET).dropna()
         out["scatter_years_pro"] = hash_sample(pts, key, 50_000).select(

@@ -81,3 +81,18 @@ def test_hash_sample_equals_plain_ordered_limit(spark):
         got = [r[0] for r in hash_sample(df, "k", n).collect()]
         want = [r[0] for r in df.orderBy(md5_order_key("k"), "k").limit(n).collect()]
         assert got == want
+
+
+def test_histogram_method_in_profiles(spark):
+    rows = [(2020 + i % 3, float(i)) for i in range(3000)]
+    df = spark.createDataFrame(rows, "SurveyYear int, ConvertedCompYearly double")
+    exact = {r["SurveyYear"]: r["median_salary"] for r in trend(df, rel_error=0.0).collect()}
+    approx = {r["SurveyYear"]: r["median_salary"] for r in trend(df, rel_error=0.01, method="histogram").collect()}
+    assert set(exact) == set(approx)
+    for y in exact:
+        assert abs(exact[y] - approx[y]) <= 0.01 * 3000 * 3 + 3  # rank error 1% of 1000 rows, step 3
+    p = profile(df, by=["SurveyYear"], rel_error=0.01, method="histogram").collect()
+    assert len(p) == 3
+    big = [("a", float(i)) for i in range(500)]
+    q = group_quartiles(spark.createDataFrame(big, "g string, ConvertedCompYearly double"), "g", min_count=1, rel_error=0.01, method="histogram").first()
+    assert abs(q["median_salary"] - 249.0) <= 5
