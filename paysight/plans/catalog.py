@@ -414,6 +414,22 @@ def _metrics_out(res) -> DataFrame:
     )
 
 
+def q_train_lr_full(spark, sf):
+    """Both linear settings on the gold features (L1, L2, L6, L7): v1 on all
+    labelled rows, v2 after the exact 1-99 % trim; same hash split."""
+    from paysight.plans.gold import SETTINGS, training_rows
+
+    g, _ = gold(silver_frame(spark, sf))
+    rows = []
+    for version in ("v1", "v2"):
+        lr_params, _, trim = SETTINGS[version]
+        train_df, test_df = training_rows(g, trim, EXACT, 80, None)
+        model = train_lr(train_df, lr_params)
+        rows.append(evaluate(model.transform(test_df)).withColumn("model", F.lit(f"lr_{version}")))
+    m = union_by_name(rows)
+    return m.select("model", "n", r6("rmse_log").alias("rmse_log"), r6("r2_log").alias("r2_log"), "mae", "rmse", "n_infinite")
+
+
 def q_train_v1(spark, sf):
     _, _, res = _trained(spark, sf, "v1")
     return _metrics_out(res)
@@ -500,6 +516,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "metrics_from_predictions": q_metrics_from_predictions,
     "best_model": q_best_model,
     "diagnostics_lr": q_diagnostics_lr,
+    "train_lr_full": q_train_lr_full,
     "train_v1": q_train_v1,
     "train_v2": q_train_v2,
     "batch_score": q_batch_score,

@@ -50,7 +50,7 @@ def gold(
     return model.transform(df).select(*out_cols), model
 
 
-def _training_rows(gold_df: DataFrame, trim: bool, rel_error: float, train_pct: int, fixed_partitions: int | None):
+def training_rows(gold_df: DataFrame, trim: bool, rel_error: float, train_pct: int, fixed_partitions: int | None):
     df = gold_df
     if trim:
         df = trim_quantiles(positive(df, TARGET), TARGET, 0.01, 0.99, rel_error)
@@ -72,7 +72,7 @@ def train_gbt_only(
     rows :func:`train` uses (for scoring jobs that need only it)."""
     require_columns(gold_df, ["features", TARGET, KEY])
     _, gbt_params, trim = SETTINGS[version]
-    train_df, _ = _training_rows(gold_df, trim, rel_error, train_pct, fixed_partitions)
+    train_df, _ = training_rows(gold_df, trim, rel_error, train_pct, fixed_partitions)
     train_df = train_df.persist()
     try:
         return train_gbt(train_df, gbt_params)
@@ -106,7 +106,7 @@ def train(
     require_columns(gold_df, ["features", TARGET, KEY])
     lr_params, gbt_params, trim = SETTINGS[version]
     gbt_params = {**gbt_params, **(gbt_overrides or {})}
-    train_df, test_df = _training_rows(gold_df, trim, rel_error, train_pct, fixed_partitions)
+    train_df, test_df = training_rows(gold_df, trim, rel_error, train_pct, fixed_partitions)
     train_df = train_df.persist()
     lr = train_lr(train_df, lr_params)
     gbt = train_gbt(train_df, gbt_params)

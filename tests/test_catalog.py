@@ -60,7 +60,7 @@ def test_query_matches_oracle(spark, duck, name):
 def test_every_checked_query_has_oracle():
     q, o = entry_mod.queries(), entry_mod.oracle_sql()
     assert set(o) <= set(q)
-    assert set(q) - set(o) == {"features_gold", "train_v1", "train_v2", "batch_score"}
+    assert set(q) - set(o) == {"features_gold", "train_lr_full", "train_v1", "train_v2", "batch_score"}
 
 
 def test_entry_smoke(spark):
