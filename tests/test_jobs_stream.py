@@ -53,3 +53,27 @@ def test_stream_landing_is_incremental(spark, tmp_dir):
     counts = {r["SurveyYear"]: r["count"] for r in landed.groupBy("SurveyYear").count().collect()}
     assert counts == {r["SurveyYear"]: r["count"] for r in s.where(F.col("SurveyYear").isin(1996, 1997)).groupBy("SurveyYear").count().collect()}
     assert dict(landed.dtypes)["ConvertedCompYearly"] == "double"
+
+
+def test_score_job_round_trip(spark, tmp_dir):
+    from paysight.operators.models import LR_V1, train_lr, with_label
+    from paysight.sources.models import save_model
+
+    s, raw = _raw_csv(spark, tmp_dir)
+    bronze = os.path.join(tmp_dir, "bronze_s")
+    jobs.bronze(spark, raw, bronze)
+    silver = os.path.join(tmp_dir, "silver_s")
+    sv = jobs.silver_job(spark, bronze, silver, SilverParams(min_country=5))
+    gold = os.path.join(tmp_dir, "gold_s")
+    pipe = os.path.join(tmp_dir, "pipe_s")
+    g = jobs.gold_job(spark, silver, gold, pipe)
+    model_path = os.path.join(tmp_dir, "lr_s")
+    save_model(train_lr(with_label(g), LR_V1), model_path)
+    requests = os.path.join(tmp_dir, "requests")
+    sv.select(
+        "ResponseId", "YearsCodeProNum_imp", "CountryGrouped", "EdLevel", "RemoteWork", "OrgSize",
+        F.lit("").alias("LanguageHaveWorkedWith"), "DatabaseHaveWorkedWith",
+    ).write.parquet(requests)
+    out = jobs.score_job(spark, requests, pipe, model_path, "lr", os.path.join(tmp_dir, "scores"))
+    assert out.count() == sv.count()
+    assert out.where(F.col("salary_pred").isNull()).count() == 0
