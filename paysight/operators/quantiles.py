@@ -7,7 +7,9 @@ ignored.
 
 ``rel_error > 0`` uses Spark's Greenwald-Khanna sketch (``percentile_approx``
 per group, ``approxQuantile`` globally): one pass, memory bounded by the
-accuracy, rank error at most ``rel_error * n``.
+accuracy, rank error at most ``rel_error * n``. ``method="histogram"`` gives
+the same guarantee through the mergeable selection below, stopping once a
+bracket holds at most ``rel_error * n`` values.
 
 ``rel_error == 0`` is exact and every step is a mergeable aggregation or a
 bounded window:
