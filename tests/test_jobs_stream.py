@@ -77,3 +77,15 @@ def test_score_job_round_trip(spark, tmp_dir):
     out = jobs.score_job(spark, requests, pipe, model_path, "lr", os.path.join(tmp_dir, "scores"))
     assert out.count() == sv.count()
     assert out.where(F.col("salary_pred").isNull()).count() == 0
+
+
+def test_retried_landing_batch_replaces_itself(spark, tmp_dir):
+    from paysight.streaming.landing import land_files
+
+    s, raw = _raw_csv(spark, tmp_dir)
+    bronze = os.path.join(tmp_dir, "bronze_retry")
+    paths = [raw[1996]]
+    land_files(spark, paths, bronze, batch_id=0)
+    first = spark.read.parquet(bronze).count()
+    land_files(spark, paths, bronze, batch_id=0)  # the same batch run again after a failure
+    assert spark.read.parquet(bronze).count() == first == s.where(F.col("SurveyYear") == 1996).count()
