@@ -165,7 +165,8 @@ def quartiles_by_dimension(
     q = quantiles_by(
         kept, "_t", [0.25, 0.5, 0.75], by=keys, names=["p25", "median_salary", "p75"], rel_error=rel_error, method=method
     )
-    return _quartile_columns(_null_safe_join(sizes.df, q, keys), keys)
+    # q has one row per kept group: at most sum(top_n) rows, a proven bound
+    return _quartile_columns(_null_safe_join(sizes.df, F.broadcast(q), keys), keys)
 
 
 def group_quartiles(
