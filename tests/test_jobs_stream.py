@@ -89,3 +89,30 @@ def test_retried_landing_batch_replaces_itself(spark, tmp_dir):
     first = spark.read.parquet(bronze).count()
     land_files(spark, paths, bronze, batch_id=0)  # the same batch run again after a failure
     assert spark.read.parquet(bronze).count() == first == s.where(F.col("SurveyYear") == 1996).count()
+
+
+def test_train_job_saves_versioned_models_and_marks_best(spark, tmp_dir, monkeypatch):
+    import paysight.plans.gold as gold_mod
+    from paysight.operators.models import LR_V1
+    from paysight.sources.models import load_regressor
+
+    small_gbt = {"maxIter": 3, "maxDepth": 3, "stepSize": 0.1, "subsamplingRate": 0.8, "seed": 42}
+    monkeypatch.setattr(gold_mod, "SETTINGS", {"v1": (LR_V1, small_gbt, False)})
+    s, raw = _raw_csv(spark, tmp_dir)
+    bronze = os.path.join(tmp_dir, "bronze_t")
+    jobs.bronze(spark, raw, bronze)
+    silver = os.path.join(tmp_dir, "silver_t")
+    jobs.silver_job(spark, bronze, silver, SilverParams(min_country=5))
+    gold = os.path.join(tmp_dir, "gold_t")
+    jobs.gold_job(spark, silver, gold, os.path.join(tmp_dir, "pipe_t"))
+    models = os.path.join(tmp_dir, "models")
+    metrics_path = os.path.join(tmp_dir, "metrics")
+    m = jobs.train_job(spark, gold, models, "v1", metrics_path)
+    rows = {r["model"]: r for r in spark.read.parquet(metrics_path).collect()}
+    assert set(rows) == {"lr_v1", "gbt_v1"}
+    assert sum(r["best"] for r in rows.values()) == 1
+    best = min(rows.values(), key=lambda r: (r["rmse_log"], 0 if r["model"].startswith("lr") else 1))
+    assert best["best"]
+    assert load_regressor(os.path.join(models, "lr_v1"), "lr") is not None
+    assert load_regressor(os.path.join(models, "gbt_v1"), "gbt") is not None
+    assert m.count() == 2
