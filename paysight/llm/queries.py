@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from .decontaminate import OP8_SQL, op8_benchmark_decontamination
+from .licenses import OP3_SQL, op3_license_scan
 from .simhash import op7_simhash_dedup
 from .token_counts import op5_token_counts
 from .topk import OP10_SQL, op10_topk_search
 
 QUERIES = {
+    "op3_license_scan": op3_license_scan,
     "op5_token_counts": op5_token_counts,
     "op7_simhash_dedup": op7_simhash_dedup,
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
@@ -15,6 +17,7 @@ QUERIES = {
 }
 
 ORACLE = {
+    "op3_license_scan": OP3_SQL,
     "op8_benchmark_decontamination": OP8_SQL,
     "op10_topk_search": OP10_SQL,
 }
