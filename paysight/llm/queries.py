@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from .decontaminate import OP8_SQL, op8_benchmark_decontamination
+from .langid import op1_language_id
 from .licenses import OP3_SQL, op3_license_scan
 from .simhash import op7_simhash_dedup
 from .token_counts import op5_token_counts
 from .topk import OP10_SQL, op10_topk_search
 
 QUERIES = {
+    "op1_language_id": op1_language_id,
     "op3_license_scan": op3_license_scan,
     "op5_token_counts": op5_token_counts,
     "op7_simhash_dedup": op7_simhash_dedup,
