@@ -5,12 +5,14 @@ from __future__ import annotations
 from .decontaminate import OP8_SQL, op8_benchmark_decontamination
 from .langid import op1_language_id
 from .licenses import OP3_SQL, op3_license_scan
+from .quality import op2_quality_classifier
 from .simhash import op7_simhash_dedup
 from .token_counts import op5_token_counts
 from .topk import OP10_SQL, op10_topk_search
 
 QUERIES = {
     "op1_language_id": op1_language_id,
+    "op2_quality_classifier": op2_quality_classifier,
     "op3_license_scan": op3_license_scan,
     "op5_token_counts": op5_token_counts,
     "op7_simhash_dedup": op7_simhash_dedup,
@@ -19,6 +21,7 @@ QUERIES = {
 }
 
 ORACLE = {
+    "op2_quality_classifier": op2_quality_classifier,
     "op3_license_scan": OP3_SQL,
     "op8_benchmark_decontamination": OP8_SQL,
     "op10_topk_search": OP10_SQL,
