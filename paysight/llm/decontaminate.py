@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from .common import WORD_BYTES, Scratch, table
+from .common import WORD_BYTES, Scratch, fresh, table
 
 WINDOW = 13
 MAX_BLOCK_BYTES = 32 << 20  # test text in one broadcast block
@@ -136,8 +136,9 @@ def scan_documents(
     out = docs.withColumn(scan_col, F.lit(None).cast(SCAN))
     for k, block in enumerate(blocks):
         items = [(r["item"], r["body"]) for r in block.collect()]
-        out = out.withColumn("_more", _scanner(spark, items, width)(body))
-        before, more = F.col(scan_col), F.col("_more")
+        more_col = fresh(out, "_more")
+        out = out.withColumn(more_col, _scanner(spark, items, width)(body))
+        before, more = F.col(scan_col), F.col(more_col)
         both = F.when(before.isNull(), more).otherwise(
             F.struct(
                 more["n_words"].alias("n_words"),
@@ -145,7 +146,7 @@ def scan_documents(
                 F.array_sort(F.array_union(before["items"], more["items"])).alias("items"),
             )
         )
-        out = scratch.write(out.withColumn(scan_col, both).drop("_more"), f"block-{k}")
+        out = scratch.write(out.withColumn(scan_col, both).drop(more_col), f"block-{k}")
         if k:
             scratch.drop(f"block-{k - 1}")
     return out.withColumn(scan_col, F.col(scan_col).withField("spans", arrow_udf(_merge_spans, SPANS)(F.col(scan_col)["spans"])))
@@ -164,8 +165,9 @@ def is_contaminated(scan: Column) -> Column:
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", **options) -> DataFrame:
     """``docs`` without its contaminated rows, columns unchanged."""
-    scanned = scan_documents(docs, benchmark, text_col, scan_col="_scan", **options)
-    return scanned.filter(~is_contaminated(F.col("_scan"))).select(*docs.columns)
+    scan = fresh(docs, "_scan")
+    scanned = scan_documents(docs, benchmark, text_col, scan_col=scan, **options)
+    return scanned.filter(~is_contaminated(F.col(scan))).select(*docs.columns)
 
 
 def _cut(text: pa.Array, spans: pa.Array) -> pa.Array:
@@ -179,8 +181,10 @@ def _cut(text: pa.Array, spans: pa.Array) -> pa.Array:
 
 def remove_spans(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", **options) -> DataFrame:
     """``docs`` with the hit passages cut out of their texts, columns unchanged; null texts stay null."""
-    scanned = scan_documents(docs, benchmark, text_col, scan_col="_scan", **options)
-    cut = F.when(F.size("_scan.spans") > 0, arrow_udf(_cut, "string")(F.col(text_col).cast("binary"), F.col("_scan.spans"))).otherwise(F.col(text_col))
+    scan = fresh(docs, "_scan")
+    scanned = scan_documents(docs, benchmark, text_col, scan_col=scan, **options)
+    spans = F.col(scan)["spans"]
+    cut = F.when(F.size(spans) > 0, arrow_udf(_cut, "string")(F.col(text_col).cast("binary"), spans)).otherwise(F.col(text_col))
     return scanned.withColumn(text_col, cut).select(*docs.columns)
 
 

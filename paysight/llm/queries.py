@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
+
 from .decontaminate import OP8_SQL, op8_benchmark_decontamination
 from .langid import op1_language_id
 from .licenses import OP3_SQL, op3_license_scan
+from .packing import op6_best_fit_packing
 from .quality import op2_quality_classifier
+from .secrets import op9_secret_scan
 from .simhash import op7_simhash_dedup
 from .token_counts import op5_token_counts
 from .topk import OP10_SQL, op10_topk_search
@@ -15,9 +19,12 @@ QUERIES = {
     "op2_quality_classifier": op2_quality_classifier,
     "op3_license_scan": op3_license_scan,
     "op5_token_counts": op5_token_counts,
+    "op6_best_fit_packing": op6_best_fit_packing,
     "op7_simhash_dedup": op7_simhash_dedup,
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
+    "op9_secret_scan": op9_secret_scan,
     "op10_topk_search": op10_topk_search,
+    "pipeline": corpus_pipeline.run,
 }
 
 ORACLE = {

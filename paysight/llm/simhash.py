@@ -29,7 +29,7 @@ from pyspark.sql.functions import arrow_udf
 
 from paysight.runtime import SmallTable
 
-from .common import Scratch, table
+from .common import Scratch, fresh, table
 from .components import connected_components
 
 BITS = 64
@@ -195,6 +195,24 @@ def links(classes: DataFrame, max_bits: int, n_classes: int) -> DataFrame:
     return found.select(F.struct("rep", "fp").alias("u"), F.struct(F.col("rep2").alias("rep"), F.col("fp2").alias("fp")).alias("v"))
 
 
+def components(docs: DataFrame, id_col: str, text_col: str, shingle: int, max_bits: int, key: Column | None = None) -> DataFrame:
+    """(id, key, fp, component): component is the struct (rep, fp) of the least fingerprint class reachable."""
+    if not 0 <= max_bits <= 31:
+        raise ValueError("max_bits must be from 0 to 31")
+    scratch = Scratch(docs.sparkSession, "simhash")
+    key = F.lit(None).cast("string") if key is None else key
+    prints = scratch.write(docs.select(F.col(id_col).alias("id"), key.alias("key"), simhash(F.col(text_col), shingle).alias("fp")), "prints")
+    classes = scratch.write(
+        prints.groupBy("fp").agg(F.coalesce(F.min("id").cast("long"), F.lit(NO_ID)).alias("rep")), "classes"
+    )
+    n_classes = classes.count()
+    found = connected_components(links(classes, max_bits, n_classes), scratch)
+    found = found.select(F.col("node.fp").alias("fp"), F.col("root").alias("root"))
+    # its own table, so that the join below deals both sides anew and can split a crowded fingerprint
+    roots = classes.join(found, "fp", "left").select("fp", F.coalesce("root", F.struct("rep", "fp")).alias("component"))
+    return prints.join(scratch.write(roots, "roots"), "fp").select("id", "key", "fp", "component")
+
+
 def near_duplicates(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4, max_bits: int = 4
 ) -> DataFrame:
@@ -205,22 +223,21 @@ def near_duplicates(
     Null ids never become a component_id; a component without any id gets null. Repeated rows
     come out as often as they went in. Other columns of ``docs`` are ignored.
     """
-    if not 0 <= max_bits <= 31:
-        raise ValueError("max_bits must be from 0 to 31")
-    scratch = Scratch(docs.sparkSession, "simhash")
-    prints = scratch.write(docs.select(F.col(id_col).alias("id"), simhash(F.col(text_col), shingle).alias("fp")), "prints")
-    classes = scratch.write(
-        prints.groupBy("fp").agg(F.coalesce(F.min("id").cast("long"), F.lit(NO_ID)).alias("rep")), "classes"
-    )
-    n_classes = classes.count()
-    found = connected_components(links(classes, max_bits, n_classes), scratch)
-    roots = scratch.write(
-        classes.join(found.select(F.col("node.fp").alias("fp"), F.col("root.rep").alias("root")), "fp", "left").select(
-            "fp", F.nullif(F.coalesce("root", "rep"), F.lit(NO_ID)).alias("component_id")
-        ),
-        "roots",
-    )
-    return prints.join(roots, "fp").select(F.col("id").alias(id_col), "fp", "component_id")
+    found = components(docs, id_col, text_col, shingle, max_bits)
+    return found.select(F.col("id").alias(id_col), "fp", F.nullif(F.col("component.rep"), F.lit(NO_ID)).alias("component_id"))
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4, max_bits: int = 4) -> DataFrame:
+    """``docs`` with one row of each component: that of the smallest id, null ids last, then of the smallest text digest.
+
+    The columns stay as they are. Of rows equal in id and text one is kept.
+    """
+    row = F.md5(F.concat_ws(" ", F.coalesce(F.col(id_col).cast("string"), F.lit("none")), F.md5(F.coalesce(F.col(text_col), F.lit("")).cast("binary"))).cast("binary"))
+    name = fresh(docs, "_row")
+    found = components(docs, id_col, text_col, shingle, max_bits, row)
+    first = F.min(F.struct(F.coalesce(F.col("id").cast("long"), F.lit(NO_ID)), "key"))
+    winners = found.groupBy("component").agg(first.alias("w")).select(F.col("w.key").alias(name))
+    return docs.withColumn(name, row).join(winners, name, "left_semi").dropDuplicates([name]).select(*docs.columns)
 
 
 def fingerprint_hex(fp: Column) -> Column:
