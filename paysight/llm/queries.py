@@ -7,6 +7,7 @@ import corpus_pipeline
 from .decontaminate import OP8_SQL, op8_benchmark_decontamination
 from .langid import op1_language_id
 from .licenses import OP3_SQL, op3_license_scan
+from .lm import op4_lm_scoring
 from .packing import op6_best_fit_packing
 from .quality import op2_quality_classifier
 from .secrets import op9_secret_scan
@@ -18,6 +19,7 @@ QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_quality_classifier": op2_quality_classifier,
     "op3_license_scan": op3_license_scan,
+    "op4_lm_scoring": op4_lm_scoring,
     "op5_token_counts": op5_token_counts,
     "op6_best_fit_packing": op6_best_fit_packing,
     "op7_simhash_dedup": op7_simhash_dedup,
