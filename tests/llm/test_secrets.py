@@ -1,0 +1,78 @@
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from paysight.llm import secrets as S
+
+SF = "/root/testdata/sf0.01"
+
+
+@pytest.fixture(scope="module")
+def model(spark):
+    return S.learn_secrets(spark.read.parquet(f"{SF}/documents.parquet"))
+
+
+def test_findings_stand_where_they_say(spark, model, edge_docs):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    rows = S.find_secrets(docs, model).collect()
+    assert rows and all(texts[r.doc_id][r.start : r.start + len(r.text)] == r.text for r in rows)
+    # every candidate, by the same expression in Python
+    expected = sorted((k, m.start(), m.group()) for k, t in texts.items() for m in re.finditer(S.CANDIDATE, t))
+    assert sorted((r.doc_id, r.start, r.text) for r in rows) == expected
+
+
+def test_secrets_are_found_and_numbers_are_not(spark, model, make_docs):
+    docs = make_docs([
+        (1, 'start token = "ffc3105535f423f352535e4ac53b5fefe076ac6d" end'),
+        (2, "password=b7db7aa4a5fcc78305 and more"),
+        (3, "call +1 (706) 555-3138 or pay 4644348398010899"),
+        (4, "nothing to see here in this ordinary sentence"),
+        (5, 'TOKEN = "9233A8ECF7C5B09FE5949719B6B82BC439E9329B"'),
+    ])
+    got = {(r.doc_id, r.is_secret) for r in S.find_secrets(docs, model).collect()}
+    assert {(1, True), (2, True), (5, True), (3, False)} == got
+
+
+def test_redaction_changes_only_secrets(spark, model, make_docs, edge_docs):
+    docs = make_docs([(1, 'a token = "ffc3105535f423f352535e4ac53b5fefe076ac6d" b 4644348398010899'), (2, "clean")])
+    got = {r.doc_id: (r.text, r.n_chars, r.found) for r in S.redact_secrets(docs, model, length_col="n_chars").collect()}
+    assert got[1] == ('a token = "[secret]" b 4644348398010899', 39, "x") and got[2] == ("clean", 5, "x")
+    same = S.redact_secrets(edge_docs, model)
+    assert same.columns == edge_docs.columns
+    assert sorted(map(tuple, same.collect()), key=repr) == sorted(map(tuple, edge_docs.collect()), key=repr)
+
+
+def test_empty_tables_and_one_sided_findings(spark, make_docs):
+    empty = make_docs([])
+    model = S.learn_secrets(empty)
+    assert S.find_secrets(empty, model).count() == 0 and S.redact_secrets(empty, model).count() == 0
+    docs = make_docs([(1, "call 4644348398010899 now")])
+    assert [r.score for r in S.find_secrets(docs, model).collect()] == [0.0]
+    assert [r.score for r in S.find_secrets(docs, S.learn_secrets(docs)).collect()] == [0.0]
+    assert S.find_secrets(docs.drop("source"), model).count() == 1
+
+
+def test_sql_expression_equals_the_fitted_forest(spark, monkeypatch):
+    from pyspark.ml.classification import RandomForestClassifier
+
+    kept = []
+    fit = RandomForestClassifier.fit
+    monkeypatch.setattr(RandomForestClassifier, "fit", lambda self, df: kept.append(fit(self, df)) or kept[-1])
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    model = S.learn_secrets(docs)
+    found = S.candidates(docs, "text", "source").select(F.explode("found").alias("c")).select(F.col("c.features").alias("f"))
+    rows = found.select("f", F.expr(model.expression("f")).alias("own"), S.array_to_vector("f").alias("x"))
+    scored = kept[0].transform(rows).select("own", "probability").collect()
+    assert scored and all(abs(r.own - r.probability[1]) < 1e-9 for r in scored)
+
+
+def test_many_candidates_in_one_text(spark, model, make_docs):
+    text = " ".join(f"number{k:08d}" for k in range(3000))
+    assert S.find_secrets(make_docs([(1, text)]), model).count() == 3000
+
+
+def test_no_python_in_the_plan(spark, model):
+    plan = S.find_secrets(spark.read.parquet(f"{SF}/documents.parquet"), model)._jdf.queryExecution().toString()
+    assert not re.search("Python|Pandas|Arrow|Join|Exchange", plan)
