@@ -28,7 +28,8 @@ from .common import id_remainder, table
 START = "▁"  # begins every word, as in the vocabulary
 MAX_PIECE = 10  # letters of a piece, the start mark included
 PART = 32  # letters that a forward pass takes at once; longer words are scored in parts
-CACHE_WORDS = 1 << 17
+CACHE_WORDS = 1 << 19  # distinct words that a task counts, or a worker keeps the scores of, at a time
+DENSE = 64  # letters with a full row of trie steps; the others' steps are searched for
 WORDS_AT_ONCE = 1 << 14
 TEXTS_AT_ONCE = 256
 COUNT_UNIT = 1024  # expected counts travel as whole numbers of this fraction, so their sums are exact
@@ -39,8 +40,12 @@ UNDETERMINED = "und"
 LETTERS = regex.compile(r"\p{L}+")
 
 
-def words_of(text: str | None) -> list[str]:
-    return LETTERS.findall(text.lower()) if text else []
+def runs_of(text: str | None) -> list[str]:
+    """What stands between white space. Words never cross it, so all work is done once per distinct run."""
+    return text.lower().split() if text else []
+
+
+words_of = LETTERS.findall
 
 
 def parts_of(word: str) -> list[str]:
@@ -65,8 +70,11 @@ class Segmenter:
 
     def __init__(self, pieces: tuple[str, ...]):
         self.size = len(pieces) + 1  # the last number is any other single letter
-        self.codes = {c: k + 1 for k, c in enumerate(sorted({c for p in pieces for c in p}))}
+        uses = Counter(c for p in pieces for c in p)
+        self.codes = {c: k + 1 for k, c in enumerate(sorted(uses, key=lambda c: (-uses[c], c)))}
         self.width = len(self.codes) + 1
+        self.letter = np.zeros(0x110000, np.int32)
+        self.letter[[ord(c) for c in self.codes]] = list(self.codes.values())
         step: dict[int, int] = {}
         number = [-1]
         for k, piece in enumerate(pieces):
@@ -77,28 +85,41 @@ class Segmenter:
                     number.append(-1)
             number[node] = k
         self.keys = np.array(sorted(step), np.int64)
-        self.nodes = np.array([step[k] for k in self.keys.tolist()], np.int64)
-        self.number = np.array(number, np.int64)
+        self.nodes = np.array([step[k] for k in self.keys.tolist()], np.int32)
+        self.number = np.array(number, np.int32)
+        self.dense = np.full((len(number), DENSE), -1, np.int32)
+        common = self.keys % self.width < DENSE
+        self.dense[self.keys[common] // self.width, self.keys[common] % self.width] = self.nodes[common]
+
+    def step(self, node: np.ndarray, code: np.ndarray) -> np.ndarray:
+        """The node below each node by a letter, or -1."""
+        out = self.dense[node, np.minimum(code, DENSE - 1)]
+        other = np.flatnonzero(code >= DENSE)
+        if len(other):
+            key = node[other].astype(np.int64) * self.width + code[other]
+            place = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+            out[other] = np.where(self.keys[place] == key, self.nodes[place], -1)
+        return out
 
     def edges(self, words: list[str]) -> tuple[np.ndarray, dict[tuple[int, int], tuple[np.ndarray, np.ndarray]]]:
         """Lengths; for (start, length) the words that have a piece there, and the pieces."""
         lengths = np.fromiter(map(len, words), np.int64, len(words))
         longest = int(lengths.max(initial=0))
-        code = np.zeros((len(words), longest + MAX_PIECE), np.int64)
-        for k, word in enumerate(words):
-            code[k, : len(word)] = [self.codes.get(c, 0) for c in word]
+        code = np.zeros((longest + MAX_PIECE, len(words)), np.int32)
+        flat = self.letter[np.frombuffer("".join(words).encode("utf-32-le"), np.uint32)]
+        row = np.repeat(np.arange(len(words)), lengths)
+        code[np.arange(len(flat)) - np.repeat(np.cumsum(lengths) - lengths, lengths), row] = flat
         found = {}
         for start in range(longest):
             at = np.flatnonzero(lengths > start)
-            node = np.zeros(len(at), np.int64)
+            node = np.zeros(len(at), np.int32)
             for length in range(1, MAX_PIECE + 1):
-                key = node * self.width + code[at, start + length - 1]
-                place = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
-                on = (self.keys[place] == key) & (start + length <= lengths[at])
+                below = self.step(node, code[start + length - 1, at])
+                on = below >= 0
                 if length == 1 and not on.all():
                     other = at[~on]
                     found[start, 0] = (other, np.full(len(other), self.size - 1))
-                at, node = at[on], self.nodes[place[on]]
+                at, node = at[on], below[on]
                 if not len(at):
                     break
                 piece = self.number[node]
@@ -169,41 +190,52 @@ class LanguageModel:
 
 
 class Scorer:
-    """A worker's word scores: a cache that is emptied when it is full."""
+    """A worker's scores of distinct runs: a cache that is emptied when it is full.
+
+    Row 0 of the scores is no run; the last column counts a run's words.
+    """
 
     def __init__(self, model: LanguageModel):
         self.model, self.seg = model, segmenter(model.path)
-        self.clear()
-
-    def clear(self) -> None:
+        self.scores = np.zeros((1 << 12, len(model.languages) + 1))
         self.place: dict[str, int] = {}
-        self.scores = np.zeros((0, len(self.model.languages)))
 
     def predict(self, texts: list[str | None]) -> list[tuple[str, float]]:
         out = []
         for a in range(0, len(texts), TEXTS_AT_ONCE):
-            out += self._some([words_of(t) for t in texts[a : a + TEXTS_AT_ONCE]])
+            docs = [runs_of(t) for t in texts[a : a + TEXTS_AT_ONCE]]
+            self._learn(docs)
+            out += map(self._one, docs)
         return out
 
-    def _some(self, docs: list[list[str]]) -> list[tuple[str, float]]:
-        new = {w for words in docs for w in words if w not in self.place}
+    def _learn(self, docs: list[list[str]]) -> None:
+        new = set().union(*docs).difference(self.place)
         if len(self.place) + len(new) > CACHE_WORDS:
-            self.clear()
-            new = {w for words in docs for w in words}
-        fresh = sorted(new)
-        self.place.update(zip(fresh, range(len(self.place), len(self.place) + len(fresh))))
-        self.scores = np.concatenate([self.scores, word_scores(self.seg, fresh, self.model.probs)])
-        out = []
-        for words in docs:
-            if not words or not self.model.languages:
-                out.append((UNDETERMINED, 0.0))
-                continue
-            at = np.fromiter(map(self.place.__getitem__, words), np.int64, len(words))
-            total = self.scores[at].sum(axis=0) + self.model.prior
-            weight = np.exp(total - total.max())
-            best = int(total.argmax())
-            out.append((self.model.languages[best], float(weight[best] / weight.sum())))
-        return out
+            self.place.clear()
+            new = set().union(*docs)
+        runs, first = sorted(new), len(self.place) + 1
+        while first + len(runs) > len(self.scores):
+            self.scores = np.concatenate([self.scores, np.zeros_like(self.scores)])
+        self.place.update(zip(runs, range(first, first + len(runs))))
+        words = [words_of(r) for r in runs]
+        distinct = sorted({w for own in words for w in own})
+        number = dict(zip(distinct, range(len(distinct))))
+        scored = word_scores(self.seg, distinct, self.model.probs)
+        at = np.fromiter((number[w] for own in words for w in own), np.int64)
+        run = np.repeat(np.arange(first, first + len(runs)), [len(own) for own in words])
+        self.scores[first : first + len(runs)] = 0.0
+        for k in range(scored.shape[1]):
+            self.scores[first : first + len(runs), k] = np.bincount(run - first, scored[at, k], len(runs))
+        self.scores[first : first + len(runs), -1] = np.bincount(run - first, minlength=len(runs))
+
+    def _one(self, runs: list[str]) -> tuple[str, float]:
+        total = self.scores[np.fromiter(map(self.place.__getitem__, runs), np.int64, len(runs))].sum(axis=0)
+        if not total[-1] or not self.model.languages:
+            return UNDETERMINED, 0.0
+        total = total[:-1] + self.model.prior
+        weight = np.exp(total - total.max())
+        best = int(total.argmax())
+        return self.model.languages[best], float(weight[best] / weight.sum())
 
 
 _WORKER: dict[str, Scorer] = {}
@@ -214,20 +246,24 @@ def _count_pieces(path: str, start: np.ndarray, known: dict[str, np.ndarray]):
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seg = segmenter(path)
-        words: dict[str, Counter[str]] = {}
+        runs: dict[str, Counter[str]] = {}
         sums: dict[str, np.ndarray] = {}
         rows: Counter[str] = Counter()
 
         def flush() -> None:
-            for lang, seen in words.items():
-                sums[lang] = sums.get(lang, 0) + expected_counts(seg, list(seen), list(seen.values()), known.get(lang, start))
-            words.clear()
+            for lang, seen in runs.items():
+                words: Counter[str] = Counter()
+                for run, n in seen.items():
+                    for word in words_of(run):
+                        words[word] += n
+                sums[lang] = sums.get(lang, 0) + expected_counts(seg, list(words), list(words.values()), known.get(lang, start))
+            runs.clear()
 
         for batch in batches:
             for lang, text in zip(batch[0].to_pylist(), batch[1].to_pylist()):
-                words.setdefault(lang, Counter()).update(words_of(text))
+                runs.setdefault(lang, Counter()).update(runs_of(text))
                 rows[lang] += 1
-                if sum(map(len, words.values())) > CACHE_WORDS:
+                if sum(map(len, runs.values())) > CACHE_WORDS:
                     flush()
         flush()
         for lang in rows:
