@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import Scratch, table
 
 # Permitted lengths and what a bin of each costs: its tokens and a fixed share for starting one.
 LENGTHS = (512, 1024, 2048, 4096)
@@ -104,6 +104,8 @@ def pack_documents(
     last = F.greatest(F.ceil(total / longest) - 1, F.lit(0)).cast("int")
     # ids travel as text: pandas would turn longs into doubles where one is null
     rows = docs.select(F.col(id_col).cast("string").alias("doc_id"), total.alias("total"), last.alias("last"))
+    # the lengths are worked out once, though they are read to size the groups and again to fill them
+    rows = Scratch(docs.sparkSession, "packing").write(rows, "lengths")
     n = rows.agg(F.sum(F.col("last") + 1)).first()[0] or 0
     groups = int(n) // group_parts + 1
     parts = rows.select("doc_id", "total", F.explode(F.sequence(F.lit(0), "last")).alias("part"))
