@@ -6,31 +6,42 @@ the same rows come out on any cluster layout and in any SQL engine.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from paysight.functions.buckets import md5_bucket, md5_order_key
+from paysight.functions.buckets import Key, md5_bucket, md5_order_key
 
 
-def with_split(df: DataFrame, key: str, train_pct: int = 80, col: str = "split") -> DataFrame:
+def with_split(df: DataFrame, key: Key, train_pct: int = 80, col: str = "split") -> DataFrame:
     """Add ``split`` = ``train`` when ``md5 bucket < train_pct`` else ``test``."""
     return df.withColumn(col, F.when(md5_bucket(key) < F.lit(train_pct), F.lit("train")).otherwise(F.lit("test")))
 
 
-def hash_split(df: DataFrame, key: str, train_pct: int = 80) -> tuple[DataFrame, DataFrame]:
-    """Disjoint, complete train/test frames (narrow filters, no shuffle)."""
+def hash_split(df: DataFrame, key: Key, train_pct: int = 80) -> tuple[DataFrame, DataFrame]:
+    """Disjoint, complete train/test frames (narrow filters, no shuffle).
+
+    A null key hashes like any other value, so every row falls on exactly one side."""
     b = md5_bucket(key)
     return df.where(b < F.lit(train_pct)), df.where(b >= F.lit(train_pct))
 
 
-def _prefix(key: str) -> F.Column:
+def _prefix(key: Key) -> Column:
     """First 32 bits of ``md5(key)`` as a number (same order as the hex text)."""
     return F.conv(F.substring(md5_order_key(key), 1, 8), 16, 10).cast("bigint")
 
 
-def hash_sample(df: DataFrame, key: str, n: int = 50_000) -> DataFrame:
+def _row_order(df: DataFrame, key: Key) -> list:
+    """Digest, key, then every other column that can be compared: rows that still tie are equal."""
+    keys = [key] if isinstance(key, (str, Column)) else list(key)
+    atoms = [f.name for f in df.schema.fields if isinstance(f.dataType, T.AtomicType) and f.name not in keys]
+    return [md5_order_key(key), *[F.col(k) if isinstance(k, str) else k for k in keys], *[F.col(f"`{c}`") for c in atoms]]
+
+
+def hash_sample(df: DataFrame, key: Key, n: int = 50_000) -> DataFrame:
     """The first ``n`` rows in md5-of-key order: a reproducible fixed-size
-    sample (ties on the digest broken by the key).
+    sample. Null keys hash like any value; rows with one key are taken in the
+    order of the key and their other columns.
 
     A plain ``orderBy(...).limit(n)`` sends every task's local top ``n`` to
     one task, which does not scale with the number of partitions. md5 is
@@ -53,4 +64,4 @@ def hash_sample(df: DataFrame, key: str, n: int = 50_000) -> DataFrame:
         if counts[f"c{j}"] >= n:
             threshold = t
     kept = df if threshold >= full else df.where(_prefix(key) < F.lit(threshold))
-    return kept.orderBy(md5_order_key(key), F.col(key)).limit(n)
+    return kept.orderBy(*_row_order(df, key)).limit(n)
