@@ -21,9 +21,9 @@ def fill_text(
 ) -> DataFrame:
     """Replace null (and, with ``empty_too``, empty) answers with ``value``.
 
-    Training data fills only nulls; scoring requests also arrive as ``''``
-    when nothing was picked, so ``score`` passes ``empty_too=True`` to keep
-    features the same on both sides.
+    The silver table fills only nulls. Requests also arrive as ``''`` when
+    nothing was picked, so ``gold`` and ``score`` both pass ``empty_too=True``:
+    the features are the same on both sides.
     """
     out = df
     for c in cols:

@@ -37,31 +37,7 @@ TEXT_SOURCE_COLUMNS = [
 ]
 NUMERIC_SOURCE_COLUMNS = ["ConvertedCompYearly", "CompTotal"]
 
-# The first-merge projection (20 columns, strict).
-MERGE_COLUMNS = [
-    "ResponseId",
-    "Country",
-    "Age",
-    "Employment",
-    "EdLevel",
-    "YearsCode",
-    "YearsCodePro",
-    "DevType",
-    "OrgSize",
-    "Currency",
-    "LanguageHaveWorkedWith",
-    "DatabaseHaveWorkedWith",
-    "PlatformHaveWorkedWith",
-    "WebframeHaveWorkedWith",
-    "MiscTechHaveWorkedWith",
-    "ToolsTechHaveWorkedWith",
-    "NEWCollabToolsHaveWorkedWith",
-    "SurveyLength",
-    "SurveyEase",
-    "ConvertedCompYearly",
-]
-
-# Columns kept for the silver stage.
+# Columns kept for the silver stage.
 CORE_COLUMNS = [
     "SurveyYear",
     "ConvertedCompYearly",

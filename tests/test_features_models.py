@@ -9,9 +9,6 @@ from pyspark.sql import functions as F
 from paysight.operators.features import (
     FeatureSpec,
     assemble_and_scale,
-    choose_categorical_columns,
-    choose_numeric_columns,
-    choose_text_columns,
     fit_features,
     index_and_encode,
     vocabulary,
@@ -42,9 +39,13 @@ def test_index_and_encode_keep(spark):
 
 def test_choosers(spark):
     df = spark.createDataFrame([(1.0, 2.0, "x", "y")], "YearsCodeProNum double, YearsCodeProNum_imp double, EdLevel string, LanguageHaveWorkedWith string")
-    assert choose_numeric_columns(df) == ["YearsCodeProNum_imp"]
-    assert choose_categorical_columns(df) == ["EdLevel"]
-    assert choose_text_columns(df) == ["LanguageHaveWorkedWith"]
+    spec = FeatureSpec.resolve(df)
+    assert (spec.numeric, spec.categorical, spec.text) == (["YearsCodeProNum_imp"], ["EdLevel"], ["LanguageHaveWorkedWith"])
+    own = FeatureSpec.resolve(df, numeric=["YearsCodeProNum", "YearsCodeProNum_imp"], text=[], vocab_size=5)
+    assert (own.numeric, own.text, own.vocab_size) == (["YearsCodeProNum", "YearsCodeProNum_imp"], [], 5)
+    for wrong in ({"numeric": ["EdLevel"]}, {"text": ["YearsCodeProNum"]}, {"categorical": ["NoSuchColumn"]}):
+        with pytest.raises(ValueError):
+            FeatureSpec.resolve(df, **wrong)
 
 
 def test_vocabulary_min_df_and_order(spark):
@@ -88,7 +89,7 @@ def _survey_like(spark, n=600):
 
 def test_pipeline_fit_save_load_score(spark, tmp_dir):
     df = _survey_like(spark)
-    spec = FeatureSpec.choose(df)
+    spec = FeatureSpec.resolve(df)
     model = fit_features(df, spec)
     feats = model.transform(df)
     size = feats.select(F.size(vector_to_array("features"))).first()[0]
