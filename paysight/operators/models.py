@@ -10,7 +10,7 @@ from pyspark.ml.regression import GBTRegressor, LinearRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from paysight.operators.profile import histogram
+from paysight.operators.profile import histogram, scatter_bins
 from paysight.operators.quantiles import DEFAULT_REL_ERROR, quantile_values
 from paysight.operators.sample import hash_sample
 from paysight.operators.text import fill_text
@@ -51,7 +51,8 @@ def _metrics(label: str, prediction: str) -> list:
     return [
         F.count(F.lit(1)).alias("n"),
         F.sqrt(F.avg(err * err)).alias("rmse_log"),
-        (F.lit(1.0) - F.sum(err * err) / (F.var_pop(y) * F.count(y))).alias("r2_log"),
+        # null for a constant label, where it is not defined
+        (F.lit(1.0) - F.try_divide(F.sum(err * err), F.var_pop(y) * F.count(y))).alias("r2_log"),
         F.avg(F.when(has, F.abs(t - s))).alias("mae"),
         F.sqrt(F.avg(F.when(has, (t - s) * (t - s)))).alias("rmse"),
         F.count_if(s == F.lit(float("inf"))).alias("n_infinite"),
@@ -114,32 +115,35 @@ def clip_predictions(
 
 def diagnostics(
     pred: DataFrame,
-    key: str,
+    key,
     label: str = "label",
     prediction: str = "prediction",
     bins: int = 60,
-    sample_size: int = 50_000,
+    sample_size: int | None = None,
     rel_error: float = DEFAULT_REL_ERROR,
 ) -> dict[str, DataFrame]:
-    """The three diagnostic tables per model (L10, C9, X14):
+    """The three diagnostic tables per model (L10, C9, X14), over all rows:
 
-    * ``scatter_log`` — label vs prediction, a md5-ordered sample;
-    * ``scatter_real`` — the same on the money scale with clipped
-      predictions;
-    * ``residual_hist`` — histogram of ``label - prediction`` over all rows.
+    * ``scatter_log`` — counts per (label bin, prediction bin);
+    * ``scatter_real`` — the same on the money scale with clipped predictions;
+    * ``residual_hist`` — histogram of ``label - prediction``.
+
+    With ``sample_size`` the scatter tables are single points instead, an
+    md5-ordered sample of that many rows.
     """
     clipped = clip_predictions(pred, label, prediction, rel_error=rel_error)
     resid = clipped.withColumn("residual", F.col(label) - F.col(prediction))
-    sample = hash_sample(resid.select(key, label, prediction, "prediction_clip"), key, sample_size)
-    return {
-        "scatter_log": sample.select(key, F.col(label).alias("actual_log"), F.col(prediction).alias("pred_log")),
-        "scatter_real": sample.select(
-            key,
-            F.expm1(F.col(label)).alias("actual"),
-            F.expm1(F.col("prediction_clip")).alias("pred_clipped"),
-        ),
-        "residual_hist": histogram(resid, "residual", bins),
-    }
+    real = {"actual": F.expm1(F.col(label)), "pred_clipped": F.expm1(F.col("prediction_clip"))}
+    out = {"residual_hist": histogram(resid, "residual", bins)}
+    if sample_size is None:
+        out["scatter_log"] = scatter_bins(resid, label, prediction, bins)
+        out["scatter_real"] = scatter_bins(resid.withColumns(real), "actual", "pred_clipped", bins)
+        return out
+    keys = [key] if isinstance(key, str) else list(key)
+    sample = hash_sample(resid.select(*keys, label, prediction, "prediction_clip"), key, sample_size)
+    out["scatter_log"] = sample.select(*keys, F.col(label).alias("actual_log"), F.col(prediction).alias("pred_log"))
+    out["scatter_real"] = sample.select(*keys, *[c.alias(n) for n, c in real.items()])
+    return out
 
 
 def score(

@@ -23,6 +23,11 @@ def _q(c: str):
     return F.col(f"`{c}`")
 
 
+def _not_nan(x):
+    """NaN takes no part in a quantile, in any mode."""
+    return F.when(~F.isnan(x), x)
+
+
 def _null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
     r = right
     for k in keys:
@@ -36,7 +41,7 @@ def profile(
     target: str = TARGET,
     by: Sequence[str] = (),
     rel_error: float = DEFAULT_REL_ERROR,
-    method: str = "sketch",
+    method: str = "histogram",
 ) -> DataFrame:
     """Rows, non-null and null target counts, mean and median.
 
@@ -53,7 +58,7 @@ def profile(
     ]
     if rel_error > 0 and method == "sketch":
         accuracy = int(round(1.0 / rel_error))
-        stats.append(F.percentile_approx(x, 0.5, accuracy).alias("median_salary"))
+        stats.append(F.percentile_approx(_not_nan(x), 0.5, accuracy).alias("median_salary"))
         out = df.groupBy(*by).agg(*stats)
     else:
         counts = df.groupBy(*by).agg(*stats)
@@ -120,7 +125,7 @@ def quartiles_by_dimension(
     dims: Sequence[tuple[str, int, int]],
     target: str = TARGET,
     rel_error: float = DEFAULT_REL_ERROR,
-    method: str = "sketch",
+    method: str = "histogram",
 ) -> DataFrame:
     """Group quartiles for several dimensions at once.
 
@@ -140,7 +145,7 @@ def quartiles_by_dimension(
     if rel_error > 0 and method == "sketch":
         accuracy = int(round(1.0 / rel_error))
         stats = stacked.groupBy(*keys).agg(
-            F.count(F.lit(1)).alias("n"), F.percentile_approx("_t", [0.25, 0.5, 0.75], accuracy).alias("_gq")
+            F.count(F.lit(1)).alias("n"), F.percentile_approx(_not_nan(F.col("_t")), [0.25, 0.5, 0.75], accuracy).alias("_gq")
         )
         stats = stats.select(
             *keys, "n", F.col("_gq")[0].alias("p25"), F.col("_gq")[1].alias("median_salary"), F.col("_gq")[2].alias("p75")
@@ -176,7 +181,7 @@ def group_quartiles(
     top_n: int = 15,
     min_count: int = 300,
     rel_error: float = DEFAULT_REL_ERROR,
-    method: str = "sketch",
+    method: str = "histogram",
 ) -> DataFrame:
     """Quartiles for one dimension, keyed by the column itself; quantiles
     are computed only for the kept groups."""
@@ -190,13 +195,13 @@ def trend(
     target: str = TARGET,
     year: str = YEAR,
     rel_error: float = DEFAULT_REL_ERROR,
-    method: str = "sketch",
+    method: str = "histogram",
 ) -> DataFrame:
     """Rows and median target per year."""
     if rel_error > 0 and method == "sketch":
         accuracy = int(round(1.0 / rel_error))
         out = df.groupBy(year).agg(
-            F.count(F.lit(1)).alias("n"), F.percentile_approx(target, 0.5, accuracy).alias("median_salary")
+            F.count(F.lit(1)).alias("n"), F.percentile_approx(_not_nan(F.col(target)), 0.5, accuracy).alias("median_salary")
         )
     else:
         n = df.groupBy(year).agg(F.count(F.lit(1)).alias("n"))
@@ -247,6 +252,24 @@ def histogram(
     )
 
 
+def scatter_bins(df: DataFrame, x: str, y: str, bins: int = 60) -> DataFrame:
+    """Rows per cell of an equal-width grid over two columns (C7, C9): ``x_bin, y_bin, x_lo, y_lo, n``.
+
+    All rows with two finite values are counted; empty cells are not emitted. At most ``bins``
+    squared rows come out, whatever the input.
+    """
+    fine = lambda c: F.coalesce(F.abs(F.col(c)) < F.lit(float("inf")), F.lit(False))
+    data = df.where(fine(x) & fine(y))
+    row = data.agg(F.min(x), F.max(x), F.min(y), F.max(y)).first()
+    if row[0] is None:
+        return df.sparkSession.createDataFrame([], "x_bin int, y_bin int, x_lo double, y_lo double, n bigint")
+    x0, x1, y0, y1 = (float(v) for v in row)
+    cells = data.groupBy(equal_width_bin(x, x0, x1, bins).alias("x_bin"), equal_width_bin(y, y0, y1, bins).alias("y_bin"))
+    low = lambda lo, hi, b: F.lit(lo) + F.col(b) * F.lit((hi - lo) / bins)
+    counted = cells.agg(F.count(F.lit(1)).alias("n"))
+    return counted.select("x_bin", "y_bin", low(x0, x1, "x_bin").alias("x_lo"), low(y0, y1, "y_bin").alias("y_lo"), "n")
+
+
 def corr_long(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Pearson correlation matrix in long form ``(a, b, corr)`` over rows
     complete in ``cols`` (A15, C6): one aggregation for all pairs."""

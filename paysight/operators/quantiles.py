@@ -49,7 +49,7 @@ LOG_BINS = 1 << 16
 # |sign(x) * log1p(|x|)| < 710 for every finite double
 _T_SPAN = 710.0
 REFINE_BINS = 4096
-MAX_ROUNDS = 12
+MAX_ROUNDS = 64
 
 _X = "_q_x"
 _P = "_q_p"
@@ -279,6 +279,8 @@ def exact_quantiles(
         narrower = _State(_refine(base, state, keys, REFINE_BINS))
         state.release()
         state = narrower
+    else:  # a round narrows a bracket by REFINE_BINS, so doubles run out of bits long before
+        raise RuntimeError(f"a quantile bracket still holds {biggest} values after {MAX_ROUNDS} rounds")
     picked = _select(base, state, keys)
     wide = picked.groupBy(*keys).agg(
         *[F.max(F.when(F.col(_P) == i, F.col("_q_v"))).alias(n) for i, n in enumerate(names)]

@@ -6,10 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from paysight.operators.filters import at_most, positive
-from paysight.operators.profile import corr_long, histogram, missingness, quartiles_by_dimension, top_k, trend
+from paysight.operators.profile import corr_long, histogram, missingness, quartiles_by_dimension, scatter_bins, top_k, trend
 from paysight.operators.quantiles import DEFAULT_REL_ERROR, quantile_values
 from paysight.operators.sample import hash_sample
-from paysight.schema import TARGET
+from paysight.schema import TARGET, YEAR, available
 
 # Chart settings (column, top n, minimum group size).
 QUARTILE_GROUPS = [("RemoteWork", 10, 300), ("EdLevel", 12, 300), ("OrgSize", 12, 300)]
@@ -36,12 +36,13 @@ def report(df: DataFrame, rel_error: float = DEFAULT_REL_ERROR) -> DataFrame:
 
 
 def eda(
-    silver_df: DataFrame, key: str = "ResponseId", rel_error: float = DEFAULT_REL_ERROR, method: str = "sketch"
+    silver_df: DataFrame, rel_error: float = DEFAULT_REL_ERROR, method: str = "histogram", sample_points: int | None = None
 ) -> dict[str, DataFrame]:
     """All chart tables on the positive-salary rows of ``silver_df``.
 
     ``method`` picks how grouped approximate quantiles are computed
-    (``"sketch"`` or the fan-in-free ``"histogram"``)."""
+    (``"sketch"`` or the fan-in-free ``"histogram"``). The scatter table counts
+    all rows by cell; ``sample_points`` adds a table of that many single points."""
     df = positive(silver_df, TARGET)
     qs = quantile_values(df, TARGET, [0.99], rel_error)
     hist_rows = salary_hist_frame(df, qs[0] if qs else None)
@@ -58,8 +59,9 @@ def eda(
     if dims:
         out["quartiles"] = quartiles_by_dimension(df, dims, TARGET, rel_error, method)
     if "YearsCodeProNum_imp" in df.columns:
-        pts = df.select(key, "YearsCodeProNum_imp", TARGET).dropna()
-        out["scatter_years_pro"] = hash_sample(pts, key, 50_000).select(
-            key, F.col("YearsCodeProNum_imp").alias("x"), F.log1p(F.col(TARGET)).alias("y")
-        )
+        keys = available(df, [YEAR, "ResponseId"])
+        pts = df.select(*keys, F.col("YearsCodeProNum_imp").alias("x"), F.log1p(F.col(TARGET)).alias("y")).dropna(subset=["x", "y"])
+        out["scatter_years_pro"] = scatter_bins(pts, "x", "y")
+        if sample_points:
+            out["scatter_years_pro_points"] = hash_sample(pts, keys, sample_points)
     return {k: v for k, v in out.items() if v is not None}
