@@ -76,8 +76,10 @@ def q_survey_base(spark, sf):
 
 def _order_batches(spark, sf, drop_priority_in_mid: bool) -> list[DataFrame]:
     o = _orders(spark, sf).select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate", "o_orderpriority")
-    yr = F.year("o_orderdate")
-    parts = [("early", yr <= 1996), ("mid", (yr >= 1997) & (yr <= 1998)), ("late", yr >= 1999)]
+    day = F.col("o_orderdate")
+    start, stop = F.lit("1997-01-01").cast("date"), F.lit("1999-01-01").cast("date")
+    # plain ranges reach the scan; a row without a date belongs to the last batch
+    parts = [("early", day < start), ("mid", (day >= start) & (day < stop)), ("late", (day >= stop) | day.isNull())]
     frames = []
     for tag, cond in parts:
         f = o.where(cond).withColumn("batch", F.lit(tag))
@@ -395,17 +397,9 @@ def q_diagnostics_lr(spark, sf):
     return _rounded_hist(d["residual_hist"])
 
 
-def _layout(spark) -> int:
-    """Training-row partitions: one per core of the cluster, so the layout
-    (and so GBT) is the same from run to run without shrinking big data."""
-    from paysight.runtime import default_parallelism
-
-    return default_parallelism(spark)
-
-
 def _trained(spark, sf, version):
     g, pipe = gold(silver_frame(spark, sf))
-    return g, pipe, train(g, version, fixed_partitions=_layout(spark))
+    return g, pipe, train(g, version)
 
 
 def _metrics_out(res) -> DataFrame:
@@ -423,7 +417,7 @@ def q_train_lr_full(spark, sf):
     rows = []
     for version in ("v1", "v2"):
         lr_params, _, trim = SETTINGS[version]
-        train_df, test_df = training_rows(g, trim, EXACT, 80, None)
+        train_df, test_df = training_rows(g, trim, EXACT, 80, False)
         model = train_lr(train_df, lr_params)
         rows.append(evaluate(model.transform(test_df)).withColumn("model", F.lit(f"lr_{version}")))
     m = union_by_name(rows)
@@ -443,7 +437,7 @@ def q_train_v2(spark, sf):
 def q_batch_score(spark, sf):
     silver_df = silver_frame(spark, sf)
     g, pipe = gold(silver_df)
-    model = train_gbt_only(g, "v1", fixed_partitions=_layout(spark))
+    model = train_gbt_only(g, "v1")
     requests = positive(silver_df, TARGET).select(
         "ResponseId",
         "YearsCodeProNum_imp",

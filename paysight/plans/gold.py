@@ -12,12 +12,23 @@ from paysight.operators.features import FeatureSpec, fit_features
 from paysight.operators.filters import positive
 from paysight.operators.models import GBT_V1, GBT_V2, LR_V1, LR_V2, evaluate, train_gbt, train_lr, with_label
 from paysight.operators.quantiles import DEFAULT_REL_ERROR
+from paysight.functions.buckets import md5_order_key
 from paysight.operators.sample import hash_split
+from paysight.operators.text import fill_text
 from paysight.operators.trim import trim_quantiles
 from paysight.runtime import stage_table
-from paysight.schema import TARGET, require_columns
+from paysight.schema import TARGET, YEAR, available, require_columns
 
-KEY = "ResponseId"
+# A response number is unique within one survey year only.
+KEYS = [YEAR, "ResponseId"]
+
+# Training rows of one partition. The layout (and so the fitted trees) follows from the rows alone,
+# not from the cluster's cores, and no partition grows with the table.
+ROWS_PER_PARTITION = 100_000
+
+
+def row_keys(df: DataFrame) -> list[str]:
+    return available(df, KEYS)
 
 
 def gold(
@@ -26,8 +37,8 @@ def gold(
     fit_on: str = "all",
     train_pct: int = 80,
 ) -> tuple[DataFrame, PipelineModel]:
-    """Positive-salary rows -> ``(ResponseId, features, target)`` plus the
-    fitted pipeline (M7, M8, S13).
+    """Positive-salary rows -> ``(SurveyYear, ResponseId, features, target)`` plus the
+    fitted pipeline (M7, M8, S13). Missing and empty answers get the same fill as in :func:`score`.
 
     ``fit_on="all"`` fits vocabularies, labels and scales on every row (the
     original behaviour); ``"train"`` fits them only on the rows the hash
@@ -37,27 +48,31 @@ def gold(
     if fit_on not in ("all", "train"):
         raise ValueError("fit_on must be 'all' or 'train'")
     df = positive(silver_df, TARGET)
-    spec = spec or FeatureSpec.choose(df)
-    keep = [c for c in [KEY, TARGET, *spec.numeric, *spec.categorical, *spec.text] if c in df.columns]
+    spec = spec or FeatureSpec.resolve(df)
+    keys = row_keys(df)
+    df = fill_text(df, spec.text, empty_too=True)
+    keep = available(df, dict.fromkeys([*keys, TARGET, *spec.numeric, *spec.categorical, *spec.text]))
     # read by every fitting pass and the final transform: stage it once
     df = stage_table(df.select(*keep), "gold-input")
     fit_rows = df
     if fit_on == "train":
-        require_columns(df, [KEY])
-        fit_rows, _ = hash_split(df, KEY, train_pct)
+        require_columns(df, KEYS[-1:])
+        fit_rows, _ = hash_split(df, keys, train_pct)
     model = fit_features(fit_rows, spec)
-    out_cols = [c for c in [KEY] if c in df.columns] + ["features", TARGET]
+    out_cols = [*keys, "features", TARGET]
     return model.transform(df).select(*out_cols), model
 
 
-def training_rows(gold_df: DataFrame, trim: bool, rel_error: float, train_pct: int, fixed_partitions: int | None):
+def training_rows(gold_df: DataFrame, trim: bool, rel_error: float, train_pct: int, fixed_layout: bool):
     df = gold_df
     if trim:
         df = trim_quantiles(positive(df, TARGET), TARGET, 0.01, 0.99, rel_error)
-    labelled = with_label(df).select(KEY, "features", "label")
-    train_df, test_df = hash_split(labelled, KEY, train_pct)
-    if fixed_partitions:
-        train_df = train_df.repartitionByRange(fixed_partitions, KEY).sortWithinPartitions(KEY)
+    keys = row_keys(df)
+    labelled = with_label(df).select(*keys, "features", "label")
+    train_df, test_df = hash_split(labelled, keys, train_pct)
+    if fixed_layout:
+        parts = train_df.count() // ROWS_PER_PARTITION + 1
+        train_df = train_df.repartition(parts, *keys).sortWithinPartitions(md5_order_key(keys), *keys, "label")
     return train_df, test_df
 
 
@@ -66,13 +81,12 @@ def train_gbt_only(
     version: str = "v1",
     train_pct: int = 80,
     rel_error: float = DEFAULT_REL_ERROR,
-    fixed_partitions: int | None = None,
 ):
     """The boosted-trees model of ``version`` alone, on the same training
     rows :func:`train` uses (for scoring jobs that need only it)."""
-    require_columns(gold_df, ["features", TARGET, KEY])
+    require_columns(gold_df, ["features", TARGET, KEYS[-1]])
     _, gbt_params, trim = SETTINGS[version]
-    train_df, _ = training_rows(gold_df, trim, rel_error, train_pct, fixed_partitions)
+    train_df, _ = training_rows(gold_df, trim, rel_error, train_pct, True)
     train_df = train_df.persist()
     try:
         return train_gbt(train_df, gbt_params)
@@ -95,22 +109,23 @@ def train(
     train_pct: int = 80,
     rel_error: float = DEFAULT_REL_ERROR,
     gbt_overrides: dict | None = None,
-    fixed_partitions: int | None = None,
 ) -> TrainResult:
     """Label, optional 1-99 % trim (v2), hash split on the row key, fit LR
     and GBT, evaluate both on the held-out rows (L1-L4, L6, L7, T5).
 
-    ``fixed_partitions`` range-partitions the training rows by key first so
-    GBT sees the same layout on every run.
+    The training rows are dealt by key into partitions of a bounded size, so
+    GBT sees the same layout on every run and any cluster.
     """
-    require_columns(gold_df, ["features", TARGET, KEY])
+    require_columns(gold_df, ["features", TARGET, KEYS[-1]])
     lr_params, gbt_params, trim = SETTINGS[version]
     gbt_params = {**gbt_params, **(gbt_overrides or {})}
-    train_df, test_df = training_rows(gold_df, trim, rel_error, train_pct, fixed_partitions)
+    train_df, test_df = training_rows(gold_df, trim, rel_error, train_pct, True)
     train_df = train_df.persist()
-    lr = train_lr(train_df, lr_params)
-    gbt = train_gbt(train_df, gbt_params)
-    train_df.unpersist()
+    try:
+        lr = train_lr(train_df, lr_params)
+        gbt = train_gbt(train_df, gbt_params)
+    finally:
+        train_df.unpersist()
     rows = []
     for name, model in ((f"lr_{version}", lr), (f"gbt_{version}", gbt)):
         rows.append(evaluate(model.transform(test_df)).withColumn("model", F.lit(name)))

@@ -22,13 +22,13 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from paysight.operators.models import best_model
 from paysight.operators.models import score as score_rows
 from paysight.operators.profile import profile
 from paysight.plans.eda import eda as eda_tables
 from paysight.plans.gold import gold as gold_stage
 from paysight.plans.gold import train as train_stage
 from paysight.plans.silver import SilverParams, silver
-from paysight.runtime import default_parallelism
 from paysight.schema import TARGET, YEAR
 from paysight.sources.files import read_bronze, read_survey_years, write_bronze, write_table
 from paysight.sources.models import load_pipeline, load_regressor, save_model
@@ -58,11 +58,11 @@ def gold_job(spark: SparkSession, silver_path: str, out: str, pipeline_path: str
 def train_job(spark: SparkSession, gold_path: str, models_dir: str, version: str = "v1", metrics_path: str | None = None):
     """Fit both models; each is saved under a versioned path and the
     metrics table marks the best one (lowest log RMSE, ties to LR)."""
-    res = train_stage(spark.read.parquet(gold_path), version, fixed_partitions=default_parallelism(spark))
+    res = train_stage(spark.read.parquet(gold_path), version)
     for name, model in res.models.items():
         save_model(model, f"{models_dir.rstrip('/')}/{name}")
     m = res.metrics
-    best = m.orderBy(F.asc("rmse_log"), F.when(F.col("model").startswith("lr"), 0).otherwise(1)).first()["model"]
+    best = best_model(m).first()["model"]
     m = m.withColumn("best", F.col("model") == F.lit(best))
     if metrics_path:
         write_table(m, metrics_path)
@@ -78,7 +78,8 @@ def eda_job(spark: SparkSession, silver_path: str, out: str) -> dict[str, DataFr
 
 def score_job(spark: SparkSession, requests_path: str, pipeline_path: str, model_path: str, kind: str, out: str):
     scored = score_rows(spark.read.parquet(requests_path), load_pipeline(pipeline_path), load_regressor(model_path, kind))
-    write_table(scored.drop("features", "features_raw"), out)
+    made = ("features", "features_raw", *[c for c in scored.columns if c.endswith(("_idx", "_vec", "_tokens", "_counts"))])
+    write_table(scored.drop(*made), out)
     return spark.read.parquet(out)
 
 

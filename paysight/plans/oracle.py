@@ -129,7 +129,7 @@ def _batches(drop_mid_priority: bool) -> str:
     parts = [
         ("early", "year(o_orderdate) <= 1996", True),
         ("mid", "year(o_orderdate) BETWEEN 1997 AND 1998", not drop_mid_priority),
-        ("late", "year(o_orderdate) >= 1999", True),
+        ("late", "(year(o_orderdate) >= 1999 OR o_orderdate IS NULL)", True),
     ]
     sel = []
     for tag, cond, with_prio in parts:

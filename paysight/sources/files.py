@@ -14,11 +14,15 @@ from paysight.schema import (
     SURVEY_SCHEMA,
     YEAR,
     align_to_schema,
+    available,
     safe_double,
     select_strict,
 )
 
 
+YEAR_SALTS = 64  # parts that one year's rows are dealt into before they are written
+
+
 def read_survey_csv(
     spark: SparkSession,
     path: str,
@@ -72,8 +76,12 @@ def read_survey_years(
 
 def write_bronze(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Land survey rows as Parquet partitioned by year (S8), so a reader
-    asking for some years prunes the rest."""
-    df.write.mode(mode).partitionBy(YEAR).parquet(path)
+    asking for some years prunes the rest. Only the years in ``df`` are
+    replaced. Rows are dealt by year and a salt first: a multi-line CSV file is
+    one task however large, and a year is more than one file."""
+    salt = F.pmod(F.xxhash64(*available(df, ["ResponseId"]) or [F.lit(0)]), F.lit(YEAR_SALTS))
+    dealt = df.repartition(F.col(YEAR), salt)
+    dealt.write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy(YEAR).parquet(path)
 
 
 def read_bronze(spark: SparkSession, path: str, years: Sequence[int] | None = None) -> DataFrame:

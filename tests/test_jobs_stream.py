@@ -7,7 +7,8 @@ from paysight.plans.silver import SilverParams
 from paysight.sources.tables import survey_view
 from paysight.streaming.landing import land_stream
 
-from conftest import SF_SMALL
+SF_SMALL = "/root/testdata/sf0.001"
+
 
 
 def _raw_csv(spark, tmp_dir):
@@ -33,7 +34,7 @@ def test_stage_jobs_end_to_end(spark, tmp_dir):
     assert sv.count() > 0 and "CountryGrouped" in sv.columns
     gold = os.path.join(tmp_dir, "gold")
     g = jobs.gold_job(spark, silver, gold, os.path.join(tmp_dir, "pipe"))
-    assert g.columns == ["ResponseId", "features", "ConvertedCompYearly"]
+    assert g.columns == ["SurveyYear", "ResponseId", "features", "ConvertedCompYearly"]
     tables = jobs.eda_job(spark, silver, os.path.join(tmp_dir, "eda"))
     assert {"missing_top20", "salary_hist_raw", "quartiles", "trend", "report", "corr"} <= set(tables)
 
