@@ -28,8 +28,8 @@ from pyspark.sql.functions import arrow_udf
 from .common import table
 
 FREQUENT_RUNS = 1 << 16  # bound of the broadcast table, in runs
-FREQUENT_RUN_BYTES = 64  # longer runs are left to the caches
-SAMPLE_ROWS = 128  # rows of each input partition whose runs are counted for that table
+FREQUENT_RUN_LETTERS = 16  # longer runs are left to the caches
+SAMPLE_ROWS = 128  # rows of an input partition whose runs are counted for that table
 CACHE_RUNS = 1 << 18
 LIMIT = 2048
 
@@ -96,23 +96,26 @@ _WORKER: dict[str, Lengths] = {}
 
 
 def frequent_runs(docs: DataFrame, text_col: str, path: str, sample_rows: int, size: int) -> tuple[bytes, np.ndarray, np.ndarray]:
-    """The packed table, from the first rows of every input partition; at most ``size`` runs."""
+    """The packed table, at most ``size`` runs, from the first rows of as many input partitions as give four times that many."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: Counter[str] = Counter()
         left = sample_rows
         for batch in batches:
             for text in batch[0][:left].to_pylist():
-                seen.update(r for r in pretoken_runs(text or "") if len(r) <= FREQUENT_RUN_BYTES // 4)
+                seen.update(r for r in pretoken_runs(text or "") if len(r) <= FREQUENT_RUN_LETTERS)
             left -= len(batch)
             if left <= 0:
                 break
         top = seen.most_common(size)
         yield pa.RecordBatch.from_arrays([pa.array([r for r, _ in top], pa.string()), pa.array([n for _, n in top], pa.int64())], ["run", "n"])
 
-    some = docs.select(F.col(text_col).cast("string").alias("t"))
-    counted = some.mapInArrow(count, "run string, n long").groupBy("run").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "run").limit(size)
-    runs = sorted(r["run"] for r in counted.collect())
+    # a plain collected limit runs partition after partition until it is met, so this stays bounded
+    counted = docs.select(F.col(text_col).cast("string").alias("t")).mapInArrow(count, "run string, n long").limit(4 * size)
+    total: Counter[str] = Counter()
+    for r in counted.collect():
+        total[r["run"]] += r["n"]
+    runs = sorted(r for r, _ in total.most_common(size))
     data = [r.encode() for r in runs]
     lengths = encoded_lengths(path, runs) if runs else []
     return b"".join(data), np.cumsum([len(d) for d in data], dtype=np.int64), np.array(lengths, np.uint16)
