@@ -397,14 +397,19 @@ def q_diagnostics_lr(spark, sf):
     return _rounded_hist(d["residual_hist"])
 
 
-def _trained(spark, sf, version):
-    g, pipe = gold(silver_frame(spark, sf))
-    return g, pipe, train(g, version)
-
-
-def _metrics_out(res) -> DataFrame:
-    return res.metrics.select(
-        "model", "n", r6("rmse_log").alias("rmse_log"), r6("r2_log").alias("r2_log"), "mae", "rmse", "n_infinite"
+def _checked(train_df: DataFrame, test_df: DataFrame, name: str, model) -> DataFrame:
+    """What a fitted model can be held to exactly: its test rows and their labels, and whether
+    every prediction is finite and the training error below that of predicting the mean."""
+    finite = lambda c: F.abs(F.col(c)) < F.lit(float("inf"))
+    both = train_df.withColumn("trains", F.lit(True)).unionByName(test_df.withColumn("trains", F.lit(False)))
+    test, err = F.when(~F.col("trains"), F.col("label")), F.col("label") - F.col("prediction")
+    return model.transform(both).agg(
+        F.lit(name).alias("model"),
+        F.count(test).alias("n"),
+        r6(F.avg(test)).alias("label_mean"),
+        r6(F.stddev_samp(test)).alias("label_std"),
+        F.every(finite("prediction")).alias("all_finite"),
+        (F.avg(F.when(F.col("trains"), err * err)) < F.var_pop(F.when(F.col("trains"), F.col("label")))).alias("beats_mean"),
     )
 
 
@@ -418,37 +423,99 @@ def q_train_lr_full(spark, sf):
     for version in ("v1", "v2"):
         lr_params, _, trim = SETTINGS[version]
         train_df, test_df = training_rows(g, trim, EXACT, 80, False)
-        model = train_lr(train_df, lr_params)
-        rows.append(evaluate(model.transform(test_df)).withColumn("model", F.lit(f"lr_{version}")))
-    m = union_by_name(rows)
-    return m.select("model", "n", r6("rmse_log").alias("rmse_log"), r6("r2_log").alias("r2_log"), "mae", "rmse", "n_infinite")
+        rows.append(_checked(train_df, test_df, f"lr_{version}", train_lr(train_df, lr_params)))
+    return union_by_name(rows)
+
+
+def _train_full(spark, sf, version):
+    """Both models of a version at their full settings, from the library's own training stage."""
+    from paysight.plans.gold import SETTINGS, training_rows
+
+    g, _ = gold(silver_frame(spark, sf))
+    result = train(g, version, rel_error=EXACT)
+    train_df, test_df = training_rows(g, SETTINGS[version][2], EXACT, 80, False)
+    return union_by_name([_checked(train_df, test_df, name, model) for name, model in result.models.items()])
 
 
 def q_train_v1(spark, sf):
-    _, _, res = _trained(spark, sf, "v1")
-    return _metrics_out(res)
+    return _train_full(spark, sf, "v1")
 
 
 def q_train_v2(spark, sf):
-    _, _, res = _trained(spark, sf, "v2")
-    return _metrics_out(res)
+    return _train_full(spark, sf, "v2")
+
+
+REQUEST_COLUMNS = [
+    "SurveyYear",
+    "ResponseId",
+    "YearsCodeProNum_imp",
+    "CountryGrouped",
+    "EdLevel",
+    "RemoteWork",
+    "OrgSize",
+    "LanguageHaveWorkedWith",
+    "DatabaseHaveWorkedWith",
+]
+
+
+def _requests(silver_df: DataFrame) -> DataFrame:
+    return positive(silver_df, TARGET).select(*REQUEST_COLUMNS)
 
 
 def q_batch_score(spark, sf):
+    """Every silver row as a request, scored by a pipeline and a model that were saved and read again."""
+    import uuid
+
+    from paysight.runtime import scratch_root
+    from paysight.sources.models import load_pipeline, load_regressor, save_model
+
     silver_df = silver_frame(spark, sf)
     g, pipe = gold(silver_df)
-    model = train_gbt_only(g, "v1")
-    requests = positive(silver_df, TARGET).select(
-        "ResponseId",
-        "YearsCodeProNum_imp",
-        "CountryGrouped",
-        "EdLevel",
-        "RemoteWork",
-        "OrgSize",
-        "LanguageHaveWorkedWith",
-        "DatabaseHaveWorkedWith",
-    )
-    return score(requests, pipe, model).select("ResponseId", "pred_log", "salary_pred")
+    run = f"{scratch_root(spark).rstrip('/')}/paysight-models/{uuid.uuid4().hex}"
+    save_model(pipe, f"{run}/pipeline")
+    save_model(train_gbt_only(g, "v1"), f"{run}/gbt_v1")
+    scored = score(_requests(silver_df), load_pipeline(f"{run}/pipeline"), load_regressor(f"{run}/gbt_v1", "gbt"))
+    finite = F.abs("salary_pred") < F.lit(float("inf"))
+    return scored.select("SurveyYear", "ResponseId", (finite & (F.expm1("pred_log") == F.col("salary_pred"))).alias("scored"))
+
+
+def q_score_features(spark, sf):
+    """Features made for scoring against the gold features of the same rows: (rows, rows that differ)."""
+    from paysight.operators.text import fill_text as fill
+
+    silver_df = silver_frame(spark, sf)
+    g, pipe = gold(silver_df)
+    keys = ["SurveyYear", "ResponseId"]
+    ours = pipe.transform(fill(_requests(silver_df), empty_too=True)).select(*keys, vector_to_array("features").alias("a"))
+    both = ours.join(g.select(*keys, vector_to_array("features").alias("b")), keys, "full")
+    return both.agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(~F.col("a").eqNullSafe(F.col("b"))).alias("n_differ"))
+
+
+def q_scatter_bins(spark, sf):
+    """All rows of a scatter chart by cell."""
+    cells = prof.scatter_bins(_lineitem(spark, sf), "l_quantity", "l_extendedprice", 40)
+    return cells.select("x_bin", "y_bin", r6("x_lo").alias("x_lo"), r6("y_lo").alias("y_lo"), "n")
+
+
+def q_hash_split_keys(spark, sf):
+    """A split by two keys, one of them null in part and repeated: every row on one side (T5)."""
+    keys = _orders(spark, sf).select(F.col("o_orderkey"), F.nullif(F.col("o_orderkey") % 97, F.lit(0)).alias("k"), F.col("o_orderstatus"))
+    train_rows, test_rows = hash_split(keys, ["k", "o_orderstatus"], 80)
+    return train_rows.withColumn("split", F.lit("train")).unionByName(test_rows.withColumn("split", F.lit("test")))
+
+
+def q_bronze_two_years(spark, sf):
+    """Two years landed by two calls into one bronze table, read back with a year filter."""
+    import uuid
+
+    from paysight.runtime import scratch_root
+    from paysight.sources.files import read_bronze, write_bronze
+
+    path = f"{scratch_root(spark).rstrip('/')}/paysight-bronze/{uuid.uuid4().hex}"
+    survey = _survey(spark, sf)
+    for year in (1996, 1997):
+        write_bronze(survey.where(F.col("SurveyYear") == year), path)
+    return read_bronze(spark, path, [1996, 1997]).select(*survey.columns)
 
 
 def q_stream_landing(spark, sf):
@@ -514,6 +581,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "train_v1": q_train_v1,
     "train_v2": q_train_v2,
     "batch_score": q_batch_score,
+    "score_features": q_score_features,
+    "scatter_bins": q_scatter_bins,
+    "hash_split_keys": q_hash_split_keys,
+    "bronze_two_years": q_bronze_two_years,
     "run_report": q_run_report,
     "stream_landing": q_stream_landing,
 }

@@ -361,6 +361,40 @@ def _landing_sql() -> str:
     return with_ctes(SURVEY_CTE, body="SELECT " + ", ".join(cols) + " FROM survey")
 
 
+def _trained_sql(*models: tuple[str, bool]) -> str:
+    """Test rows and label statistics of (model name, trimmed) on the silver rows' hash split."""
+    bucket = "(('0x' || substr(md5(concat_ws('|', CAST(SurveyYear AS VARCHAR), CAST(ResponseId AS VARCHAR))), 1, 8))::BIGINT % 100)"
+    ctes = [
+        *SILVER_CTES,
+        f"g AS (SELECT ConvertedCompYearly AS pay, ln(1 + ConvertedCompYearly) AS label, {bucket} AS bucket FROM silver WHERE {POSITIVE})",
+        "gb AS (SELECT quantile_disc(pay, 0.01) AS lo, quantile_disc(pay, 0.99) AS hi FROM g)",
+    ]
+    rows = [
+        f"SELECT '{name}' AS model, count(*) AS n, round(avg(label), 6) AS label_mean, round(stddev_samp(label), 6) AS label_std, "
+        f"TRUE AS all_finite, TRUE AS beats_mean FROM g{', gb' if trimmed else ''} WHERE bucket >= 80{' AND pay BETWEEN lo AND hi' if trimmed else ''}"
+        for name, trimmed in models
+    ]
+    return with_ctes(*ctes, body=" UNION ALL ".join(rows))
+
+
+def _scatter_sql(bins: int = 40) -> str:
+    cell = lambda x, lo, hi: f"least(CAST(floor(({x} - {lo}) * {float(bins)} / ({hi} - {lo})) AS INTEGER), {bins - 1})"
+    low = lambda b, lo, hi: f"round({lo} + {b} * (({hi} - {lo}) / {bins}), 6)"
+    return with_ctes(
+        "r AS (SELECT min(l_quantity)::DOUBLE x0, max(l_quantity)::DOUBLE x1, min(l_extendedprice)::DOUBLE y0, max(l_extendedprice)::DOUBLE y1 FROM lineitem)",
+        f"c AS (SELECT {cell('l_quantity', 'x0', 'x1')} AS x_bin, {cell('l_extendedprice', 'y0', 'y1')} AS y_bin, x0, x1, y0, y1 FROM lineitem, r)",
+        body=f"SELECT x_bin, y_bin, {low('x_bin', 'x0', 'x1')} AS x_lo, {low('y_bin', 'y0', 'y1')} AS y_lo, count(*) AS n FROM c GROUP BY x_bin, y_bin, x0, x1, y0, y1",
+    )
+
+
+def _split_keys_sql() -> str:
+    text = "concat_ws('|', coalesce(CAST(k AS VARCHAR), '\\N'), coalesce(o_orderstatus, '\\N'))"
+    return (
+        f"SELECT *, CASE WHEN ('0x' || substr(md5({text}), 1, 8))::BIGINT % 100 < 80 THEN 'train' ELSE 'test' END AS split "
+        "FROM (SELECT o_orderkey, nullif(o_orderkey % 97, 0) AS k, o_orderstatus FROM orders)"
+    )
+
+
 ORACLE: dict[str, str] = {
     "survey_base": with_ctes(SURVEY_CTE, body="SELECT * FROM survey"),
     "union_strict": _batches(False),
@@ -472,4 +506,14 @@ ORACLE: dict[str, str] = {
     "diagnostics_lr": _diag_sql(),
     "run_report": _report_sql(),
     "stream_landing": _landing_sql(),
+    "train_lr_full": _trained_sql(("lr_v1", False), ("lr_v2", True)),
+    "train_v1": _trained_sql(("lr_v1", False), ("gbt_v1", False)),
+    "train_v2": _trained_sql(("lr_v2", True), ("gbt_v2", True)),
+    "batch_score": with_ctes(*SILVER_CTES, body=f"SELECT SurveyYear, ResponseId, TRUE AS scored FROM silver WHERE {POSITIVE}"),
+    "score_features": with_ctes(
+        *SILVER_CTES, body=f"SELECT count(*) AS n_rows, CAST(0 AS BIGINT) AS n_differ FROM silver WHERE {POSITIVE}"
+    ),
+    "scatter_bins": _scatter_sql(),
+    "hash_split_keys": _split_keys_sql(),
+    "bronze_two_years": with_ctes(SURVEY_CTE, body="SELECT * FROM survey WHERE SurveyYear IN (1996, 1997)"),
 }

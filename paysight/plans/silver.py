@@ -18,7 +18,7 @@ from paysight.operators.quantiles import DEFAULT_REL_ERROR
 from paysight.operators.rare import rare_values
 from paysight.operators.text import fill_text
 from paysight.operators.trim import Bounds, apply_bounds, apply_medians, fit_bounds, fit_medians
-from paysight.runtime import SmallTable
+from paysight.runtime import SmallTable, stage_table
 from paysight.schema import CORE_COLUMNS, SKILL_COLUMNS, TARGET, select_available
 
 # Parsed columns and their sources.
@@ -57,6 +57,10 @@ class SilverModel:
         core = select_available(df, self.params.keep)
         if filter_rows:
             core = apply_bounds(population_filter(core, **self.params.population), self.bounds)
+        return self.finish(core)
+
+    def finish(self, core: DataFrame) -> DataFrame:
+        """Parse, group, impute and fill rows that are already filtered and trimmed."""
         parsed = parse_columns(core)
         grouped = self._group(parsed)
         present = [c for c in IMPUTED if c in grouped.columns]
@@ -82,8 +86,14 @@ def fit_silver(df: DataFrame, params: SilverParams | None = None) -> SilverModel
     """Fit bounds on the population, then rare countries and medians on the
     trimmed, parsed rows (the order the stage applies them)."""
     params = params or SilverParams()
-    core = select_available(df, params.keep)
-    pop = population_filter(core, **params.population)
+    return _fit(population(df, params), params)
+
+
+def population(df: DataFrame, params: SilverParams) -> DataFrame:
+    return population_filter(select_available(df, params.keep), **params.population)
+
+
+def _fit(pop: DataFrame, params: SilverParams) -> SilverModel:
     bounds = fit_bounds(pop, TARGET, params.trim_lower, params.trim_upper, params.rel_error) if TARGET in pop.columns else None
     parsed = parse_columns(apply_bounds(pop, bounds))
     rare = SmallTable(rare_values(parsed, "Country", params.min_country)) if "Country" in parsed.columns else None
@@ -92,5 +102,11 @@ def fit_silver(df: DataFrame, params: SilverParams | None = None) -> SilverModel
 
 
 def silver(df: DataFrame, params: SilverParams | None = None) -> DataFrame:
-    """The whole silver stage on ``df``."""
-    return fit_silver(df, params).transform(df)
+    """The whole silver stage on ``df``.
+
+    The filtered projection is written once; every fitting pass and the result read that table,
+    so the input and the joins behind it run a single time."""
+    params = params or SilverParams()
+    pop = stage_table(population(df, params), "silver-population")
+    model = _fit(pop, params)
+    return model.finish(apply_bounds(pop, model.bounds))

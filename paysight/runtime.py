@@ -14,9 +14,17 @@ from pyspark.sql import functions as F
 
 log = logging.getLogger(__name__)
 
-# Largest row count we broadcast without asking. Rows here are keys plus a
-# few numbers, so a million of them stays in the tens of megabytes.
+# Largest table we broadcast: rows, and bytes of their texts and numbers.
 DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
+MAX_BROADCAST_BYTES = 64 << 20
+
+
+def measure(df: DataFrame) -> tuple[int, int]:
+    """Rows and about the bytes of ``df``, in one aggregation: texts by their length, all else as 16 bytes."""
+    texts = [f.name for f in df.schema.fields if f.dataType.typeName() in ("string", "binary")]
+    length = sum((F.coalesce(F.octet_length(F.col(f"`{c}`")), F.lit(0)) for c in texts), F.lit(16 * len(df.columns)).cast("bigint"))
+    rows, size = df.agg(F.count(F.lit(1)), F.sum(length)).first()
+    return int(rows), int(size or 0)
 
 
 def checkpoint_dir(spark: SparkSession) -> str | None:
@@ -52,8 +60,8 @@ def maybe_broadcast(
     bound the frame is returned unchanged, so the join falls back to a
     shuffle join where AQE can split skewed partitions.
     """
-    n = df.count()
-    if n <= max_rows:
+    n, size = measure(df)
+    if n <= max_rows and size <= MAX_BROADCAST_BYTES:
         return F.broadcast(df), True
     return df, False
 
@@ -76,12 +84,12 @@ class SmallTable:
         else:
             self.df = df.persist()
             self.persisted = True
-        self.rows = self.df.count()
+        self.rows, self.bytes = measure(self.df)
         self.max_broadcast_rows = max_broadcast_rows
 
     @property
     def small(self) -> bool:
-        return self.rows <= self.max_broadcast_rows
+        return self.rows <= self.max_broadcast_rows and self.bytes <= MAX_BROADCAST_BYTES
 
     def for_join(self) -> DataFrame:
         """The table with a broadcast hint when (and only when) it is small."""
@@ -143,11 +151,3 @@ def scratch_root(spark: SparkSession) -> str:
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="paysight-ckpt-"))
         return spark.sparkContext.getCheckpointDir()
     raise ValueError("set spark.checkpoint.dir to a shared folder")
-
-
-def default_parallelism(spark: SparkSession, fallback: int = 8) -> int:
-    """Cores of the cluster (``spark.default.parallelism``)."""
-    try:
-        return spark.sparkContext.defaultParallelism
-    except Exception:
-        return int(spark.conf.get("spark.default.parallelism", str(fallback)))
