@@ -327,9 +327,17 @@ def q_assemble_scale(spark, sf):
 
 
 def q_features_gold(spark, sf):
+    """Every non-zero slot of every gold vector, from a gold table that was written and read again."""
+    import uuid
+
+    from paysight.runtime import scratch_root
+    from paysight.sources.files import write_table
+
     g, _ = gold(silver_frame(spark, sf))
-    arr = vector_to_array("features")
-    return g.select("ResponseId", F.size(arr).alias("n_features"), TARGET)
+    path = f"{scratch_root(spark).rstrip('/')}/paysight-gold/{uuid.uuid4().hex}"
+    write_table(g, path, partitions=8)
+    slots = spark.read.parquet(path).select("SurveyYear", "ResponseId", F.posexplode(vector_to_array("features")).alias("slot", "value"))
+    return slots.where(F.col("value") != 0).select("SurveyYear", "ResponseId", "slot", r6("value").alias("value"))
 
 
 # ---------------------------------------------------------------- models

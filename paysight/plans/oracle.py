@@ -377,6 +377,39 @@ def _trained_sql(*models: tuple[str, bool]) -> str:
     return with_ctes(*ctes, body=" UNION ALL ".join(rows))
 
 
+def _gold_sql() -> str:
+    """The gold vectors in long form: one-hot slots by label frequency, token counts by vocabulary rank,
+    the numeric column; each divided by its slot's sample deviation over all rows."""
+    cats = ["CountryGrouped", "EdLevel", "OrgSize", "RemoteWork"]
+    texts = ["LanguageHaveWorkedWith", "DatabaseHaveWorkedWith"]
+    fill = ", ".join(f"CASE WHEN {c} IS NULL OR {c} = '' THEN 'None' ELSE {c} END AS {c}" for c in texts)
+    ctes = [*SILVER_CTES, f"g AS (SELECT SurveyYear, ResponseId, {', '.join(cats)}, {fill}, YearsCodeProNum_imp FROM silver WHERE {POSITIVE})"]
+    entries, sizes = [], []
+    for block, c in enumerate(cats):
+        ctes.append(f"l{block} AS (SELECT {c} AS v, row_number() OVER (ORDER BY count(*) DESC, {c}) - 1 AS idx FROM g WHERE {c} IS NOT NULL GROUP BY {c})")
+        entries.append(f"SELECT SurveyYear, ResponseId, {block} AS block, coalesce(idx, (SELECT count(*) FROM l{block})) AS idx, 1.0::DOUBLE AS x FROM g LEFT JOIN l{block} ON {c} = v")
+        sizes.append(f"SELECT {block} AS block, count(*) + 1 AS size FROM l{block}")
+    for block, c in enumerate(texts, len(cats)):
+        ctes.append(f"t{block} AS (SELECT SurveyYear, ResponseId, t, count(*) AS n FROM (SELECT SurveyYear, ResponseId, unnest({tokens_sql(c)}) AS t FROM g) GROUP BY ALL)")
+        ctes.append(
+            f"l{block} AS (SELECT t AS v, row_number() OVER (ORDER BY sum(n) DESC, t) - 1 AS idx FROM t{block} GROUP BY t "
+            f"HAVING count(*) >= 0.01 * (SELECT count(*) FROM g) QUALIFY idx < 30)"
+        )
+        entries.append(f"SELECT SurveyYear, ResponseId, {block} AS block, idx, n::DOUBLE AS x FROM t{block} JOIN l{block} ON t = v")
+        sizes.append(f"SELECT {block} AS block, greatest(count(*), 1) AS size FROM l{block}")
+    last = len(cats) + len(texts)
+    entries.append(f"SELECT SurveyYear, ResponseId, {last} AS block, 0 AS idx, YearsCodeProNum_imp AS x FROM g")
+    sizes.append(f"SELECT {last} AS block, 1 AS size")
+    ctes += [
+        f"sizes AS ({' UNION ALL '.join(sizes)})",
+        "begins AS (SELECT block, coalesce(sum(size) OVER (ORDER BY block ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS begin FROM sizes)",
+        f"e AS (SELECT SurveyYear, ResponseId, CAST(begin + idx AS INTEGER) AS slot, x FROM ({' UNION ALL '.join(entries)}) JOIN begins USING (block))",
+        "n AS (SELECT count(*)::DOUBLE AS n FROM g)",
+        "s AS (SELECT slot, sqrt((sum(x * x) - sum(x) * sum(x) / any_value(n)) / (any_value(n) - 1)) AS sd FROM e, n GROUP BY slot)",
+    ]
+    return with_ctes(*ctes, body="SELECT SurveyYear, ResponseId, slot, round(x * (1 / sd), 6) AS value FROM e JOIN s USING (slot) WHERE x <> 0 AND sd > 1e-9")
+
+
 def _scatter_sql(bins: int = 40) -> str:
     cell = lambda x, lo, hi: f"least(CAST(floor(({x} - {lo}) * {float(bins)} / ({hi} - {lo})) AS INTEGER), {bins - 1})"
     low = lambda b, lo, hi: f"round({lo} + {b} * (({hi} - {lo}) / {bins}), 6)"
@@ -506,6 +539,7 @@ ORACLE: dict[str, str] = {
     "diagnostics_lr": _diag_sql(),
     "run_report": _report_sql(),
     "stream_landing": _landing_sql(),
+    "features_gold": _gold_sql(),
     "train_lr_full": _trained_sql(("lr_v1", False), ("lr_v2", True)),
     "train_v1": _trained_sql(("lr_v1", False), ("gbt_v1", False)),
     "train_v2": _trained_sql(("lr_v2", True), ("gbt_v2", True)),
