@@ -28,6 +28,12 @@ def rare_values(df: DataFrame, col: str, min_count: int) -> DataFrame:
     )
 
 
+def kept_values(df: DataFrame, col: str, min_count: int) -> DataFrame:
+    """Non-null values of ``col`` with at least ``min_count`` rows: one row per so many input rows at most."""
+    counts = df.where(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("_n"))
+    return counts.where(F.col("_n") >= F.lit(min_count)).select(F.col(col).alias("_kept_value"))
+
+
 def group_rare(
     df: DataFrame,
     col: str = "Country",

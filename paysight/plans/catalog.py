@@ -536,8 +536,9 @@ def q_stream_landing(spark, sf):
 
     run = f"{scratch_root(spark).rstrip('/')}/paysight-landing-run/{uuid.uuid4().hex}"
     survey = _survey(spark, sf)
-    survey.write.partitionBy("SurveyYear").option("header", True).csv(f"{run}/inbox")
-    land_stream(spark, f"{run}/inbox", f"{run}/bronze", f"{run}/checkpoint", year_pattern=r"SurveyYear=(\d{4})")
+    # a marker of its own for nulls, so that empty texts come back as they are
+    survey.write.partitionBy("SurveyYear").option("header", True).option("nullValue", "\\N").csv(f"{run}/inbox")
+    land_stream(spark, f"{run}/inbox", f"{run}/bronze", f"{run}/checkpoint", year_pattern=r"SurveyYear=(\d{4})", null_value="\\N")
     return spark.read.parquet(f"{run}/bronze").drop(BATCH_COL)
 
 

@@ -22,13 +22,14 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paysight.operators.models import best_model
+from paysight.operators.models import best_model, diagnostics, with_label
 from paysight.operators.models import score as score_rows
 from paysight.operators.profile import profile
 from paysight.plans.eda import eda as eda_tables
 from paysight.plans.gold import gold as gold_stage
 from paysight.plans.gold import train as train_stage
-from paysight.plans.silver import SilverParams, silver
+from paysight.plans.gold import row_keys
+from paysight.plans.silver import SilverModel, SilverParams, silver_and_model
 from paysight.schema import TARGET, YEAR
 from paysight.sources.files import read_bronze, read_survey_years, write_bronze, write_table
 from paysight.sources.models import load_pipeline, load_regressor, save_model
@@ -42,9 +43,14 @@ def bronze(spark: SparkSession, raw: Mapping[int, str], out: str) -> DataFrame:
     return profile(read_bronze(spark, out), TARGET, by=[YEAR])
 
 
-def silver_job(spark: SparkSession, bronze_path: str, out: str, params: SilverParams | None = None) -> DataFrame:
-    df = silver(read_bronze(spark, bronze_path), params)
+def silver_job(
+    spark: SparkSession, bronze_path: str, out: str, params: SilverParams | None = None, model_path: str | None = None
+) -> DataFrame:
+    """The silver table; ``model_path`` also keeps the fit, for scoring raw rows later."""
+    df, model = silver_and_model(read_bronze(spark, bronze_path), params)
     write_table(df, out)
+    if model_path:
+        model.save(spark, model_path)
     return spark.read.parquet(out)
 
 
@@ -69,15 +75,29 @@ def train_job(spark: SparkSession, gold_path: str, models_dir: str, version: str
     return m
 
 
-def eda_job(spark: SparkSession, silver_path: str, out: str) -> dict[str, DataFrame]:
+def eda_job(
+    spark: SparkSession, silver_path: str, out: str, gold_path: str | None = None, models: Mapping[str, str] | None = None
+) -> dict[str, DataFrame]:
+    """Every chart's table; with gold and saved models (name -> path, names starting ``lr`` or ``gbt``) also
+    each model's diagnostics over all gold rows (C9)."""
     tables = eda_tables(spark.read.parquet(silver_path))
+    for name, path in (models or {}).items():
+        regressor = load_regressor(path, "lr" if name.startswith("lr") else "gbt")
+        pred = regressor.transform(with_label(spark.read.parquet(gold_path)))
+        tables |= {f"{name}_{k}": v for k, v in diagnostics(pred, row_keys(pred)).items()}
     for name, df in tables.items():
         write_table(df, f"{out.rstrip('/')}/{name}")
     return tables
 
 
-def score_job(spark: SparkSession, requests_path: str, pipeline_path: str, model_path: str, kind: str, out: str):
-    scored = score_rows(spark.read.parquet(requests_path), load_pipeline(pipeline_path), load_regressor(model_path, kind))
+def score_job(
+    spark: SparkSession, requests_path: str, pipeline_path: str, model_path: str, kind: str, out: str, silver_model: str | None = None
+):
+    """Score request rows; with ``silver_model`` they are raw survey rows and get the fitted silver treatment first."""
+    requests = spark.read.parquet(requests_path)
+    if silver_model:
+        requests = SilverModel.load(spark, silver_model).transform(requests, filter_rows=False)
+    scored = score_rows(requests, load_pipeline(pipeline_path), load_regressor(model_path, kind))
     made = ("features", "features_raw", *[c for c in scored.columns if c.endswith(("_idx", "_vec", "_tokens", "_counts"))])
     write_table(scored.drop(*made), out)
     return spark.read.parquet(out)

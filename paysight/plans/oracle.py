@@ -354,9 +354,6 @@ def _landing_sql() -> str:
     cols = []
     for f in SURVEY_SCHEMA.fields:
         expr = present.get(f.name, f"CAST(NULL AS {sql_type[f.dataType.simpleString()]})")
-        if f.name in present and f.dataType.simpleString() == "string" and f.name != "ResponseId":
-            # the CSV reader returns an empty field as null (its default nullValue is "")
-            expr = f"NULLIF({expr}, '')"
         cols.append(f"{expr} AS {f.name}")
     return with_ctes(SURVEY_CTE, body="SELECT " + ", ".join(cols) + " FROM survey")
 

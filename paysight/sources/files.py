@@ -29,24 +29,27 @@ def read_survey_csv(
     year: int | None = None,
     columns: Sequence[str] | None = None,
     null_tokens: Sequence[str] = (),
+    null_value: str | None = None,
 ) -> DataFrame:
     """One survey file, every field read as text.
 
     Header names bind columns (a schema handed to the CSV reader would bind
     by position). Quoted fields may span lines and ``""`` escapes a quote.
     ``columns`` makes a strict projection; the money columns are converted
-    with ``try_cast``; ``null_tokens`` (e.g. ``NA``) become null.
+    with ``try_cast``; ``null_tokens`` (e.g. ``NA``) become null. By default an
+    empty field is null; with ``null_value`` only that marker (and an unquoted
+    empty field) is, and a quoted empty text stays one.
 
-    A multi-line CSV file cannot be split, so each file is one task; land
-    it once as Parquet and read that afterwards.
+    A multi-line CSV file cannot be split, so each file is one task; the sinks
+    deal its rows out before they write.
     """
-    df = (
+    reader = (
         spark.read.option("header", True)
         .option("multiLine", True)
         .option("escape", '"')
         .option("inferSchema", False)
-        .csv(path)
     )
+    df = (reader if null_value is None else reader.option("nullValue", null_value)).csv(path)
     if columns is not None:
         df = select_strict(df, columns)
     if null_tokens:
@@ -74,14 +77,18 @@ def read_survey_years(
     return align_to_schema(df, SURVEY_SCHEMA) if align else df
 
 
+def dealt_by_year(df: DataFrame) -> DataFrame:
+    """Rows dealt by year and a salt."""
+    salt = F.pmod(F.xxhash64(*available(df, ["ResponseId"]) or [F.lit(0)]), F.lit(YEAR_SALTS))
+    return df.repartition(F.col(YEAR), salt)
+
+
 def write_bronze(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Land survey rows as Parquet partitioned by year (S8), so a reader
     asking for some years prunes the rest. Only the years in ``df`` are
     replaced. Rows are dealt by year and a salt first: a multi-line CSV file is
     one task however large, and a year is more than one file."""
-    salt = F.pmod(F.xxhash64(*available(df, ["ResponseId"]) or [F.lit(0)]), F.lit(YEAR_SALTS))
-    dealt = df.repartition(F.col(YEAR), salt)
-    dealt.write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy(YEAR).parquet(path)
+    dealt_by_year(df).write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy(YEAR).parquet(path)
 
 
 def read_bronze(spark: SparkSession, path: str, years: Sequence[int] | None = None) -> DataFrame:

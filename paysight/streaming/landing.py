@@ -8,8 +8,9 @@ bind by header name even when files of different years have different
 columns. ``availableNow`` processes everything present and stops, so the
 job can be scheduled like a batch.
 
-Only file *names* reach the driver (at most ``maxFilesPerTrigger`` per
-batch); the rows are read and written by the executors. Each batch writes
+Only file *names* reach the driver, at most ``MAX_FILES`` per batch unless the
+caller names another bound, and the batch's plan has one scan for each of them; the
+rows are read, dealt out by year and written by the executors. Each batch writes
 its own ``landing_batch`` partition with dynamic overwrite, so a batch that
 is retried after a failure replaces its earlier output instead of adding
 to it.
@@ -27,23 +28,22 @@ from pyspark.sql import functions as F
 
 from paysight.runtime import checkpoint_dir
 from paysight.schema import SURVEY_SCHEMA, YEAR, align_to_schema
-from paysight.sources.files import read_survey_csv
+from paysight.sources.files import dealt_by_year, read_survey_csv
 from paysight.operators.union import union_by_name
 
 YEAR_PATTERN = r"(\d{4})\D*\.csv$"
 BATCH_COL = "landing_batch"
+MAX_FILES = 100  # of one micro-batch
 
 
-def new_files(spark: SparkSession, folder: str, max_files_per_trigger: int | None = None) -> DataFrame:
+def new_files(spark: SparkSession, folder: str, max_files_per_trigger: int = MAX_FILES) -> DataFrame:
     """Stream of paths of CSV files appearing in ``folder`` (content not read)."""
     reader = (
         spark.readStream.format("binaryFile")
         .schema("path string, modificationTime timestamp, length bigint, content binary")
         .option("pathGlobFilter", "*.csv")
     )
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return reader.load(folder).select("path")
+    return reader.option("maxFilesPerTrigger", max_files_per_trigger).load(folder).select("path")
 
 
 def _year_of(path: str, pattern: str) -> int | None:
@@ -51,13 +51,14 @@ def _year_of(path: str, pattern: str) -> int | None:
     return int(m.group(1)) if m else None
 
 
-def land_files(spark: SparkSession, paths: list[str], bronze_path: str, batch_id: int, pattern: str = YEAR_PATTERN) -> None:
+def land_files(spark: SparkSession, paths: list[str], bronze_path: str, batch_id: int, pattern: str = YEAR_PATTERN, null_value: str | None = None) -> None:
     """Read ``paths`` by header name, align to the declared schema and write
     them as partition ``landing_batch=batch_id`` of the bronze table."""
-    frames = [read_survey_csv(spark, p, year=_year_of(p, pattern)) for p in sorted(paths)]
+    frames = [read_survey_csv(spark, p, year=_year_of(p, pattern), null_value=null_value) for p in sorted(paths)]
     df = align_to_schema(union_by_name(frames), SURVEY_SCHEMA)
     (
-        df.withColumn(BATCH_COL, F.lit(int(batch_id)))
+        dealt_by_year(df)
+        .withColumn(BATCH_COL, F.lit(int(batch_id)))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(YEAR, BATCH_COL)
@@ -71,7 +72,8 @@ def land_stream(
     bronze_path: str,
     checkpoint: str | None = None,
     year_pattern: str = YEAR_PATTERN,
-    max_files_per_trigger: int | None = None,
+    max_files_per_trigger: int = MAX_FILES,
+    null_value: str | None = None,
 ) -> None:
     """Land every not-yet-landed file of ``folder`` into bronze and stop.
 
@@ -89,7 +91,7 @@ def land_stream(
     def land_batch(batch: DataFrame, batch_id: int) -> None:
         paths = [r["path"] for r in batch.collect()]  # file names only
         if paths:
-            land_files(batch.sparkSession, paths, bronze_path, batch_id, year_pattern)
+            land_files(batch.sparkSession, paths, bronze_path, batch_id, year_pattern, null_value)
 
     query = (
         new_files(spark, folder, max_files_per_trigger)

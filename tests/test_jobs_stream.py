@@ -117,3 +117,27 @@ def test_train_job_saves_versioned_models_and_marks_best(spark, tmp_dir, monkeyp
     assert load_regressor(os.path.join(models, "lr_v1"), "lr") is not None
     assert load_regressor(os.path.join(models, "gbt_v1"), "gbt") is not None
     assert m.count() == 2
+
+
+def test_raw_rows_are_scored_by_a_saved_silver_fit(spark, tmp_dir):
+    from paysight.operators.models import LR_V1, train_lr, with_label
+    from paysight.plans.silver import SilverModel
+    from paysight.sources.models import save_model
+
+    s, raw = _raw_csv(spark, tmp_dir)
+    at = lambda name: os.path.join(tmp_dir, f"{name}_r")
+    jobs.bronze(spark, raw, at("bronze"))
+    sv = jobs.silver_job(spark, at("bronze"), at("silver"), SilverParams(min_country=5), model_path=at("fit"))
+    g = jobs.gold_job(spark, at("silver"), at("gold"), at("pipe"))
+    save_model(train_lr(with_label(g), LR_V1), at("lr"))
+    model = SilverModel.load(spark, at("fit"))
+    bronze = spark.read.parquet(at("bronze"))
+    again = model.transform(bronze).select(sorted(sv.columns))
+    assert sorted(map(str, again.collect())) == sorted(map(str, sv.select(sorted(sv.columns)).collect()))
+    unseen = model.transform(bronze.limit(1).withColumn("Country", F.lit("Nowhere")), filter_rows=False)
+    assert unseen.first()["CountryGrouped"] == "Other"
+    out = jobs.score_job(spark, at("bronze"), at("pipe"), at("lr"), "lr", at("scores"), silver_model=at("fit"))
+    assert out.count() == bronze.count() and out.where(F.col("salary_pred").isNull()).count() == 0
+    tables = jobs.eda_job(spark, at("silver"), at("eda"), at("gold"), {"lr_v1": at("lr")})
+    n = g.count()
+    assert {t.agg(F.sum("n")).first()[0] for k, t in tables.items() if k.startswith("lr_v1_")} == {n}
