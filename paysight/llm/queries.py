@@ -30,7 +30,6 @@ QUERIES = {
 }
 
 ORACLE = {
-    "op2_quality_classifier": op2_quality_classifier,
     "op3_license_scan": OP3_SQL,
     "op8_benchmark_decontamination": OP8_SQL,
     "op10_topk_search": OP10_SQL,
