@@ -115,22 +115,27 @@ def stage_table(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+# What spreading costs little for, and a split too large to leave to one task.
+CHEAP_BYTES = 1 << 30
+LARGE_SPLIT_BYTES = 512 << 20
+
+
 def ensure_parallelism(df: DataFrame) -> DataFrame:
     """Spread an under-partitioned input over the cluster's cores.
 
-    A scan of one unsplittable file (one Parquet row group, a multi-line
-    CSV) is a single task, and every narrow operator after it stays in that
-    task. When the scan yields fewer partitions than
-    ``spark.default.parallelism`` it is round-robin repartitioned to that
-    number; large inputs already have more splits and are returned as they
-    are, so no shuffle is added at scale.
+    A scan of one unsplittable file (one Parquet row group) is a single task, and every narrow
+    operator after it stays in that task. When the scan yields fewer partitions than
+    ``spark.default.parallelism`` it is round-robin repartitioned to that number, but only if that is
+    cheap (the input is below ``CHEAP_BYTES``) or its splits are larger than ``LARGE_SPLIT_BYTES``. A
+    large, well-split table is never shuffled just because the cluster has more cores than it has splits.
     """
     try:
         target = df.sparkSession.sparkContext.defaultParallelism
         partitions = df.rdd.getNumPartitions()
+        size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
     except Exception:  # no RDD view of the plan (remote session): leave it
         return df
-    if partitions < target:
+    if partitions < target and (size <= CHEAP_BYTES or size > LARGE_SPLIT_BYTES * max(1, partitions)):
         return df.repartition(target)
     return df
 
