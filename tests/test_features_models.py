@@ -199,3 +199,23 @@ def test_evaluate_clipped(spark):
     ev = evaluate_clipped(pred, rel_error=0.0).first()
     assert ev["mae_clipped"] is not None and ev["rmse_clipped"] >= ev["mae_clipped"]
     assert ev["n"] == df.count()
+
+
+def test_metrics_of_a_constant_label(spark):
+    from paysight.operators.models import evaluate
+
+    pred = spark.createDataFrame([(2.0, 1.5), (2.0, 2.5)], "label double, prediction double")
+    ev = evaluate(pred).first()
+    assert ev["r2_log"] is None and ev["rmse_log"] == 0.5 and ev["n"] == 2
+
+
+def test_training_layout_follows_from_the_rows(spark, monkeypatch):
+    import paysight.plans.gold as gold_mod
+
+    monkeypatch.setattr(gold_mod, "ROWS_PER_PARTITION", 20)
+    g, _ = gold_mod.gold(_survey_like(spark))
+    layouts = []
+    for parts in (1, 5):
+        train_df, _ = gold_mod.training_rows(g.repartition(parts), False, 0.0, 80, True)
+        layouts.append([tuple(r) for r in train_df.withColumn("p", F.spark_partition_id()).select("p", "ResponseId", "label").collect()])
+    assert layouts[0] == layouts[1] and len({r[0] for r in layouts[0]}) > 1

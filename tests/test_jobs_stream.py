@@ -141,3 +141,15 @@ def test_raw_rows_are_scored_by_a_saved_silver_fit(spark, tmp_dir):
     tables = jobs.eda_job(spark, at("silver"), at("eda"), at("gold"), {"lr_v1": at("lr")})
     n = g.count()
     assert {t.agg(F.sum("n")).first()[0] for k, t in tables.items() if k.startswith("lr_v1_")} == {n}
+
+
+def test_landing_one_year_leaves_the_others(spark, tmp_dir):
+    from paysight.sources.files import read_bronze, write_bronze
+
+    s, _ = _raw_csv(spark, tmp_dir)
+    path = os.path.join(tmp_dir, "bronze_years")
+    for year in (1996, 1997, 1996):  # a year landed again replaces itself
+        write_bronze(s.where(F.col("SurveyYear") == year), path)
+    got = {r[0]: r[1] for r in read_bronze(spark, path).groupBy("SurveyYear").count().collect()}
+    want = {r[0]: r[1] for r in s.where(F.col("SurveyYear").isin(1996, 1997)).groupBy("SurveyYear").count().collect()}
+    assert got == want

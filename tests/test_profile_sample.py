@@ -96,3 +96,45 @@ def test_histogram_method_in_profiles(spark):
     big = [("a", float(i)) for i in range(500)]
     q = group_quartiles(spark.createDataFrame(big, "g string, ConvertedCompYearly double"), "g", min_count=1, rel_error=0.01, method="histogram").first()
     assert abs(q["median_salary"] - 249.0) <= 5
+
+
+def test_null_and_repeated_keys_fall_on_exactly_one_side(spark):
+    rows = [(None, 1), (None, 2), ("1", 3), ("1", 4), ("2", 5)] + [(str(k % 50), 100 + k) for k in range(400)]
+    df = spark.createDataFrame(rows, "k string, v long")
+    for key in ("k", ["k", "v"]):
+        train, test = hash_split(df, key, 80)
+        got = sorted(r["v"] for r in train.union(test).collect())
+        assert got == sorted(v for _, v in rows)
+        tagged = {r["v"]: r["split"] for r in with_split(df, key, 80).collect()}
+        assert {v: "train" for v in (r["v"] for r in train.collect())}.items() <= tagged.items()
+        assert all(tagged[r["v"]] == "test" for r in test.collect())
+
+
+def test_sample_of_null_and_repeated_keys_is_a_total_order(spark):
+    from paysight.functions.buckets import md5_order_key
+
+    rows = [(None if k % 5 == 0 else str(k % 7), k) for k in range(300)]
+    df = spark.createDataFrame(rows, "k string, v long")
+    for n in (1, 10, 75, 299, 400):
+        want = [r["v"] for r in df.orderBy(md5_order_key("k"), "k", "v").limit(n).collect()]
+        assert [r["v"] for r in hash_sample(df.repartition(6), "k", n).collect()] == want
+
+
+def test_nan_takes_no_part_in_any_mode(spark):
+    from paysight.operators import profile as prof
+
+    df = spark.createDataFrame([("a", v) for v in (1.0, 2.0, 3.0, *[float("nan")] * 4)], "g string, x double")
+    for rel_error, method in ((0.0, "histogram"), (0.01, "histogram"), (0.01, "sketch")):
+        by = prof.profile(df, "x", by=["g"], rel_error=rel_error, method=method).first()
+        whole = prof.profile(df, "x", rel_error=rel_error, method=method).first()
+        assert by["median_salary"] == whole["median_salary"] == 2.0
+
+
+def test_scatter_counts_every_row(spark):
+    from paysight.operators.profile import scatter_bins
+
+    df = spark.range(1000).selectExpr("id * 1.0 AS x", "CASE WHEN id % 10 = 0 THEN NULL WHEN id % 11 = 0 THEN double('NaN') ELSE sqrt(id) END AS y")
+    cells = scatter_bins(df, "x", "y", 20).collect()
+    assert sum(r["n"] for r in cells) == sum(1 for k in range(1000) if k % 10 and k % 11)
+    assert all(0 <= r["x_bin"] < 20 and 0 <= r["y_bin"] < 20 for r in cells)
+    assert scatter_bins(df.limit(0), "x", "y").count() == 0
