@@ -57,11 +57,6 @@ def population_filter(df: DataFrame, **kwargs) -> DataFrame:
     return df.where(cond)
 
 
-def not_null(df: DataFrame, col: str) -> DataFrame:
-    """F1 / F11."""
-    return df.where(F.col(col).isNotNull())
-
-
 def positive(df: DataFrame, col: str = TARGET) -> DataFrame:
     """Not null and strictly positive (F2)."""
     return df.where(F.col(col).isNotNull() & (F.col(col) > 0))

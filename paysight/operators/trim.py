@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from paysight.operators.filters import within
 from paysight.operators.quantiles import DEFAULT_REL_ERROR, exact_quantiles, quantile_values
 from paysight.schema import TARGET
 
@@ -35,7 +36,7 @@ def fit_bounds(
 def apply_bounds(df: DataFrame, bounds: Bounds | None, col: str = TARGET) -> DataFrame:
     if bounds is None:
         return df
-    return df.where((F.col(col) >= F.lit(bounds.lo)) & (F.col(col) <= F.lit(bounds.hi)))
+    return within(df, col, bounds.lo, bounds.hi)
 
 
 def trim_quantiles(

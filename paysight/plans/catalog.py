@@ -14,14 +14,11 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paysight.functions.buckets import md5_bucket
 from paysight.functions.parse import age_to_double, years_to_double
 from paysight.operators import profile as prof
-from paysight.operators.features import FeatureSpec, assemble_and_scale, vocabulary
-from paysight.operators.filters import drop_any_null, population_filter, positive
+from paysight.operators.features import assemble_and_scale, vocabulary
+from paysight.operators.filters import at_most, drop_any_null, population_filter, positive
 from paysight.operators.models import (
-    GBT_V1,
-    GBT_V2,
     LR_V1,
     LR_V2,
     best_model,
@@ -34,7 +31,7 @@ from paysight.operators.models import (
 from paysight.operators.quantiles import quantile_values
 from paysight.operators.rare import group_rare
 from paysight.operators.sample import hash_sample, hash_split, with_split
-from paysight.operators.text import fill_text, split_tokens
+from paysight.operators.text import fill_text, join_choices, split_tokens
 from paysight.operators.trim import impute_median, trim_quantiles
 from paysight.operators.union import union_by_name
 from paysight.plans.eda import report
@@ -128,7 +125,7 @@ def q_trim_outliers(spark, sf):
 def q_upper_cut(spark, sf):
     o = _orders(spark, sf)
     (q99,) = quantile_values(o, "o_totalprice", [0.99], EXACT)
-    return o.where(F.col("o_totalprice") <= F.lit(q99)).select("o_orderkey", "o_totalprice")
+    return at_most(o, "o_totalprice", q99).select("o_orderkey", "o_totalprice")
 
 
 def q_drop_any_null(spark, sf):
@@ -241,7 +238,7 @@ def q_salary_quantiles(spark, sf):
 def _hist_rows(spark, sf):
     o = _orders(spark, sf)
     (q99,) = quantile_values(o, "o_totalprice", [0.99], EXACT)
-    kept = o.where(F.col("o_totalprice").isNotNull() & (F.col("o_totalprice") > 0) & (F.col("o_totalprice") <= q99))
+    kept = at_most(positive(o, "o_totalprice"), "o_totalprice", q99)
     return kept.withColumn("log_price", F.log1p("o_totalprice"))
 
 
@@ -304,9 +301,9 @@ def q_tokens(spark, sf):
     lang, db = split_tokens("LanguageHaveWorkedWith"), split_tokens("DatabaseHaveWorkedWith")
     return s.select(
         "ResponseId",
-        F.concat_ws("|", lang).alias("lang_tokens"),
+        join_choices(lang, "|").alias("lang_tokens"),
         F.size(lang).alias("n_lang"),
-        F.concat_ws("|", db).alias("db_tokens"),
+        join_choices(db, "|").alias("db_tokens"),
         F.size(db).alias("n_db"),
     )
 
@@ -347,7 +344,7 @@ def _lr_1f_data(spark, sf):
     from pyspark.ml.feature import VectorAssembler
 
     li = _lineitem(spark, sf).select("l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice")
-    li = li.withColumn("label", F.log1p("l_extendedprice"))
+    li = with_label(li, "l_extendedprice")
     return VectorAssembler(inputCols=["l_quantity"], outputCol="features").transform(li)
 
 
