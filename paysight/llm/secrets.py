@@ -100,20 +100,27 @@ def candidates(docs: DataFrame, text_col: str, path_col: str | None) -> DataFram
     )
     out = out.withColumn("runs", F.regexp_extract_all("body", F.lit(CANDIDATE), F.lit(0)))
     out = out.withColumn("pieces", F.when(F.size("runs") > 0, F.split("body", CANDIDATE, -1)).otherwise(F.array("body")))
-    step = lambda acc, i: F.struct(
-        (acc["at"] + F.length(F.get("pieces", i)) + F.length(F.get("runs", i))).alias("at"),
-        F.concat(acc["starts"], F.array(acc["at"] + F.length(F.get("pieces", i)))).alias("starts"),
+    # arrays are handed to the lambdas as arguments, worked out once per row, never looked up by index in them
+    sizes = F.zip_with("pieces", "runs", lambda p, r: F.struct(F.length(p).alias("piece"), F.coalesce(F.length(r), F.lit(0)).alias("run")))
+    step = lambda acc, s: F.struct(
+        (acc["at"] + s["piece"] + s["run"]).alias("at"),
+        F.concat(acc["starts"], F.array(acc["at"] + s["piece"])).alias("starts"),
     )
-    numbers = F.when(F.size("runs") > 0, F.sequence(F.lit(0), F.size("runs") - 1)).otherwise(F.array().cast("array<int>"))
     begin = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<long>").alias("starts"))
-    out = out.withColumn("starts", F.aggregate(numbers, begin, step, lambda acc: acc["starts"]))
-    context = lambda i: F.struct(
-        F.get("starts", i).alias("start"),
-        F.get("runs", i).alias("text"),
-        F.right(F.get("pieces", i), F.lit(CONTEXT)).alias("left"),
-        F.left(F.get("pieces", i + 1), F.lit(CONTEXT)).alias("right"),
+    n = F.size("runs")
+    placed = F.arrays_zip(
+        F.slice(F.aggregate(sizes, begin, step, lambda acc: acc["starts"]), 1, n).alias("start"),
+        F.col("runs").alias("text"),
+        F.slice("pieces", 1, n).alias("before"),
+        F.slice("pieces", 2, n).alias("after"),
     )
-    out = out.withColumn("found", F.transform(numbers, context))
+    context = lambda x: F.struct(
+        x["start"].alias("start"),
+        x["text"].alias("text"),
+        F.right(x["before"], F.lit(CONTEXT)).alias("left"),
+        F.left(x["after"], F.lit(CONTEXT)).alias("right"),
+    )
+    out = out.withColumn("found", F.transform(placed, context))
     described = lambda c: c.withField("features", describe(c["text"], c["left"], c["right"], F.col("path")))
     return out.select("doc", "pieces", F.transform("found", described).alias("found"))
 
@@ -181,10 +188,16 @@ def fit_secrets(findings: DataFrame, max_findings: int = TRAINING_FINDINGS) -> S
     return SecretModel([_tree(tree._java_obj.rootNode()) for tree in forest.fit(rows).trees])
 
 
+def _each(found: DataFrame, *columns: Column) -> DataFrame:
+    """A row per candidate, as ``c``. An inner explode would let the optimizer test the array for being
+    empty ahead of it, and so work out the whole array, its regular expressions included, twice."""
+    return found.select(*columns, F.explode_outer("found").alias("c")).filter(F.col("c").isNotNull())
+
+
 def learn_secrets(docs: DataFrame, text_col: str = "text", path_col: str | None = "source") -> SecretModel:
     """Fit on the findings of ``docs`` that the strict rules label."""
     used = [c for c in dict.fromkeys([text_col, path_col]) if c in docs.columns]
-    found = candidates(docs.select(*used), text_col, path_col).select(F.explode("found").alias("c"))
+    found = _each(candidates(docs.select(*used), text_col, path_col))
     return fit_secrets(found.select(F.col("c.features").alias("features"), rule_labels(F.col("c")).alias("label")))
 
 
@@ -202,7 +215,7 @@ def find_secrets(docs: DataFrame, model: SecretModel, id_col: str = "doc_id", te
     """
     used = [c for c in dict.fromkeys([id_col, text_col, path_col]) if c in docs.columns]
     found = scan_secrets(docs.select(*used), model, text_col, path_col)
-    rows = found.select(F.col("doc")[id_col].alias(id_col), F.explode("found").alias("c"))
+    rows = _each(found, F.col("doc")[id_col].alias(id_col))
     return rows.select(id_col, "c.start", "c.text", "c.left", "c.right", "c.score", (F.col("c.score") >= THRESHOLD).alias("is_secret"))
 
 
