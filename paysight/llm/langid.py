@@ -28,7 +28,7 @@ from .common import id_remainder, table
 START = "▁"  # begins every word, as in the vocabulary
 MAX_PIECE = 10  # letters of a piece, the start mark included
 PART = 32  # letters that a forward pass takes at once; longer words are scored in parts
-CACHE_WORDS = 1 << 19  # distinct words that a task counts, or a worker keeps the scores of, at a time
+CACHE_WORDS = 1 << 20  # distinct words that a task counts, or a worker keeps the scores of, at a time
 DENSE = 64  # letters with a full row of trie steps; the others' steps are searched for
 WORDS_AT_ONCE = 1 << 14
 TEXTS_AT_ONCE = 256
@@ -139,12 +139,12 @@ def _reach(length: int) -> int:
 
 
 def forward(seg: Segmenter, words: list[str], probs: np.ndarray):
-    """alpha[word, position, language]: the summed probability of all segmentations of a prefix."""
+    """alpha[position, word, language]: the summed probability of all segmentations of a prefix."""
     lengths, edges = seg.edges(words)
-    alpha = np.zeros((len(words), int(lengths.max(initial=0)) + 1, probs.shape[1]))
-    alpha[:, 0] = 1.0
+    alpha = np.zeros((int(lengths.max(initial=0)) + 1, len(words), probs.shape[1]))
+    alpha[0] = 1.0
     for (start, length), (at, piece) in sorted(edges.items()):
-        alpha[at, start + _reach(length)] += alpha[at, start] * probs[piece]
+        alpha[start + _reach(length)][at] += alpha[start][at] * probs[piece]
     return lengths, edges, alpha
 
 
@@ -155,7 +155,7 @@ def word_scores(seg: Segmenter, words: list[str], probs: np.ndarray) -> np.ndarr
     for a in range(0, len(parts), WORDS_AT_ONCE):
         some = parts[a : a + WORDS_AT_ONCE]
         lengths, _, alpha = forward(seg, [p for _, p in some], probs)
-        np.add.at(out, [k for k, _ in some], np.log(alpha[np.arange(len(some)), lengths]))
+        np.add.at(out, [k for k, _ in some], np.log(alpha[lengths, np.arange(len(some))]))
     return out
 
 
@@ -169,12 +169,12 @@ def expected_counts(seg: Segmenter, words: list[str], counts: list[int], probs:
         lengths, edges, alpha = forward(seg, [p for p, _ in some], probs[:, None])
         alpha = alpha[:, :, 0]
         beta = np.zeros_like(alpha)
-        beta[np.arange(len(some)), lengths] = 1.0
+        beta[lengths, np.arange(len(some))] = 1.0
         for (start, length), (at, piece) in sorted(edges.items(), reverse=True):
-            beta[at, start] += beta[at, start + _reach(length)] * probs[piece]
-        whole = alpha[np.arange(len(some)), lengths]
+            beta[start][at] += beta[start + _reach(length)][at] * probs[piece]
+        share = n / alpha[lengths, np.arange(len(some))]
         for (start, length), (at, piece) in edges.items():
-            use = alpha[at, start] * probs[piece] * beta[at, start + _reach(length)] / whole[at] * n[at]
+            use = alpha[start][at] * probs[piece] * beta[start + _reach(length)][at] * share[at]
             out += np.bincount(piece, use, seg.size)
     return out
 
@@ -213,12 +213,12 @@ class Scorer:
         if len(self.place) + len(new) > CACHE_WORDS:
             self.place.clear()
             new = set().union(*docs)
-        runs, first = sorted(new), len(self.place) + 1
+        runs, first = list(new), len(self.place) + 1
         while first + len(runs) > len(self.scores):
             self.scores = np.concatenate([self.scores, np.zeros_like(self.scores)])
         self.place.update(zip(runs, range(first, first + len(runs))))
         words = [words_of(r) for r in runs]
-        distinct = sorted({w for own in words for w in own})
+        distinct = list({w for own in words for w in own})
         number = dict(zip(distinct, range(len(distinct))))
         scored = word_scores(self.seg, distinct, self.model.probs)
         at = np.fromiter((number[w] for own in words for w in own), np.int64)
