@@ -45,7 +45,9 @@ def runs_of(text: str | None) -> list[str]:
     return text.lower().split() if text else []
 
 
-words_of = LETTERS.findall
+def words_of(run: str) -> list[str]:
+    """The letter words of a run; most runs are one."""
+    return [run] if run.isalpha() else LETTERS.findall(run)
 
 
 def parts_of(word: str) -> list[str]:
