@@ -53,6 +53,10 @@ def _any_of(names: str) -> str:
     return "(?:" + "|".join(names.split()) + ")"
 
 
+# A secret's name, to which a number or further parts may be joined, as in api_key_v2 or SECRET_KEY_1.
+NAME = _any_of(KEY_WORDS) + r"(?:[_-]\w{1,16}|\d{1,4})?"
+
+
 def _share(text: Column, pattern: str) -> Column:
     return F.regexp_count(text, F.lit(pattern)) / F.greatest(F.length(text), F.lit(1))
 
@@ -78,7 +82,7 @@ def describe(text: Column, left: Column, right: Column, path: Column) -> Column:
         1 - F.length(uncovered) / length,
         flag(F.lower(path).rlike(_any_of(SHAM_WORDS))),
         F.regexp_count(path, F.lit("/")),
-        flag(before.rlike(_any_of(KEY_WORDS) + r"\W{0,4}$")),
+        flag(before.rlike(NAME + r"\W{0,4}$")),
         flag(before.rlike(r"""[=:]\s?["']?$""")),
         flag(left.rlike("[\"']$") & right.rlike("^[\"']")),
         flag(before.rlike(r"\b" + _any_of(SHAM_WORDS))),
@@ -108,19 +112,21 @@ def candidates(docs: DataFrame, text_col: str, path_col: str | None) -> DataFram
     )
     begin = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<long>").alias("starts"))
     n = F.size("runs")
+    # the context is the whole text's, candidates included: what stood before the last candidate goes along
+    ends = F.zip_with("pieces", "runs", lambda p, r: F.struct(F.right(p, F.lit(CONTEXT)).alias("piece"), F.right(F.coalesce(r, F.lit("")), F.lit(CONTEXT)).alias("run")))
+    last = lambda text: F.right(text, F.lit(CONTEXT))
+    walk = lambda acc, s: F.struct(
+        last(F.concat(acc["tail"], s["piece"], s["run"])).alias("tail"),
+        F.concat(acc["lefts"], F.array(last(F.concat(acc["tail"], s["piece"])))).alias("lefts"),
+    )
+    empty = F.struct(F.lit("").alias("tail"), F.array().cast("array<string>").alias("lefts"))
     placed = F.arrays_zip(
         F.slice(F.aggregate(sizes, begin, step, lambda acc: acc["starts"]), 1, n).alias("start"),
         F.col("runs").alias("text"),
-        F.slice("pieces", 1, n).alias("before"),
-        F.slice("pieces", 2, n).alias("after"),
-    )
-    context = lambda x: F.struct(
-        x["start"].alias("start"),
-        x["text"].alias("text"),
-        F.right(x["before"], F.lit(CONTEXT)).alias("left"),
-        F.left(x["after"], F.lit(CONTEXT)).alias("right"),
+        F.slice(F.aggregate(ends, empty, walk, lambda acc: acc["lefts"]), 1, n).alias("left"),
+        F.regexp_extract_all("body", F.lit(f"(?:{CANDIDATE})(?=([\\s\\S]{{0,{CONTEXT}}}))"), F.lit(1)).alias("right"),
     )
-    out = out.withColumn("found", F.transform(placed, context))
+    out = out.withColumn("found", placed)
     described = lambda c: c.withField("features", describe(c["text"], c["left"], c["right"], F.col("path")))
     return out.select("doc", "pieces", F.transform("found", described).alias("found"))
 
@@ -133,7 +139,7 @@ def rule_labels(found: Column) -> Column:
     without an assignment.
     """
     text, left, right = found["text"], F.lower(found["left"]), found["right"]
-    keyed = left.rlike(_any_of(KEY_WORDS) + r"""\s?[=:]\s?["']?$""")
+    keyed = left.rlike(NAME + r"""["']?\s?[=:]\s?["']?$""")
     sure = text.rlike("^AKIA[0-9A-Z]{16}$") | (keyed & text.rlike("[A-Za-z]") & text.rlike("[0-9]") & (F.length(text) >= 12))
     dictionary = F.get(found["features"], F.lit(FEATURES.index("dictionary")))
     harmless = text.rlike("^[0-9+/_-]+$") | left.endswith("@") | right.startswith("@") | ((dictionary >= 0.5) & ~keyed)

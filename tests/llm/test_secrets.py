@@ -76,3 +76,18 @@ def test_many_candidates_in_one_text(spark, model, make_docs):
 def test_no_python_in_the_plan(spark, model):
     plan = S.find_secrets(spark.read.parquet(f"{SF}/documents.parquet"), model)._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow|Join|Exchange", plan)
+
+
+def test_context_is_the_text_around_a_candidate(spark, model, make_docs):
+    value = "b7db7aa4a5fcc78305"
+    texts = [f'{{"password":"{value}"}}', f'{{"client_secret": "{value}"}}', f"api_key_v2={value} x", f"AWS_SECRET_KEY_1: {value}", f"\U0001f600 a1b2c3d4e5 f6a7b8c9d0 é password9={value} z1y2x3w4v5"]
+    docs = make_docs(list(enumerate(texts)))
+    rows = S.find_secrets(docs, model).collect()
+    for r in rows:
+        text = texts[r.doc_id]
+        assert text[: r.start].endswith(r.left) and len(r.left) == min(r.start, S.CONTEXT)
+        assert r.right == text[r.start + len(r.text) :][: S.CONTEXT]
+    assert {(r.doc_id, r.is_secret) for r in rows if r.text == value} == {(k, True) for k in range(len(texts))}
+    found = S.candidates(docs, "text", "source").select(F.explode("found").alias("c")).filter(F.col("c.text") == value)
+    key = S.FEATURES.index("left_key")
+    assert [(r.key, r.label) for r in found.select(F.col("c.features")[key].alias("key"), S.rule_labels(F.col("c")).alias("label")).collect()] == [(1.0, 1)] * len(texts)
