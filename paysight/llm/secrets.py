@@ -1,7 +1,7 @@
 """Secret scan with a random forest for false-positive removal, in DataFrame operations only.
 
-A regular expression finds candidates: runs of key characters that hold a digit or stand right after
-``=``, ``:`` or a quote. Each is described by its length, its character transitions, how much of it
+A regular expression finds candidates: whatever is assigned to a secret's name, and runs of key
+characters that hold a digit or stand right after ``=``, ``:`` or a quote. Each is described by its length, its character transitions, how much of it
 dictionary words cover, the path of its document and the words around it. A forest trained on
 labelled findings scores it. The fitted trees become one SQL expression over the candidate's
 features, so scoring happens inside the row: texts are read once, and nothing is joined or shuffled.
@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from .common import Scratch, table
 
 # A maximal run of eight or more key characters that holds a digit or follows an assignment or a quote.
-CANDIDATE = r"""(?<![A-Za-z0-9+/_-])(?:(?=[A-Za-z+/_-]{0,64}[0-9])|(?<=[=:"']))[A-Za-z0-9+/_-]{8,}"""
+CANDIDATE = r"""(?<![A-Za-z0-9+/_-])(?:(?=[A-Za-z+/_-]*+[0-9])|(?<=[=:"']))[A-Za-z0-9+/_-]{8,}"""
 CONTEXT = 48  # characters kept on either side
 
 # Words that name a secret, and words that mark an invented one.
@@ -55,6 +55,17 @@ def _any_of(names: str) -> str:
 
 # A secret's name, to which a number or further parts may be joined, as in api_key_v2 or SECRET_KEY_1.
 NAME = _any_of(KEY_WORDS) + r"(?:[_-]\w{1,16}|\d{1,4})?"
+SIGN = r"""["']?\s{0,8}(?:[=:]{1,3}>?|=>)\s{0,8}"""  # after a name, before a value and its quote; a lookbehind needs a bound
+KEYED = f"""{NAME}{SIGN}["']?$"""
+
+# Eight or more characters without a blank, assigned to a secret's name: up to the quote if there is one, else
+# without punctuation at the end. The first two lookarounds only spare the third.
+ASSIGNED = (
+    r"""(?<=[=:>"'\s])(?![=:>])(?=[^\s"']{8})(?<=[=:]>?\s{0,8}["']?)"""
+    + f"(?:(?<=(?i:{NAME}){SIGN}\")[^\\s\"]{{8,}}|(?<=(?i:{NAME}){SIGN}')[^\\s']{{8,}}"
+    + f"|(?<=(?i:{NAME}){SIGN})[^\\s\"']{{7,}}[^\\s\"'.,;:!?)}}\\]>])"
+)
+SEARCH = f"(?:{ASSIGNED}|{CANDIDATE})"
 
 
 def _share(text: Column, pattern: str) -> Column:
@@ -82,8 +93,8 @@ def describe(text: Column, left: Column, right: Column, path: Column) -> Column:
         1 - F.length(uncovered) / length,
         flag(F.lower(path).rlike(_any_of(SHAM_WORDS))),
         F.regexp_count(path, F.lit("/")),
-        flag(before.rlike(NAME + r"\W{0,4}$")),
-        flag(before.rlike(r"""[=:]\s?["']?$""")),
+        flag(before.rlike(NAME + r"\W{0,4}$") | before.rlike(KEYED)),
+        flag(before.rlike(r"""[=:]>?\s{0,8}["']?$""")),
         flag(left.rlike("[\"']$") & right.rlike("^[\"']")),
         flag(before.rlike(r"\b" + _any_of(SHAM_WORDS))),
         flag(left.endswith("@") | right.startswith("@") | right.rlike(r"^\.\w+@")),
@@ -102,8 +113,8 @@ def candidates(docs: DataFrame, text_col: str, path_col: str | None) -> DataFram
         F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("body"),
         F.coalesce(path, F.lit("")).alias("path"),
     )
-    out = out.withColumn("runs", F.regexp_extract_all("body", F.lit(CANDIDATE), F.lit(0)))
-    out = out.withColumn("pieces", F.when(F.size("runs") > 0, F.split("body", CANDIDATE, -1)).otherwise(F.array("body")))
+    out = out.withColumn("runs", F.regexp_extract_all("body", F.lit(SEARCH), F.lit(0)))
+    out = out.withColumn("pieces", F.when(F.size("runs") > 0, F.split("body", SEARCH, -1)).otherwise(F.array("body")))
     # arrays are handed to the lambdas as arguments, worked out once per row, never looked up by index in them
     sizes = F.zip_with("pieces", "runs", lambda p, r: F.struct(F.length(p).alias("piece"), F.coalesce(F.length(r), F.lit(0)).alias("run")))
     step = lambda acc, s: F.struct(
@@ -124,7 +135,7 @@ def candidates(docs: DataFrame, text_col: str, path_col: str | None) -> DataFram
         F.slice(F.aggregate(sizes, begin, step, lambda acc: acc["starts"]), 1, n).alias("start"),
         F.col("runs").alias("text"),
         F.slice(F.aggregate(ends, empty, walk, lambda acc: acc["lefts"]), 1, n).alias("left"),
-        F.regexp_extract_all("body", F.lit(f"(?:{CANDIDATE})(?=([\\s\\S]{{0,{CONTEXT}}}))"), F.lit(1)).alias("right"),
+        F.regexp_extract_all("body", F.lit(f"{SEARCH}(?=([\\s\\S]{{0,{CONTEXT}}}))"), F.lit(1)).alias("right"),
     )
     out = out.withColumn("found", placed)
     described = lambda c: c.withField("features", describe(c["text"], c["left"], c["right"], F.col("path")))
@@ -139,7 +150,7 @@ def rule_labels(found: Column) -> Column:
     without an assignment.
     """
     text, left, right = found["text"], F.lower(found["left"]), found["right"]
-    keyed = left.rlike(NAME + r"""["']?\s?[=:]\s?["']?$""")
+    keyed = left.rlike(KEYED)
     sure = text.rlike("^AKIA[0-9A-Z]{16}$") | (keyed & text.rlike("[A-Za-z]") & text.rlike("[0-9]") & (F.length(text) >= 12))
     dictionary = F.get(found["features"], F.lit(FEATURES.index("dictionary")))
     harmless = text.rlike("^[0-9+/_-]+$") | left.endswith("@") | right.startswith("@") | ((dictionary >= 0.5) & ~keyed)

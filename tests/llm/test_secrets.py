@@ -91,3 +91,23 @@ def test_context_is_the_text_around_a_candidate(spark, model, make_docs):
     found = S.candidates(docs, "text", "source").select(F.explode("found").alias("c")).filter(F.col("c.text") == value)
     key = S.FEATURES.index("left_key")
     assert [(r.key, r.label) for r in found.select(F.col("c.features")[key].alias("key"), S.rule_labels(F.col("c")).alias("label")).collect()] == [(1.0, 1)] * len(texts)
+
+
+def test_whatever_is_assigned_to_a_name_is_a_candidate(spark, model, make_docs):
+    long = "q" * 70 + "7"
+    cases = [
+        ("password = correcthorsebattery", "correcthorsebattery"),
+        ("password: hunterhunter.", "hunterhunter"),
+        ("password: P@ssw0rd!2024, then", "P@ssw0rd!2024"),
+        ('{"db_password" : "my.pass(word),1"}', "my.pass(word),1"),
+        ("{'API_KEY_V2': 'zq!xy#vw$k'}", "zq!xy#vw$k"),
+        ("SECRET_KEY_1  =>  abcdefgh~ijkl", "abcdefgh~ijkl"),
+        (f"see {long} here", long),
+    ]
+    rows = S.find_secrets(make_docs([(k, t) for k, (t, _) in enumerate(cases)]), model).collect()
+    found = {(r.doc_id, r.start, r.text) for r in rows}
+    assert {(k, t.index(v), v) for k, (t, v) in enumerate(cases)} <= found
+    sure = S.redact_secrets(make_docs([(0, "password: P@ssw0rd!2024, then")]), model).collect()
+    assert sure[0].text == "password: [secret], then"
+    none = ["the password is of no use", "a secret: short", "token: ", "password = \n", "a colon: ordinarywords follow"]
+    assert S.find_secrets(make_docs(list(enumerate(none))), model).count() == 0
