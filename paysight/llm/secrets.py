@@ -44,7 +44,7 @@ FEATURES = (
 TREES = 16
 DEPTH = 5
 SEED = 42
-TRAINING_FINDINGS = 40_000  # labelled findings the forest is fitted on, about
+GROUPS_A_TASK = 10_000  # distinct labelled findings in a partition of the forest's input, about
 THRESHOLD = 0.5
 MASK = "[secret]"
 
@@ -186,22 +186,22 @@ def _tree(node):
     return (split.featureIndex(), float(split.threshold()), _tree(node.leftChild()), _tree(node.rightChild()))
 
 
-def fit_secrets(findings: DataFrame, max_findings: int = TRAINING_FINDINGS) -> SecretModel:
-    """A forest fitted on labelled findings (features, label 0 or 1).
+def fit_secrets(findings: DataFrame) -> SecretModel:
+    """A forest fitted on all labelled findings (features, label 0 or 1).
 
-    Of more than ``max_findings`` about that many are taken, by a digest of their features, so the same
-    ones every time. Null labels teach nothing. Without both labels every score is the only label's value, or 0.
+    Findings with equal features and label are one row with their number as its weight, so what repeats
+    costs no more. Null labels teach nothing. Without both labels every score is the only label's value, or 0.
     """
-    known = findings.filter(F.col("label").isin(0, 1)).select("features", F.col("label").cast("double").alias("label"))
+    known = findings.filter(F.col("label").isin(0, 1)).groupBy("features", F.col("label").cast("double").alias("label")).agg(F.count("*").cast("double").alias("weight"))
     known = Scratch(findings.sparkSession, "secrets").write(known, "findings")
-    n, share = known.agg(F.count("*"), F.avg("label")).first()
-    if not n or share in (0.0, 1.0):
-        return SecretModel([float(share)] if n else [])
-    whole = 1 << 20
-    few = known.filter(F.pmod(F.xxhash64("features", "label"), F.lit(whole)) < int(whole * min(1.0, max_findings / n)))
-    # bounded by the sample, and in one order, so the forest does not depend on the partitions
-    rows = few.select(array_to_vector("features").alias("x"), "label").repartition(1).sortWithinPartitions("label", "x")
-    forest = RandomForestClassifier(featuresCol="x", labelCol="label", numTrees=TREES, maxDepth=DEPTH, seed=SEED, featureSubsetStrategy="sqrt")
+    groups, n, ones = known.agg(F.count("*"), F.sum("weight"), F.sum(F.col("weight") * F.col("label"))).first()
+    if not groups or ones in (0.0, n):
+        return SecretModel([ones / n] if groups else [])
+    # dealt by content into as many partitions as the rows ask for, each in one order: the forest follows from the rows
+    parts = 1 + groups // GROUPS_A_TASK
+    rows = known.select(array_to_vector("features").alias("x"), "label", "weight", "features").repartition(parts, "features", "label")
+    rows = rows.sortWithinPartitions("label", "features").drop("features")
+    forest = RandomForestClassifier(featuresCol="x", labelCol="label", weightCol="weight", numTrees=TREES, maxDepth=DEPTH, seed=SEED, featureSubsetStrategy="sqrt")
     return SecretModel([_tree(tree._java_obj.rootNode()) for tree in forest.fit(rows).trees])
 
 

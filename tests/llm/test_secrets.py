@@ -111,3 +111,22 @@ def test_whatever_is_assigned_to_a_name_is_a_candidate(spark, model, make_docs):
     assert sure[0].text == "password: [secret], then"
     none = ["the password is of no use", "a secret: short", "token: ", "password = \n", "a colon: ordinarywords follow"]
     assert S.find_secrets(make_docs(list(enumerate(none))), model).count() == 0
+
+
+def test_forest_learns_from_every_labelled_finding(spark, monkeypatch):
+    from pyspark.ml.classification import RandomForestClassifier
+
+    kept = []
+    fit = RandomForestClassifier.fit
+    monkeypatch.setattr(RandomForestClassifier, "fit", lambda self, df: kept.append((self, df)) or fit(self, df))
+    # one vector has half of the findings, 600 others share the rest, one finding is a secret
+    n, width = 60_000, len(S.FEATURES)
+    shape = F.when(F.col("id") == 7, -1).when(F.col("id") % 2 == 0, 0).otherwise(F.col("id") % 1200).cast("double")
+    findings = spark.range(n).select(F.array_repeat(shape, width).alias("features"), (F.col("id") == 7).cast("int").alias("label"))
+    model = S.fit_secrets(findings)
+    forest, rows = kept[0]
+    assert forest.getWeightCol() == "weight"
+    got = {(r.x[0], r.label): r.weight for r in rows.collect()}
+    want = {(r.s, float(r.label)): float(r["count"]) for r in findings.groupBy(F.col("features")[0].alias("s"), "label").count().collect()}
+    assert got == want and sum(got.values()) == n and rows.count() == len(got)
+    assert len(model.trees) == S.TREES
