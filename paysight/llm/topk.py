@@ -106,21 +106,23 @@ def top_k(
 
     ``vector_col`` holds doubles with integer values; ``is_query`` is a boolean column over ``rows``.
     Ties go to the smaller id. Candidates are all rows of the same dimension but those with the
-    query's own id. Rows with a null id, a null vector or a null or non-finite component take no part;
-    identical rows count once. Queries without candidates give no rows. Other columns are ignored.
+    query's own id, repeated rows as often as they occur; a query that repeats in id and vector is asked
+    once. Rows with a null id, a null vector or a null or non-finite component take no part. Queries without candidates give no rows. Other columns are ignored.
     """
     v = F.col(vector_col)
     sound = v.isNotNull() & F.forall(v, lambda x: F.coalesce(F.abs(x) < F.lit(float("inf")), F.lit(False)))
     clean = rows.filter(F.col(id_col).isNotNull()).filter(sound)
-    clean = clean.select(F.col(id_col).cast("long").alias("id"), v.cast("array<double>").alias("vector"), F.coalesce(is_query, F.lit(False)).alias("asks")).distinct()
+    clean = clean.select(F.col(id_col).cast("long").alias("id"), v.cast("array<double>").alias("vector"), F.coalesce(is_query, F.lit(False)).alias("asks"), F.monotonically_increasing_id().alias("row"))
     clean = Scratch(rows.sparkSession, "topk").write(clean, "vectors")
     n, asking = clean.agg(F.count("*"), F.count_if("asks")).first()
     shards, blocks = int(n) // shard_rows + 1, int(asking) // block_queries + 1
     # every query is also a candidate; a row meets each block as a candidate and each shard as a query
-    spread = lambda salt, parts: F.pmod(F.xxhash64("id", "vector", F.lit(salt)), F.lit(parts))
+    # and copies of a row are dealt apart by their numbers, which never change once written
+    spread = lambda parts, *by: F.pmod(F.xxhash64(*by), F.lit(parts))
     upto = lambda parts: F.sequence(F.lit(0).cast("long"), F.lit(parts - 1).cast("long"))
-    candidates = clean.select("id", "vector", F.lit(False).alias("asks"), spread(1, shards).alias("shard"), F.explode(upto(blocks)).alias("block"))
-    queries = clean.filter("asks").select("id", "vector", "asks", F.explode(upto(shards)).alias("shard"), spread(2, blocks).alias("block"))
+    candidates = clean.select("id", "vector", F.lit(False).alias("asks"), spread(shards, "row").alias("shard"), F.explode(upto(blocks)).alias("block"))
+    queries = clean.filter("asks").select("id", "vector", "asks").distinct()
+    queries = queries.select("id", "vector", "asks", F.explode(upto(shards)).alias("shard"), spread(blocks, "id", "vector").alias("block"))
 
     def meet(pdf: pd.DataFrame) -> pd.DataFrame:
         asks = pdf["asks"].to_numpy()
@@ -137,7 +139,7 @@ def top_k(
         .applyInPandas(meet, "query_id long, vec_id long, score long")
     )
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    ranked = found.distinct().withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+    ranked = found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")
 
 

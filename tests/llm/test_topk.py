@@ -46,3 +46,13 @@ def test_empty_table_and_lone_query(spark):
     assert T.top_k(empty, F.col("vec_id") % 50 == 0).count() == 0
     lone = spark.createDataFrame([(50, [1.0])], "vec_id long, vector array<double>")
     assert T.top_k(lone, F.col("vec_id") % 50 == 0).count() == 0
+
+
+@pytest.mark.parametrize("shard_rows,block", [(8192, 1024), (3, 1)])
+def test_repeated_candidates_count_each(spark, shard_rows, block):
+    # 7 twice, 8 with two vectors of one score for either query, 9 three times
+    rows = [(50, [1.0, 0.0]), (100, [2.0, 0.0]), (7, [9.0, 1.0]), (7, [9.0, 1.0]), (8, [8.0, 1.0]), (8, [8.0, 2.0]), *[(9, [7.0, 0.0])] * 3, (10, [-1.0, 0.0])]
+    df = spark.createDataFrame(rows, "vec_id long, vector array<double>")
+    got = T.top_k(df, F.col("vec_id") % 50 == 0, shard_rows=shard_rows, block_queries=block)
+    want = [(q, r, i, s * q // 50) for q in (50, 100) for r, (i, s) in enumerate([(7, 9), (7, 9), (8, 8), (8, 8), (9, 7)], 1)]
+    assert sorted(tuple(r) for r in got.collect()) == want
