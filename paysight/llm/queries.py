@@ -5,6 +5,7 @@ from __future__ import annotations
 import corpus_pipeline
 
 from .decontaminate import OP8_SQL, op8_benchmark_decontamination
+from .exact_dedup import OP11_SQL, op11_exact_dedup
 from .langid import op1_language_id
 from .licenses import OP3_SQL, op3_license_scan
 from .lm import op4_lm_scoring
@@ -26,6 +27,7 @@ QUERIES = {
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
     "op9_secret_scan": op9_secret_scan,
     "op10_topk_search": op10_topk_search,
+    "op11_exact_dedup": op11_exact_dedup,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -33,4 +35,5 @@ ORACLE = {
     "op3_license_scan": OP3_SQL,
     "op8_benchmark_decontamination": OP8_SQL,
     "op10_topk_search": OP10_SQL,
+    "op11_exact_dedup": OP11_SQL,
 }

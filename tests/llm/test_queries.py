@@ -8,8 +8,8 @@ SF = "/root/testdata/sf0.001"
 
 
 def test_one_query_per_operator_and_the_pipeline():
-    assert sorted(QUERIES) == sorted([*(q for n in range(1, 11) for q in QUERIES if q.startswith(f"op{n}_")), "pipeline"])
-    assert len(QUERIES) == 11 and QUERIES.items() <= entry.queries().items()
+    assert sorted(QUERIES) == sorted([*(q for n in range(1, 14) for q in QUERIES if q.startswith(f"op{n}_")), "pipeline"])
+    assert len(QUERIES) == 14 and QUERIES.items() <= entry.queries().items()
 
 
 def test_oracle_texts_are_sql():
