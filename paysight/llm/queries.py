@@ -15,6 +15,7 @@ from .secrets import op9_secret_scan
 from .simhash import op7_simhash_dedup
 from .token_counts import op5_token_counts
 from .topk import OP10_SQL, op10_topk_search
+from .vector_codes import OP13_SQL, op13_vector_codes
 
 QUERIES = {
     "op1_language_id": op1_language_id,
@@ -28,6 +29,7 @@ QUERIES = {
     "op9_secret_scan": op9_secret_scan,
     "op10_topk_search": op10_topk_search,
     "op11_exact_dedup": op11_exact_dedup,
+    "op13_vector_codes": op13_vector_codes,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -36,4 +38,5 @@ ORACLE = {
     "op8_benchmark_decontamination": OP8_SQL,
     "op10_topk_search": OP10_SQL,
     "op11_exact_dedup": OP11_SQL,
+    "op13_vector_codes": OP13_SQL,
 }
