@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import corpus_pipeline
 
+from .collocations import OP12_SQL, op12_collocations
 from .decontaminate import OP8_SQL, op8_benchmark_decontamination
 from .exact_dedup import OP11_SQL, op11_exact_dedup
 from .langid import op1_language_id
@@ -29,6 +30,7 @@ QUERIES = {
     "op9_secret_scan": op9_secret_scan,
     "op10_topk_search": op10_topk_search,
     "op11_exact_dedup": op11_exact_dedup,
+    "op12_collocations": op12_collocations,
     "op13_vector_codes": op13_vector_codes,
     "pipeline": corpus_pipeline.run,
 }
@@ -38,5 +40,6 @@ ORACLE = {
     "op8_benchmark_decontamination": OP8_SQL,
     "op10_topk_search": OP10_SQL,
     "op11_exact_dedup": OP11_SQL,
+    "op12_collocations": OP12_SQL,
     "op13_vector_codes": OP13_SQL,
 }
