@@ -6,14 +6,15 @@ where a piece ends, so "next position" means "same piece and adjacent". One step
 
 1. merge-join the relation with itself: where phrases of k words begin at a position and at the next,
    the two make one of k + 1;
-2. group-count these, by a 64-bit key of each phrase;
-3. semi-join: keep the occurrences whose group is frequent, and persist them as the next relation;
-4. count the kept groups exactly, by language and words.
+2. group-count these, by a 64-bit key of each phrase, with a second hash and the place of one occurrence;
+3. spell the frequent groups from that one place; groups of several phrases (their second hashes
+   differ) are counted anew by their words;
+4. semi-join: keep the occurrences whose group is frequent, and persist them as the next relation.
 
 The relation is partitioned by document, so joins need no exchange, and what a task sends is one
-count for each distinct phrase it saw. The semi-join asks a bit filter of a fixed largest size. Keys that
-share a hash or bits with a frequent one pass it too; the exact count in step 4 finds them out, so the filter
-never decides a result. Words are numbered by hash, and the numbering is checked: no two words share a number.
+count for each distinct phrase it saw. The semi-join asks a bit filter of a fixed largest size. A few
+others pass it besides the frequent ones; the next count finds them out, so the filter never decides a
+result. Words are numbered by hash, and the numbering is checked: no two words share a number.
 """
 
 from __future__ import annotations
@@ -40,10 +41,10 @@ SCORE_UNIT = 2_000_000
 UNKNOWN = "und"
 
 CHUNK_BYTES = 1 << 20  # of a long text, cut where a piece ends
-TOKENS_AT_ONCE = 1 << 18
+TOKENS_AT_ONCE = 1 << 17  # of texts, or of a relation's occurrences, laid end to end; a longer text's are taken together
 FLUSH_WORDS = 1 << 18  # distinct words that a task counts before it hands them on
-FLUSH_PHRASES = 1 << 21  # occurrences that a task gathers before it hands on their counts
-CACHE_WORDS = 1 << 20
+FLUSH_PHRASES = 1 << 20  # occurrences that a task gathers before it hands on their counts
+CACHE_WORDS = 1 << 18
 FILTER_BITS = (15, 28)  # least and largest size of the bit filter, as powers of two: 4 KiB to 32 MiB
 BITS_PER_KEY = 16
 PAGE_BITS = 1 << 15  # of a bitmap that one group of the aggregation makes
@@ -52,7 +53,8 @@ RANKED_ROWS = 1 << 17  # of one language that a task ranks
 BREAK = b","  # ends a piece; it cannot stand in a word
 BYTES = bytes(b + 32 if 65 <= b <= 90 else ord(BREAK) if chr(b) in ".,;:!?\n\x0b\x0c\r" else b for b in range(256))
 
-RELATION = "lang string, at array<int>, word array<long>, head array<boolean>"
+RELATION = "row long, lang string, at array<int>, word array<long>, head array<boolean>"
+HALF = (1 << 32) - 1
 _GOLDEN, _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 
 
@@ -73,6 +75,12 @@ def mix(key: np.ndarray, word: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(29))
 
 
+def second(key: np.ndarray, word: np.ndarray) -> np.ndarray:
+    """Like ``mix``, another function."""
+    x = ((key >> np.uint64(27)) ^ (key << np.uint64(37)) ^ (word * _MIX)) * _GOLDEN
+    return (x ^ (x >> np.uint64(31))) * _MIX
+
+
 class Numbers(dict):
     """Words to numbers by hash; BREAK is 0."""
 
@@ -164,12 +172,13 @@ def _offsets(lengths: np.ndarray) -> pa.Array:
     return pa.array(np.concatenate([[0], np.cumsum(lengths)]), pa.int32())
 
 
-def _relation(langs: list[str], doc: np.ndarray, at: np.ndarray, word: np.ndarray, head: np.ndarray) -> pa.RecordBatch:
+def _relation(row: np.ndarray, langs: list[str], doc: np.ndarray, at: np.ndarray, word: np.ndarray, head: np.ndarray) -> pa.RecordBatch:
     """One row per document with an occurrence left."""
     own, lengths = np.unique(doc, return_counts=True)
     offsets = _offsets(lengths)
     lists = [pa.ListArray.from_arrays(offsets, pa.array(x)) for x in (at.astype(np.int32), word.view(np.int64), head)]
-    return pa.RecordBatch.from_arrays([pa.array([langs[d] for d in own.tolist()], pa.string()), *lists], ["lang", "at", "word", "head"])
+    names = pa.array([langs[d] for d in own.tolist()], pa.string())
+    return pa.RecordBatch.from_arrays([pa.array(row[own]), names, *lists], ["row", "lang", "at", "word", "head"])
 
 
 def first_relation(texts: DataFrame, seed: int, kept: BitFilter, spark) -> DataFrame:
@@ -179,11 +188,11 @@ def first_relation(texts: DataFrame, seed: int, kept: BitFilter, spark) -> DataF
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         numbers = Numbers(seed)
         for batch in batches:
-            langs = batch[0].to_pylist()
+            row, langs = batch[0].to_numpy(), batch[1].to_pylist()
             keys = _lang_keys(langs, seed)
-            parts: list[tuple[np.ndarray, ...]] = []
             waiting: list[bytes] = []
             runs: list[tuple[int, int, int]] = []  # document, its words before, words
+            parts: list[tuple[np.ndarray, ...]] = []
 
             def encode() -> None:
                 word = np.fromiter(map(numbers.__getitem__, waiting), np.uint64, len(waiting))
@@ -195,32 +204,47 @@ def first_relation(texts: DataFrame, seed: int, kept: BitFilter, spark) -> DataF
                 waiting.clear()
                 runs.clear()
 
-            for d, text in enumerate(batch[1]):
+            def relation() -> pa.RecordBatch:
+                encode()
+                doc, at, word = (np.concatenate(x) for x in zip(*parts))
+                parts.clear()
+                return _relation(row, langs, doc, at, word, np.ones(len(doc), bool))
+
+            for d, text in enumerate(batch[2]):
                 before = 0
                 for words in chunks(text.as_py()):
+                    if len(waiting) > TOKENS_AT_ONCE:
+                        encode()
                     runs.append((d, before, len(words)))
                     waiting += words
                     before += len(words)
-                    if len(waiting) > TOKENS_AT_ONCE:
-                        encode()
-            if waiting:
-                encode()
-            if parts:
-                doc, at, word = (np.concatenate(x) for x in zip(*parts))
-                yield _relation(langs, doc, at, word, np.ones(len(doc), bool))
+                if sum(len(p[0]) for p in parts) + len(waiting) > TOKENS_AT_ONCE:
+                    yield relation()  # whole documents
+            yield relation()
+
+    # one number per document, kept with the relation
+    return texts.select(F.monotonically_increasing_id().alias("row"), "lang", "text").mapInArrow(task, RELATION)
 
-    return texts.mapInArrow(task, RELATION)
+
+def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches' documents, some at a time."""
+    for batch in batches:
+        ends, first = batch[2].offsets.to_numpy().astype(np.int64), 0
+        while first < len(batch):
+            stop = max(first + 1, int(np.searchsorted(ends, ends[first] + TOKENS_AT_ONCE, side="right")) - 1)
+            yield batch.slice(first, stop - first)
+            first = stop
 
 
 class Occurrences:
-    """A batch of a relation laid end to end."""
+    """Documents of a relation laid end to end."""
 
     def __init__(self, batch: pa.RecordBatch, seed: int):
-        self.langs = batch[0].to_pylist()
-        lengths = np.diff(batch[1].offsets.to_numpy())
+        self.row, self.langs = batch[0].to_numpy(), batch[1].to_pylist()
+        lengths = np.diff(batch[2].offsets.to_numpy())
         self.doc = np.repeat(np.arange(len(lengths)), lengths)
-        self.at, self.word = batch[1].flatten().to_numpy(), batch[2].flatten().to_numpy().view(np.uint64)
-        self.head = batch[3].flatten().to_numpy(zero_copy_only=False)
+        self.at, self.word = batch[2].flatten().to_numpy(), batch[3].flatten().to_numpy().view(np.uint64)
+        self.head = batch[4].flatten().to_numpy(zero_copy_only=False)
         self.lang_keys = _lang_keys(self.langs, seed)
 
     def joined(self) -> np.ndarray:
@@ -230,33 +254,67 @@ class Occurrences:
         next_to = (self.doc[1:] == self.doc[:-1]) & (self.at[1:] == self.at[:-1] + 1)
         return np.flatnonzero(self.head[:-1] & self.head[1:] & next_to)
 
-    def keys(self, begin: np.ndarray, k: int) -> np.ndarray:
+    def keys(self, begin: np.ndarray, k: int, step=None) -> np.ndarray:
         key = self.lang_keys[self.doc[begin]]
         for j in range(k):
-            key = mix(key, self.word[begin + j])
+            key = (step or mix)(key, self.word[begin + j])
         return key
 
+    def places(self, begin: np.ndarray) -> np.ndarray:
+        """32 bits of where the occurrences stand."""
+        return second(self.row[self.doc[begin]].view(np.uint64), self.at[begin].astype(np.uint64)) >> np.uint64(32)
+
+    def words(self, begin: np.ndarray, k: int) -> np.ndarray:
+        return np.stack([self.word[begin + j] for j in range(k)], axis=1)
+
 
 def count_keys(relation: DataFrame, k: int, seed: int) -> DataFrame:
-    """(key, n) of the phrases of k words that the relation of k - 1 words makes."""
+    """(key, n, low, high) of the phrases of k words that the relation of k - 1 words makes: low and high are the least and
+    largest tag, 31 bits of the second hash above the 32 of a place."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[np.ndarray] = []
+        held: list[tuple[np.ndarray, np.ndarray]] = []
 
         def counted() -> pa.RecordBatch:
-            key, n = np.unique(np.concatenate(held), return_counts=True)
+            key, tag = (np.concatenate(x) for x in zip(*held))
             held.clear()
-            return pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(n, pa.int64())], ["key", "n"])
+            first, n = exact_groups(key, (tag >> np.uint64(32))[:, None], key)
+            return pa.RecordBatch.from_arrays([pa.array(x.view(np.int64)) for x in (key[first], tag[first], n)], ["key", "tag", "n"])
 
-        for batch in batches:
+        for batch in slices(batches):
             rows = Occurrences(batch, seed)
-            held.append(rows.keys(rows.joined(), k))
-            if sum(map(len, held)) > FLUSH_PHRASES:
+            begin = rows.joined()
+            other = rows.keys(begin, k, second) >> np.uint64(33)
+            held.append((rows.keys(begin, k), (other << np.uint64(32)) | rows.places(begin)))
+            if sum(len(h[0]) for h in held) > FLUSH_PHRASES:
                 yield counted()
         if held:
             yield counted()
 
-    return relation.mapInArrow(task, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
+    counted_keys = relation.mapInArrow(task, "key long, tag long, n long")
+    return counted_keys.groupBy("key").agg(F.sum("n").alias("n"), F.min("tag").alias("low"), F.max("tag").alias("high"))
+
+
+def spell(relation: DataFrame, k: int, seed: int, kept: BitFilter, places: BitFilter, spark) -> DataFrame:
+    """(key, place, lang, words) of the phrases at the places that the filter lets through."""
+    shared = spark.sparkContext.broadcast((kept, places))
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            rows = Occurrences(batch, seed)
+            begin = rows.joined()
+            key, place = rows.keys(begin, k), rows.places(begin)
+            some = shared.value[0].has(key)
+            begin, key, place = begin[some], key[some], place[some]
+            some = np.flatnonzero(shared.value[1].has(key ^ (place << np.uint64(32) | place)))
+            if len(some):
+                words = rows.words(begin[some], k)
+                lists = pa.ListArray.from_arrays(_offsets(np.full(len(some), k)), pa.array(words.ravel().view(np.int64)))
+                names = pa.array([rows.langs[d] for d in rows.doc[begin[some]].tolist()], pa.string())
+                columns = [pa.array(key[some].view(np.int64)), pa.array(place[some].view(np.int64)), names, lists]
+                yield pa.RecordBatch.from_arrays(columns, ["key", "place", "lang", "words"])
+
+    return relation.mapInArrow(task, "key long, place long, lang string, words array<long>")
 
 
 def next_relation(relation: DataFrame, k: int, seed: int, kept: BitFilter, spark) -> DataFrame:
@@ -264,7 +322,7 @@ def next_relation(relation: DataFrame, k: int, seed: int, kept: BitFilter, spark
     shared = spark.sparkContext.broadcast(kept)
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             rows = Occurrences(batch, seed)
             begin = rows.joined()
             begin = begin[shared.value.has(rows.keys(begin, k))]
@@ -273,7 +331,7 @@ def next_relation(relation: DataFrame, k: int, seed: int, kept: BitFilter, spark
                 head[begin] = True
                 for j in range(k):
                     within[begin + j] = True
-                yield _relation(rows.langs, rows.doc[within], rows.at[within], rows.word[within], head[within])
+                yield _relation(rows.row, rows.langs, rows.doc[within], rows.at[within], rows.word[within], head[within])
 
     return relation.mapInArrow(task, RELATION)
 
@@ -288,8 +346,9 @@ def exact_groups(lang: np.ndarray, words: np.ndarray, keys: np.ndarray) -> tuple
     return first, n
 
 
-def count_phrases(relation: DataFrame, k: int, seed: int) -> DataFrame:
-    """(lang, words array<long>, n) of the phrases of k words that begin in the relation of k words."""
+def count_phrases(relation: DataFrame, k: int, seed: int, kept: BitFilter, spark) -> DataFrame:
+    """(lang, words, n) of the phrases of k words, of the relation of k - 1 words, that the filter lets through."""
+    shared = spark.sparkContext.broadcast(kept)
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         numbers: dict[str, int] = {}
@@ -303,12 +362,12 @@ def count_phrases(relation: DataFrame, k: int, seed: int) -> DataFrame:
             lists = pa.ListArray.from_arrays(_offsets(np.full(len(first), k)), pa.array(words[first].ravel().view(np.int64)))
             return pa.RecordBatch.from_arrays([pa.array([names[i] for i in lang[first].tolist()], pa.string()), lists, pa.array(n, pa.int64())], ["lang", "words", "n"])
 
-        for batch in batches:
+        for batch in slices(batches):
             rows = Occurrences(batch, seed)
-            begin = np.flatnonzero(rows.head)
+            begin = rows.joined()
+            begin = begin[shared.value.has(rows.keys(begin, k))]
             own = np.array([numbers.setdefault(x, len(numbers)) for x in rows.langs], np.int64)
-            words = np.stack([rows.word[begin + j] for j in range(k)], axis=1)
-            held.append((own[rows.doc[begin]], words, rows.keys(begin, k)))
+            held.append((own[rows.doc[begin]], rows.words(begin, k), rows.keys(begin, k)))
             if sum(len(h[0]) for h in held) > FLUSH_PHRASES:
                 yield counted()
         if held:
@@ -326,16 +385,27 @@ def frequent_phrases(texts: DataFrame, scratch: Scratch, min_count: int, max_wor
     words, seed = _numbered(texts, scratch)
     often = words.filter(F.col("n") >= min_count)
     found = [often.select("lang", F.array("w").alias("words"), "n")]
-    n = often.count()
-    relation = scratch.write(first_relation(texts, seed, BitFilter.of(often, n), spark), "relation-1")
+    relation = scratch.write(first_relation(texts, seed, BitFilter.of(often, often.count()), spark), "relation-1")
     for k in range(2, max_words + 1):
-        keys = scratch.write(count_keys(relation, k, seed).filter(F.col("n") >= min_count).select("key"), f"keys-{k}")
-        n = keys.count()
+        keys = scratch.write(count_keys(relation, k, seed).filter(F.col("n") >= min_count), f"keys-{k}")
+        one = F.shiftright("low", 32) == F.shiftright("high", 32)
+        n, n_one = keys.agg(F.count("*"), F.count_if(one)).first()
         if not n:
             break
-        relation = scratch.write(next_relation(relation, k, seed, BitFilter.of(keys, n), spark), f"relation-{k}")
-        scratch.drop(f"relation-{k - 1}", f"keys-{k}")
-        found.append(scratch.write(count_phrases(relation, k, seed).filter(F.col("n") >= min_count), f"phrases-{k}"))
+        kept = BitFilter.of(keys, n)
+        place = F.col("low").bitwiseAND(F.lit(HALF))
+        single = keys.filter(one).select("key", "n", place.alias("place"))
+        mark = F.col("key").bitwiseXOR(F.shiftleft("place", 32).bitwiseOR(F.col("place")))
+        spelled = spell(relation, k, seed, kept, BitFilter.of(single.select(mark.alias("key")), 2 * n_one), spark)
+        phrases = single.join(spelled, ["key", "place"]).dropDuplicates(["key"]).select("lang", "words", "n")
+        if n_one < n:
+            mixed = keys.filter(~one)
+            counted = count_phrases(relation, k, seed, BitFilter.of(mixed, n - n_one), spark).filter(F.col("n") >= min_count)
+            phrases = phrases.unionByName(counted).groupBy("lang", "words").agg(F.max("n").alias("n"))
+        found.append(scratch.write(phrases, f"phrases-{k}"))
+        if k < max_words:
+            relation = scratch.write(next_relation(relation, k, seed, kept, spark), f"relation-{k}")
+            scratch.drop(f"relation-{k - 1}", f"keys-{k}")
     return words, scratch.write(reduce(DataFrame.unionAll, found), "phrases")
 
 
@@ -421,7 +491,7 @@ def collocations(
     best = _spelled(_above_cut(scores, top), words.filter(F.col("n") >= min_count))
     totals = SmallTable(words.groupBy("lang").agg(F.sum("n").alias("n")))
     out = ranked(best, top, scratch).join(totals.for_join(), "lang")
-    scratch.drop(*(f"{name}-{k}" for name in ("relation", "phrases") for k in range(1, max_words + 1)), "phrases", "scored")
+    scratch.drop(*(f"{name}-{k}" for name in ("relation", "phrases", "keys") for k in range(1, max_words + 1)), "phrases", "scored")
     return out.select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")
 
 
