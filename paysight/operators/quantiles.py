@@ -102,15 +102,26 @@ def _log_bin(x: Column) -> Column:
     )
 
 
+BIN_COLUMNS = ["_q_b", "_q_c", "_q_min", "_q_max"]  # bin, values, least and largest of them
+
+
+def value_bin(x: Column) -> Column:
+    """The fixed bin of a double in which the selection counts it; null for null. Counts by it may be kept and added up."""
+    return F.when(x.isNotNull(), _log_bin(x))
+
+
 def _histogram_state(
-    base: DataFrame, keys: list[str], probs: Sequence[float], tolerance: float = 0.0
+    base: DataFrame, keys: list[str], probs: Sequence[float], tolerance: float = 0.0, counts: DataFrame | None = None
 ) -> tuple[DataFrame, bool, "_State"]:
     """Per (group, p): the log bin holding rank ``k``, as a bracket with the
     rank re-based to it. Returns the state and whether every group's bins
-    were contiguous in value (then the re-based rank is exact)."""
-    hist = base.groupBy(*keys, _log_bin(F.col(_X)).alias("_q_b")).agg(
-        F.count(F.lit(1)).alias("_q_c"), F.min(_X).alias("_q_min"), F.max(_X).alias("_q_max")
-    )
+    were contiguous in value (then the re-based rank is exact). ``counts`` are the bins of all
+    rows where they are known already."""
+    hist = counts
+    if hist is None:
+        hist = base.groupBy(*keys, _log_bin(F.col(_X)).alias("_q_b")).agg(
+            F.count(F.lit(1)).alias("_q_c"), F.min(_X).alias("_q_min"), F.max(_X).alias("_q_max")
+        )
     # at most LOG_BINS rows per group reach these windows
     by_bin = Window.partitionBy(*keys).orderBy("_q_b")
     running = by_bin.rowsBetween(Window.unboundedPreceding, 0)
@@ -250,9 +261,14 @@ def exact_quantiles(
     names: Sequence[str] | None = None,
     max_candidates: int = MAX_CANDIDATES,
     rank_tolerance: float = 0.0,
+    counts: DataFrame | None = None,
 ) -> DataFrame:
     """Lower quantiles per group: one row per group, one column per p.
 
+    ``counts`` (``by`` and BIN_COLUMNS) are the values by :func:`value_bin`, if a caller keeps them; the
+    first pass is left out then, and ``df`` need only hold the values of the bins in which a rank falls (all
+    values if bins overlap, which the counts show).
+
     Exact by default. With ``rank_tolerance = e`` a bracket holding at most
     ``e * n`` values answers with its smallest value, so the result is a real
     value whose rank is off by less than ``e * n`` (the sketch guarantee),
@@ -261,7 +277,7 @@ def exact_quantiles(
     probs = [float(p) for p in probs]
     names = list(names) if names else [f"q{i}" for i in range(len(probs))]
     base, keys = _prepare(df, col, by)
-    state_df, contiguous, held = _histogram_state(base, keys, probs, rank_tolerance)
+    state_df, contiguous, held = _histogram_state(base, keys, probs, rank_tolerance, counts)
     if contiguous:
         state = held  # extra columns are ignored downstream
     else:

@@ -76,6 +76,12 @@ def long_features(df: DataFrame, slots: DataFrame, keys: Sequence[str], pattern:
     return placed.groupBy(*keys, "slot").agg(F.sum("x").alias("value"))
 
 
+def vector_slots(df: DataFrame, keys: Sequence[str], features: str = "features") -> DataFrame:
+    """(keys, slot, value) of the non-zero slots of a vector column; a vector of zeros keeps its first slot, as 0."""
+    slots = F.transform(vector_to_array(features), lambda x, i: F.struct(i.alias("slot"), x.alias("value")))
+    return df.select(*keys, F.inline(F.filter(slots, lambda s: (s["value"] != 0) | (s["slot"] == 0))))
+
+
 def saved_weights(spark: SparkSession, path: str) -> DataFrame:
     """(slot, weight) of a saved linear model; its intercept has slot -1."""
     data = spark.read.parquet(f"{path.rstrip('/')}/data")

@@ -46,6 +46,8 @@ EXACT = 0.0
 RARE_MIN = 160
 QUARTILE_DIMS = [("RemoteWork", 10, 300), ("EdLevel", 12, 300), ("OrgSize", 12, 300)]
 SAMPLE_N = 5000
+# Distance from the elastic net's conditions, in units of a correlation, that a converged fit may have.
+CONDITION_TOLERANCE = 1e-4
 
 
 def r6(c: Column | str) -> Column:
@@ -418,6 +420,42 @@ def _checked(train_df: DataFrame, test_df: DataFrame, name: str, model) -> DataF
     )
 
 
+def _models_folder(spark) -> str:
+    import uuid
+
+    from paysight.runtime import scratch_root
+
+    return f"{scratch_root(spark).rstrip('/')}/paysight-models/{uuid.uuid4().hex}"
+
+
+def _audited(train_df: DataFrame, test_df: DataFrame, name: str, model, params: dict) -> DataFrame:
+    """:func:`_checked`, and whether the saved fit follows from its training rows (``follows``: the elastic net's conditions
+    in every slot, or the values of all leaves), whether every test prediction equals that of a second path from the saved
+    tables (``agrees``), and whether the metrics of both paths are the same (``metrics_agree``)."""
+    from paysight.operators import slots, trees
+    from paysight.runtime import stage_table
+    from paysight.sources.models import save_model
+
+    spark, keys = train_df.sparkSession, ["SurveyYear", "ResponseId"]
+    path = f"{_models_folder(spark)}/{name}"
+    save_model(model, path)
+    if name.startswith("lr"):
+        weights = slots.saved_weights(spark, path)
+        follows = slots.linear_conditions(model.transform(train_df), weights, params).agg((F.max("excess") < CONDITION_TOLERANCE).alias("follows"))
+        own = slots.linear_scores(slots.vector_slots(test_df, keys), weights, keys).select(*keys, F.col("pred_log").alias("own"))
+    else:
+        nodes = trees.tree_nodes(spark, path)
+        follows = trees.audit_holds(trees.leaf_audit(train_df, nodes, depth=params["maxDepth"])).select(F.col("leaves_follow").alias("follows"))
+        own = trees.route(test_df.select(*keys, "features"), nodes, depth=params["maxDepth"]).select(*keys, trees.boosted_prediction(F.col("parts")).alias("own"))
+    both = stage_table(model.transform(test_df).select(*keys, "label", "prediction").join(own, keys, "left"), "audit")
+    agrees = both.agg(F.every(F.coalesce(F.abs(F.col("own") - F.col("prediction")) <= 1e-8, F.lit(False))).alias("agrees"))
+    a, b = evaluate(both), evaluate(both, prediction="own")
+    close = [F.abs(a[c] - b[c]) <= 1e-6 * (1 + F.abs(a[c])) for c in ("rmse_log", "r2_log", "mae", "rmse")]
+    # every frame here has one row
+    same = a.join(F.broadcast(b)).select(((a["n"] == b["n"]) & (a["n_infinite"] == b["n_infinite"]) & close[0] & close[1] & close[2] & close[3]).alias("metrics_agree"))
+    return _checked(train_df, test_df, name, model).join(F.broadcast(follows)).join(F.broadcast(agrees)).join(F.broadcast(same))
+
+
 def q_train_lr_full(spark, sf):
     """Both linear settings on the gold features (L1, L2, L6, L7): v1 on all
     labelled rows, v2 after the exact 1-99 % trim; same hash split."""
@@ -428,18 +466,18 @@ def q_train_lr_full(spark, sf):
     for version in ("v1", "v2"):
         lr_params, _, trim = SETTINGS[version]
         train_df, test_df = training_rows(g, trim, EXACT, 80, False)
-        rows.append(_checked(train_df, test_df, f"lr_{version}", train_lr(train_df, lr_params)))
+        rows.append(_audited(train_df, test_df, f"lr_{version}", train_lr(train_df, lr_params), lr_params))
     return union_by_name(rows)
 
 
 def _train_full(spark, sf, version):
     """Both models of a version at their full settings, from the library's own training stage."""
-    from paysight.plans.gold import SETTINGS, training_rows
+    from paysight.plans.gold import SETTINGS
 
     g, _ = gold(silver_frame(spark, sf))
     result = train(g, version, rel_error=EXACT)
-    train_df, test_df = training_rows(g, SETTINGS[version][2], EXACT, 80, False)
-    return union_by_name([_checked(train_df, test_df, name, model) for name, model in result.models.items()])
+    params = dict(zip(result.models, SETTINGS[version]))
+    return union_by_name([_audited(result.train_rows, result.test_rows, name, model, params[name]) for name, model in result.models.items()])
 
 
 def q_train_v1(spark, sf):
@@ -468,20 +506,34 @@ def _requests(silver_df: DataFrame) -> DataFrame:
 
 
 def q_batch_score(spark, sf):
-    """Every silver row as a request, scored by a pipeline and a model that were saved and read again."""
-    import uuid
-
-    from paysight.runtime import scratch_root
+    """Every silver row as a request, scored by a pipeline and models that were saved and read again (S10, S11, L9, P7), and
+    whether a second path gives the same log and money predictions: for the linear model the plain columns joined with
+    slot and weight tables, for the trees the saved nodes."""
+    from paysight.operators import slots, trees
+    from paysight.operators.models import GBT_V1
+    from paysight.plans.gold import training_rows
     from paysight.sources.models import load_pipeline, load_regressor, save_model
 
-    silver_df = silver_frame(spark, sf)
+    silver_df, keys = silver_frame(spark, sf), ["SurveyYear", "ResponseId"]
     g, pipe = gold(silver_df)
-    run = f"{scratch_root(spark).rstrip('/')}/paysight-models/{uuid.uuid4().hex}"
+    run = _models_folder(spark)
     save_model(pipe, f"{run}/pipeline")
+    save_model(train_lr(training_rows(g, False, EXACT, 80, False)[0], LR_V1), f"{run}/lr_v1")
     save_model(train_gbt_only(g, "v1"), f"{run}/gbt_v1")
-    scored = score(_requests(silver_df), load_pipeline(f"{run}/pipeline"), load_regressor(f"{run}/gbt_v1", "gbt"))
-    finite = F.abs("salary_pred") < F.lit(float("inf"))
-    return scored.select("SurveyYear", "ResponseId", (finite & (F.expm1("pred_log") == F.col("salary_pred"))).alias("scored"))
+    requests, saved = _requests(silver_df), load_pipeline(f"{run}/pipeline")
+    by_lr = score(requests, saved, load_regressor(f"{run}/lr_v1", "lr"))
+    by_gbt = score(requests, saved, load_regressor(f"{run}/gbt_v1", "gbt"))
+    long = slots.long_features(fill_text(requests, empty_too=True), slots.feature_slots(spark, saved), keys)
+    own_lr = slots.linear_scores(long, slots.saved_weights(spark, f"{run}/lr_v1"), keys)
+    routed = trees.route(by_gbt.select(*keys, "features"), trees.tree_nodes(spark, f"{run}/gbt_v1"), depth=GBT_V1["maxDepth"])
+    own_gbt = routed.select(*keys, trees.boosted_prediction(F.col("parts")).alias("pred_log")).withColumn("salary_pred", F.expm1("pred_log"))
+    out = requests.select(*keys)
+    for name, a, b in (("lr", by_lr, own_lr), ("gbt", by_gbt, own_gbt)):
+        a = a.select(*keys, F.col("pred_log").alias("p"), F.col("salary_pred").alias("s"))
+        b = b.select(*keys, F.col("pred_log").alias("q"), F.col("salary_pred").alias("t"))
+        close = lambda x, y: F.coalesce(F.abs(F.col(x) - F.col(y)) <= 1e-8 * (1 + F.abs(x)), F.lit(False))
+        out = out.join(a.join(b, keys, "left").select(*keys, close("p", "q").alias(f"{name}_pred_log"), close("s", "t").alias(f"{name}_salary_pred")), keys, "left")
+    return out
 
 
 def q_score_features(spark, sf):
@@ -539,6 +591,65 @@ def q_stream_landing(spark, sf):
     return spark.read.parquet(f"{run}/bronze").drop(BATCH_COL)
 
 
+def q_index_many(spark, sf):
+    """A column of very many labels indexed by ranks from a range-partitioned sort (M1)."""
+    from paysight.operators.label_index import index_column, label_ranks
+
+    items = _lineitem(spark, sf).select("l_orderkey", "l_linenumber", "l_partkey")
+    return index_column(items, "l_partkey", label_ranks(items, "l_partkey"))
+
+
+# Texts that make a CSV file hard to cut: lines and quotes inside quoted fields.
+CSV_NOTE = "CASE WHEN ResponseId % 3 = 0 THEN Country || '\"' || chr(10) || coalesce(EdLevel, '') || chr(10) || chr(10) || '\",\"' WHEN ResponseId % 3 = 1 THEN Country END"
+
+
+def q_csv_splits(spark, sf):
+    """Survey rows written as CSV with line ends and quotes inside fields, read in byte ranges far smaller than a file."""
+    from paysight.sources.csv_splits import read_csv_splits
+
+    rows = _survey(spark, sf).select("ResponseId", F.expr(CSV_NOTE).alias("note"), "Age", "EdLevel")
+    path = f"{_models_folder(spark)}-csv"
+    rows.write.option("header", True).option("escape", '"').option("nullValue", "\\N").csv(path)
+    got = read_csv_splits(spark, path, split_bytes=100_000, null_value="\\N")
+    return got.withColumn("ResponseId", F.col("ResponseId").cast("long"))
+
+
+def _landed_twice(spark, rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The merged state and the bronze rows of two landings that share their years."""
+    from paysight.operators.rolling import land_state, merged_state
+    from paysight.sources.files import read_bronze, write_bronze
+
+    path = _models_folder(spark)
+    for batch, part in (("first", rows.where("ResponseId % 3 = 0")), ("second", rows.where("ResponseId % 3 <> 0"))):
+        write_bronze(part, f"{path}-bronze", mode="append")
+        land_state(part, f"{path}-state", batch)
+    return merged_state(spark, f"{path}-state"), read_bronze(spark, f"{path}-bronze")
+
+
+def q_profile_growing(spark, sf):
+    """The year profile from counts kept over two landings."""
+    from paysight.operators.rolling import profile_from_state
+
+    state, rows = _landed_twice(spark, _survey(spark, sf))
+    return profile_from_state(state, rows).withColumn("mean_salary", r6("mean_salary"))
+
+
+def q_trend_growing(spark, sf):
+    """The salary trend from counts kept over two landings."""
+    from paysight.operators.rolling import trend_from_state
+
+    state, rows = _landed_twice(spark, positive(_survey(spark, sf), TARGET))
+    return trend_from_state(state, rows)
+
+
+def q_diagnostics_scatter(spark, sf):
+    """Actual against predicted by cell, on the log scale and, clipped, on the money scale."""
+    pred = _split_predictions(spark, sf, LR_V1).withColumn("key", F.concat_ws("-", "l_orderkey", "l_linenumber"))
+    d = diagnostics(pred, "key", rel_error=EXACT)
+    cells = [d[name].select(F.lit(name).alias("chart"), "x_bin", "y_bin", r6("x_lo").alias("x_lo"), r6("y_lo").alias("y_lo"), "n") for name in ("scatter_log", "scatter_real")]
+    return union_by_name(cells)
+
+
 def q_run_report(spark, sf):
     return report(silver_frame(spark, sf), EXACT)
 
@@ -592,5 +703,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "hash_split_keys": q_hash_split_keys,
     "bronze_two_years": q_bronze_two_years,
     "run_report": q_run_report,
+    "index_many": q_index_many,
+    "csv_splits": q_csv_splits,
+    "profile_growing": q_profile_growing,
+    "trend_growing": q_trend_growing,
+    "diagnostics_scatter": q_diagnostics_scatter,
     "stream_landing": q_stream_landing,
 }

@@ -98,6 +98,8 @@ def train_gbt_only(
 class TrainResult:
     metrics: DataFrame
     models: dict
+    train_rows: DataFrame
+    test_rows: DataFrame
 
 
 SETTINGS = {"v1": (LR_V1, GBT_V1, False), "v2": (LR_V2, GBT_V2, True)}
@@ -130,4 +132,4 @@ def train(
     for name, model in ((f"lr_{version}", lr), (f"gbt_{version}", gbt)):
         rows.append(evaluate(model.transform(test_df)).withColumn("model", F.lit(name)))
     metrics = rows[0].unionByName(rows[1])
-    return TrainResult(metrics=metrics, models={f"lr_{version}": lr, f"gbt_{version}": gbt})
+    return TrainResult(metrics, {f"lr_{version}": lr, f"gbt_{version}": gbt}, train_df, test_df)

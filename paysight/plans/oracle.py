@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from paysight.operators.filters import ROLE_WORDS
 from paysight.schema import SURVEY_SCHEMA
-from paysight.plans.catalog import CORR_COLS, QUARTILE_DIMS, RARE_MIN, SAMPLE_N
+from paysight.plans.catalog import CORR_COLS, CSV_NOTE, QUARTILE_DIMS, RARE_MIN, SAMPLE_N
 
 SURVEY_CTE = """survey AS (
   SELECT
@@ -368,7 +368,7 @@ def _trained_sql(*models: tuple[str, bool]) -> str:
     ]
     rows = [
         f"SELECT '{name}' AS model, count(*) AS n, round(avg(label), 6) AS label_mean, round(stddev_samp(label), 6) AS label_std, "
-        f"TRUE AS all_finite, TRUE AS beats_mean FROM g{', gb' if trimmed else ''} WHERE bucket >= 80{' AND pay BETWEEN lo AND hi' if trimmed else ''}"
+        f"TRUE AS all_finite, TRUE AS beats_mean, TRUE AS follows, TRUE AS agrees, TRUE AS metrics_agree FROM g{', gb' if trimmed else ''} WHERE bucket >= 80{' AND pay BETWEEN lo AND hi' if trimmed else ''}"
         for name, trimmed in models
     ]
     return with_ctes(*ctes, body=" UNION ALL ".join(rows))
@@ -425,6 +425,23 @@ def _split_keys_sql() -> str:
     )
 
 
+def _scatter_diag_sql(bins: int = 60) -> str:
+    """Cells of (label, prediction) and of their money values, predictions clipped to the labels' 1-99 % range."""
+    cell = lambda x, lo, hi: f"least(CAST(floor(({x} - {lo}) * CAST({bins} AS DOUBLE) / ({hi} - {lo})) AS INTEGER), {bins - 1})"
+    low = lambda b, lo, hi: f"round({lo} + {b} * (({hi} - {lo}) / {bins}), 6)"
+    return with_ctes(
+        *_lr_ctes(0.05, 0.0, True),
+        _pred_cte(),
+        "qb AS (SELECT quantile_disc(label, 0.01) AS q01, quantile_disc(label, 0.99) AS q99 FROM p)",
+        "xy AS (SELECT 'scatter_log' AS chart, label AS x, prediction AS y FROM p UNION ALL "
+        "SELECT 'scatter_real', exp(label) - 1, exp(greatest(q01, least(prediction, q99))) - 1 FROM p, qb)",
+        "ends AS (SELECT chart, min(x) AS x0, max(x) AS x1, min(y) AS y0, max(y) AS y1 FROM xy GROUP BY chart)",
+        f"cells AS (SELECT chart, {cell('x', 'x0', 'x1')} AS x_bin, {cell('y', 'y0', 'y1')} AS y_bin, x0, x1, y0, y1 FROM xy JOIN ends USING (chart))",
+        body=f"SELECT chart, x_bin, y_bin, {low('x_bin', 'x0', 'x1')} AS x_lo, {low('y_bin', 'y0', 'y1')} AS y_lo, count(*) AS n "
+        "FROM cells GROUP BY chart, x_bin, y_bin, x0, x1, y0, y1",
+    )
+
+
 ORACLE: dict[str, str] = {
     "survey_base": with_ctes(SURVEY_CTE, body="SELECT * FROM survey"),
     "union_strict": _batches(False),
@@ -540,10 +557,21 @@ ORACLE: dict[str, str] = {
     "train_lr_full": _trained_sql(("lr_v1", False), ("lr_v2", True)),
     "train_v1": _trained_sql(("lr_v1", False), ("gbt_v1", False)),
     "train_v2": _trained_sql(("lr_v2", True), ("gbt_v2", True)),
-    "batch_score": with_ctes(*SILVER_CTES, body=f"SELECT SurveyYear, ResponseId, TRUE AS scored FROM silver WHERE {POSITIVE}"),
+    "batch_score": with_ctes(*SILVER_CTES, body="SELECT SurveyYear, ResponseId, TRUE AS lr_pred_log, TRUE AS lr_salary_pred, TRUE AS gbt_pred_log, "
+        f"TRUE AS gbt_salary_pred FROM silver WHERE {POSITIVE}"),
     "score_features": with_ctes(
         *SILVER_CTES, body=f"SELECT count(*) AS n_rows, CAST(0 AS BIGINT) AS n_differ FROM silver WHERE {POSITIVE}"
     ),
+    "index_many": "SELECT l_orderkey, l_linenumber, l_partkey, CAST(idx AS DOUBLE) AS l_partkey_idx FROM lineitem JOIN (SELECT l_partkey, "
+    "row_number() OVER (ORDER BY count(*) DESC, CAST(l_partkey AS VARCHAR)) - 1 AS idx FROM lineitem GROUP BY l_partkey) USING (l_partkey)",
+    "csv_splits": with_ctes(SURVEY_CTE, body=f"SELECT ResponseId, {CSV_NOTE} AS note, Age, EdLevel FROM survey"),
+    "profile_growing": _profile_sql(True),
+    "trend_growing": with_ctes(
+        SURVEY_CTE,
+        USABLE,
+        body="SELECT SurveyYear, count(*) AS n, quantile_disc(ConvertedCompYearly, 0.5) AS median_salary FROM u GROUP BY SurveyYear",
+    ),
+    "diagnostics_scatter": _scatter_diag_sql(),
     "scatter_bins": _scatter_sql(),
     "hash_split_keys": _split_keys_sql(),
     "bronze_two_years": with_ctes(SURVEY_CTE, body="SELECT * FROM survey WHERE SurveyYear IN (1996, 1997)"),

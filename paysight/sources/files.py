@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paysight.operators.union import union_by_name
+from paysight.sources.csv_splits import read_csv_splits
 from paysight.schema import (
     NUMERIC_SOURCE_COLUMNS,
     SURVEY_SCHEMA,
@@ -30,6 +31,7 @@ def read_survey_csv(
     columns: Sequence[str] | None = None,
     null_tokens: Sequence[str] = (),
     null_value: str | None = None,
+    split_bytes: int | None = None,
 ) -> DataFrame:
     """One survey file, every field read as text.
 
@@ -40,16 +42,20 @@ def read_survey_csv(
     empty field is null; with ``null_value`` only that marker (and an unquoted
     empty field) is, and a quoted empty text stays one.
 
-    A multi-line CSV file cannot be split, so each file is one task; the sinks
-    deal its rows out before they write.
+    Spark gives each multi-line CSV file to one task (the sinks deal its rows out
+    before they write). With ``split_bytes`` files are read in byte ranges of that size
+    instead, by :mod:`paysight.sources.csv_splits`.
     """
-    reader = (
-        spark.read.option("header", True)
-        .option("multiLine", True)
-        .option("escape", '"')
-        .option("inferSchema", False)
-    )
-    df = (reader if null_value is None else reader.option("nullValue", null_value)).csv(path)
+    if split_bytes is not None:
+        df = read_csv_splits(spark, path, split_bytes, null_value)
+    else:
+        reader = (
+            spark.read.option("header", True)
+            .option("multiLine", True)
+            .option("escape", '"')
+            .option("inferSchema", False)
+        )
+        df = (reader if null_value is None else reader.option("nullValue", null_value)).csv(path)
     if columns is not None:
         df = select_strict(df, columns)
     if null_tokens:
