@@ -10,14 +10,31 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from paysight.runtime import SmallTable
+
 from .common import Scratch
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
+HUB_EDGES = 256  # a node with more of them is a hub
+
+
+def _with_least(edges: DataFrame, least: DataFrame) -> DataFrame:
+    """``edges`` with the ``m`` of their ``u``. Hubs (n > HUB_EDGES), which would crowd a task, come by a join of their own:
+    a broadcast if they are few, else one that adaptive execution may split; all others by a shuffle join."""
+    hubs = SmallTable(least.filter(F.col("n") > HUB_EDGES).select("u", F.col("m").alias("hub_m")))
+    if not hubs.rows:
+        return edges.join(least.drop("n"), "u")
+    marked = edges.join(hubs.for_join(), "u", "left")
+    of_hubs = marked.filter("hub_m IS NOT NULL").select("u", "v", F.col("hub_m").alias("m"))
+    others = marked.filter("hub_m IS NULL").drop("hub_m").join(least.filter(F.col("n") <= HUB_EDGES).drop("n"), "u")
+    return of_hubs.unionByName(others.select("u", "v", "m"))
+
+
+def _large_star(edges: DataFrame, scratch: Scratch, name: str) -> DataFrame:
     """Link every larger neighbour of a node to the least node around it."""
     both = edges.select("u", "v").union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = both.groupBy("u").agg(F.min(F.least("u", "v")).alias("m"))
-    return both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    least = scratch.write(both.groupBy("u").agg(F.min(F.least("u", "v")).alias("m"), F.count("*").alias("n")), name)
+    return _with_least(both.filter("v > u"), least).select(F.col("v").alias("u"), F.col("m").alias("v"))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
@@ -44,6 +61,6 @@ def connected_components(edges: DataFrame, scratch: Scratch, name: str = "star")
             return current.select(F.col("u").alias("node"), F.col("v").alias("root"))
         seen = tuple(state)
         k += 1
-        large = _large_star(current).distinct()
+        large = _large_star(current, scratch, f"{name}-least-{k}").distinct()
         current = scratch.write(_small_star(large).distinct(), f"{name}-{k}")
-        scratch.drop(f"{name}-{k - 1}")
+        scratch.drop(f"{name}-{k - 1}", f"{name}-least-{k}")

@@ -4,8 +4,8 @@ Every rolling word 2-gram of every text is joined, by hash and then word for wor
 of the templates' 2-grams. A hit votes for the diagonal (its place in the text minus its place in
 the template). On one diagonal a template's words stand in the text in their order, so votes for all
 of its 2-grams are a full occurrence that starts there. Words added to or missing from a notice move
-the rest of it to a neighbouring diagonal; for the longer notices such diagonals are merged, and the
-merged span is kept if it covers enough of the template within twice its length.
+the rest of it to a neighbouring diagonal; for the longer notices such diagonals are merged, and a
+span is kept if one of its diagonals alone covers enough of the template, or all of them within twice its length.
 
 The template table is a fixed list, so its broadcast is bounded. Texts are read once and never
 shuffled: only hits, and one row per document that keeps its word count, leave the map side.
@@ -108,10 +108,14 @@ def spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
         F.min("first_hit").alias("first_word"),
         (F.max("last_hit") + 1).alias("last_word"),
         F.max("copies").alias("copies"),
+        F.max(F.bit_count("votes") / F.col("grams")).alias("alone"),
     )
+    # a diagonal by itself is never longer than its notice; the merged span is verified besides
     short = F.col("last_word") - F.col("first_word") < 2 * (F.col("grams") + 1)
-    verified = F.when(F.col("base"), F.col("coverage") == 1).otherwise((F.col("coverage") >= MIN_COVERAGE) & short)
-    return merged.filter(F.col("template").isNull() | verified).drop("span", "grams")
+    either = F.greatest("alone", F.when(short, F.col("coverage")).otherwise(0.0))
+    merged = merged.withColumn("coverage", F.when(F.col("base"), F.col("coverage")).otherwise(either))
+    verified = F.when(F.col("base"), F.col("coverage") == 1).otherwise(F.col("coverage") >= MIN_COVERAGE)
+    return merged.filter(F.col("template").isNull() | verified).drop("span", "grams", "alone")
 
 
 def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -159,9 +163,10 @@ marked AS (SELECT *, CASE WHEN base OR coalesce(diagonal - lag(diagonal) OVER (P
 numbered AS (SELECT *, sum(apart) OVER (PARTITION BY rid, template ORDER BY diagonal ROWS UNBOUNDED PRECEDING) AS span FROM marked),
 merged AS (
   SELECT rid, template, label, base, grams, span, CAST(bit_count(bit_or(votes)) AS DOUBLE) / grams AS coverage,
-    min(first_hit) AS first_word, max(last_hit) + 1 AS last_word
+    min(first_hit) AS first_word, max(last_hit) + 1 AS last_word, max(CAST(bit_count(votes) AS DOUBLE) / grams) AS alone
   FROM numbered GROUP BY rid, template, label, base, grams, span),
-kept AS (SELECT * FROM merged WHERE CASE WHEN base THEN coverage = 1 ELSE coverage >= {MIN_COVERAGE} AND last_word - first_word < 2 * (grams + 1) END),
+verified AS (SELECT * REPLACE (CASE WHEN base THEN coverage ELSE greatest(alone, CASE WHEN last_word - first_word < 2 * (grams + 1) THEN coverage ELSE 0 END) END AS coverage) FROM merged),
+kept AS (SELECT * FROM verified WHERE CASE WHEN base THEN coverage = 1 ELSE coverage >= {MIN_COVERAGE} END),
 per_doc AS (
   SELECT rid, count(*) FILTER (base) AS n_base, min(first_word) FILTER (base) AS first_word, max(first_word) FILTER (base) AS last_word,
     coalesce(string_agg(DISTINCT label, ',' ORDER BY label) FILTER (base), '') AS base_labels,

@@ -38,6 +38,7 @@ SHINGLES_AT_ONCE = 1 << 15
 PAIRS_AT_ONCE = 1 << 20
 BLOCK_ROWS = 4096  # rows of a bucket in one task's block
 TASK_ROWS = 1 << 20  # bucket rows dealt to one task, about
+GROUP_ROWS = 1 << 17  # of them held at a time, with the rest of the last group
 NO_ID = (1 << 63) - 1
 
 
@@ -166,21 +167,40 @@ def link_buckets(max_bits: int):
         return pa.RecordBatch.from_arrays([pa.array(x) for x in (node[up], rep[up], node[to], rep[to])], ["fp", "rep", "fp2", "rep2"])
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        got = list(batches)
-        if got:
-            yield stars(pa.Table.from_batches(got))
+        """The rows come sorted by what they meet in; whole groups are worked on, some at a time."""
+        held: pa.Table | None = None
+        for batch in batches:
+            more = pa.Table.from_batches([batch])
+            held = more if held is None else pa.concat_tables([held, more])
+            if len(held) >= GROUP_ROWS:
+                meet = held["meet"].to_numpy()
+                last = int(np.searchsorted(meet, meet[-1]))  # where the group that may go on begins
+                if last:
+                    yield stars(held.slice(0, last))
+                    held = held.slice(last)
+        if held is not None and len(held):
+            yield stars(held)
 
     return task
 
 
-def links(classes: DataFrame, max_bits: int, n_classes: int) -> DataFrame:
-    """Edges (u, v) of structs (rep, fp): same components as all pairs within ``max_bits``."""
+def bucket_tasks(n_classes: int, extra: int, max_bits: int) -> int:
+    """Tasks for the bucket rows of ``n_classes`` fingerprints and the ``extra`` rows that crowded buckets' blocks add."""
+    per_class = len(segments(max_bits)) + BITS // 2
+    return max(8, (n_classes * per_class + extra) // TASK_ROWS + 1)
+
+
+def dealt_rows(classes: DataFrame, max_bits: int, n_classes: int) -> DataFrame:
+    """The bucket rows with the group (``meet``) in which they are compared: a bucket, or two blocks of a crowded one. Dealt
+    by group to as many tasks as there are rows for, and sorted by it."""
     rows = bucket_rows(classes, max_bits)
     crowded = SmallTable(
-        rows.groupBy("bucket").agg(F.count("*").alias("n")).filter(F.col("n") > BLOCK_ROWS).select("bucket", F.ceil(F.col("n") / BLOCK_ROWS).cast("int").alias("blocks"))
+        rows.groupBy("bucket").agg(F.count("*").alias("n")).filter(F.col("n") > BLOCK_ROWS).select("bucket", "n", F.ceil(F.col("n") / BLOCK_ROWS).cast("int").alias("blocks"))
     )
+    extra = 0
     if crowded.rows:
-        rows = rows.join(crowded.for_join(), "bucket", "left")
+        extra = crowded.df.agg(F.sum(F.col("n") * (F.col("blocks") - 1))).first()[0]
+        rows = rows.join(crowded.for_join().drop("n"), "bucket", "left")
     else:
         rows = rows.withColumn("blocks", F.lit(1))
     mine = F.pmod(F.xxhash64("fp"), F.coalesce("blocks", F.lit(1))).cast("int")
@@ -188,9 +208,12 @@ def links(classes: DataFrame, max_bits: int, n_classes: int) -> DataFrame:
     meet = F.when(F.coalesce("blocks", F.lit(1)) == 1, F.col("bucket")).otherwise(
         F.xxhash64("bucket", F.least("mine", "other"), F.greatest("mine", "other"))
     )
-    per_class = len(segments(max_bits)) + BITS // 2
-    parts = max(8, n_classes * per_class // TASK_ROWS + 1)
-    dealt = rows.select(meet.alias("meet"), "own", "fp", "rep").repartition(parts, "meet")
+    return rows.select(meet.alias("meet"), "own", "fp", "rep").repartition(bucket_tasks(n_classes, extra, max_bits), "meet").sortWithinPartitions("meet")
+
+
+def links(classes: DataFrame, max_bits: int, n_classes: int) -> DataFrame:
+    """Edges (u, v) of structs (rep, fp): same components as all pairs within ``max_bits``."""
+    dealt = dealt_rows(classes, max_bits, n_classes)
     found = dealt.mapInArrow(link_buckets(max_bits), "fp long, rep long, fp2 long, rep2 long")
     return found.select(F.struct("rep", "fp").alias("u"), F.struct(F.col("rep2").alias("rep"), F.col("fp2").alias("fp")).alias("v"))
 

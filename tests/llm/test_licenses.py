@@ -31,6 +31,8 @@ TEXTS = [
     "licensed under the apache license version 2 0 " * 40,
     "general public mit license public license",
     "permission is hereby granted free of charge to any person obtaining one copy of this software and documentation files",
+    "licensed under cc by sa 4 0 4 0 4 0 4 0 4 0 4 0",
+    "licensed under the gnu cc by nc 4 0 by nc 4 0 by nc 4 0 by nc",
 ]
 
 
@@ -44,6 +46,8 @@ def test_method_labels(make_docs):
     got = {r.doc_id: r for r in L.scan_licenses(make_docs(list(enumerate(TEXTS)))).collect()}
     assert got[2].labels == "gpl" and got[3].labels == "cc-by-nc" and got[3].n_base == 0 and got[3].score == 1
     assert got[8].labels == "mit" and 0.7 <= got[8].score < 1
+    # a notice whose tail repeats: one diagonal holds all of it
+    assert got[9].labels == "cc-by-sa" and got[9].score == 1
     assert got[5].labels == "" and got[5].score == 0
     assert all(set(r.base_labels.split(",")) <= set(r.labels.split(",")) for r in got.values() if r.base_labels)
 

@@ -1,6 +1,7 @@
 import re
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -112,6 +113,44 @@ def test_crowded_buckets_are_split_without_losing_links(spark, monkeypatch):
     _check_links(spark, prints, 4)
 
 
+def test_a_crowded_bucket_is_dealt_to_bounded_tasks(spark, monkeypatch):
+    monkeypatch.setattr(S, "BLOCK_ROWS", 128)
+    monkeypatch.setattr(S, "TASK_ROWS", 1 << 15)
+    rng = np.random.default_rng(9)
+    prints = sorted({0x155 | int(x) << 26 for x in rng.integers(0, 2**37, 4000)})  # two equal segments: one bucket holds all
+    classes = spark.createDataFrame([(p, k) for k, p in enumerate(prints)], "fp long, rep long")
+    dealt = S.dealt_rows(classes, 4, len(prints))
+    sizes = [r["count"] for r in dealt.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(sizes) > 10 * len(prints) * 37 / 5 and max(sizes) < 3 * S.TASK_ROWS
+    groups = dealt.groupBy("meet").count().agg(F.max("count")).first()[0]
+    assert groups <= 2 * 2 * S.BLOCK_ROWS  # two blocks, dealt by hash
+
+
+def test_groups_are_worked_on_some_at_a_time(spark, monkeypatch):
+    monkeypatch.setattr(S, "GROUP_ROWS", 5)
+    rng = np.random.default_rng(10)
+    batches = [pa.RecordBatch.from_pydict({"meet": sorted(rng.integers(0, 6, 40).tolist()), "own": [True] * 40, "fp": rng.integers(0, 16, 40), "rep": [0] * 40})]
+    rows = batches[0].to_pandas()
+    parts = [batches[0].slice(k, 7) for k in range(0, 40, 7)]
+    got = pa.Table.from_batches(list(S.link_buckets(1)(iter(parts)))).to_pandas()
+    for _, own in rows.groupby("meet"):  # what is near within a group ends in one set
+        for a in own.fp:
+            for b in own.fp:
+                assert (int(a) ^ int(b)).bit_count() != 1 or _root(got, a) == _root(got, b)
+
+
+def _root(edges, x):
+    seen, todo = {x}, [x]
+    while todo:
+        y = todo.pop()
+        for a, b in zip(edges.fp, edges.fp2):
+            for u, v in ((a, b), (b, a)):
+                if u == y and v not in seen:
+                    seen.add(v)
+                    todo.append(v)
+    return min(seen)
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.integers(0, 2**64 - 1), st.lists(st.integers(0, 63), max_size=7), st.integers(1, 8))
 def test_chain_filter_never_drops_a_link(value, flips, bits):
@@ -131,6 +170,16 @@ def test_components_of_paths_stars_and_loops(spark):
     assert root == {k: 0 for k in range(1, 41)} | {k: 100 for k in range(101, 140)} | {301: 300}
 
 
+def test_hubs_are_joined_apart(spark, monkeypatch):
+    from paysight.llm import components as C
+
+    edges = spark.createDataFrame([(0, k) for k in range(1, 60)] + [(k, k + 100) for k in range(1, 60)] + [(300, 301)], "u long, v long")
+    want = {r.node: r.root for r in connected_components(edges, Scratch(spark, "test")).collect()}
+    monkeypatch.setattr(C, "HUB_EDGES", 3)
+    got = {r.node: r.root for r in connected_components(edges, Scratch(spark, "test")).collect()}
+    assert got == want == {k: 0 for k in [*range(1, 60), *range(101, 160)]} | {301: 300}
+
+
 def test_no_local_checkpoint_or_cross_join(spark):
     plan = S.op7_simhash_dedup(spark, SF)._jdf.queryExecution().toString()
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan
