@@ -2,8 +2,9 @@
 
 Every language has one probability per piece of a fixed public vocabulary. The probability of a word
 is the sum, over all ways to cut it into pieces, of the product of its pieces' probabilities; a
-forward pass over the word's positions gives it without listing the cuts. The probability of a text
-is the product over its words. Training is expectation maximisation over all training rows: each
+forward pass over the word's positions gives it without listing the cuts. What the pass carries (the sums at
+the last few positions, as far as a piece reaches) is rescaled on the way, so words of any length have finite
+log probabilities. The probability of a text is the product over its words. Training is expectation maximisation over all training rows: each
 task counts its words, runs forward and backward passes over the distinct ones, and hands on expected
 piece counts, which Spark sums by (language, piece).
 """
@@ -26,11 +27,11 @@ from pyspark.sql.functions import arrow_udf
 from .common import id_remainder, table
 
 START = "▁"  # begins every word, as in the vocabulary
-MAX_PIECE = 10  # letters of a piece, the start mark included
-PART = 32  # letters that a forward pass takes at once; longer words are scored in parts
 CACHE_WORDS = 1 << 20  # distinct words that a task counts, or a worker keeps the scores of, at a time
 DENSE = 64  # letters with a full row of trie steps; the others' steps are searched for
-WORDS_AT_ONCE = 1 << 14
+CELLS_AT_ONCE = 1 << 19  # letters of words laid side by side
+RESCALE = 8  # positions between two rescalings
+EDGES_KEPT = 128  # positions of words up to this long keep their pieces for the backward pass; longer ones find them again
 TEXTS_AT_ONCE = 256
 COUNT_UNIT = 1024  # expected counts travel as whole numbers of this fraction, so their sums are exact
 SMOOTHING = 0.5
@@ -50,11 +51,6 @@ def words_of(run: str) -> list[str]:
     return [run] if run.isalpha() else LETTERS.findall(run)
 
 
-def parts_of(word: str) -> list[str]:
-    word = START + word
-    return [word[k : k + PART] for k in range(0, len(word), PART)]
-
-
 @lru_cache(maxsize=2)
 def read_pieces(path: str) -> tuple[str, ...]:
     """The letter pieces of a sentencepiece vocabulary, lower-cased, in its order; then all their single letters."""
@@ -63,7 +59,7 @@ def read_pieces(path: str) -> tuple[str, ...]:
     model = SentencePieceProcessor(model_file=path)
     ids = range(model.get_piece_size())
     every = [model.id_to_piece(i).lower() for i in ids if not (model.is_byte(i) or model.is_control(i) or model.is_unknown(i))]
-    pieces = [p for p in every if len(p) <= MAX_PIECE and p.lstrip(START).isalpha() and p.rfind(START) <= 0]
+    pieces = [p for p in every if p.lstrip(START).isalpha() and p.rfind(START) <= 0]
     return tuple(dict.fromkeys([*pieces, *sorted({c for p in pieces for c in p}), START]))
 
 
@@ -72,6 +68,7 @@ class Segmenter:
 
     def __init__(self, pieces: tuple[str, ...]):
         self.size = len(pieces) + 1  # the last number is any other single letter
+        self.longest = max(map(len, pieces), default=1)
         uses = Counter(c for p in pieces for c in p)
         self.codes = {c: k + 1 for k, c in enumerate(sorted(uses, key=lambda c: (-uses[c], c)))}
         self.width = len(self.codes) + 1
@@ -103,32 +100,43 @@ class Segmenter:
             out[other] = np.where(self.keys[place] == key, self.nodes[place], -1)
         return out
 
-    def edges(self, words: list[str]) -> tuple[np.ndarray, dict[tuple[int, int], tuple[np.ndarray, np.ndarray]]]:
-        """Lengths; for (start, length) the words that have a piece there, and the pieces."""
-        lengths = np.fromiter(map(len, words), np.int64, len(words))
-        longest = int(lengths.max(initial=0))
-        code = np.zeros((longest + MAX_PIECE, len(words)), np.int32)
-        flat = self.letter[np.frombuffer("".join(words).encode("utf-32-le"), np.uint32)]
-        row = np.repeat(np.arange(len(words)), lengths)
-        code[np.arange(len(flat)) - np.repeat(np.cumsum(lengths) - lengths, lengths), row] = flat
-        found = {}
-        for start in range(longest):
-            at = np.flatnonzero(lengths > start)
-            node = np.zeros(len(at), np.int32)
-            for length in range(1, MAX_PIECE + 1):
-                below = self.step(node, code[start + length - 1, at])
-                on = below >= 0
-                if length == 1 and not on.all():
-                    other = at[~on]
-                    found[start, 0] = (other, np.full(len(other), self.size - 1))
-                at, node = at[on], below[on]
-                if not len(at):
-                    break
-                piece = self.number[node]
-                has = piece >= 0
-                if has.any():
-                    found[start, length] = (at[has], piece[has])
-        return lengths, found
+
+class Layout:
+    """Words side by side: the code of every word's letter at every position."""
+
+    def __init__(self, seg: Segmenter, words: list[str]):
+        self.seg = seg
+        self.lengths = np.fromiter(map(len, words), np.int64, len(words))
+        self.longest = int(self.lengths.max(initial=0))
+        self.code = np.zeros((self.longest + seg.longest, len(words)), np.int32)
+        flat = seg.letter[np.frombuffer("".join(words).encode("utf-32-le"), np.uint32)]
+        row = np.repeat(np.arange(len(words)), self.lengths)
+        self.code[np.arange(len(flat)) - np.repeat(np.cumsum(self.lengths) - self.lengths, self.lengths), row] = flat
+        self.kept: dict[int, list] = {}
+
+    def edges(self, start: int) -> list[tuple[int, np.ndarray, np.ndarray]]:
+        """(letters, words that have a piece of so many letters at the position, the pieces)."""
+        if start in self.kept:
+            return self.kept[start]
+        seg, found = self.seg, []
+        at = np.flatnonzero(self.lengths > start)
+        node = np.zeros(len(at), np.int32)
+        for length in range(1, seg.longest + 1):
+            below = seg.step(node, self.code[start + length - 1, at])
+            on = below >= 0
+            if length == 1 and not on.all():  # a letter outside the vocabulary
+                other = at[~on]
+                found.append((1, other, np.full(len(other), seg.size - 1)))
+            at, node = at[on], below[on]
+            if not len(at):
+                break
+            piece = seg.number[node]
+            has = piece >= 0
+            if has.any():
+                found.append((length, at[has], piece[has]))
+        if self.longest <= EDGES_KEPT:
+            self.kept[start] = found
+        return found
 
 
 @lru_cache(maxsize=2)
@@ -136,48 +144,75 @@ def segmenter(path: str) -> Segmenter:
     return Segmenter(read_pieces(path))
 
 
-def _reach(length: int) -> int:
-    return max(1, length)  # length 0 stands for a letter outside the vocabulary
-
-
-def forward(seg: Segmenter, words: list[str], probs: np.ndarray):
-    """alpha[position, word, language]: the summed probability of all segmentations of a prefix."""
-    lengths, edges = seg.edges(words)
-    alpha = np.zeros((int(lengths.max(initial=0)) + 1, len(words), probs.shape[1]))
-    alpha[0] = 1.0
-    for (start, length), (at, piece) in sorted(edges.items()):
-        alpha[start + _reach(length)][at] += alpha[start][at] * probs[piece]
-    return lengths, edges, alpha
+def batches_of(seg: Segmenter, words: list[str]) -> Iterator[np.ndarray]:
+    """The words' numbers, short words first, as many at a time as fit CELLS_AT_ONCE (a longer word by itself)."""
+    lengths = np.fromiter(map(len, words), np.int64, len(words)) + 1
+    order, first = np.argsort(lengths, kind="stable"), 0
+    while first < len(order):
+        cells = (lengths[order[first:]] + seg.longest) * np.arange(1, len(order) - first + 1)
+        stop = first + max(1, int(np.searchsorted(cells, CELLS_AT_ONCE, side="right")))
+        yield order[first:stop]
+        first = stop
+
+
+def _rescaled(ring: np.ndarray, now: np.ndarray, live: np.ndarray, scale: np.ndarray) -> None:
+    """Divide what the ring holds for the live words by ``now``, and add its logarithm to their scale."""
+    by = np.where(live[:, None] & (now > 0), now, 1.0)
+    ring /= by
+    scale += np.log(by)
+
+
+def forward(lay: Layout, probs: np.ndarray, keep: bool = False):
+    """Log probability of each word in each language, summed over all its segmentations; with ``keep`` also, for
+    every position, the sum of its prefixes and the logarithm of what that was divided by."""
+    n, size = len(lay.lengths), lay.seg.longest + 1
+    ring, scale = np.zeros((size, n, probs.shape[1])), np.zeros((n, probs.shape[1]))
+    ring[0] = 1.0
+    out, kept = np.zeros_like(scale), []
+    for start in range(lay.longest + 1):
+        now = ring[start % size]
+        if start % RESCALE == 0:
+            _rescaled(ring, now.copy(), lay.lengths >= start, scale)
+        ends = lay.lengths == start
+        if ends.any():
+            out[ends] = scale[ends] + np.log(now[ends])
+        if keep:
+            kept.append((now.copy(), scale.copy()))
+        for length, at, piece in lay.edges(start) if start < lay.longest else ():
+            ring[(start + length) % size][at] += now[at] * probs[piece]
+        now[:] = 0.0
+    return (out, kept) if keep else out
 
 
 def word_scores(seg: Segmenter, words: list[str], probs: np.ndarray) -> np.ndarray:
     """Natural log probability of each word in each language."""
     out = np.zeros((len(words), probs.shape[1]))
-    parts = [(k, part) for k, word in enumerate(words) for part in parts_of(word)]
-    for a in range(0, len(parts), WORDS_AT_ONCE):
-        some = parts[a : a + WORDS_AT_ONCE]
-        lengths, _, alpha = forward(seg, [p for _, p in some], probs)
-        np.add.at(out, [k for k, _ in some], np.log(alpha[lengths, np.arange(len(some))]))
+    for some in batches_of(seg, words):
+        out[some] = forward(Layout(seg, [START + words[k] for k in some]), probs)
     return out
 
 
 def expected_counts(seg: Segmenter, words: list[str], counts: list[int], probs: np.ndarray) -> np.ndarray:
     """Expected uses of each piece in ``counts`` copies of the words, by forward and backward passes (one language)."""
-    out = np.zeros(seg.size)
-    parts = [(part, n) for word, n in zip(words, counts) for part in parts_of(word)]
-    for a in range(0, len(parts), WORDS_AT_ONCE):
-        some = parts[a : a + WORDS_AT_ONCE]
-        n = np.array([n for _, n in some], float)
-        lengths, edges, alpha = forward(seg, [p for p, _ in some], probs[:, None])
-        alpha = alpha[:, :, 0]
-        beta = np.zeros_like(alpha)
-        beta[lengths, np.arange(len(some))] = 1.0
-        for (start, length), (at, piece) in sorted(edges.items(), reverse=True):
-            beta[start][at] += beta[start + _reach(length)][at] * probs[piece]
-        share = n / alpha[lengths, np.arange(len(some))]
-        for (start, length), (at, piece) in edges.items():
-            use = alpha[start][at] * probs[piece] * beta[start + _reach(length)][at] * share[at]
-            out += np.bincount(piece, use, seg.size)
+    out, probs, size = np.zeros(seg.size), probs[:, None], seg.longest + 1
+    copies = np.array(counts, float)
+    for some in batches_of(seg, words):
+        lay = Layout(seg, [START + words[k] for k in some])
+        total, kept = forward(lay, probs, keep=True)
+        ring, scale = np.zeros((size, len(some), 1)), np.zeros((len(some), 1))
+        for start in range(lay.longest, -1, -1):
+            before, divided = kept[start]
+            now = ring[start % size]
+            now[:] = 0.0
+            now[lay.lengths == start] = 1.0
+            # what a path through here has, of all paths of the word
+            share = (before * np.exp(divided + scale - total))[:, 0] * copies[some] if start < lay.longest else None
+            for length, at, piece in lay.edges(start) if start < lay.longest else ():
+                rest = probs[piece] * ring[(start + length) % size][at]
+                now[at] += rest
+                out += np.bincount(piece, share[at] * rest[:, 0], seg.size)
+            if start % RESCALE == 0:
+                _rescaled(ring, now.copy(), lay.lengths >= start, scale)
     return out
 
 

@@ -1,3 +1,4 @@
+import math
 import zlib
 
 import numpy as np
@@ -17,7 +18,7 @@ def every_cut(word, known):
     """All ways to cut a word into known pieces, single letters always allowed."""
     if not word:
         yield []
-    for k in range(1, min(len(word), L.MAX_PIECE) + 1):
+    for k in range(1, len(word) + 1):
         if word[:k] in known or k == 1:
             for rest in every_cut(word[k:], known):
                 yield [word[:k], *rest]
@@ -42,11 +43,44 @@ def test_forward_and_backward_equal_listing_all_segmentations(seg):
     assert np.allclose(counts, expected)
 
 
-def test_long_words_are_scored_whole(seg):
-    probs = np.full((seg.size, 1), 1.0 / seg.size)
-    long = L.word_scores(seg, ["a" * 500, "a" * 500 + "qx" * 300], probs)
-    assert np.isfinite(long).all() and long[1, 0] < long[0, 0] - 100
-    assert "".join(L.parts_of("ab" * 200)) == L.START + "ab" * 200
+def log_sum(word, known, logs):
+    """Log of the sum over all segmentations, position by position in plain Python."""
+    word, unknown = L.START + word, len(known)
+    best = [0.0] + [-math.inf] * len(word)
+    for end in range(1, len(word) + 1):
+        terms = [best[k] + logs[known[word[k:end]]] for k in range(max(0, end - 20), end) if word[k:end] in known]
+        if word[end - 1] not in known:
+            terms.append(best[end - 1] + logs[unknown])
+        top = max(terms)
+        best[end] = top + math.log(sum(math.exp(t - top) for t in terms))
+    return best[-1]
+
+
+@pytest.mark.parametrize("n", [1e3, 1e11, 1e15])
+def test_long_words_are_scored_whole_at_any_corpus_size(seg, n):
+    known = {p: k for k, p in enumerate(L.read_pieces(L.vocabulary_file()))}
+    assert seg.longest > 10 and max(map(len, known)) == seg.longest
+    rng = np.random.default_rng(3)
+    counts = np.where(rng.random(seg.size) < 0.5, 0.0, rng.random(seg.size) * n / seg.size) + L.SMOOTHING
+    probs = (counts / counts.sum())[:, None]
+    words = ["q" * 40, "ฟ" * 64, "information" * 91, "a" * 500 + "qx" * 300, "straßenbahn", "ñ" * 1000, "ab" * 3000]
+    got = L.word_scores(seg, words, probs)[:, 0]
+    assert np.isfinite(got).all()
+    assert np.allclose(got, [log_sum(w, known, np.log(probs[:, 0])) for w in words], rtol=1e-9)
+    uses = L.expected_counts(seg, words, [640] * len(words), probs[:, 0])
+    letters = np.array([len(p) for p in L.read_pieces(L.vocabulary_file())] + [1])
+    # the expected pieces cover every letter of every copy
+    assert np.isfinite(uses).all() and np.isclose(uses @ letters, 640 * sum(len(w) + 1 for w in words), rtol=1e-6)
+
+
+def test_batches_change_nothing(seg, monkeypatch):
+    rng = np.random.default_rng(4)
+    probs = rng.random((seg.size, 2))
+    words = ["".join(rng.choice(list("aeiouxyzß北")) for _ in range(k)) for k in (1, 200, 3, 40, 7, 500, 2)]
+    a, c = L.word_scores(seg, words, probs), L.expected_counts(seg, words, list(range(1, 8)), probs[:, 1])
+    monkeypatch.setattr(L, "CELLS_AT_ONCE", 64)
+    monkeypatch.setattr(L, "EDGES_KEPT", 5)
+    assert np.allclose(L.word_scores(seg, words, probs), a) and np.allclose(L.expected_counts(seg, words, list(range(1, 8)), probs[:, 1]), c)
 
 
 def test_query_columns_folds_and_accuracy(spark):
