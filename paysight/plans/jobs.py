@@ -114,6 +114,7 @@ def main(argv=None) -> None:
     s.add_argument("--out", required=True)
     s.add_argument("--rel-error", type=float, default=1e-4)
     s.add_argument("--min-country", type=int, default=100)
+    s.add_argument("--model", help="where to keep the fit, for scoring raw rows")
     g = sub.add_parser("gold")
     g.add_argument("--silver", required=True)
     g.add_argument("--out", required=True)
@@ -126,27 +127,32 @@ def main(argv=None) -> None:
     e = sub.add_parser("eda")
     e.add_argument("--silver", required=True)
     e.add_argument("--out", required=True)
+    e.add_argument("--gold", help="gold table, for the diagnostics of --models")
+    e.add_argument("--models", nargs="+", default=[], help="NAME=PATH pairs of saved models, names starting lr or gbt")
     c = sub.add_parser("score")
     c.add_argument("--requests", required=True)
     c.add_argument("--pipeline", required=True)
     c.add_argument("--model", required=True)
     c.add_argument("--kind", default="gbt", choices=["gbt", "lr"])
     c.add_argument("--out", required=True)
+    c.add_argument("--silver-model", help="saved fit of the silver stage; the requests are raw survey rows then")
     args = ap.parse_args(argv)
+    if args.job == "eda" and args.models and not args.gold:
+        ap.error("--models needs --gold")
     spark = SparkSession.builder.getOrCreate()
     if args.job == "bronze":
         raw = {int(k): v for k, v in (p.split("=", 1) for p in args.raw)}
         bronze(spark, raw, args.out).show(truncate=False)
     elif args.job == "silver":
-        silver_job(spark, args.bronze, args.out, SilverParams(rel_error=args.rel_error, min_country=args.min_country))
+        silver_job(spark, args.bronze, args.out, SilverParams(rel_error=args.rel_error, min_country=args.min_country), args.model)
     elif args.job == "gold":
         gold_job(spark, args.silver, args.out, args.pipeline)
     elif args.job == "train":
         train_job(spark, args.gold, args.models, args.version, args.metrics).show(truncate=False)
     elif args.job == "eda":
-        eda_job(spark, args.silver, args.out)
+        eda_job(spark, args.silver, args.out, args.gold, dict(p.split("=", 1) for p in args.models))
     elif args.job == "score":
-        score_job(spark, args.requests, args.pipeline, args.model, args.kind, args.out)
+        score_job(spark, args.requests, args.pipeline, args.model, args.kind, args.out, args.silver_model)
 
 
 if __name__ == "__main__":
