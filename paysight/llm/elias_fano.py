@@ -3,8 +3,7 @@
 A trie level stores the last words of its n-grams, range by range in order of their contexts. Adding
 the last value of the ranges before makes a level one rising sequence, so it takes about two bits an
 entry above the bits that its average gap needs. Ranges are found by rising pointers, coded alike.
-A trigram's last word is stored as its rank among the successors of the middle word, a far smaller
-number than its id. Probabilities and back-off weights are codes into small tables of values.
+Probabilities are codes into a small table of values.
 """
 
 from __future__ import annotations
@@ -15,15 +14,19 @@ import tempfile
 import numpy as np
 
 WORD = 64
+SLICE = 1 << 16  # numbers whose bits are laid out at a time; a multiple of 64
 
 
 def _pack(values: np.ndarray, width: int) -> np.ndarray:
     """Numbers of ``width`` (at most 32) bits, end to end in 64-bit words."""
     if not width:
         return np.zeros(1, np.uint64)
-    bits = (values[:, None].astype(np.uint64) >> np.arange(width, dtype=np.uint64)) & np.uint64(1)
-    packed = np.packbits(bits.astype(np.uint8).ravel(), bitorder="little")
-    return np.concatenate([packed, np.zeros(16 - len(packed) % 8, np.uint8)]).view(np.uint64)
+    held = []
+    for k in range(0, len(values), SLICE):
+        bits = (values[k : k + SLICE, None].astype(np.uint64) >> np.arange(width, dtype=np.uint64)) & np.uint64(1)
+        held.append(np.packbits(bits.astype(np.uint8).ravel(), bitorder="little"))
+    size = sum(map(len, held))
+    return np.concatenate([*held, np.zeros(16 - size % 8, np.uint8)]).view(np.uint64)
 
 
 def _unpack(words: np.ndarray, at: np.ndarray, width: int) -> np.ndarray:
@@ -153,59 +156,47 @@ class Level:
 
 
 class Trie:
-    """Unigrams, bigrams and trigrams with coded log10 probabilities and back-off weights."""
-
-    FIELDS = ("p1", "b1", "p2", "b2", "p3")
+    """N-grams of one order as paths of words, each with a coded log10 probability."""
 
     def __init__(self, arrays: dict[str, np.ndarray]):
         part = lambda name: EliasFano({k.split("/")[1]: v for k, v in arrays.items() if k.startswith(name + "/")})
         self.arrays = arrays
-        self.bigrams = Level(part("ptr2"), part("val2"))
-        self.trigrams = Level(part("ptr3"), part("val3"))
+        self.levels = [Level(part(f"ptr{k}"), part(f"val{k}")) for k in range(int(arrays["order"][0]))]
 
     @classmethod
-    def of(cls, bigrams: tuple[np.ndarray, np.ndarray], trigrams: tuple[np.ndarray, np.ndarray, np.ndarray], n_words: int, weights: dict[str, np.ndarray]) -> Trie:
-        """bigrams (u, w) sorted; trigrams (entry of (u, v), v, w), sorted by entry and w; log10 weights by field."""
-        second = Level.of(*bigrams, n_words)
-        entry, middle, last = trigrams
-        rank = second.find(middle, last) - second.start(middle) if len(entry) else last
-        third = Level.of(entry, rank, len(bigrams[0]))
-        arrays = {}
-        for name, seq in (("ptr2", second.pointers), ("val2", second.values), ("ptr3", third.pointers), ("val3", third.values)):
-            arrays |= {f"{name}/{k}": v for k, v in seq.arrays.items()}
-        for name in cls.FIELDS:
-            arrays[f"code_{name}"], arrays[f"table_{name}"] = quantise(weights[name])
+    def of(cls, words: list[np.ndarray], log10: np.ndarray) -> Trie:
+        """From the n-grams' words, one array per place, sorted by the first, then the next, without repeats."""
+        arrays = {"order": np.array([len(words)], np.int64)}
+        n = len(log10)
+        context, contexts = np.zeros(n, np.int64), 1
+        new = np.zeros(n, bool)
+        new[:1] = True
+        for k, word in enumerate(words):
+            new[1:] |= word[1:] != word[:-1]
+            level = Level.of(context[new], word[new], contexts)
+            for name, seq in ((f"ptr{k}", level.pointers), (f"val{k}", level.values)):
+                arrays |= {f"{name}/{key}": v for key, v in seq.arrays.items()}
+            context = np.cumsum(new) - 1
+            contexts = int(new.sum())
+        arrays["code"], arrays["table"] = quantise(log10)
         return cls(arrays)
 
-    def weight(self, field: str, at: np.ndarray) -> np.ndarray:
-        return self.arrays[f"table_{field}"][self.arrays[f"code_{field}"][at]]
-
-    def log10(self, ids: np.ndarray, starts: np.ndarray, begin: int) -> np.ndarray:
-        """log10 probability of every token of texts laid end to end, each with up to two words of context.
-
-        ``starts`` marks the first token of each text, whose context is the word ``begin``.
-        """
-        first = np.zeros(len(ids), bool)
-        first[starts] = True
-        before = np.where(first, begin, np.roll(ids, 1))
-        out = self.weight("p1", ids)
-        pairs, back = np.unique(before << 32 | ids, return_inverse=True)
-        found = self.bigrams.find(pairs >> 32, pairs & 0xFFFFFFFF)
-        two, ranks = found[back], found.copy()
-        kept = np.flatnonzero(found >= 0)
-        ranks[kept] -= self.bigrams.start(pairs[kept] >> 32)
-        out = np.where(two >= 0, self.weight("p2", np.maximum(two, 0)) if len(self.arrays["code_p2"]) else 0.0, out + self.weight("b1", before))
-        context = np.where(first, -1, np.roll(two, 1))
-        known = np.flatnonzero(context >= 0)
-        if len(known):
-            both = known[two[known] >= 0]
-            triples, again = np.unique(context[both] << 32 | ranks[back[both]], return_inverse=True)
-            three = np.full(len(ids), -1, np.int64)
-            three[both] = self.trigrams.find(triples >> 32, triples & 0xFFFFFFFF)[again]
-            lower = known[three[known] < 0]
-            out[lower] += self.weight("b2", context[lower])
-            whole = known[three[known] >= 0]
-            out[whole] = self.weight("p3", three[whole])
+    def find(self, words: list[np.ndarray]) -> np.ndarray:
+        """The entry of each n-gram, or -1: from level to level, by successor search in its context's range."""
+        live = np.arange(len(words[0]))
+        entry = np.zeros(len(live), np.int64)
+        for level, word in zip(self.levels, words):
+            entry = level.find(entry, word[live])
+            live, entry = live[entry >= 0], entry[entry >= 0]
+        out = np.full(len(words[0]), -1, np.int64)
+        out[live] = entry
+        return out
+
+    def log10(self, words: list[np.ndarray], absent: float) -> np.ndarray:
+        """The n-grams' coded values, ``absent`` for those that the trie lacks."""
+        at = self.find(words)
+        out = np.full(len(at), absent)
+        out[at >= 0] = self.arrays["table"][self.arrays["code"][at[at >= 0]]]
         return out
 
     def dump(self) -> bytes:

@@ -1,46 +1,46 @@
-"""Language-model scoring with an Elias-Fano n-gram trie.
-
-Training counts cover every token of every training text: Spark sums the tasks' counts of tokens,
-word pairs and word triples. Tokens and n-grams that make up at least one in a fixed number of all
-training tokens enter the trie, so their number has a fixed bound whatever the corpus; it is
-broadcast and each worker maps it into memory. All rarer tokens share one word class in the trie,
-and each gets its own exact share of that class: their counts stay in a table as long as the corpus'
-vocabulary, joined to the texts' rare tokens by token.
-
-The model interpolates orders 1 to 3 with absolute discounting; whatever mass the n-grams outside the
-trie had goes to the lower order, so the probabilities of all words in any context sum to one. The
-unigrams are the base score's: (c + 1) / (N + V + 1).
+"""Language-model scoring with Elias-Fano n-gram tries.
+
+The model keeps every token, pair and triple of the training texts, however rare. Tasks put the texts
+of about a million tokens into a chunk and number its distinct tokens. Each chunk sends its distinct
+n-grams with their training counts to shards, once each, and gets one answer per n-gram back:
+
+1. Tokens go to the shard of their hash, which adds up their counts and numbers them.
+2. Pairs and triples go, as those numbers, to the shard of their context; n-grams of contexts that
+   occur very often are spread by their last word too. A shard adds up the counts, puts its n-grams
+   into an Elias-Fano trie, mapped into memory, and answers by successor search within each context.
+
+So no n-gram is sent more than once per chunk, however often it occurs, nothing is broadcast, and a
+shard holds about a fixed number of n-grams whatever the corpus.
+
+A trie stores quantised log10 probabilities c(n-gram) / N. The share of the lower order depends on the
+context's count C alone, ``share``, so that an n-gram's probability needs no other n-gram:
+p(w | context) = (1 - share(C)) * c(context, w) / C + share(C) * p(w | shorter context). Order 3; the
+unigrams are the base score's, (c + 1) / (N + V + 1). The probabilities of all words sum to one, but
+for the quantisation. Tokens and counts are compared as they are, never by hash.
 """
 
 from __future__ import annotations
 
-import uuid
-from collections import Counter
+import zlib
+from collections import defaultdict
 from collections.abc import Iterator
-from dataclasses import dataclass
-from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.functions import arrow_udf
+from pyspark.sql import types as T
 
 from .common import Scratch, id_remainder, table
 from .elias_fano import Trie
 
-WORD_SHARE = 1 << 19  # a word in the trie makes up one in so many training tokens, at least
-GRAM_SHARE = 1 << 20  # and so does an n-gram; with these the trie has at most 2^19 words and 2^20 entries a level
-DISCOUNT = 0.75
-FLUSH_TOKENS = 1 << 18  # distinct tokens that a task counts before it hands them on
-FLUSH_GRAMS = 1 << 21  # n-grams that a task gathers before it hands on their counts
-TEXTS_AT_ONCE = 1 << 9  # whose rare tokens are Python objects at a time
-TOKENS_AT_ONCE = 1 << 18  # of texts laid end to end; a longer text is taken by itself
+CHUNK = 1 << 20  # tokens after which a chunk is closed; a longer text is in one chunk
+SHARD = 1 << 20  # tokens of all texts per shard
+SPREAD = 1 << 16  # a word that occurs more often may be part of a context that is spread over shards
 END = b""  # no word is empty
-RARE = 0  # the class of all words outside the trie
+ABSENT = 1.0  # no log10 probability
 
-ENCODED = "struct<ids:array<int>,rare:array<struct<token:binary,n:long>>>"
-_PAIR = pa.struct([("token", pa.binary()), ("n", pa.int64())])
+ANSWER = "chunk long, level int, shard int, data array<binary>, seen long"
 
 
 def tokens_of(data: bytes | None) -> list[bytes]:
@@ -48,250 +48,326 @@ def tokens_of(data: bytes | None) -> list[bytes]:
     return [*(data or b"").lower().split(), END]
 
 
-def count_tokens(texts: DataFrame) -> DataFrame:
-    """(token binary, n) over a frame of one binary column."""
-
-    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: Counter[bytes] = Counter()
-        for batch in batches:
-            for text in batch[0]:
-                seen.update(tokens_of(text.as_py()))
-                if len(seen) > FLUSH_TOKENS:
-                    yield _counted(seen)
-                    seen.clear()
-        yield _counted(seen)
-
-    return texts.mapInArrow(task, "token binary, n long").groupBy("token").agg(F.sum("n").alias("n"))
-
-
-def _counted(seen: Counter[bytes]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(list(seen), pa.binary()), pa.array(list(seen.values()), pa.int64())], ["token", "n"])
-
-
-@dataclass
-class Words:
-    """The trie's words: number k + 1 is tokens[k]; after them the word that begins every text."""
-
-    tokens: list[bytes]
-    counts: np.ndarray
-    n: int  # training tokens
-    v: int  # distinct ones
-    texts: int  # training texts, and so end tokens
-
-    @property
-    def begin(self) -> int:
-        return len(self.tokens) + 1
-
-    @property
-    def rare_size(self) -> int:
-        """Tokens and distinct tokens of the rare class, and one for the unknown."""
-        return self.n - int(self.counts.sum()) + self.v - len(self.tokens) + 1
-
-    def unigrams(self) -> np.ndarray:
-        """Probability of every number; the begin word is never predicted."""
-        return np.concatenate([[self.rare_size], self.counts + 1, [1]]) / (self.n + self.v + 1)
-
-    def context_counts(self) -> np.ndarray:
-        """How often each number comes before another token; the end never does, the begin word in every text."""
-        counts = np.concatenate([[self.n - self.counts.sum()], self.counts, [self.texts]]).astype(np.int64)
-        counts[self.tokens.index(END) + 1 if END in self.tokens else RARE] -= self.texts
-        return counts
-
-
-def frequent_words(counts: DataFrame) -> Words:
-    n, v, texts = counts.agg(F.sum("n"), F.count("*"), F.sum(F.when(F.length("token") == 0, F.col("n")))).first()
-    n, texts = n or 0, texts or 0
-    rows = counts.filter(F.col("n") * WORD_SHARE >= n).orderBy(F.desc("n"), "token").collect() if n else []
-    return Words([bytes(r["token"]) for r in rows], np.array([r["n"] for r in rows], np.int64), n, v, texts)
+def share(count: np.ndarray) -> np.ndarray:
+    """The lower order's share in a context that occurs ``count`` times: new words get rarer as it does."""
+    return np.where(count > 0, 0.75 * np.maximum(count, 1.0) ** -0.25, 1.0)
 
 
-_WORKER: dict[str, object] = {}
+def squeeze(values: np.ndarray) -> bytes:
+    """Whole numbers from 0 up in as few bytes as the largest needs, byte by byte, compressed."""
+    kind = np.min_scalar_type(int(values.max(initial=0)))
+    return _compress(np.ascontiguousarray(values.astype(kind)).view(np.uint8).reshape(-1, kind.itemsize).T.tobytes(), kind.itemsize)
 
 
-def _kept(run: str, make):
-    """What a worker builds once per run."""
-    if run not in _WORKER:
-        if len(_WORKER) >= 2:
-            _WORKER.clear()
-        _WORKER[run] = make()
-    return _WORKER[run]
+def unsqueeze(data: bytes) -> np.ndarray:
+    raw, size = _decompress(data)
+    planes = np.frombuffer(raw, np.uint8).reshape(size, -1).T
+    return np.ascontiguousarray(planes).view(f"<u{size}").ravel().astype(np.int64)
 
 
-def encode(text: Column, words: Words, spark) -> Column:
-    """The numbers of a text's tokens in the trie, and its rare tokens with their counts."""
-    run, shared = uuid.uuid4().hex, spark.sparkContext.broadcast(words.tokens)
+def _compress(raw: bytes, mark: int = 0) -> bytes:
+    return bytes([mark]) + len(raw).to_bytes(8, "little") + pa.compress(raw, codec="zstd", asbytes=True)
 
-    def some(texts: pa.Array, numbers: dict[bytes, int]) -> pa.Array:
-        ids, tokens, counts, ends, rare_ends = [np.zeros(0, np.int32)], [], [], [0], [0]
-        for text in texts:
-            own_tokens = tokens_of(text.as_py())
-            own = np.fromiter(map(numbers.get, own_tokens, repeat(RARE)), np.int32, len(own_tokens))
-            rare = Counter(own_tokens[k] for k in np.flatnonzero(own == RARE).tolist())
-            ids.append(own)
-            tokens += rare
-            counts += rare.values()
-            ends.append(ends[-1] + len(own))
-            rare_ends.append(len(tokens))
-        pairs = pa.StructArray.from_arrays([pa.array(tokens, pa.binary()), pa.array(counts, pa.int64())], fields=list(_PAIR))
-        lists = [pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(ids))), pa.ListArray.from_arrays(pa.array(rare_ends, pa.int32()), pairs)]
-        return pa.StructArray.from_arrays(lists, ["ids", "rare"])
 
-    @arrow_udf(ENCODED)
-    def of(batch: pa.Array) -> pa.Array:
-        numbers = _kept(run, lambda: {t: k for k, t in enumerate(shared.value, 1)})
-        return pa.concat_arrays([some(batch.slice(k, TEXTS_AT_ONCE), numbers) for k in range(0, max(1, len(batch)), TEXTS_AT_ONCE)])
+def _decompress(data: bytes) -> tuple[bytes, int]:
+    return pa.decompress(data[9:], int.from_bytes(data[1:9], "little"), codec="zstd", asbytes=True), data[0]
 
-    return of(text.cast("binary"))
 
+def _split(data: bytes) -> list[bytes]:
+    return _decompress(data)[0].split(b" ")
 
-def _laid_out(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """The texts of a batch end to end, some at a time, and where each begins (texts have an end, so none is empty)."""
-    ends = column.offsets.to_numpy().astype(np.int64)
-    values, first = column.values.to_numpy(), 0
-    while first < len(column):
-        stop = max(first + 1, int(np.searchsorted(ends, ends[first] + TOKENS_AT_ONCE, side="right")) - 1)
-        yield values[ends[first] : ends[stop]].astype(np.int64), ends[first:stop] - ends[first]
-        first = stop
 
-
-def count_grams(encoded: DataFrame, grams_of) -> DataFrame:
-    """(gram long, n) over the frame's ``ids``; grams_of(ids, starts) gives a batch's grams as numbers."""
+def chunks_of(texts: DataFrame) -> DataFrame:
+    """Chunks of a frame (text binary, trains boolean, doc struct): one row each, with its docs and their tokens' numbers."""
+    docs_type = T.ArrayType(texts.schema["doc"].dataType)
+    schema = T.StructType([T.StructField("docs", docs_type), *[T.StructField(c, T.BinaryType()) for c in ("ids", "lengths", "trains", "tokens")]])
+    schema.add("n", "long").add("n_train", "long").add("texts", "long")
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size = [], 0
-
-        def counted() -> pa.RecordBatch:
-            grams, n = np.unique(np.concatenate(held), return_counts=True)
-            held.clear()
-            return pa.RecordBatch.from_arrays([pa.array(grams, pa.int64()), pa.array(n, pa.int64())], ["gram", "n"])
-
+        docs, ids, trains, numbers = [], [], [], defaultdict()
+
+        def fresh_numbers() -> None:
+            numbers.clear()
+            numbers.default_factory = numbers.__len__
+            numbers[END]
+
+        def closed() -> pa.RecordBatch:
+            rows = pa.concat_arrays(docs)
+            lengths = np.array([len(x) for x in ids])
+            flags = np.array(trains, bool)
+            row = [pa.ListArray.from_arrays(pa.array([0, len(rows)], pa.int32()), rows)]
+            row += [pa.array([x], pa.binary()) for x in (squeeze(np.concatenate(ids)), squeeze(lengths), squeeze(flags), _compress(b" ".join(numbers)))]
+            row += [pa.array([int(x)], pa.int64()) for x in (lengths.sum(), lengths[flags].sum(), flags.sum())]
+            for held in (docs, ids, trains):
+                held.clear()
+            fresh_numbers()
+            return pa.RecordBatch.from_arrays(row, schema.names)
+
+        fresh_numbers()
+        size = 0
         for batch in batches:
-            for ids, starts in _laid_out(batch[0]):
-                held.append(grams_of(ids, starts))
-                size += len(held[-1])
-                if size > FLUSH_GRAMS:
-                    yield counted()
-                    size = 0
-        if held:
-            yield counted()
+            first = 0
+            for k, (text, flag) in enumerate(zip(batch.column("text"), batch.column("trains").to_pylist()), 1):
+                own = tokens_of(text.as_py())
+                ids.append(np.fromiter(map(numbers.__getitem__, own), np.int32, len(own)))
+                trains.append(flag)
+                size += len(own)
+                if size >= CHUNK:
+                    docs.append(batch.column("doc").slice(first, k - first))
+                    yield closed()
+                    first, size = k, 0
+            if first < batch.num_rows:
+                docs.append(batch.column("doc").slice(first))
+        if ids:
+            yield closed()
+
+    return texts.mapInArrow(task, schema)
+
+
+class Chunk:
+    """A chunk's tokens and, once the token shards have answered, their counts and numbers in the model."""
+
+    def __init__(self, row: dict, shards: int):
+        self.shards = shards
+        self.ids, self.lengths = unsqueeze(row["ids"]), unsqueeze(row["lengths"])
+        self.flags = np.repeat(unsqueeze(row["trains"]) > 0, self.lengths)
+        self.starts = np.cumsum(self.lengths) - self.lengths
+        self.tokens = _split(row["tokens"])
+        shard = np.fromiter(map(zlib.crc32, self.tokens), np.int64, len(self.tokens)) % shards
+        self.order = np.argsort(shard, kind="stable")
+        self.shard = shard[self.order]
+
+    def token_requests(self) -> Iterator[tuple[int, list[bytes]]]:
+        n = np.bincount(self.ids[self.flags], minlength=len(self.tokens))
+        every = np.bincount(self.ids, minlength=len(self.tokens))
+        for shard, part in _parts(self.shard):
+            own = self.order[part]
+            yield shard, [_compress(b" ".join(self.tokens[k] for k in own.tolist())), squeeze(n[own]), squeeze(every[own])]
+
+    def learn(self, answers: list[list[bytes]], texts: int) -> None:
+        """Take the token shards' answers, in order of the shards. The word that begins each text comes after all others."""
+        got = [np.concatenate([unsqueeze(a[k]) for a in answers]) for k in range(3)]
+        full = [np.empty(len(self.tokens) + 1, np.int64) for _ in got]
+        for whole, values, begin in zip(full, got, (texts, 1, 1)):
+            whole[self.order] = values
+            whole[-1] = begin  # its number is 0, one less than what is sent
+        self.count, self.number, self.often = full[0], full[1] - 1, full[2] > 0
+        before = np.roll(self.ids, 1)
+        before[self.starts] = len(self.tokens)
+        self.before = before
+        size, number = len(self.tokens) + 1, self.number
+        known = (number[before] >= 0) & (number[self.ids] >= 0)
+        self.pairs = _Grams(before * size + self.ids, known, self.flags, shards=self.shards)
+        v, w = np.divmod(self.pairs.keys, size)
+        self.pairs.send([number[v], number[w]], self.often[v])
+        # a triple is the pair of the place before and its own word
+        prior = np.roll(self.pairs.at, 1)
+        prior[self.starts] = -1
+        self.prior = prior
+        self.triples = _Grams(prior * size + self.ids, (prior >= 0) & known, self.flags, shards=self.shards)
+        pair, w = np.divmod(self.triples.keys, size)
+        u, v = np.divmod(self.pairs.keys[pair], size)
+        self.triples.send([number[u], number[v], number[w]], self.often[u] & self.often[v])
+
+    def gram_requests(self) -> Iterator[tuple[int, int, list[bytes]]]:
+        for level, grams in ((2, self.pairs), (3, self.triples)):
+            for shard, part in _parts(grams.shard):
+                own = grams.order[part]
+                words = [c[own] for c in grams.words]
+                lead = np.diff(words[0], prepend=0)  # sorted by the first word
+                yield level, shard, [squeeze(lead), *map(squeeze, words[1:]), squeeze(grams.n[own])]
+
+    def scores(self, pairs: list[bytes], triples: list[bytes], n: int, v: int) -> tuple[np.ndarray, ...]:
+        """Of each text: tokens, known ones, base score and score, from the shards' answers in order of the shards."""
+        p1 = (self.count[self.ids] + 1.0) / (n + v + 1)
+        two, three = self.pairs.counts(pairs, n), self.triples.counts(triples, n)
+        p2 = _mixed(two, self.count[self.before].astype(float), p1)
+        context = np.where(self.prior >= 0, two[np.maximum(np.arange(len(two)) - 1, 0)], 0.0)
+        p3 = _mixed(three, context, p2)
+        per_token = (np.ones(len(p1), np.int64), (self.count[self.ids] > 0).astype(np.int64), np.log10(p1), np.log10(p3))
+        return tuple(np.add.reduceat(x, self.starts) for x in per_token)
+
+
+def _mixed(n: np.ndarray, context: np.ndarray, lower: np.ndarray) -> np.ndarray:
+    part = share(context)
+    # counts are coded, so an n-gram can come out a little above its context
+    return (1 - part) * np.minimum(n / np.maximum(context, 1e-300), 1.0) + part * lower
+
+
+def _parts(shard: np.ndarray) -> Iterator[tuple[int, slice]]:
+    """The runs of equal shards in a sorted array."""
+    turns = np.flatnonzero(np.diff(shard, prepend=-1))
+    for a, b in zip(turns.tolist(), [*turns[1:].tolist(), len(shard)]):
+        yield int(shard[a]), slice(a, b)
+
+
+class _Grams:
+    """A chunk's distinct n-grams of one order: keys, training counts, and at each place the key's position (or -1)."""
+
+    def __init__(self, key: np.ndarray, known: np.ndarray, flags: np.ndarray, shards: int):
+        self.shards = shards
+        self.keys, back = np.unique(key[known], return_inverse=True)
+        self.n = np.bincount(back[flags[known]], minlength=len(self.keys))
+        self.at = np.full(len(key), -1, np.int64)
+        self.at[known] = back
+
+    def send(self, words: list[np.ndarray], spread: np.ndarray) -> None:
+        mixed = np.zeros(len(self.keys), np.uint64)
+        for k, word in enumerate(words):
+            step = _scramble(mixed ^ word.astype(np.uint64))
+            mixed = np.where(spread, step, mixed) if k == len(words) - 1 else step
+        shard = (mixed % np.uint64(self.shards)).astype(np.int64)
+        self.words = words
+        self.order = np.lexsort((*words[::-1], shard))
+        self.shard = shard[self.order]
+
+    def counts(self, answers: list[bytes], n: int) -> np.ndarray:
+        """The training count at each place, as coded; 0 where the n-gram is unknown."""
+        log10 = np.concatenate([np.frombuffer(_decompress(a)[0], "<f4") for a in answers] + [np.zeros(0, "<f4")]).astype(float)
+        own = np.empty(len(self.keys))
+        own[self.order] = np.where(log10 == ABSENT, 0.0, 10.0**log10 * n)
+        return np.where(self.at >= 0, own[self.at], 0.0) if len(own) else np.zeros(len(self.at))
+
+
+def _scramble(x: np.ndarray) -> np.ndarray:
+    """A fixed mixing of 64-bit numbers."""
+    x = (x + np.uint64(0x9E3779B97F4A7C15)) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(29))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(32))
+
+
+def _answers(rows: list[tuple]) -> pa.Table:
+    chunk, level, shard, data, seen = zip(*rows)
+    return pa.table(
+        {
+            "chunk": pa.array(chunk, pa.int64()),
+            "level": pa.array(level, pa.int32()),
+            "shard": pa.array(shard, pa.int32()),
+            "data": pa.array(data, pa.list_(pa.binary())),
+            "seen": pa.array(seen, pa.int64()),
+        }
+    )
 
-    return encoded.select("ids").mapInArrow(task, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
 
+def _requests(rows: list[tuple]) -> pa.RecordBatch:
+    return _answers([(*r, 0) for r in rows]).combine_chunks().to_batches()[0]
 
-def _frequent(grams: DataFrame, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """The grams that make up one in GRAM_SHARE training tokens, at most GRAM_SHARE, in order."""
-    got = grams.filter(F.col("n") * GRAM_SHARE >= n).toPandas().sort_values("gram")
-    return got["gram"].to_numpy(np.int64), got["n"].to_numpy(np.int64)
 
+def answer_tokens(shards: int):
+    """A shard of tokens: to each chunk the counts of its tokens, their numbers + 1 (0: not in training), and which occur often."""
 
-def _pairs(begin: int):
-    def of(ids: np.ndarray, starts: np.ndarray) -> np.ndarray:
-        before = np.roll(ids, 1)
-        before[starts] = begin
-        return before << 32 | ids
+    def of(requests: pa.Table) -> pa.Table:
+        rows = [(r["chunk"], r["shard"], r["data"]) for r in requests.to_pylist()]
+        places, at = defaultdict(), []
+        places.default_factory = places.__len__
+        for _, _, data in rows:
+            own = _split(data[0])
+            at.append(np.fromiter(map(places.__getitem__, own), np.int64, len(own)))
+        count, every = np.zeros(len(places), np.int64), np.zeros(len(places), np.int64)
+        for own, (_, _, data) in zip(at, rows):
+            count[own] += unsqueeze(data[1])
+            every[own] += unsqueeze(data[2])
+        # frequent words get small numbers; 0 is the word that begins each text
+        rank = np.empty(len(places), np.int64)
+        rank[np.lexsort((np.arange(len(places)), -count))] = np.arange(len(places))
+        number = np.where(count > 0, 2 + rank * shards + rows[0][1], 0)
+        seen = [int((count > 0).sum()), *[0] * (len(rows) - 1)]
+        return _answers([(c, 1, s, [squeeze(count[own]), squeeze(number[own]), squeeze(every[own] > SPREAD)], k) for own, (c, s, _), k in zip(at, rows, seen)])
 
     return of
 
 
-def _triples(begin: int, shared):
-    """Triples whose first two words are a kept pair: its entry, then the third word."""
-
-    def of(ids: np.ndarray, starts: np.ndarray) -> np.ndarray:
-        kept = shared.value
-        pairs = _pairs(begin)(ids, starts)
-        entry = np.minimum(np.searchsorted(kept, pairs), len(kept) - 1)
-        context = np.roll(np.where(kept[entry] == pairs, entry, -1), 1)
-        context[starts] = -1
-        some = context >= 0
-        return context[some] << 32 | ids[some]
+def answer_grams(n: int):
+    """A shard of pairs or triples: its trie, and to each chunk the log10 probabilities of its n-grams."""
+
+    def of(requests: pa.Table) -> pa.Table:
+        rows = [(r["chunk"], r["level"], r["shard"], r["data"]) for r in requests.to_pylist()]
+        asked = []
+        for *_, data in rows:
+            lead, *rest = (unsqueeze(d) for d in data)
+            asked.append([np.cumsum(lead), *rest])
+        *words, count = (np.concatenate(c) for c in zip(*asked))
+        some = np.flatnonzero(count)
+        some = some[np.lexsort([w[some] for w in words[::-1]])]
+        words, count = [w[some] for w in words], count[some]
+        new = np.ones(len(some), bool)
+        new[1:] = np.any([w[1:] != w[:-1] for w in words], axis=0)
+        first = np.flatnonzero(new)
+        total = np.add.reduceat(count, first) if len(first) else count
+        trie = Trie.mapped(Trie.of([w[first] for w in words], np.log10(total / max(n, 1))).dump())
+        found = ([_compress(trie.log10(own[:-1], ABSENT).astype("<f4").tobytes())] for own in asked)
+        return _answers([(c, level, s, data, 0) for (c, level, s, _), data in zip(rows, found)])
 
     return of
 
 
-def _smoothed(context: np.ndarray, n: np.ndarray, totals: np.ndarray, lower: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Interpolated probabilities of the entries, and each context's weight of the lower order."""
-    own = np.maximum(n - DISCOUNT, 0) / totals[context]
-    weight = 1.0 - np.bincount(context, own, len(totals))
-    return own + weight[context] * lower, np.clip(weight, 1e-12, 1.0)
-
-
-def build_trie(words: Words, pairs: tuple[np.ndarray, np.ndarray], triples: tuple[np.ndarray, np.ndarray]) -> Trie:
-    p1, totals = words.unigrams(), np.maximum(words.context_counts(), 1)
-    (pair, n2), (triple, n3) = pairs, triples
-    u, w = pair >> 32, pair & 0xFFFFFFFF
-    p2, b1 = _smoothed(u, n2, totals, p1[w])
-    entry, last = triple >> 32, triple & 0xFFFFFFFF
-    middle = w[entry]
-    lower = p2[np.searchsorted(pair, middle << 32 | last)] if len(triple) else p1[:0]
-    p3, b2 = _smoothed(entry, n3, np.maximum(n2, 1), lower)
-    weights = {"p1": p1, "b1": b1, "p2": p2, "b2": b2, "p3": p3}
-    return Trie.of((u, w), (entry, middle, last), len(p1), {k: np.log10(v) for k, v in weights.items()})
-
-
-def score_texts(encoded: Column, words: Words, trie: bytes, spark) -> Column:
-    """Struct of what the trie's words give: n_tokens, n_known, base (sum of log10(c + 1)) and score."""
-    run = uuid.uuid4().hex
-    shared = spark.sparkContext.broadcast((trie, np.concatenate([[0.0], np.log10(words.counts + 1.0)]), words.begin))
-    kind = pa.struct([("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base", pa.float64()), ("score", pa.float64())])
-
-    @arrow_udf("struct<n_tokens:long,n_known:long,base:double,score:double>")
-    def score(batch: pa.Array) -> pa.Array:
-        data, own, begin = shared.value
-        trie = _kept(run, lambda: Trie.mapped(data))
-        columns = [[np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0)], [np.zeros(0)]]
-        for ids, starts in _laid_out(batch):
-            parts = [np.ones(len(ids), np.int64), (ids != RARE).astype(np.int64), own[ids], trie.log10(ids, starts, begin)]
-            for column, values in zip(columns, parts):
-                column.append(np.add.reduceat(values, starts))
-        return pa.StructArray.from_arrays([pa.array(np.concatenate(c)) for c in columns], fields=list(kind))
-
-    return score(encoded)
-
-
 def fit_and_score(docs: DataFrame, trains: Column, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
     """Score every row of ``docs`` with a model of the rows where ``trains`` holds.
 
     Returns id_col, the columns named in ``keep``, n_tokens, n_known, train_tokens, base_score and score (both
-    log10), one row per row of ``docs``. Null and empty texts are one end token. With no training row
-    every token has probability one over nothing but the unknown: both scores are 0.
+    log10), one row per row of ``docs``, whose other columns take no part whatever their names. Null and empty
+    texts are one end token; a very long text is taken whole, in a chunk of its own size. Repeated rows and ids
+    count and are scored as often as they occur; nothing is ranked, so there are no ties. An empty table gives no
+    rows. With no training row every token has probability one over nothing but the unknown: both scores are 0.
     """
     spark = docs.sparkSession
     scratch = Scratch(spark, "lm")
     text = F.col(text_col).cast("string").cast("binary")
-    counts = scratch.write(count_tokens(docs.filter(trains).select(text.alias("text"))), "tokens")
-    words = frequent_words(counts)
-
-    # one row number per written row: the table's rows never change again
-    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("id"), F.struct(*[F.lit(0).alias("_"), *keep]).alias("kept"), F.coalesce(trains, F.lit(False)).alias("trains"), encode(text, words, spark).alias("e"))
-    rows = scratch.write(rows.select("row", "id", "kept", "trains", "e.ids", "e.rare"), "rows")
-
-    training = rows.filter("trains")
-    pairs = _frequent(count_grams(training, _pairs(words.begin)), words.n)
-    triples = (np.zeros(0, np.int64), np.zeros(0, np.int64))
-    if len(pairs[0]):
-        shared = spark.sparkContext.broadcast(pairs[0])
-        triples = _frequent(count_grams(training, _triples(words.begin, shared)), words.n)
-    trie = build_trie(words, pairs, triples).dump()
-
-    scored = rows.select("row", "id", "kept", score_texts(F.col("ids"), words, trie, spark).alias("s"))
-    rare = rows.select("row", F.explode("rare").alias("r")).select("row", F.col("r.token").alias("token"), F.col("r.n").alias("n"))
-    tail = counts.filter(F.col("n") * WORD_SHARE < words.n).select("token", F.col("n").alias("c"))
-    found = rare.join(tail, "token", "left")
-    sums = found.groupBy("row").agg(
-        F.sum(F.when(F.col("c") > 0, F.col("n")).otherwise(0)).alias("known"),
-        F.sum(F.col("n") * F.log10(F.coalesce("c", F.lit(0)) + 1.0)).alias("own"),
-        F.sum("n").alias("n"),
-    )
-    out = scored.join(scratch.write(sums, "rare"), "row", "left")
-    own, n = F.coalesce("own", F.lit(0.0)), F.coalesce("n", F.lit(0))
-    return out.select(
-        F.col("id").alias(id_col),
-        *[F.col("kept")[c].alias(c) for c in keep],
-        "s.n_tokens",
-        (F.col("s.n_known") + F.coalesce("known", F.lit(0))).alias("n_known"),
-        F.lit(words.n).cast("long").alias("train_tokens"),
-        (F.col("s.base") + own - F.col("s.n_tokens") * float(np.log10(words.n + words.v + 1))).alias("base_score"),
-        (F.col("s.score") + own - n * float(np.log10(words.rare_size))).alias("score"),
+    doc = F.struct(F.col(id_col).alias("id"), F.struct(F.lit(0).alias("_"), *keep).alias("kept"))
+    texts = docs.select(text.alias("text"), F.coalesce(trains, F.lit(False)).alias("trains"), doc.alias("doc"))
+    # numbered as they are written, so no task sees a chunk change
+    chunks = scratch.write(chunks_of(texts).withColumn("chunk", F.monotonically_increasing_id()), "chunks")
+    total, n, n_texts = (x or 0 for x in chunks.agg(F.sum("n"), F.sum("n_train"), F.sum("texts")).first())
+    shards = -(-total // SHARD) or 1
+
+    def ask_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(batch.num_rows):
+                row = batch.slice(k, 1).to_pylist()[0]
+                yield _requests([(row["chunk"], 1, s, data) for s, data in Chunk(row, shards).token_requests()])
+
+    def ask_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(batch.num_rows):
+                row = batch.slice(k, 1).to_pylist()[0]
+                chunk = Chunk(row, shards)
+                chunk.learn([a["data"] for a in row["answers"]], n_texts)
+                rows = [(row["chunk"], *r) for r in chunk.gram_requests()]
+                if rows:
+                    yield _requests(rows)
+
+    parts = ["chunk", "ids", "lengths", "trains", "tokens"]
+    asked = chunks.select(*parts).mapInArrow(ask_tokens, ANSWER)
+    tokens = scratch.write(asked.groupBy("shard").applyInArrow(answer_tokens(shards), ANSWER), "tokens")
+    v = tokens.agg(F.sum("seen")).first()[0] or 0
+
+    by_chunk = lambda answers: answers.groupBy("chunk").agg(F.sort_array(F.collect_list(F.struct("level", "shard", "data"))).alias("answers"))
+    asked = chunks.select(*parts).join(by_chunk(tokens), "chunk").mapInArrow(ask_grams, ANSWER)
+    grams = scratch.write(asked.groupBy("level", "shard").applyInArrow(answer_grams(n), ANSWER), "grams")
+
+    doc_type = chunks.schema["docs"].dataType.elementType
+    schema = T.StructType([T.StructField("doc", doc_type)]).add("n_tokens", "long").add("n_known", "long").add("base_score", "double").add("score", "double")
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(batch.num_rows):
+                one = batch.slice(k, 1)
+                row = one.drop_columns("docs").to_pylist()[0]
+                chunk = Chunk(row, shards)
+                at = lambda level: [a["data"] for a in row["answers"] if a["level"] == level]
+                chunk.learn(at(1), n_texts)
+                got = chunk.scores([a[0] for a in at(2)], [a[0] for a in at(3)], n, v)
+                yield pa.RecordBatch.from_arrays([one.column("docs").flatten(), *map(pa.array, got)], schema.names)
+
+    scored = chunks.select(*parts, "docs").join(by_chunk(tokens.unionByName(grams)), "chunk").mapInArrow(score, schema)
+    return scored.select(
+        F.col("doc.id").alias(id_col),
+        *[F.col("doc.kept")[c].alias(c) for c in keep],
+        "n_tokens",
+        "n_known",
+        F.lit(n).cast("long").alias("train_tokens"),
+        "base_score",
+        "score",
     )
 
 

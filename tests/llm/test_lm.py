@@ -12,8 +12,6 @@ from pyspark.sql import functions as F
 from paysight.llm import lm as L
 from paysight.llm.elias_fano import EliasFano, Level, Trie, quantise
 
-SF = "/root/testdata/sf0.001"
-
 
 def tokens(text):
     low = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
@@ -49,97 +47,111 @@ def test_quantised_values_are_close():
     assert len(table) <= 256 and np.abs(table[codes] - values).mean() < 0.02
 
 
-def plain_scores(train, texts):
-    """The base score and the smoothed trigram model, by dictionaries over all training tokens."""
-    counts = Counter(t for x in train for t in tokens(x))
+@settings(max_examples=60, deadline=None)
+@given(st.sets(st.tuples(st.integers(0, 9), st.integers(0, 2**40), st.integers(0, 30)), max_size=80), st.integers(0, 2**40))
+def test_trie_finds_its_ngrams_and_no_others(grams, other):
+    rows = sorted(grams)
+    words = [np.array([r[k] for r in rows], np.int64) for k in range(3)]
+    trie = Trie.mapped(Trie.of(words, -np.arange(len(rows)) / 7).dump())
+    asked = sorted({*rows, *((a, other, c) for a, _, c in rows), (3, other, 4)})
+    got = trie.log10([np.array([r[k] for r in asked], np.int64) for k in range(3)], 1.0)
+    place = {r: -k / 7 for k, r in enumerate(rows)}
+    assert np.allclose(got, [place.get(r, 1.0) for r in asked])
+
+
+@given(st.lists(st.integers(0, 2**40)))
+def test_squeezed_numbers_round_trip(values):
+    assert L.unsqueeze(L.squeeze(np.array(values, np.int64))).tolist() == values
+
+
+def plain_model(train):
+    """The base and interpolated probabilities by dictionaries over every token, pair and triple of the training texts."""
+    laid = [["<begin>", *tokens(x)] for x in train]
+    counts = Counter(t for x in laid for t in x[1:])
     n, v = sum(counts.values()), len(counts)
-    kept = {t for t, c in counts.items() if c * L.WORD_SHARE >= n}
-    rare_size = n - sum(counts[t] for t in kept) + v - len(kept) + 1
-    cls = lambda t: t if t in kept else None
-    uni = lambda w: (counts[w] + 1 if w is not None else rare_size) / (n + v + 1)
-    laid = [["<begin>", *map(cls, tokens(x))] for x in train]
     two = Counter(p for x in laid for p in zip(x, x[1:]))
-    one = Counter(w for x in laid for w in x[:-1])
-    two_kept = {p: c for p, c in two.items() if c * L.GRAM_SHARE >= n}
-    three = Counter(p for x in laid for p in zip(x, x[1:], x[2:]) if p[:2] in two_kept)
-    three_kept = {p: c for p, c in three.items() if c * L.GRAM_SHARE >= n}
-    left1, left2 = Counter(), Counter()
-    for (u, _), c in two_kept.items():
-        left1[u] += (c - L.DISCOUNT) / one[u]
-    for (u, w, _), c in three_kept.items():
-        left2[u, w] += (c - L.DISCOUNT) / two_kept[u, w]
-
-    def p2(u, w):
-        return max(two_kept.get((u, w), 0) - L.DISCOUNT, 0) / max(one[u], 1) + (1 - left1[u]) * uni(w)
-
-    def p3(a, u, w):
-        if (a, u) not in two_kept:
-            return p2(u, w)
-        return max(three_kept.get((a, u, w), 0) - L.DISCOUNT, 0) / two_kept[a, u] + (1 - left2[a, u]) * p2(u, w)
+    three = Counter(p for x in laid for p in zip(x, x[1:], x[2:]))
+    context = Counter(w for x in laid for w in x[:-1])
+    uni = lambda w: (counts[w] + 1) / (n + v + 1)
+
+    def mixed(own, total, lower):
+        if not total:
+            return lower
+        part = 0.75 * total**-0.25
+        return (1 - part) * own / total + part * lower
 
+    def probability(a, u, w):
+        lower = mixed(two[u, w], context[u], uni(w))
+        return lower if a is None else mixed(three[a, u, w], two[a, u], lower)
+
+    return counts, n, v, uni, probability
+
+
+def plain_scores(train, texts):
+    counts, n, _, uni, probability = plain_model(train)
     out = []
     for x in texts:
         base = score = 0.0
         a, u = None, "<begin>"
-        for k, t in enumerate(tokens(x)):
-            w = cls(t)
-            base += math.log10((counts[t] + 1) / (n + v + 1))
-            score += math.log10(p3(a, u, w) if k else p2(u, w))
-            if w is None:
-                score += math.log10((counts[t] + 1) / rare_size)
+        for w in tokens(x):
+            base += math.log10(uni(w))
+            score += math.log10(probability(a, u, w))
             a, u = u, w
         out.append((len(tokens(x)), sum(counts[t] > 0 for t in tokens(x)), n, base, score))
-    return out, p3, kept
+    return out
 
 
-@pytest.mark.parametrize("word_share,gram_share", [(L.WORD_SHARE, L.GRAM_SHARE), (300, 2000)])
-def test_query_equals_a_model_over_dictionaries(spark, monkeypatch, word_share, gram_share):
-    monkeypatch.setattr(L, "WORD_SHARE", word_share)
-    monkeypatch.setattr(L, "GRAM_SHARE", gram_share)
-    docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
+# one chunk and shard; many of both; many, with most contexts spread over them
+@pytest.mark.parametrize("sf,chunk,shard,spread", [("0.001", L.CHUNK, L.SHARD, L.SPREAD), ("0.001", 1500, 3000, 50), ("0.001", 700, 9000, 0), ("0.01", 1 << 15, 1 << 16, 1 << 9)])
+def test_query_equals_a_model_over_dictionaries(spark, monkeypatch, sf, chunk, shard, spread):
+    for name, value in (("CHUNK", chunk), ("SHARD", shard), ("SPREAD", spread)):
+        monkeypatch.setattr(L, name, value)
+    sf_dir = f"/root/testdata/sf{sf}"
+    docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()]
     held = {k: zlib.crc32(str(k).encode()) % 7 == 2 for k, _ in docs}
-    expected, _, kept = plain_scores([t for k, t in docs if not held[k]], [t for _, t in docs])
-    got = {r.doc_id: r for r in L.op4_lm_scoring(spark, SF).collect()}
-    assert len(got) == len(docs) and kept
+    expected = plain_scores([t for k, t in docs if not held[k]], [t for _, t in docs])
+    got = {r.doc_id: r for r in L.op4_lm_scoring(spark, sf_dir).collect()}
+    assert len(got) == len(docs)
     off = []
     for (k, _), (n_tokens, n_known, n, base, score) in zip(docs, expected):
         r = got[k]
         assert (r.held_out, r.n_tokens, r.n_known, r.train_tokens) == (held[k], n_tokens, n_known, n)
         assert math.isclose(r.base_score, base, rel_tol=1e-9, abs_tol=1e-9)
         off.append(abs(r.score - score) / n_tokens)
-    # the trie's probabilities are coded in eight bits
-    assert np.mean(off) < 0.02 and max(off) < 0.3
+    # the tries' probabilities are coded in eight bits
+    assert np.mean(off) < 0.002 and max(off) < 0.02
 
 
 def test_probabilities_of_all_words_sum_to_one():
     train = ["a b c a b d", "a b c", "c c a", "b d a b"] * 3
-    _, p3, kept = plain_scores(train, [])
-    words = sorted(kept)
-    counts = np.array([sum(t.count(w) for t in map(tokens, train)) for w in words])
-    own = L.Words([w.encode() for w in words], counts, int(counts.sum()), len(words), len(train))
-    number = {w: k for k, w in enumerate(words, 1)} | {"<begin>": own.begin}
-    laid = [[own.begin, *(number[t] for t in tokens(x))] for x in train]
-    pairs = Counter(a << 32 | b for x in laid for a, b in zip(x, x[1:]))
-    keys = np.array(sorted(pairs), np.int64)
-    entry = {k: i for i, k in enumerate(keys.tolist())}
-    triples = Counter(entry[a << 32 | b] << 32 | c for x in laid for a, b, c in zip(x, x[1:], x[2:]))
-    more = np.array(sorted(triples), np.int64)
-    trie = Trie.mapped(L.build_trie(own, (keys, np.array([pairs[k] for k in keys.tolist()])), (more, np.array([triples[k] for k in more.tolist()]))).dump())
-    for a in [*range(1, own.begin)]:
-        for b in range(1, own.begin):
-            total = 0.0
-            for w in range(0, own.begin):  # the rare class and every word
-                ids = np.array([a, b, w])
-                total += 10 ** trie.log10(ids, np.array([0]), own.begin)[2]
-            assert abs(total - 1) < 0.02
+    counts, n, v, _, probability = plain_model(train)
+    inner = [w for w in counts if w]  # nothing follows the end
+    for a in [None, "<begin>", *inner]:
+        for u in [*inner, "never"]:
+            total = sum(probability(a, u, w) for w in counts) + probability(a, u, "never")
+            assert abs(total - 1) < 1e-9
+
+
+def test_a_larger_corpus_keeps_its_rare_ngrams(spark, make_docs):
+    """The same rare passage scores alike however many other texts there are: nothing is cut by size."""
+    rare = "quartz violin meadow lantern orbit"
+    filler = [f"common words repeat here again {k % 3}" for k in range(4000)]
+    found = []
+    for some in (filler[:40], filler):
+        rows = [(k, t) for k, t in enumerate([rare, "meadow quartz orbit violin lantern", *some])]
+        got = {r.doc_id: r.score for r in L.fit_and_score(make_docs(rows), F.col("doc_id") != 1).collect()}
+        found.append(got[0] - got[1])
+    assert min(found) > 3
 
 
 def test_edges_and_empty_training(spark, edge_docs, make_docs, edge_rows):
     got = L.fit_and_score(edge_docs, F.col("doc_id") > 3).collect()
     train = [r[1] for r in edge_rows if r[0] is not None and r[0] > 3]
-    expected, _, _ = plain_scores(train, [r[1] for r in edge_rows])
-    rows = sorted((r.doc_id or -1, r.n_tokens, r.n_known, r.train_tokens, f"{r.base_score:.9g}") for r in got)
-    assert rows == sorted((r[0] or -1, *e[:3], f"{e[3]:.9g}") for r, e in zip(edge_rows, expected))
+    expected = plain_scores(train, [r[1] for r in edge_rows])
+    rows = sorted((r.doc_id or -1, r.n_tokens, r.n_known, r.train_tokens, f"{r.base_score:.9g}", r.score) for r in got)
+    wanted = sorted((r[0] or -1, *e[:3], f"{e[3]:.9g}", e[4]) for r, e in zip(edge_rows, expected))
+    assert [r[:-1] for r in rows] == [w[:-1] for w in wanted]
+    assert all(abs(r[-1] - w[-1]) <= 0.02 * r[1] for r, w in zip(rows, wanted))
     untrained = L.fit_and_score(edge_docs, F.lit(False)).collect()
     assert len(untrained) == len(edge_rows) and all(r.base_score == 0 and r.score == 0 and r.n_known == 0 for r in untrained)
     assert L.fit_and_score(make_docs([]), F.lit(True)).count() == 0
