@@ -92,19 +92,24 @@ class EliasFano:
         return np.where(k < 0, 0, place - inner)
 
     def find(self, values: np.ndarray) -> np.ndarray:
-        """The first entry equal to each value, or -1: successor search within its bucket."""
+        """The first entry equal to each value, or -1: successor search by halving its bucket."""
         out = np.full(len(values), -1, np.int64)
         live = np.flatnonzero((values >= 0) & (values < self.universe)) if self.n else np.zeros(0, np.int64)
         high = values[live] >> self.width
-        at, end = self._bucket(high), self._bucket(high + 1)
+        first, end = self._bucket(high), self._bucket(high + 1)
+        stop = end.copy()
         want = values[live] & ((1 << self.width) - 1)
-        while len(live):
-            inside = at < end
-            live, at, end, want = live[inside], at[inside], end[inside], want[inside]
-            low = _unpack(self.low, at, self.width)
-            out[live[low == want]] = at[low == want]
-            more = low < want
-            live, at, end, want = live[more], at[more] + 1, end[more], want[more]
+        open_ = np.flatnonzero(first < stop)
+        while len(open_):
+            a, z = first[open_], stop[open_]
+            middle = (a + z) >> 1
+            less = _unpack(self.low, middle, self.width) < want[open_]
+            first[open_] = a = np.where(less, middle + 1, a)
+            stop[open_] = z = np.where(less, z, middle)
+            open_ = open_[a < z]
+        inside = np.flatnonzero(first < end)
+        inside = inside[_unpack(self.low, first[inside], self.width) == want[inside]]
+        out[live[inside]] = first[inside]
         return out
 
 

@@ -96,7 +96,13 @@ def chunks_of(texts: DataFrame) -> DataFrame:
             lengths = np.array([len(x) for x in ids])
             flags = np.array(trains, bool)
             row = [pa.ListArray.from_arrays(pa.array([0, len(rows)], pa.int32()), rows)]
-            row += [pa.array([x], pa.binary()) for x in (squeeze(np.concatenate(ids)), squeeze(lengths), squeeze(flags), _compress(b" ".join(numbers)))]
+            laid = np.concatenate(ids)
+            by_count = np.argsort(-np.bincount(laid), kind="stable")  # small numbers for frequent tokens take less room
+            rank = np.empty(len(by_count), np.int64)
+            rank[by_count] = np.arange(len(by_count))
+            names = list(numbers)
+            names = b" ".join(names[k] for k in by_count.tolist())
+            row += [pa.array([x], pa.binary()) for x in (squeeze(rank[laid]), squeeze(lengths), squeeze(flags), _compress(names))]
             row += [pa.array([int(x)], pa.int64()) for x in (lengths.sum(), lengths[flags].sum(), flags.sum())]
             for held in (docs, ids, trains):
                 held.clear()
@@ -287,16 +293,19 @@ def answer_grams(n: int):
             lead, *rest = (unsqueeze(d) for d in data)
             asked.append([np.cumsum(lead), *rest])
         *words, count = (np.concatenate(c) for c in zip(*asked))
-        some = np.flatnonzero(count)
-        some = some[np.lexsort([w[some] for w in words[::-1]])]
-        words, count = [w[some] for w in words], count[some]
-        new = np.ones(len(some), bool)
+        order = np.lexsort(words[::-1])
+        words = [w[order] for w in words]
+        new = np.ones(len(order), bool)
         new[1:] = np.any([w[1:] != w[:-1] for w in words], axis=0)
         first = np.flatnonzero(new)
-        total = np.add.reduceat(count, first) if len(first) else count
-        trie = Trie.mapped(Trie.of([w[first] for w in words], np.log10(total / max(n, 1))).dump())
-        found = ([_compress(trie.log10(own[:-1], ABSENT).astype("<f4").tobytes())] for own in asked)
-        return _answers([(c, level, s, data, 0) for (c, level, s, _), data in zip(rows, found)])
+        total = np.add.reduceat(count[order], first)
+        words = [w[first] for w in words]  # distinct n-grams of all chunks; the trained ones make the trie
+        some = total > 0
+        trie = Trie.mapped(Trie.of([w[some] for w in words], np.log10(total[some] / max(n, 1))).dump())
+        values = np.empty(len(order), "<f4")
+        values[order] = trie.log10(words, ABSENT)[np.cumsum(new) - 1]
+        ends = np.cumsum([len(own[0]) for own in asked])[:-1]
+        return _answers([(c, level, s, [_compress(own.tobytes())], 0) for (c, level, s, _), own in zip(rows, np.split(values, ends))])
 
     return of
 
