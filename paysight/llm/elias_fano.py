@@ -188,14 +188,18 @@ class Trie:
 
     def find(self, words: list[np.ndarray]) -> np.ndarray:
         """The entry of each n-gram, or -1: from level to level, by successor search in its context's range."""
-        live = np.arange(len(words[0]))
-        entry = np.zeros(len(live), np.int64)
+        n = len(words[0])
+        new, prefix, entry = np.zeros(n, bool), np.zeros(n, np.int64), np.zeros(1, np.int64)
+        new[:1] = True
         for level, word in zip(self.levels, words):
-            entry = level.find(entry, word[live])
-            live, entry = live[entry >= 0], entry[entry >= 0]
-        out = np.full(len(words[0]), -1, np.int64)
-        out[live] = entry
-        return out
+            new[1:] |= word[1:] != word[:-1]
+            first = np.flatnonzero(new)  # neighbours with the same words up to here are searched once
+            context = entry[prefix[first]]
+            some = np.flatnonzero(context >= 0)
+            entry = np.full(len(first), -1, np.int64)
+            entry[some] = level.find(context[some], word[first[some]])
+            prefix = np.cumsum(new) - 1
+        return entry[prefix]
 
     def log10(self, words: list[np.ndarray], absent: float) -> np.ndarray:
         """The n-grams' coded values, ``absent`` for those that the trie lacks."""

@@ -165,7 +165,9 @@ class Chunk:
         known = (number[before] >= 0) & (number[self.ids] >= 0)
         self.pairs = _Grams(before * size + self.ids, known, self.flags, shards=self.shards)
         v, w = np.divmod(self.pairs.keys, size)
-        self.pairs.send([number[v], number[w]], self.often[v])
+        rank = np.empty(size, np.int64)
+        rank[np.argsort(number, kind="stable")] = np.arange(size)
+        self.pairs.send([number[v], number[w]], self.often[v], rank[v], rank[w])
         # a triple is the pair of the place before and its own word
         prior = np.roll(self.pairs.at, 1)
         prior[self.starts] = -1
@@ -173,7 +175,7 @@ class Chunk:
         self.triples = _Grams(prior * size + self.ids, (prior >= 0) & known, self.flags, shards=self.shards)
         pair, w = np.divmod(self.triples.keys, size)
         u, v = np.divmod(self.pairs.keys[pair], size)
-        self.triples.send([number[u], number[v], number[w]], self.often[u] & self.often[v])
+        self.triples.send([number[u], number[v], number[w]], self.often[u] & self.often[v], rank[u] * size + rank[v], rank[w])
 
     def gram_requests(self) -> Iterator[tuple[int, int, list[bytes]]]:
         for level, grams in ((2, self.pairs), (3, self.triples)):
@@ -217,14 +219,20 @@ class _Grams:
         self.at = np.full(len(key), -1, np.int64)
         self.at[known] = back
 
-    def send(self, words: list[np.ndarray], spread: np.ndarray) -> None:
+    def send(self, words: list[np.ndarray], spread: np.ndarray, context: np.ndarray, last: np.ndarray) -> None:
+        """Order the n-grams by shard, context and last word; both come as ranks that follow their numbers."""
         mixed = np.zeros(len(self.keys), np.uint64)
         for k, word in enumerate(words):
             step = _scramble(mixed ^ word.astype(np.uint64))
             mixed = np.where(spread, step, mixed) if k == len(words) - 1 else step
         shard = (mixed % np.uint64(self.shards)).astype(np.int64)
         self.words = words
-        self.order = np.lexsort((*words[::-1], shard))
+        context = np.unique(context, return_inverse=True)[1]
+        contexts, lasts = int(context.max(initial=0)) + 1, int(last.max(initial=0)) + 1
+        if self.shards * contexts * lasts < 1 << 62:
+            self.order = np.argsort((shard * contexts + context) * lasts + last)
+        else:  # a very long text
+            self.order = np.lexsort((last, context, shard))
         self.shard = shard[self.order]
 
     def counts(self, answers: list[bytes], n: int) -> np.ndarray:
