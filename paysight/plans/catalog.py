@@ -34,10 +34,10 @@ from paysight.operators.sample import hash_sample, hash_split, with_split
 from paysight.operators.text import fill_text, join_choices, split_tokens
 from paysight.operators.trim import impute_median, trim_quantiles
 from paysight.operators.union import union_by_name
-from paysight.plans.eda import report
+from paysight.plans.eda import eda, long_charts, report
 from paysight.plans.gold import gold, train, train_gbt_only
 from paysight.plans.silver import SilverParams, silver
-from paysight.schema import TARGET, safe_double, select_available
+from paysight.schema import TARGET, safe_double, select_available, select_strict
 from paysight.sources.tables import load_table, survey_view
 
 EXACT = 0.0
@@ -89,7 +89,8 @@ def _order_batches(spark, sf, drop_priority_in_mid: bool) -> list[DataFrame]:
 
 
 def q_union_strict(spark, sf):
-    return union_by_name(_order_batches(spark, sf, False), allow_missing=False)
+    columns = ["o_orderkey", "o_custkey", "o_totalprice", "o_orderdate", "o_orderpriority", "batch"]
+    return union_by_name([select_strict(f, columns) for f in _order_batches(spark, sf, False)], allow_missing=False)
 
 
 def q_union_null_fill(spark, sf):
@@ -501,6 +502,10 @@ REQUEST_COLUMNS = [
 ]
 
 
+# Request columns beside the two that `jobs_score` groups by.
+REQUEST_FIELDS = ["YearsCodeProNum_imp", "CountryGrouped", "OrgSize", "LanguageHaveWorkedWith", "DatabaseHaveWorkedWith"]
+
+
 def _requests(silver_df: DataFrame) -> DataFrame:
     return positive(silver_df, TARGET).select(*REQUEST_COLUMNS)
 
@@ -654,6 +659,64 @@ def q_run_report(spark, sf):
     return report(silver_frame(spark, sf), EXACT)
 
 
+def q_eda_charts(spark, sf):
+    """Every chart's table of the EDA stage on the silver rows, in one long form."""
+    return long_charts(eda(silver_frame(spark, sf), EXACT)).withColumn("value", r6("value"))
+
+
+def q_jobs_silver(spark, sf):
+    """Yearly CSV files landed by the bronze job in byte ranges and taken to silver by the silver job, which keeps its fit;
+    the saved fit over the bronze rows gives the same table, and that is what is returned (S2, S3, S4, S5, S13, P1)."""
+    from paysight.plans import jobs
+    from paysight.plans.silver import SilverModel
+    from paysight.schema import require_columns
+    from paysight.sources.files import read_bronze
+
+    run, survey = _models_folder(spark), _survey(spark, sf)
+    survey.write.partitionBy("SurveyYear").option("header", True).option("escape", '"').option("nullValue", "\\N").csv(f"{run}/raw")
+    years = [r[0] for r in survey.select("SurveyYear").distinct().collect()]  # as many as there are yearly files
+    jobs.bronze(spark, {y: f"{run}/raw/SurveyYear={y}" for y in years}, f"{run}/bronze", null_value="\\N", split_bytes=1 << 22)
+    params = SilverParams(rel_error=EXACT, min_country=RARE_MIN)
+    written = jobs.silver_job(spark, f"{run}/bronze", f"{run}/silver", params, f"{run}/silver-model")
+    replayed = SilverModel.load(spark, f"{run}/silver-model").transform(read_bronze(spark, f"{run}/bronze"))
+    first, second = (select_strict(require_columns(df, [TARGET, "ResponseId"]), SILVER_COLUMNS) for df in (written, replayed))
+    both = first.withColumn("by_job", F.lit(1)).unionByName(second.withColumn("by_job", F.lit(-1)))
+    # one row for each that both tables have as often; a row that only one has comes out with another count
+    same = both.groupBy(*SILVER_COLUMNS).agg(F.sum("by_job").alias("surplus"))
+    return same.withColumn("ResponseId", F.col("ResponseId").cast("long"))
+
+
+def q_jobs_score(spark, sf):
+    """Requests as Python mappings, one for each education level and work mode, scored by the score job with the saved
+    pipeline and model of the gold job's table; ``agrees``: plain columns joined with the saved slot weights give the
+    same log and money predictions (S6, S7, S10, S11, L9, P7)."""
+    from paysight.operators import slots
+    from paysight.plans import jobs
+    from paysight.plans.gold import training_rows
+    from paysight.sources.files import write_table
+    from paysight.sources.models import load_pipeline, requests_frame, save_model
+
+    run = _models_folder(spark)
+    write_table(silver_frame(spark, sf), f"{run}/silver")
+    gold_rows = jobs.gold_job(spark, f"{run}/silver", f"{run}/gold", f"{run}/pipeline")
+    save_model(train_lr(training_rows(gold_rows, False, EXACT, 80, False)[0], LR_V1), f"{run}/lr_v1")
+    level = ["EdLevel", "RemoteWork"]
+    usable = _requests(spark.read.parquet(f"{run}/silver"))
+    # answers of two closed questions: a few dozen rows whatever the table
+    asked = usable.groupBy(*level).agg(*[F.max(c).alias(c) for c in usable.columns if c in REQUEST_FIELDS])
+    requests = requests_frame(spark, [r.asDict() for r in asked.collect()])
+    request = F.concat_ws("|", *[F.coalesce(F.col(c), F.lit("-")) for c in level])
+    write_table(requests.withColumn("request", request), f"{run}/requests")
+    scored = jobs.score_job(spark, f"{run}/requests", f"{run}/pipeline", f"{run}/lr_v1", "lr", f"{run}/scores")
+    filled = fill_text(spark.read.parquet(f"{run}/requests"), empty_too=True)
+    long = slots.long_features(filled, slots.feature_slots(spark, load_pipeline(f"{run}/pipeline")), ["request"])
+    own = slots.linear_scores(long, slots.saved_weights(spark, f"{run}/lr_v1"), ["request"])
+    own = own.select("request", F.col("pred_log").alias("own_log"), F.col("salary_pred").alias("own_salary"))
+    close = lambda x, y: F.coalesce(F.abs(F.col(x) - F.col(y)) <= 1e-8 * (1 + F.abs(x)), F.lit(False))
+    agrees = close("pred_log", "own_log") & close("salary_pred", "own_salary")
+    return scored.join(own, "request", "left").select("request", *REQUEST_FIELDS, agrees.alias("agrees"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "survey_base": q_survey_base,
     "union_strict": q_union_strict,
@@ -709,4 +772,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "trend_growing": q_trend_growing,
     "diagnostics_scatter": q_diagnostics_scatter,
     "stream_landing": q_stream_landing,
+    "eda_charts": q_eda_charts,
+    "jobs_silver": q_jobs_silver,
+    "jobs_score": q_jobs_score,
 }

@@ -9,12 +9,26 @@ from paysight.operators.filters import at_most, positive
 from paysight.operators.profile import corr_long, histogram, missingness, quartiles_by_dimension, scatter_bins, top_k, trend
 from paysight.operators.quantiles import DEFAULT_REL_ERROR, quantile_values
 from paysight.operators.sample import hash_sample
+from paysight.operators.union import union_by_name
 from paysight.schema import TARGET, YEAR, available
 
 # Chart settings (column, top n, minimum group size).
 QUARTILE_GROUPS = [("RemoteWork", 10, 300), ("EdLevel", 12, 300), ("OrgSize", 12, 300)]
 CORR_COLUMNS = ["AgeNum_imp", "YearsCodeNum_imp", "YearsCodeProNum_imp", "CompTotal", "ConvertedCompYearly"]
 
+# The key columns of each chart's table; its other columns are measures.
+CHART_KEYS = {
+    "missing_top20": ["col"],
+    "salary_hist_raw": ["bin"],
+    "salary_hist_log": ["bin"],
+    "top_countries": ["CountryGrouped"],
+    "corr": ["a", "b"],
+    "trend": [YEAR],
+    "report": ["metric"],
+    "quartiles": ["dimension", "value"],
+    "scatter_years_pro": ["x_bin", "y_bin"],
+}
+
 
 def salary_hist_frame(df: DataFrame, q99: float | None) -> DataFrame:
     """Rows kept for the salary histograms: positive and ``<= q99``, with
@@ -65,3 +79,14 @@ def eda(
         if sample_points:
             out["scatter_years_pro_points"] = hash_sample(pts, keys, sample_points)
     return {k: v for k, v in out.items() if v is not None}
+
+
+def long_charts(tables: dict[str, DataFrame]) -> DataFrame:
+    """All chart tables as one of (chart, a, b, measure, value): ``a`` and ``b`` are the keys as text."""
+    parts = []
+    for name, df in tables.items():
+        keys = CHART_KEYS[name]
+        a, b = [*(F.col(c).cast("string") for c in keys), F.lit(None).cast("string")][:2]
+        measures = F.array(*[F.struct(F.lit(c).alias("measure"), F.col(c).cast("double").alias("value")) for c in df.columns if c not in keys])
+        parts.append(df.select(F.lit(name).alias("chart"), a.alias("a"), b.alias("b"), F.inline(measures)))
+    return union_by_name(parts, allow_missing=False)

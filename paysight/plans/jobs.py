@@ -35,10 +35,13 @@ from paysight.sources.files import read_bronze, read_survey_years, write_bronze,
 from paysight.sources.models import load_pipeline, load_regressor, save_model
 
 
-def bronze(spark: SparkSession, raw: Mapping[int, str], out: str) -> DataFrame:
+def bronze(
+    spark: SparkSession, raw: Mapping[int, str], out: str, null_value: str | None = None, split_bytes: int | None = None
+) -> DataFrame:
     """Land every yearly file as one year-partitioned table; returns the
-    per-year profile (rows, salary present/missing, mean, median)."""
-    df = read_survey_years(spark, raw)
+    per-year profile (rows, salary present/missing, mean, median). ``split_bytes`` reads large
+    files in byte ranges."""
+    df = read_survey_years(spark, raw, null_value=null_value, split_bytes=split_bytes)
     write_bronze(df, out)
     return profile(read_bronze(spark, out), TARGET, by=[YEAR])
 
@@ -109,6 +112,8 @@ def main(argv=None) -> None:
     b = sub.add_parser("bronze")
     b.add_argument("--raw", nargs="+", required=True, help="YEAR=PATH pairs")
     b.add_argument("--out", required=True)
+    b.add_argument("--null-value", help="marker of a null field; by default empty fields are null")
+    b.add_argument("--split-bytes", type=int, help="read files in byte ranges of this size, each a task")
     s = sub.add_parser("silver")
     s.add_argument("--bronze", required=True)
     s.add_argument("--out", required=True)
@@ -142,7 +147,7 @@ def main(argv=None) -> None:
     spark = SparkSession.builder.getOrCreate()
     if args.job == "bronze":
         raw = {int(k): v for k, v in (p.split("=", 1) for p in args.raw)}
-        bronze(spark, raw, args.out).show(truncate=False)
+        bronze(spark, raw, args.out, args.null_value, args.split_bytes).show(truncate=False)
     elif args.job == "silver":
         silver_job(spark, args.bronze, args.out, SilverParams(rel_error=args.rel_error, min_country=args.min_country), args.model)
     elif args.job == "gold":

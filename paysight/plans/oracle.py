@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from paysight.operators.filters import ROLE_WORDS
 from paysight.schema import SURVEY_SCHEMA
-from paysight.plans.catalog import CORR_COLS, CSV_NOTE, QUARTILE_DIMS, RARE_MIN, SAMPLE_N
+from paysight.plans.catalog import CORR_COLS, CSV_NOTE, QUARTILE_DIMS, RARE_MIN, REQUEST_FIELDS, SAMPLE_N, SILVER_COLUMNS
 
 SURVEY_CTE = """survey AS (
   SELECT
@@ -187,12 +187,12 @@ def _hist_sql(value_expr: str) -> str:
     )
 
 
-def _bins_body(src: str, bins: int = 60) -> str:
+def _bins_body(src: str, bins: int = 60, ends: str = "r") -> str:
     return (
         f"SELECT bin, round(lo + bin * ((hi - lo) / {bins}), 6) AS lo, "
         f"round(lo + (bin + 1) * ((hi - lo) / {bins}), 6) AS hi, n FROM ("
         f"SELECT least(CAST(floor((x - lo) * CAST({bins} AS DOUBLE) / (hi - lo)) AS INTEGER), {bins - 1}) AS bin, "
-        f"count(*) AS n FROM {src}, r GROUP BY 1), r"
+        f"count(*) AS n FROM {src}, {ends} GROUP BY 1), {ends}"
     )
 
 
@@ -442,6 +442,61 @@ def _scatter_diag_sql(bins: int = 60) -> str:
     )
 
 
+def _charts_sql(bins: int = 60) -> str:
+    """All EDA tables over the silver rows in long form."""
+    pay = "ConvertedCompYearly"
+    corr = ["AgeNum_imp", "YearsCodeProNum_imp", "CompTotal", pay]
+    missing = " UNION ALL ".join(f"SELECT '{c}' AS col, count(*) FILTER (WHERE {c} IS NULL) AS missing, count(*) AS total FROM u" for c in SILVER_COLUMNS)
+    pairs = " UNION ALL ".join(f"SELECT '{x}' AS x, '{y}' AS y, corr({x}, {y}) AS corr FROM complete" for x in corr for y in corr)
+    quartiles = " UNION ALL ".join(
+        f"SELECT * FROM (SELECT '{c}' AS dimension, {c} AS value, count(*) AS n, quantile_disc({pay}, 0.25) AS p25, quantile_disc({pay}, 0.5) AS median_salary, "
+        f"quantile_disc({pay}, 0.75) AS p75 FROM u GROUP BY {c} HAVING count(*) >= {least} ORDER BY n DESC, value NULLS FIRST LIMIT {top})"
+        for c, top, least in QUARTILE_DIMS
+    )
+    cell = lambda v: f"least(CAST(floor(({v} - {v}0) * CAST({bins} AS DOUBLE) / ({v}1 - {v}0)) AS INTEGER), {bins - 1})"
+    low = lambda v: f"{v}0 + {v}_bin * (({v}1 - {v}0) / {bins})"
+    ctes = [
+        *SILVER_CTES,
+        f"u AS (SELECT * FROM silver WHERE {POSITIVE})",
+        f"missing AS (SELECT col, missing, missing / greatest(total, 1) * 100.0 AS missing_pct FROM ({missing}) ORDER BY missing_pct DESC, col LIMIT 20)",
+        f"h AS (SELECT {pay} AS x, ln(1 + {pay}) AS lx FROM u WHERE {pay} <= (SELECT quantile_disc({pay}, 0.99) FROM u))",
+        "raw AS (SELECT x FROM h)",
+        "raw_ends AS (SELECT min(x) AS lo, max(x) AS hi FROM raw)",
+        "logs AS (SELECT lx AS x FROM h)",
+        "log_ends AS (SELECT min(x) AS lo, max(x) AS hi FROM logs)",
+        f"hist_raw AS ({_bins_body('raw', bins, 'raw_ends')})",
+        f"hist_log AS ({_bins_body('logs', bins, 'log_ends')})",
+        "countries AS (SELECT CountryGrouped, count(*) AS n FROM u GROUP BY CountryGrouped ORDER BY n DESC, CountryGrouped NULLS FIRST LIMIT 15)",
+        f"complete AS (SELECT * FROM u WHERE {' AND '.join(f'{c} IS NOT NULL' for c in corr)})",
+        f"corrs AS ({pairs})",
+        f"trends AS (SELECT SurveyYear, count(*) AS n, quantile_disc({pay}, 0.5) AS median_salary FROM u GROUP BY SurveyYear)",
+        f"rep AS (SELECT unnest(['usable_rows', 'salary_q01', 'salary_median', 'salary_q99']) AS metric, unnest([CAST(count(*) AS DOUBLE), "
+        f"quantile_disc({pay}, 0.01), quantile_disc({pay}, 0.5), quantile_disc({pay}, 0.99)]) AS value FROM u)",
+        f"quartiles AS (SELECT *, median_salary - p25 AS err_low, p75 - median_salary AS err_high FROM ({quartiles}))",
+        f"xy AS (SELECT YearsCodeProNum_imp AS x, ln(1 + {pay}) AS y FROM u WHERE YearsCodeProNum_imp IS NOT NULL)",
+        "xy_ends AS (SELECT min(x) AS x0, max(x) AS x1, min(y) AS y0, max(y) AS y1 FROM xy)",
+        f"cells AS (SELECT {cell('x')} AS x_bin, {cell('y')} AS y_bin, x0, x1, y0, y1 FROM xy, xy_ends)",
+        f"scatter AS (SELECT x_bin, y_bin, {low('x')} AS x_lo, {low('y')} AS y_lo, count(*) AS n FROM cells GROUP BY x_bin, y_bin, x0, x1, y0, y1)",
+    ]
+    charts = [
+        ("missing_top20", "missing", "col", "NULL", ["missing", "missing_pct"]),
+        ("salary_hist_raw", "hist_raw", "bin", "NULL", ["lo", "hi", "n"]),
+        ("salary_hist_log", "hist_log", "bin", "NULL", ["lo", "hi", "n"]),
+        ("top_countries", "countries", "CountryGrouped", "NULL", ["n"]),
+        ("corr", "corrs", "x", "y", ["corr"]),
+        ("trend", "trends", "SurveyYear", "NULL", ["n", "median_salary"]),
+        ("report", "rep", "metric", "NULL", ["value"]),
+        ("quartiles", "quartiles", "dimension", "value", ["n", "p25", "median_salary", "p75", "err_low", "err_high"]),
+        ("scatter_years_pro", "scatter", "x_bin", "y_bin", ["x_lo", "y_lo", "n"]),
+    ]
+    rows = [
+        f"SELECT '{chart}' AS chart, CAST({a} AS VARCHAR) AS a, CAST({b} AS VARCHAR) AS b, '{m}' AS measure, round(CAST({m} AS DOUBLE), 6) AS value FROM {src}"
+        for chart, src, a, b, measures in charts
+        for m in measures
+    ]
+    return with_ctes(*ctes, body="\nUNION ALL\n".join(rows))
+
+
 ORACLE: dict[str, str] = {
     "survey_base": with_ctes(SURVEY_CTE, body="SELECT * FROM survey"),
     "union_strict": _batches(False),
@@ -572,6 +627,14 @@ ORACLE: dict[str, str] = {
         body="SELECT SurveyYear, count(*) AS n, quantile_disc(ConvertedCompYearly, 0.5) AS median_salary FROM u GROUP BY SurveyYear",
     ),
     "diagnostics_scatter": _scatter_diag_sql(),
+    "eda_charts": _charts_sql(),
+    "jobs_silver": with_ctes(*SILVER_CTES, body="SELECT *, CAST(0 AS BIGINT) AS surplus FROM silver"),
+    "jobs_score": with_ctes(
+        *SILVER_CTES,
+        body="SELECT coalesce(EdLevel, '-') || '|' || coalesce(RemoteWork, '-') AS request, "
+        + ", ".join(f"max({c}) AS {c}" for c in REQUEST_FIELDS)
+        + f", TRUE AS agrees FROM silver WHERE {POSITIVE} GROUP BY EdLevel, RemoteWork",
+    ),
     "scatter_bins": _scatter_sql(),
     "hash_split_keys": _split_keys_sql(),
     "bronze_two_years": with_ctes(SURVEY_CTE, body="SELECT * FROM survey WHERE SurveyYear IN (1996, 1997)"),

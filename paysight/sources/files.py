@@ -21,6 +21,7 @@ from paysight.schema import (
 )
 
 
+BATCH_COL = "landing_batch"  # second partition column of a table written by the landing stream
 YEAR_SALTS = 64  # parts that one year's rows are dealt into before they are written
 
 
@@ -75,10 +76,13 @@ def read_survey_years(
     columns: Sequence[str] | None = None,
     align: bool = True,
     allow_missing: bool = True,
+    null_value: str | None = None,
+    split_bytes: int | None = None,
 ) -> DataFrame:
     """All yearly files as one frame (S3, U1, U2): each tagged with its year,
-    stacked by column name, optionally bound to the declared schema."""
-    frames = [read_survey_csv(spark, p, year=y, columns=columns) for y, p in sorted(paths.items())]
+    stacked by column name, optionally bound to the declared schema.
+    ``null_value`` and ``split_bytes`` are those of :func:`read_survey_csv`."""
+    frames = [read_survey_csv(spark, p, y, columns, null_value=null_value, split_bytes=split_bytes) for y, p in sorted(paths.items())]
     df = union_by_name(frames, allow_missing=allow_missing)
     return align_to_schema(df, SURVEY_SCHEMA) if align else df
 
@@ -89,11 +93,20 @@ def dealt_by_year(df: DataFrame) -> DataFrame:
     return df.repartition(F.col(YEAR), salt)
 
 
+def refuse_layout(spark: SparkSession, path: str, pattern: str) -> None:
+    """Raise if ``path`` holds anything like ``pattern``: a table whose files lie at two depths cannot be read as one."""
+    glob = spark._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{pattern}")
+    if glob.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(glob):
+        raise ValueError(f"{path} is a bronze table of another layout ({pattern}); the batch job and the landing stream need a path each")
+
+
 def write_bronze(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Land survey rows as Parquet partitioned by year (S8), so a reader
     asking for some years prunes the rest. Only the years in ``df`` are
     replaced. Rows are dealt by year and a salt first: a multi-line CSV file is
-    one task however large, and a year is more than one file."""
+    one task however large, and a year is more than one file. A path that the landing stream
+    writes (by year and batch) is refused."""
+    refuse_layout(df.sparkSession, path, f"{YEAR}=*/{BATCH_COL}=*")
     dealt_by_year(df).write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy(YEAR).parquet(path)
 
 

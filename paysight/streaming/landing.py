@@ -28,11 +28,10 @@ from pyspark.sql import functions as F
 
 from paysight.runtime import checkpoint_dir
 from paysight.schema import SURVEY_SCHEMA, YEAR, align_to_schema
-from paysight.sources.files import dealt_by_year, read_survey_csv
+from paysight.sources.files import BATCH_COL, dealt_by_year, read_survey_csv, refuse_layout
 from paysight.operators.union import union_by_name
 
 YEAR_PATTERN = r"(\d{4})\D*\.csv$"
-BATCH_COL = "landing_batch"
 MAX_FILES = 100  # of one micro-batch
 
 
@@ -53,7 +52,9 @@ def _year_of(path: str, pattern: str) -> int | None:
 
 def land_files(spark: SparkSession, paths: list[str], bronze_path: str, batch_id: int, pattern: str = YEAR_PATTERN, null_value: str | None = None) -> None:
     """Read ``paths`` by header name, align to the declared schema and write
-    them as partition ``landing_batch=batch_id`` of the bronze table."""
+    them as partition ``landing_batch=batch_id`` of the bronze table. A path that the batch job
+    writes (by year alone) is refused."""
+    refuse_layout(spark, bronze_path, f"{YEAR}=*/*.parquet")
     frames = [read_survey_csv(spark, p, year=_year_of(p, pattern), null_value=null_value) for p in sorted(paths)]
     df = align_to_schema(union_by_name(frames), SURVEY_SCHEMA)
     (

@@ -39,6 +39,9 @@ FAST = [
     "hash_split_keys",
     "bronze_two_years",
     "union_strict",
+    "eda_charts",
+    "jobs_silver",
+    "jobs_score",
 ]
 
 

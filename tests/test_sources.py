@@ -1,5 +1,6 @@
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from paysight.sources.files import (
@@ -85,3 +86,22 @@ def test_scan_pushdown_and_pruning(spark):
     plan = q._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(o_totalprice), GreaterThan(o_totalprice,0.0)]" in plan
     assert "ReadSchema: struct<o_orderkey:bigint,o_totalprice:double>" in plan
+
+
+def test_batch_and_stream_layouts_do_not_share_a_path(spark, tmp_path):
+    from paysight.sources.files import write_bronze
+    from paysight.streaming.landing import land_files
+
+    raw = tmp_path / "survey_2021.csv"
+    raw.write_text("ResponseId,Country,ConvertedCompYearly\n1,A,10\n2,B,20\n")
+    batch, stream = str(tmp_path / "batch"), str(tmp_path / "stream")
+    rows = read_survey_csv(spark, str(raw), year=2021)
+    write_bronze(rows, batch)
+    write_bronze(rows, batch)  # the same layout again is fine
+    land_files(spark, [str(raw)], stream, 0)
+    land_files(spark, [str(raw)], stream, 0)
+    assert spark.read.parquet(batch).count() == spark.read.parquet(stream).count() == 2
+    with pytest.raises(ValueError, match="another layout"):
+        land_files(spark, [str(raw)], batch, 1)
+    with pytest.raises(ValueError, match="another layout"):
+        write_bronze(rows, stream)
