@@ -1,10 +1,14 @@
 """Secret scan with a random forest for false-positive removal, in DataFrame operations only.
 
-A regular expression finds candidates: whatever is assigned to a secret's name, and runs of key
+A regular expression finds candidates: whatever of six or more characters is assigned to a secret's name, what
+follows such a name after blanks, what follows ``Bearer``, dotted web tokens, private key blocks, and runs of key
 characters that hold a digit or stand right after ``=``, ``:`` or a quote. Each is described by its length, its character transitions, how much of it
 dictionary words cover, the path of its document and the words around it. A forest trained on
 labelled findings scores it. The fitted trees become one SQL expression over the candidate's
 features, so scoring happens inside the row: texts are read once, and nothing is joined or shuffled.
+
+Very long texts are searched whole: every repetition in the expression is possessive or bounded, so its
+time grows with the text. Tied scores need no order, as each finding is decided by itself.
 """
 
 from __future__ import annotations
@@ -16,7 +20,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, table
+from .common import Scratch, id_remainder, table
 
 # A maximal run of eight or more key characters that holds a digit or follows an assignment or a quote.
 CANDIDATE = r"""(?<![A-Za-z0-9+/_-])(?:(?=[A-Za-z+/_-]*+[0-9])|(?<=[=:"']))[A-Za-z0-9+/_-]{8,}"""
@@ -33,6 +37,7 @@ DICTIONARY = (
     "also made over such after first work year people through back where much before right mean same great world "
     "file name path home user data page line list item code main test index html http https www com org net "
     "version release license document report section table figure chapter number phone mail order invoice account "
+    "example sample test dummy fake placeholder changeme xxxx "
     "der die und das ist nicht ein eine von mit auf fur des den les une pour dans que est del los las con por para"
 )
 
@@ -54,18 +59,28 @@ def _any_of(names: str) -> str:
 
 
 # A secret's name, to which a number or further parts may be joined, as in api_key_v2 or SECRET_KEY_1.
-NAME = _any_of(KEY_WORDS) + r"(?:[_-]\w{1,16}|\d{1,4})?"
+NAME = _any_of(KEY_WORDS) + r"(?:[_-]\w{1,40}|\d{1,4})?"
 SIGN = r"""["']?\s{0,8}(?:[=:]{1,3}>?|=>)\s{0,8}"""  # after a name, before a value and its quote; a lookbehind needs a bound
 KEYED = f"""{NAME}{SIGN}["']?$"""
 
-# Eight or more characters without a blank, assigned to a secret's name: up to the quote if there is one, else
+# Six or more characters without a blank, assigned to a secret's name: up to the quote if there is one, else
 # without punctuation at the end. The first two lookarounds only spare the third.
 ASSIGNED = (
-    r"""(?<=[=:>"'\s])(?![=:>])(?=[^\s"']{8})(?<=[=:]>?\s{0,8}["']?)"""
-    + f"(?:(?<=(?i:{NAME}){SIGN}\")[^\\s\"]{{8,}}|(?<=(?i:{NAME}){SIGN}')[^\\s']{{8,}}"
-    + f"|(?<=(?i:{NAME}){SIGN})[^\\s\"']{{7,}}[^\\s\"'.,;:!?)}}\\]>])"
+    r"""(?<=[=:>"'\s])(?![=:>])(?=[^\s"']{6})(?<=[=:]>?\s{0,8}["']?)(?!(?i:bearer|basic)\s)"""
+    + f"(?:(?<=(?i:{NAME}){SIGN}\")[^\\s\"]{{6,}}|(?<=(?i:{NAME}){SIGN}')[^\\s']{{6,}}"
+    + f"|(?<=(?i:{NAME}){SIGN})[^\\s\"']{{5,}}[^\\s\"'.,;:!?)}}\\]>])"
 )
-SEARCH = f"(?:{ASSIGNED}|{CANDIDATE})"
+# What follows a name after blanks alone must hold a digit; what follows "bearer" need not.
+SPACED = f"""(?<=\\s["']?)(?=[^\\s"'0-9]*+[0-9])(?=[^\\s"']{{8}})(?<=(?i:{NAME})\\s{{1,8}}["']?)[^\\s"']{{7,}}[^\\s"'.,;:!?)}}\\]>]"""
+BEARER = r"(?<=\s)(?=[A-Za-z0-9._~+/=-]{8})(?<=(?i:bearer)\s{1,8})[A-Za-z0-9._~+/=-]{7,}[A-Za-z0-9_~+/=-]"
+# A web token begins with the code of '{"'; a key block goes to its end line, or as far as its lines look like codes.
+DOTTED = r"(?<![A-Za-z0-9+/_-])eyJ[A-Za-z0-9_-]{5,}+(?:\.[A-Za-z0-9_-]++){1,4}"
+KEY_LINE = r"(?:[A-Z0-9]{1,16} ){0,3}PRIVATE KEY(?: BLOCK)?-----"
+KEY_BLOCK = rf"-----BEGIN {KEY_LINE}(?:\s{{1,4}}[A-Za-z0-9+/=]{{16,}}+)*+(?:(?:\s{{1,4}}[A-Za-z0-9+/=]++)?\s{{0,4}}-----END {KEY_LINE})?"
+SEARCH = f"(?:{KEY_BLOCK}|{DOTTED}|{ASSIGNED}|{BEARER}|{SPACED}|{CANDIDATE})"
+
+# Formats of issued keys and tokens that leave no doubt.
+ISSUED = r"^(?:AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36}|xox[abprs]-[0-9A-Za-z-]{10,}|eyJ[\w-]{5,}(?:\.[\w-]+){2,4}|-----BEGIN [\s\S]+)$"
 
 
 def _share(text: Column, pattern: str) -> Column:
@@ -145,16 +160,18 @@ def candidates(docs: DataFrame, text_col: str, path_col: str | None) -> DataFram
 def rule_labels(found: Column) -> Column:
     """1, 0 or null for a finding: strict formats and contexts that leave no doubt teach the forest, the rest does not.
 
-    1: a cloud access key id, or a value of 12 or more characters with letters and digits assigned to a secret's
-    name. 0: only digits and separators, part of a mail address, or mostly covered by dictionary words
-    without an assignment.
+    1: a format of issued keys, a web token, a key block, or a value of 12 or more characters with letters and
+    digits assigned to a secret's name. 0, which goes first: an invented value (it holds a word such as "example", such a
+    word stands before it, or it has at most three different characters), only digits and separators, part of a mail
+    address, or mostly covered by dictionary words without an assignment.
     """
     text, left, right = found["text"], F.lower(found["left"]), found["right"]
     keyed = left.rlike(KEYED)
-    sure = text.rlike("^AKIA[0-9A-Z]{16}$") | (keyed & text.rlike("[A-Za-z]") & text.rlike("[0-9]") & (F.length(text) >= 12))
+    sham = text.rlike(f"(?i:{_any_of(SHAM_WORDS)})") | left.rlike(rf"\b{_any_of(SHAM_WORDS)}\b") | (F.size(F.array_distinct(F.split(text, ""))) <= 3)
+    sure = text.rlike(ISSUED) | (keyed & text.rlike("[A-Za-z]") & text.rlike("[0-9]") & (F.length(text) >= 12))
     dictionary = F.get(found["features"], F.lit(FEATURES.index("dictionary")))
     harmless = text.rlike("^[0-9+/_-]+$") | left.endswith("@") | right.startswith("@") | ((dictionary >= 0.5) & ~keyed)
-    return F.when(sure, 1).when(harmless, 0)
+    return F.when(sham, 0).when(sure, 1).when(harmless, 0)
 
 
 @dataclass
@@ -186,14 +203,14 @@ def _tree(node):
     return (split.featureIndex(), float(split.threshold()), _tree(node.leftChild()), _tree(node.rightChild()))
 
 
-def fit_secrets(findings: DataFrame) -> SecretModel:
+def fit_secrets(findings: DataFrame, scratch: Scratch | None = None) -> SecretModel:
     """A forest fitted on all labelled findings (features, label 0 or 1).
 
     Findings with equal features and label are one row with their number as its weight, so what repeats
-    costs no more. Null labels teach nothing. Without both labels every score is the only label's value, or 0.
+    costs no more; they are written to ``scratch`` as the table ``findings``. Null labels teach nothing. Without both labels every score is the only label's value, or 0.
     """
     known = findings.filter(F.col("label").isin(0, 1)).groupBy("features", F.col("label").cast("double").alias("label")).agg(F.count("*").cast("double").alias("weight"))
-    known = Scratch(findings.sparkSession, "secrets").write(known, "findings")
+    known = (scratch or Scratch(findings.sparkSession, "secrets")).write(known, "findings")
     groups, n, ones = known.agg(F.count("*"), F.sum("weight"), F.sum(F.col("weight") * F.col("label"))).first()
     if not groups or ones in (0.0, n):
         return SecretModel([ones / n] if groups else [])
@@ -211,11 +228,29 @@ def _each(found: DataFrame, *columns: Column) -> DataFrame:
     return found.select(*columns, F.explode_outer("found").alias("c")).filter(F.col("c").isNotNull())
 
 
+def held_out_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path_col: str | None = "source", folds: int = 5) -> DataFrame:
+    """One row (n, true_positives, false_positives, false_negatives) over the labelled findings of one fold of documents by
+    digest of the id, scored by a forest fitted on the other folds; all zero for an empty table."""
+    labelled = _each(candidates(docs, text_col, path_col), (id_remainder(F.col("doc")[id_col], folds) == 0).alias("held"))
+    labelled = labelled.select("held", F.col("c.features").alias("features"), rule_labels(F.col("c")).alias("label")).dropna(subset=["label"])
+    scratch = Scratch(docs.sparkSession, "secrets")
+    labelled = scratch.write(labelled, "labelled")
+    model = fit_secrets(labelled.filter(~F.col("held")), scratch)
+    scratch.drop("findings")
+    says, is_one = F.expr(model.expression("features")) >= THRESHOLD, F.col("label") == 1
+    return labelled.filter("held").agg(
+        F.count("*").alias("n"), F.count_if(says & is_one).alias("true_positives"), F.count_if(says & ~is_one).alias("false_positives"), F.count_if(~says & is_one).alias("false_negatives")
+    )
+
+
 def learn_secrets(docs: DataFrame, text_col: str = "text", path_col: str | None = "source") -> SecretModel:
     """Fit on the findings of ``docs`` that the strict rules label."""
     used = [c for c in dict.fromkeys([text_col, path_col]) if c in docs.columns]
     found = _each(candidates(docs.select(*used), text_col, path_col))
-    return fit_secrets(found.select(F.col("c.features").alias("features"), rule_labels(F.col("c")).alias("label")))
+    scratch = Scratch(docs.sparkSession, "secrets")
+    model = fit_secrets(found.select(F.col("c.features").alias("features"), rule_labels(F.col("c")).alias("label")), scratch)
+    scratch.drop("findings")  # the model is plain values; nothing reads the table any more
+    return model
 
 
 def scan_secrets(docs: DataFrame, model: SecretModel, text_col: str = "text", path_col: str | None = "source") -> DataFrame:
