@@ -1,28 +1,30 @@
 """Benchmark decontamination: a broadcast hash set of the test texts' word windows.
 
 Test items are normalised to words and cut into windows of 13 words (an item of fewer words is one
-window). The windows, keyed by their word ids, and the test vocabulary go to every task; training
-texts are scanned whole. A position is looked up only where enough test words stand in a row, and a
-hit compares the whole window, word for word. Test sets above a stated size are scanned for in
-blocks of that size, one after the other, so what a task holds stays bounded.
+window). The windows' hashes, sorted, and the items' words go to every task as flat arrays of bounded size; training
+texts are scanned whole. All windows of a text are hashed at once, those that pass a bit filter are searched among
+the sorted hashes, and a hit compares the whole window, word for word. Test sets above a stated size are
+scanned for in blocks of that size, one after the other, so what a task holds stays bounded.
 """
 
 from __future__ import annotations
 
 import re
+from array import array
 from collections import defaultdict
-from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
+from xxhash import xxh64_intdigest
 
 from .common import WORD_BYTES, Scratch, fresh, table
 
 WINDOW = 13
-MAX_BLOCK_BYTES = 32 << 20  # test text in one broadcast block
+MAX_BLOCK_BYTES = 16 << 20  # test text and ids in one broadcast block; at most 11 times that in memory
+HASH_STEP = np.uint64(0x9E3779B97F4A7C15)
 # A document is contaminated if at least one word in so many is hit.
 CONTAMINATED_SHARE = 20
 
@@ -32,42 +34,121 @@ _SPANS = pa.list_(pa.struct([(n, pa.int32()) for n in ("first_word", "last_word"
 _SCAN = pa.struct([("n_words", pa.int64()), ("spans", _SPANS), ("items", pa.list_(pa.string()))])
 
 
+def window_hashes(words: np.ndarray, size: int) -> np.ndarray:
+    """A 64-bit hash of every run of ``size`` words, from the words' hashes."""
+    n = len(words) - size + 1
+    out = np.zeros(max(n, 0), np.uint64)
+    for j in range(size if n > 0 else 0):
+        out = out * HASH_STEP + words[j : j + n]
+    return out
+
+
+def word_hashes(words: list[bytes]) -> np.ndarray:
+    return np.fromiter(map(xxh64_intdigest, words), np.uint64, len(words))
+
+
+class WindowTable:
+    """The windows of one size: sorted hashes, the first word of each, and a bit filter over the hashes' first bits."""
+
+    def __init__(self, hashes: np.ndarray, firsts: np.ndarray):
+        order = np.argsort(hashes, kind="stable")
+        self.hashes, self.firsts = hashes[order], firsts[order]
+        self.shift = np.uint64(64 - max(10, (16 * len(hashes) - 1).bit_length()))
+        bits = np.unique(self.hashes >> self.shift)
+        self.filter = np.zeros(1 << (61 - int(self.shift)), np.uint8)
+        np.bitwise_or.at(self.filter, (bits >> np.uint64(3)).astype(np.int64), (1 << (bits & np.uint64(7))).astype(np.uint8))
+
+    def holds(self, hashes: np.ndarray) -> np.ndarray:
+        """Where in ``hashes`` one of the table's stands."""
+        bits = hashes >> self.shift
+        may = np.flatnonzero(self.filter[(bits >> np.uint64(3)).astype(np.int64)] >> (bits & np.uint64(7)).astype(np.uint8) & 1)
+        at = np.minimum(np.searchsorted(self.hashes, hashes[may]), len(self.hashes) - 1)
+        return may[self.hashes[at] == hashes[may]]
+
+    def run(self, value: np.uint64) -> np.ndarray:
+        """The first words of all windows with this hash."""
+        low, high = np.searchsorted(self.hashes, value), np.searchsorted(self.hashes, value, "right")
+        return self.firsts[low:high]
+
+
 class Windows:
-    """The windows of a block of test items, and where they occur in a text."""
+    """The windows of a block of test items, and where they occur in a text.
+
+    All of it is flat arrays: the items' words as one text, where each word begins (4 bytes a word), and of each window its
+    hash, its first word (12 bytes) and up to 4 bytes of filter. As a word and its separator take two
+    bytes, that is at most 11 bytes for each byte of test text, and the ids.
+    """
 
     def __init__(self, items: list[tuple[str, str]], width: int = WINDOW):
-        self.vocabulary: dict[bytes, int] = {}
-        self.owners: dict[int, dict[bytes, set[str]]] = defaultdict(lambda: defaultdict(set))
+        flat, lengths, first_words, ids = bytearray(), array("I"), array("I"), []
+        hashes: dict[int, array] = defaultdict(lambda: array("Q"))
+        firsts: dict[int, array] = defaultdict(lambda: array("I"))
         for item_id, text in items:
             words = text.encode().translate(WORD_BYTES).split()
-            ids = np.array([self.vocabulary.setdefault(w, len(self.vocabulary) + 1) for w in words], np.int32)
-            size = min(width, len(words))
-            for k in range(len(words) - size + 1 if size else 0):
-                self.owners[size][ids[k : k + size].tobytes()].add(item_id)
-        self.owners = {size: dict(windows) for size, windows in self.owners.items()}
+            if not words:
+                continue
+            size, begin = min(width, len(words)), len(lengths)
+            ids.append(item_id)
+            first_words.append(begin)
+            flat += b" ".join(words) + b" "
+            lengths.extend(map(len, words))
+            own = window_hashes(word_hashes(words), size)
+            hashes[size].frombytes(own.tobytes())
+            firsts[size].frombytes(np.arange(begin, begin + len(own), dtype=np.uint32).tobytes())
+        self.ids = pa.array(ids, pa.string())
+        self.first_words = np.frombuffer(first_words, np.uint32)
+        self.text = bytes(flat)
+        ends = np.cumsum(np.frombuffer(lengths, np.uint32) + 1, dtype=np.int64)
+        self.begins = np.concatenate(([0], ends)).astype(np.uint32)
+        self.tables = {size: WindowTable(np.frombuffer(hashes[size], np.uint64), np.frombuffer(firsts[size], np.uint32)) for size in sorted(hashes)}
+        self.mixed = {size: self._mixed(size, table) for size, table in self.tables.items()}
+
+    def _mixed(self, size: int, table: WindowTable) -> set[int]:
+        """The hashes that windows of different words share."""
+        again = np.flatnonzero(table.hashes[1:] == table.hashes[:-1]).tolist()
+        return {int(table.hashes[k]) for k in again if self._words(table.firsts[k], size) != self._words(table.firsts[k + 1], size)}
+
+    def _words(self, first, size: int) -> bytes:
+        return self.text[self.begins[first] : self.begins[int(first) + size] - 1]
+
+    @property
+    def nbytes(self) -> int:
+        arrays = [self.first_words, self.begins, *(x for t in self.tables.values() for x in (t.hashes, t.firsts, t.filter))]
+        return len(self.text) + self.ids.nbytes + sum(x.nbytes for x in arrays)
+
+    def _owners(self, size: int, value: np.uint64, gram: bytes) -> np.ndarray:
+        """The items, by number, in which this window stands, compared word for word."""
+        firsts = self.tables[size].run(value)
+        if int(value) in self.mixed[size]:
+            firsts = np.array([f for f in firsts if self._words(f, size) == gram], np.uint32)
+        elif self._words(firsts[0], size) != gram:
+            firsts = firsts[:0]
+        return np.unique(np.searchsorted(self.first_words, firsts, "right") - 1)
 
     def scan(self, data: bytes) -> dict:
         flat = data.translate(WORD_BYTES)
         words = flat.split()
         n = len(words)
-        ids = np.fromiter(map(self.vocabulary.get, words, repeat(0)), np.int32, n)
-        known = np.concatenate(([0], np.cumsum(ids > 0)))
+        hashes = word_hashes(words)
         hits: list[tuple[int, int]] = []
-        items: set[str] = set()
-        for size, windows in self.owners.items():
-            if n < size:
-                continue
-            starts = np.flatnonzero(known[size:] - known[:-size] == size)
-            for k in starts.tolist():
-                owners = windows.get(ids[k : k + size].tobytes())
-                if owners:
+        items: list[np.ndarray] = []
+        for size, table in self.tables.items():
+            own = window_hashes(hashes, size)
+            known: dict[bytes, bool] = {}
+            for k in table.holds(own).tolist():
+                gram = b" ".join(words[k : k + size])
+                if gram not in known:
+                    owners = self._owners(size, own[k], gram)
+                    known[gram] = len(owners) > 0
+                    items.append(owners)
+                if known[gram]:
                     hits.append((k, k + size - 1))
-                    items |= owners
         spans = merged(hits)
         if spans:
             bounds = [m.span() for m in re.finditer(rb"[^ ]+", flat)]
             spans = [(a, b, bounds[a][0], bounds[b][1]) for a, b in spans]
-        return {"n_words": n, "spans": [dict(zip(_SPANS.value_type.names, s)) for s in spans], "items": sorted(items)}
+        found = {self.ids[k].as_py() for k in np.unique(np.concatenate(items)).tolist()} if items else set()
+        return {"n_words": n, "spans": [dict(zip(_SPANS.value_type.names, s)) for s in spans], "items": sorted(found)}
 
 
 def merged(hits: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -102,9 +183,9 @@ def _merge_spans(spans: pa.Array) -> pa.Array:
 
 
 def test_blocks(benchmark: DataFrame, id_col: str, text_col: str, max_bytes: int) -> list[DataFrame]:
-    """The test items in blocks of about ``max_bytes`` of text; null ids and texts are left out."""
+    """The test items in blocks of about ``max_bytes`` of text and ids; null ids and texts are left out."""
     items = benchmark.select(F.col(id_col).cast("string").alias("item"), F.col(text_col).cast("string").alias("body")).dropna()
-    size = items.agg(F.sum(F.octet_length("body"))).first()[0] or 0
+    size = items.agg(F.sum(F.octet_length("body") + F.octet_length("item"))).first()[0] or 0
     n = int(size // max_bytes) + 1
     return [items.filter(F.pmod(F.xxhash64("item", "body"), F.lit(n)) == k) if n > 1 else items for k in range(n)]
 
@@ -123,7 +204,8 @@ def scan_documents(
 
     Words are [^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+ after lower-casing A-Z. Null and empty texts have no
     words and no spans. Items whose id or text is null, or that have no words, match nothing; items
-    with the same windows are all found. Rows, their order of columns and repeats stay as they are.
+    with the same windows are all found. Very long texts are scanned whole, in memory that grows with the text by a few
+    words' numbers each; there are no ties. An empty table of documents gives no rows, an empty test set no spans. Rows, their order of columns and repeats stay as they are.
     A column of ``docs`` named like ``scan_col`` is replaced.
     """
     spark = docs.sparkSession

@@ -74,3 +74,26 @@ def test_spans_are_cut_out(make_docs, items):
     got = {r.doc_id: r.text for r in D.remove_spans(make_docs(DOCS), items).collect()}
     assert got[1] == " six" and got[2] == "!" and got[3] is None and got[5] == "eight nine"
     assert got[6] == "x " * 200
+
+
+def test_memory_of_a_block_is_bounded():
+    rng = __import__("random").Random(5)
+    for letters, width in (("abcdefgh", 1), ("abcdefghijklmnopqrstuvwxyz", 6)):
+        items = [(str(k), " ".join("".join(rng.choices(letters, k=width)) for _ in range(rng.choice([1, 5, 40, 300])))) for k in range(3000)]
+        size = sum(len(t) + len(i) for i, t in items)
+        windows = D.Windows(items)
+        assert windows.nbytes <= 11 * size + 8 * len(items) + (1 << 14)
+        import pickle
+
+        assert len(pickle.dumps(windows)) <= 11 * size + 8 * len(items) + (1 << 15)
+
+
+def test_equal_hashes_are_told_apart_by_words(monkeypatch):
+    monkeypatch.setattr(D, "xxh64_intdigest", lambda word: 7)  # every window of one size has the same hash
+    items = [("1", "a b"), ("2", "b c"), ("3", "a b"), ("4", "c"), ("5", " ".join("abcdefghijklmno"))]
+    for text in ("a b c", "b a", "x a b y b c", "c", "d", "", " ".join("xabcdefghijklmnoabc")):
+        got = D.Windows(items).scan(text.encode())
+        _, n, hit, found, _, _ = plain([(0, text)], items)[0]
+        names = sorted({i for i, t in items if plain([(0, text)], [(i, t)])[0][3]})
+        assert (got["n_words"], sum(s["last_word"] - s["first_word"] + 1 for s in got["spans"]), got["items"]) == (n, hit, names) and len(names) == found
+    assert D.Windows([]).scan(b"a b") == {"n_words": 2, "spans": [], "items": []}
