@@ -71,13 +71,14 @@ ASSIGNED = (
     + f"|(?<=(?i:{NAME}){SIGN})[^\\s\"']{{5,}}[^\\s\"'.,;:!?)}}\\]>])"
 )
 # What follows a name after blanks alone must hold a digit; what follows "bearer" need not.
-SPACED = f"""(?<=\\s["']?)(?=[^\\s"'0-9]*+[0-9])(?=[^\\s"']{{8}})(?<=(?i:{NAME})\\s{{1,8}}["']?)[^\\s"']{{7,}}[^\\s"'.,;:!?)}}\\]>]"""
+SPACED = f"""(?=[^\\s"']{{8}})(?=[^\\s"'0-9]*+[0-9])(?<=\\s["']?)(?<=(?i:{NAME})\\s{{1,8}}["']?)[^\\s"']{{7,}}[^\\s"'.,;:!?)}}\\]>]"""
 BEARER = r"(?<=\s)(?=[A-Za-z0-9._~+/=-]{8})(?<=(?i:bearer)\s{1,8})[A-Za-z0-9._~+/=-]{7,}[A-Za-z0-9_~+/=-]"
 # A web token begins with the code of '{"'; a key block goes to its end line, or as far as its lines look like codes.
-DOTTED = r"(?<![A-Za-z0-9+/_-])eyJ[A-Za-z0-9_-]{5,}+(?:\.[A-Za-z0-9_-]++){1,4}"
+DOTTED = r"eyJ(?<![A-Za-z0-9+/_-]eyJ)[A-Za-z0-9_-]{5,}+(?:\.[A-Za-z0-9_-]++){1,4}"
 KEY_LINE = r"(?:[A-Z0-9]{1,16} ){0,3}PRIVATE KEY(?: BLOCK)?-----"
 KEY_BLOCK = rf"-----BEGIN {KEY_LINE}(?:\s{{1,4}}[A-Za-z0-9+/=]{{16,}}+)*+(?:(?:\s{{1,4}}[A-Za-z0-9+/=]++)?\s{{0,4}}-----END {KEY_LINE})?"
-SEARCH = f"(?:{KEY_BLOCK}|{DOTTED}|{ASSIGNED}|{BEARER}|{SPACED}|{CANDIDATE})"
+# the lookbehind is what all three have in common; it spares most positions all of them
+SEARCH = f"(?:{KEY_BLOCK}|{DOTTED}|(?<=[=:>\"'\\s])(?:{ASSIGNED}|{BEARER}|{SPACED})|{CANDIDATE})"
 
 # Formats of issued keys and tokens that leave no doubt.
 ISSUED = r"^(?:AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36}|xox[abprs]-[0-9A-Za-z-]{10,}|eyJ[\w-]{5,}(?:\.[\w-]+){2,4}|-----BEGIN [\s\S]+)$"
