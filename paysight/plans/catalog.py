@@ -461,8 +461,9 @@ def q_train_lr_full(spark, sf):
     """Both linear settings on the gold features (L1, L2, L6, L7): v1 on all
     labelled rows, v2 after the exact 1-99 % trim; same hash split."""
     from paysight.plans.gold import SETTINGS, training_rows
+    from paysight.runtime import stage_table
 
-    g, _ = gold(silver_frame(spark, sf))
+    g = stage_table(gold(silver_frame(spark, sf))[0], "gold")
     rows = []
     for version in ("v1", "v2"):
         lr_params, _, trim = SETTINGS[version]
@@ -474,8 +475,10 @@ def q_train_lr_full(spark, sf):
 def _train_full(spark, sf, version):
     """Both models of a version at their full settings, from the library's own training stage."""
     from paysight.plans.gold import SETTINGS
+    from paysight.runtime import stage_table
 
-    g, _ = gold(silver_frame(spark, sf))
+    # read by the fits and by every check of them
+    g = stage_table(gold(silver_frame(spark, sf))[0], "gold")
     result = train(g, version, rel_error=EXACT)
     params = dict(zip(result.models, SETTINGS[version]))
     return union_by_name([_audited(result.train_rows, result.test_rows, name, model, params[name]) for name, model in result.models.items()])
@@ -517,10 +520,12 @@ def q_batch_score(spark, sf):
     from paysight.operators import slots, trees
     from paysight.operators.models import GBT_V1
     from paysight.plans.gold import training_rows
+    from paysight.runtime import stage_table
     from paysight.sources.models import load_pipeline, load_regressor, save_model
 
     silver_df, keys = silver_frame(spark, sf), ["SurveyYear", "ResponseId"]
     g, pipe = gold(silver_df)
+    g = stage_table(g, "gold")  # read by both fits
     run = _models_folder(spark)
     save_model(pipe, f"{run}/pipeline")
     save_model(train_lr(training_rows(g, False, EXACT, 80, False)[0], LR_V1), f"{run}/lr_v1")

@@ -22,9 +22,15 @@ from paysight.schema import TARGET, YEAR, available, require_columns
 # A response number is unique within one survey year only.
 KEYS = [YEAR, "ResponseId"]
 
-# Training rows of one partition. The layout (and so the fitted trees) follows from the rows alone,
-# not from the cluster's cores, and no partition grows with the table.
-ROWS_PER_PARTITION = 100_000
+# The layout of training rows (and so the fitted trees) follows from the rows alone, not from the cluster's cores, and no
+# partition grows with the table. A small table spreads early. Later partitions are large: every one hands on the sums
+# of all tree nodes, level by level, so their number rather than the rows would decide what a fit shuffles.
+ROWS_PER_PARTITION = 500_000
+FEW_ROWS, FEW_PARTITIONS = 20_000, 24
+
+
+def partitions_for(n: int) -> int:
+    return max(n // ROWS_PER_PARTITION + 1, min(n // FEW_ROWS + 1, FEW_PARTITIONS))
 
 
 def row_keys(df: DataFrame) -> list[str]:
@@ -70,10 +76,13 @@ def training_rows(gold_df: DataFrame, trim: bool, rel_error: float, train_pct: i
     keys = row_keys(df)
     labelled = with_label(df).select(*keys, "features", "label")
     train_df, test_df = hash_split(labelled, keys, train_pct)
-    if fixed_layout:
-        parts = train_df.count() // ROWS_PER_PARTITION + 1
-        train_df = train_df.repartition(parts, *keys).sortWithinPartitions(md5_order_key(keys), *keys, "label")
-    return train_df, test_df
+    return (laid_out(train_df) if fixed_layout else train_df), test_df
+
+
+def laid_out(train_df: DataFrame) -> DataFrame:
+    """Training rows dealt by key into a number of partitions that follows from their count, and sorted there."""
+    keys = row_keys(train_df)
+    return train_df.repartition(partitions_for(train_df.count()), *keys).sortWithinPartitions(md5_order_key(keys), *keys, "label")
 
 
 def train_gbt_only(
@@ -121,13 +130,13 @@ def train(
     require_columns(gold_df, ["features", TARGET, KEYS[-1]])
     lr_params, gbt_params, trim = SETTINGS[version]
     gbt_params = {**gbt_params, **(gbt_overrides or {})}
-    train_df, test_df = training_rows(gold_df, trim, rel_error, train_pct, True)
-    train_df = train_df.persist()
+    train_df, test_df = training_rows(gold_df, trim, rel_error, train_pct, False)
+    fit_rows = laid_out(train_df).persist()
     try:
-        lr = train_lr(train_df, lr_params)
-        gbt = train_gbt(train_df, gbt_params)
+        lr = train_lr(fit_rows, lr_params)
+        gbt = train_gbt(fit_rows, gbt_params)
     finally:
-        train_df.unpersist()
+        fit_rows.unpersist()
     rows = []
     for name, model in ((f"lr_{version}", lr), (f"gbt_{version}", gbt)):
         rows.append(evaluate(model.transform(test_df)).withColumn("model", F.lit(name)))

@@ -219,3 +219,13 @@ def test_training_layout_follows_from_the_rows(spark, monkeypatch):
         train_df, _ = gold_mod.training_rows(g.repartition(parts), False, 0.0, 80, True)
         layouts.append([tuple(r) for r in train_df.withColumn("p", F.spark_partition_id()).select("p", "ResponseId", "label").collect()])
     assert layouts[0] == layouts[1] and len({r[0] for r in layouts[0]}) > 1
+
+
+def test_training_partitions_spread_small_tables_and_stay_few():
+    from paysight.plans.gold import partitions_for
+
+    assert partitions_for(0) == partitions_for(19_999) == 1
+    assert partitions_for(192_000) == 10  # two before
+    # each hands on the sums of all nodes at every level of every tree
+    assert partitions_for(1_920_000) == partitions_for(11_500_000) == 24
+    assert partitions_for(50_000_000) == 101  # none grows with the table
