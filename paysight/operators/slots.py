@@ -91,9 +91,11 @@ def saved_weights(spark: SparkSession, path: str) -> DataFrame:
 
 def linear_scores(features: DataFrame, weights: DataFrame, keys: Sequence[str]) -> DataFrame:
     """(keys, pred_log, salary_pred) of rows in long form, from a (slot, weight) table."""
-    one = features.select(*keys).distinct().withColumns({"slot": F.lit(INTERCEPT), "value": F.lit(1.0)})
-    table, _ = maybe_broadcast(weights)
-    summed = features.unionByName(one).join(table, "slot").groupBy(*keys).agg(F.sum(F.col("value") * F.col("weight")).alias("pred_log"))
+    table, _ = maybe_broadcast(weights.filter(F.col("slot") != INTERCEPT))
+    intercept = weights.filter(F.col("slot") == INTERCEPT).agg(F.coalesce(F.sum("weight"), F.lit(0.0)).alias("_intercept"))
+    summed = features.join(table, "slot", "left").groupBy(*keys).agg(F.coalesce(F.sum(F.col("value") * F.col("weight")), F.lit(0.0)).alias("pred_log"))
+    # the intercept is one row
+    summed = summed.crossJoin(F.broadcast(intercept)).withColumn("pred_log", F.col("pred_log") + F.col("_intercept")).drop("_intercept")
     return summed.withColumn("salary_pred", F.expm1("pred_log"))
 
 

@@ -1,13 +1,17 @@
-"""Boosted trees as tables and expressions: a way to evaluate them beside MLlib's own.
+"""Boosted trees as tables and arrays: a way to evaluate them beside MLlib's own.
 
-A saved ensemble is read as a table of nodes. Gathered into one array per tree (a few numbers per node, so
-as large as the model, never as the data) it becomes one expression that routes a row's features through every
-tree to its leaf. From the leaves follow the predictions, and one aggregation per (tree, leaf) over the training rows
-tells whether each leaf's value follows from them.
+A saved ensemble is read as a table of nodes (a few numbers per node, so as large as the model, never as the data). Laid
+end to end in arrays it routes whole batches of rows through every tree to their leaves, one step down at a time. From the
+leaves follow the predictions, and sums per (tree, leaf) over the training rows tell whether each leaf's value follows
+from them.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -38,34 +42,72 @@ def tree_nodes(spark: SparkSession, path: str) -> DataFrame:
     return nodes.join(weights, "tree")
 
 
-def forest(nodes: DataFrame) -> DataFrame:
-    """One row ``trees``: the trees in order, each with its weight and its nodes' fields as arrays by node number."""
-    fields = ["value", "left", "right", "feature", "cuts", "categories"]
-    each = nodes.groupBy("tree").agg(F.first("weight").alias("weight"), F.array_sort(F.collect_list(F.struct("node", *fields))).alias("n"))
-    one = F.struct("tree", "weight", *[F.col("n")[f].alias(f) for f in fields])
-    return each.agg(F.array_sort(F.collect_list(one)).alias("trees"))
-
-
-def _leaf(x: Column, tree: Column, depth: int) -> Column:
-    def step(node: Column, _: Column) -> Column:
-        own, cuts = x[tree["feature"][node]], tree["cuts"][node]
-        goes_left = F.when(tree["categories"][node] < 0, own <= cuts[0]).otherwise(F.array_contains(cuts, own))
-        return F.when(tree["left"][node] == LEAF, node).when(goes_left, tree["left"][node]).otherwise(tree["right"][node])
-
-    return F.aggregate(F.sequence(F.lit(1), F.lit(depth)), F.lit(0), step)
+class Forest:
+    """The trees in order, their nodes laid end to end; ``first`` is the place of each tree's root."""
+
+    def __init__(self, nodes: DataFrame):
+        rows = nodes.orderBy("tree", "node").collect()  # of the model's size
+        column = lambda name, kind: np.array([r[name] for r in rows], kind)
+        self.tree, self.node, self.value, self.weight = column("tree", np.int32), column("node", np.int32), column("value", float), column("weight", float)
+        self.first = np.flatnonzero(np.diff(self.tree, prepend=-1))
+        root = np.repeat(self.first, np.diff(np.append(self.first, len(rows))))
+        # a leaf is its own child, so rows that reached it stay
+        own, left, right = np.arange(len(rows)), column("left", np.int64), column("right", np.int64)
+        self.left, self.right = np.where(left == LEAF, own, root + left), np.where(left == LEAF, own, root + right)
+        inner = left != LEAF
+        self.feature = np.where(inner, column("feature", np.int64), 0)
+        categories = np.where(inner, column("categories", np.int64), -1)
+        self.cut = np.array([r["cuts"][0] if i and c < 0 else 0.0 for r, i, c in zip(rows, inner, categories)])
+        # categorical nodes: their row in a table of the categories that go left, else -1
+        self.categorical = np.where(categories >= 0, np.cumsum(categories >= 0) - 1, -1)
+        self.goes_left = np.zeros(((categories >= 0).sum(), max(1, categories.max(initial=0))), bool)
+        for k in np.flatnonzero(categories >= 0):
+            self.goes_left[self.categorical[k], np.array(rows[k]["cuts"], np.int64)] = True
+
+    def leaves(self, x: np.ndarray, depth: int) -> np.ndarray:
+        """The place of the leaf that each row of ``x`` reaches, trees by rows."""
+        rows = np.arange(len(x))
+        out = np.empty((len(self.first), len(x)), np.int64)
+        for k, root in enumerate(self.first):
+            at = np.full(len(x), root)
+            for _ in range(depth):
+                own = x[rows, self.feature[at]]
+                left = own <= self.cut[at]
+                if len(self.goes_left):
+                    kind = self.categorical[at]
+                    some = np.flatnonzero(kind >= 0)
+                    left[some] = self._in_set(kind[some], own[some])
+                at = np.where(left, self.left[at], self.right[at])
+            out[k] = at
+        return out
+
+    def _in_set(self, kind: np.ndarray, own: np.ndarray) -> np.ndarray:
+        known = (own >= 0) & (own < self.goes_left.shape[1])
+        number = np.where(known, own, 0).astype(np.int64)
+        return known & (number == own) & self.goes_left[kind, number]
+
+
+def _matrix(features: pa.Array) -> np.ndarray:
+    """Rows by slots of an array column; a null row is one of NaN, which goes right everywhere."""
+    values, valid = np.asarray(features.flatten(), float), features.is_valid().to_numpy(zero_copy_only=False)
+    out = np.full((len(features), len(values) // max(1, valid.sum())), np.nan)
+    out[valid] = values.reshape(valid.sum(), -1)
+    return out if out.shape[1] else np.full((len(features), 1), np.nan)
 
 
 def route(df: DataFrame, nodes: DataFrame, features: str = "features", depth: int = MAX_DEPTH) -> DataFrame:
     """``df`` with ``parts``: for each tree in order the struct (tree, leaf, part), part being the leaf's value times
     the tree's weight. ``depth`` is at least that of the deepest tree."""
-    x = F.col("_x")
-    parts = F.transform(
-        F.transform("trees", lambda t: F.struct(t.alias("t"), _leaf(x, t, depth).alias("leaf"))),
-        lambda r: F.struct(r["t"]["tree"].alias("tree"), r["leaf"].alias("leaf"), (r["t"]["weight"] * r["t"]["value"][r["leaf"]]).alias("part")),
-    )
-    keyed = df.withColumn("_x", vector_to_array(features)).withColumn("_m", F.lit(0))
-    # one row, of the model's size
-    return keyed.join(F.broadcast(forest(nodes).withColumn("_m", F.lit(0))), "_m").withColumn("parts", parts).drop("_x", "_m", "trees")
+    forest = Forest(nodes)
+
+    @F.arrow_udf("array<struct<tree int, leaf int, part double>>")
+    def parts(x: pa.Array) -> pa.Array:
+        at = forest.leaves(_matrix(x), depth).T.ravel()
+        fields = {"tree": forest.tree[at], "leaf": forest.node[at], "part": forest.weight[at] * forest.value[at]}
+        ends = np.arange(len(x) + 1, dtype=np.int32) * len(forest.first)
+        return pa.ListArray.from_arrays(pa.array(ends), pa.StructArray.from_arrays([pa.array(v) for v in fields.values()], list(fields)))
+
+    return df.withColumn("parts", parts(vector_to_array(features)))
 
 
 def boosted_prediction(parts: Column) -> Column:
@@ -81,20 +123,36 @@ def leaf_audit(train: DataFrame, nodes: DataFrame, features: str = "features", l
     of its sampling variance, is about 1 on average (``z2``; null where nothing was left out or all rows are equal).
     A leaf that no row reaches is not within.
     """
-    so_far = F.aggregate(
-        "parts", F.array(F.lit(0.0)), lambda acc, p: F.concat(acc, F.array(F.element_at(acc, -1) + p["part"]))
-    )
-    rows = route(train.select(features, label), nodes, features, depth).withColumn("before", so_far)
-    target = F.transform("parts", lambda p, i: F.struct(p["tree"].alias("tree"), p["leaf"].alias("node"), F.when(i == 0, F.col(label)).otherwise(2 * (F.col(label) - F.col("before")[i])).alias("t")))
-    sums = rows.select(F.inline(target)).groupBy("tree", "node").agg(
-        F.count("*").alias("n"), F.avg("t").alias("mean"), F.var_pop("t").alias("var")
-    )
+    forest = Forest(nodes)
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        size = len(forest.tree)
+        n, off, square = np.zeros(size, np.int64), np.zeros(size), np.zeros(size)
+        for batch in batches:
+            y, before = np.asarray(batch.column("y"), float), np.zeros(batch.num_rows)
+            for k, at in enumerate(forest.leaves(_matrix(batch.column("x")), depth)):
+                target = 2 * (y - before) if k else y
+                # counted from the leaf's value, so equal targets leave no variance
+                d = target - forest.value[at]
+                n += np.bincount(at, minlength=size)
+                off += np.bincount(at, d, size)
+                square += np.bincount(at, d * d, size)
+                before += forest.weight[at] * forest.value[at]
+        some = np.flatnonzero(n)
+        yield pa.RecordBatch.from_arrays([pa.array(c[some]) for c in (forest.tree, forest.node, n, off, square)], ["tree", "node", "n", "off", "square"])
+
+    rows = train.select(vector_to_array(features).alias("x"), F.col(label).cast("double").alias("y"))
+    sums = rows.mapInArrow(task, "tree int, node int, n long, off double, square double").groupBy("tree", "node").agg(*[F.sum(c).alias(c) for c in ("n", "off", "square")])
+    moved = F.col("off") / F.col("n")
     leaves = nodes.filter(F.col("left") == LEAF).select("tree", "node", "value", "n_fitted")
+    leaves = leaves.join(sums, ["tree", "node"], "left").select(
+        *leaves.columns, "n", (F.col("value") + moved).alias("mean"), F.greatest(F.col("square") / F.col("n") - moved * moved, F.lit(0.0)).alias("var")
+    )
     n, m, off = F.col("n"), F.col("n_fitted"), F.abs(F.col("value") - F.col("mean"))
     rounding = 1e-9 * (1 + F.abs("value"))
     within = (m <= n) & (off <= F.sqrt(F.col("var") * F.greatest(n - m, F.lit(0)) / m) + rounding)
     z2 = F.when((m < n) & (F.col("var") > 1e-12), off * off * m * (n - 1) / (F.col("var") * (n - m)))
-    return leaves.join(sums, ["tree", "node"], "left").select("*", F.coalesce(within, F.lit(False)).alias("within"), z2.alias("z2"))
+    return leaves.select("*", F.coalesce(within, F.lit(False)).alias("within"), z2.alias("z2"))
 
 
 def audit_holds(audit: DataFrame, most_z2: float = 4.0) -> DataFrame:

@@ -59,6 +59,32 @@ def test_wrong_trees_are_found(data, boosted, wrong):
     assert not T.audit_holds(T.leaf_audit(rows, nodes, depth=4)).first().leaves_follow
 
 
+def test_checks_hand_on_sums_per_leaf_not_rows_per_tree(data, boosted):
+    """What a check of the trees costs beside a row's routing does not grow with rows times trees, and no tree is walked in an expression."""
+    _, nodes = boosted
+    plan = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
+    audit = plan(T.leaf_audit(data, nodes, depth=4))
+    assert "Generate" not in audit and "lambda" not in audit
+    assert "lambda" not in plan(T.route(data, nodes, depth=4))
+
+
+def test_rows_without_features_go_right(spark, boosted):
+    """As a null or missing number compares: neither is at most a threshold."""
+    _, nodes = boosted
+    df = spark.createDataFrame([(1, [float("nan")] * 7), (2, None)], "id long, x array<double>")
+    forest = T.Forest(nodes)
+    right = []
+    for at in forest.first:
+        while forest.right[at] != at:
+            at = forest.right[at]
+        right.append(forest.node[at])
+    for row in df.collect():
+        import pyarrow as pa
+
+        x = T._matrix(pa.array([row.x, [0.0] * 7], pa.list_(pa.float64())))
+        assert forest.node[forest.leaves(x, 4)[:, 0]].tolist() == right
+
+
 def test_categorical_splits_route_alike(spark, tmp_path):
     from pyspark.ml.feature import VectorIndexer
 
@@ -108,3 +134,12 @@ def test_long_form_scores_equal_the_vector_path(spark, tmp_path):
     assert len(got) == len(want) == 162
     for r in want:
         assert got[r.ResponseId] == pytest.approx((r.pred_log, r.salary_pred), rel=1e-9)
+
+
+def test_linear_scores_read_the_features_once(spark, data, tmp_path):
+    """One scan of the rows: the intercept does not come from a second pass over their keys."""
+    weights = spark.createDataFrame([(0, 2.0), (-1, 0.5)], "slot int, weight double")
+    rows = spark.createDataFrame([(1, 0, 3.0), (1, 5, 9.0), (2, 5, 1.0)], "id long, slot int, value double")
+    got = S.linear_scores(rows, weights, ["id"])
+    assert {r.id: r.pred_log for r in got.collect()} == {1: 6.5, 2: 0.5}
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("Union") == 0
