@@ -39,17 +39,32 @@ def _unpack(words: np.ndarray, at: np.ndarray, width: int) -> np.ndarray:
     return ((low | high) & np.uint64((1 << width) - 1)).astype(np.int64)
 
 
-# Place of the k-th one in a byte, for every byte and k.
-_SELECT = np.array([[([i for i in range(8) if b >> i & 1] + [8] * 8)[k] for k in range(8)] for b in range(256)], np.int64)
+# Place of the k-th one in a byte, for every byte and k: entry 8 * byte + k.
+_SELECT = np.array([[([i for i in range(8) if b >> i & 1] + [8] * 8)[k] for k in range(8)] for b in range(256)], np.uint8).ravel()
+_EACH = np.uint64(0x0101010101010101)  # times a byte: that byte in all eight
+_TOP = np.uint64(0x8080808080808080)
+_BYTE, _EIGHT = np.uint64(0xFF), np.uint64(8)
 
 
 def _select_in_word(word: np.ndarray, k: np.ndarray) -> np.ndarray:
     """Bit of the k-th one of each 64-bit word."""
-    rows = word.astype("<u8").view(np.uint8).reshape(-1, 8)
-    before = np.cumsum(np.bitwise_count(rows), axis=1, dtype=np.int64)
-    byte = (before <= k[:, None]).sum(axis=1)
-    prior = np.where(byte > 0, before[np.arange(len(k)), byte - 1], 0)
-    return 8 * byte + _SELECT[rows[np.arange(len(k)), byte], k - prior]
+    k = k.astype(np.uint64)
+    # ones up to and with each byte, a byte each
+    ones = np.bitwise_count(word.astype("<u8").view(np.uint8)).view("<u8") * _EACH
+    # bytes that end at or before the k-th one: their top bit survives
+    shift = np.bitwise_count(((k * _EACH | _TOP) - ones) & _TOP).astype(np.uint64) * _EIGHT
+    prior = ((ones << _EIGHT) >> shift) & _BYTE
+    own = (word >> shift) & _BYTE
+    return shift.astype(np.int64) + _SELECT[(own * _EIGHT + (k - prior)).astype(np.int64)]
+
+
+def _ones_from(high: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """How many ones follow each other from a bit on; 64 or more count as 64. The last word is followed by zeros."""
+    word, shift = at >> 6, (at & 63).astype(np.uint64)
+    after = np.where(word + 1 < len(high), high[np.minimum(word + 1, len(high) - 1)], np.uint64(0))
+    bits = (high[word] >> shift) | ((after << ((np.uint64(WORD) - shift) & np.uint64(63))) * (shift > 0))
+    # below the lowest zero there are only ones
+    return np.bitwise_count(bits & ~(bits + np.uint64(1))).astype(np.int64)
 
 
 class EliasFano:
@@ -82,21 +97,29 @@ class EliasFano:
         place = WORD * word + _select_in_word(self.high[word], at - prior)
         return ((place - at) << self.width) | _unpack(self.low, at, self.width)
 
-    def _bucket(self, high: np.ndarray) -> np.ndarray:
-        """Entries whose upper bits are below ``high``: those before the high-th zero."""
+    def _bucket(self, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Entries whose upper bits are below ``high``, those before the high-th zero, and those with bits up to it."""
         k = high - 1
+        first, place = self._zero(k)
+        ones = _ones_from(self.high, place + 1)
+        long = np.flatnonzero(ones >= WORD)
+        ones[long] = self._zero(high[long])[0] - first[long]
+        return first, first + ones
+
+    def _zero(self, k: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ones before the k-th zero, and its place; -1 comes before all."""
         inner = np.maximum(k, 0)
         word = np.searchsorted(self.zeros, inner, side="right")
         prior = np.where(word > 0, self.zeros[word - 1], 0)
         place = WORD * word + _select_in_word(~self.high[word], inner - prior)
-        return np.where(k < 0, 0, place - inner)
+        return np.where(k < 0, 0, place - inner), np.where(k < 0, -1, place)
 
     def find(self, values: np.ndarray) -> np.ndarray:
         """The first entry equal to each value, or -1: successor search by halving its bucket."""
         out = np.full(len(values), -1, np.int64)
         live = np.flatnonzero((values >= 0) & (values < self.universe)) if self.n else np.zeros(0, np.int64)
         high = values[live] >> self.width
-        first, end = self._bucket(high), self._bucket(high + 1)
+        first, end = self._bucket(high)
         stop = end.copy()
         want = values[live] & ((1 << self.width) - 1)
         open_ = np.flatnonzero(first < stop)
@@ -150,10 +173,17 @@ class Level:
             return out
         turns = np.flatnonzero(np.concatenate([[True], context[1:] != context[:-1]]))
         each = context[turns]
-        first, stop = self.pointers.get(each), self.pointers.get(each + 1)
-        # the range before ends with its base: its last entry + 1 is what this range's values count from
-        base = np.where(first > 0, self.values.get(np.maximum(first - 1, 0)) + 1, 0)
-        most = np.where(stop > first, self.values.get(np.maximum(stop - 1, 0)) - base, -1)
+        # where a context's range begins and, next to it, where it ends; one is the other where contexts follow each other
+        apart = np.append(each[1:] != each[:-1] + 1, True)
+        begin = np.arange(len(each)) + np.cumsum(apart) - apart
+        points = np.empty(len(each) + np.count_nonzero(apart), np.int64)
+        points[begin] = each
+        points[begin + 1] = each + 1
+        at = self.pointers.get(points)
+        # a range ends with its last entry + 1, which is what the next range's values count from
+        ends = np.where(at > 0, self.values.get(np.maximum(at - 1, 0)) + 1, 0)
+        base = ends[begin]
+        most = ends[begin + 1] - base - 1
         run = np.repeat(np.arange(len(turns)), np.diff(np.append(turns, len(context))))
         some = np.flatnonzero(value <= most[run])
         out[some] = self.values.find(value[some] + base[run[some]])

@@ -56,7 +56,8 @@ def share(count: np.ndarray) -> np.ndarray:
 def squeeze(values: np.ndarray) -> bytes:
     """Whole numbers from 0 up in as few bytes as the largest needs, byte by byte, compressed."""
     kind = np.min_scalar_type(int(values.max(initial=0)))
-    return _compress(np.ascontiguousarray(values.astype(kind)).view(np.uint8).reshape(-1, kind.itemsize).T.tobytes(), kind.itemsize)
+    planes = np.ascontiguousarray(values.astype(kind)).view(np.uint8).reshape(-1, kind.itemsize).T
+    return _compress(np.ascontiguousarray(planes).tobytes(), kind.itemsize)  # many times as fast as tobytes of the view
 
 
 def unsqueeze(data: bytes) -> np.ndarray:
@@ -227,12 +228,7 @@ class _Grams:
             mixed = np.where(spread, step, mixed) if k == len(words) - 1 else step
         shard = (mixed % np.uint64(self.shards)).astype(np.int64)
         self.words = words
-        context = np.unique(context, return_inverse=True)[1]
-        contexts, lasts = int(context.max(initial=0)) + 1, int(last.max(initial=0)) + 1
-        if self.shards * contexts * lasts < 1 << 62:
-            self.order = np.argsort((shard * contexts + context) * lasts + last)
-        else:  # a very long text
-            self.order = np.lexsort((last, context, shard))
+        self.order = np.argsort(_one_key([shard, context, last]))
         self.shard = shard[self.order]
 
     def counts(self, answers: list[bytes], n: int) -> np.ndarray:
@@ -243,6 +239,21 @@ class _Grams:
         return np.where(self.at >= 0, own[self.at], 0.0) if len(own) else np.zeros(len(self.at))
 
 
+def _one_key(words: list[np.ndarray]) -> np.ndarray:
+    """One number per place that sorts as the words do, the first first; what would pass 62 bits is replaced by its rank."""
+    key, *rest = words
+    for word in rest:
+        span, size = int(key.max(initial=0)) + 1, int(word.max(initial=0)) + 1
+        if span * size >= 1 << 62:
+            key = np.unique(key, return_inverse=True)[1]
+            span = int(key.max(initial=0)) + 1
+        if span * size >= 1 << 62:
+            word = np.unique(word, return_inverse=True)[1]
+            size = int(word.max(initial=0)) + 1
+        key = key * size + word
+    return key
+
+
 def _scramble(x: np.ndarray) -> np.ndarray:
     """A fixed mixing of 64-bit numbers."""
     x = (x + np.uint64(0x9E3779B97F4A7C15)) * np.uint64(0xBF58476D1CE4E5B9)
@@ -301,13 +312,14 @@ def answer_grams(n: int):
             lead, *rest = (unsqueeze(d) for d in data)
             asked.append([np.cumsum(lead), *rest])
         *words, count = (np.concatenate(c) for c in zip(*asked))
-        order = np.lexsort(words[::-1])
-        words = [w[order] for w in words]
+        key = _one_key(words)
+        order = np.argsort(key)
+        key = key[order]
         new = np.ones(len(order), bool)
-        new[1:] = np.any([w[1:] != w[:-1] for w in words], axis=0)
+        new[1:] = key[1:] != key[:-1]
         first = np.flatnonzero(new)
         total = np.add.reduceat(count[order], first)
-        words = [w[first] for w in words]  # distinct n-grams of all chunks; the trained ones make the trie
+        words = [w[order[first]] for w in words]  # distinct n-grams of all chunks; the trained ones make the trie
         some = total > 0
         trie = Trie.mapped(Trie.of([w[some] for w in words], np.log10(total[some] / max(n, 1))).dump())
         values = np.empty(len(order), "<f4")

@@ -29,6 +29,37 @@ def test_sequence_round_trip_and_search(values, asked):
     assert all((values[g] == a and (g == 0 or values[g - 1] < a)) if g >= 0 else a not in values for a, g in zip(asked.tolist(), got.tolist()))
 
 
+def test_search_passes_long_runs_of_entries():
+    """Buckets of 63 to 65 and of hundreds of entries, and empty ones, at every offset in a word."""
+    for n in (63, 64, 65, 127, 300):
+        for before in range(66):
+            values = np.array([*range(0, 7 * before, 7), *[7 * before + 3] * n, 7 * before + 900], np.int64)
+            seq = EliasFano.of(values)
+            asked = np.arange(-1, 7 * before + 902)
+            place = np.searchsorted(values, asked)
+            want = np.where((place < len(values)) & (values[np.minimum(place, len(values) - 1)] == asked), place, -1)
+            assert np.array_equal(seq.find(asked), want)
+
+
+def test_a_level_search_selects_about_three_bits_a_query(monkeypatch):
+    """The end of a range is the start of the next, and a bucket's end is seen from its start (six before)."""
+    from paysight.llm import elias_fano as E
+
+    level = Level.of(np.arange(5000), np.arange(5000) * 7919 % 1000, 5000)
+    done = []
+    plain = E._select_in_word
+    monkeypatch.setattr(E, "_select_in_word", lambda word, k: done.append(len(k)) or plain(word, k))
+    assert np.array_equal(level.find(np.arange(5000), np.arange(5000) * 7919 % 1000), np.arange(5000))
+    assert sum(done) < 3.5 * 5000
+
+
+@given(st.lists(st.tuples(st.integers(0, 2**61), st.integers(0, 2**61), st.integers(0, 3))))
+def test_one_key_sorts_as_its_words_do(rows):
+    words = [np.array([r[k] for r in rows], np.int64) for k in range(3)]
+    key = L._one_key(words)
+    assert [rows[k] for k in np.argsort(key)] == sorted(rows) and len(set(key.tolist())) == len(set(rows))
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.sets(st.tuples(st.integers(0, 20), st.integers(0, 300)), max_size=150))
 def test_level_finds_every_entry_in_its_range_only(entries):
