@@ -10,7 +10,8 @@ n-grams with their training counts to shards, once each, and gets one answer per
    into an Elias-Fano trie, mapped into memory, and answers by successor search within each context.
 
 So no n-gram is sent more than once per chunk, however often it occurs, nothing is broadcast, and a
-shard holds about a fixed number of n-grams whatever the corpus.
+shard holds about a fixed number of n-grams whatever the corpus. Chunks themselves move once, without the
+texts of their tokens, to meet their answers; asking for n-grams and scoring read them from there.
 
 A trie stores quantised log10 probabilities c(n-gram) / N. The share of the lower order depends on the
 context's count C alone, ``share``, so that an n-gram's probability needs no other n-gram:
@@ -66,18 +67,50 @@ def unsqueeze(data: bytes) -> np.ndarray:
     return np.ascontiguousarray(planes).view(f"<u{size}").ravel().astype(np.int64)
 
 
-def _compress(raw: bytes, mark: int = 0) -> bytes:
-    return bytes([mark]) + len(raw).to_bytes(8, "little") + pa.compress(raw, codec="zstd", asbytes=True)
+def _compress(raw: bytes, mark: int = 0, level: int = 1) -> bytes:
+    return bytes([mark]) + len(raw).to_bytes(8, "little") + pa.Codec("zstd", level).compress(raw, asbytes=True)
 
 
 def _decompress(data: bytes) -> tuple[bytes, int]:
     return pa.decompress(data[9:], int.from_bytes(data[1:9], "little"), codec="zstd", asbytes=True), data[0]
 
 
+def _join(words: Iterator[bytes]) -> bytes:
+    return _compress(b" ".join(words), level=3)  # text gains from it, numbers do not
+
+
 def _split(data: bytes) -> list[bytes]:
     return _decompress(data)[0].split(b" ")
 
 
+def gaps_of(words: list[np.ndarray]) -> list[np.ndarray]:
+    """Sorted n-grams, a column per place, as differences: each word from the one before it where all words to its left are the same."""
+    out, same = [], np.ones(len(words[0]), bool)
+    same[:1] = False
+    for word in words:
+        before = np.roll(word, 1)
+        out.append(word - np.where(same, before, 0))
+        same = same & (word == before)
+    return out
+
+
+def words_of(gaps: list[np.ndarray]) -> list[np.ndarray]:
+    """What :func:`gaps_of` was given."""
+    out, same = [], np.ones(len(gaps[0]), bool)
+    same[:1] = False
+    for gap in gaps:
+        total = np.cumsum(gap)
+        first = np.flatnonzero(~same)
+        word = total - np.repeat(total[first] - gap[first], np.diff(np.append(first, len(gap))))
+        out.append(word)
+        same = same & (word == np.roll(word, 1))
+    return out
+
+
+def token_shards(tokens: list[bytes], shards: int) -> np.ndarray:
+    return np.fromiter(map(zlib.crc32, tokens), np.int64, len(tokens)) % shards
+
+
 def chunks_of(texts: DataFrame) -> DataFrame:
     """Chunks of a frame (text binary, trains boolean, doc struct): one row each, with its docs and their tokens' numbers."""
     docs_type = T.ArrayType(texts.schema["doc"].dataType)
@@ -102,8 +135,8 @@ def chunks_of(texts: DataFrame) -> DataFrame:
             rank = np.empty(len(by_count), np.int64)
             rank[by_count] = np.arange(len(by_count))
             names = list(numbers)
-            names = b" ".join(names[k] for k in by_count.tolist())
-            row += [pa.array([x], pa.binary()) for x in (squeeze(rank[laid]), squeeze(lengths), squeeze(flags), _compress(names))]
+            names = _join(names[k] for k in by_count.tolist())
+            row += [pa.array([x], pa.binary()) for x in (squeeze(rank[laid]), squeeze(lengths), squeeze(flags), names)]
             row += [pa.array([int(x)], pa.int64()) for x in (lengths.sum(), lengths[flags].sum(), flags.sum())]
             for held in (docs, ids, trains):
                 held.clear()
@@ -132,37 +165,35 @@ def chunks_of(texts: DataFrame) -> DataFrame:
 
 
 class Chunk:
-    """A chunk's tokens and, once the token shards have answered, their counts and numbers in the model."""
+    """A chunk's tokens, of each the shard, and, once the token shards have answered, their counts and numbers in the model."""
 
-    def __init__(self, row: dict, shards: int):
-        self.shards = shards
+    def __init__(self, row: dict, token_shard: np.ndarray, shards: int):
+        self.shards, self.size = shards, len(token_shard)
         self.ids, self.lengths = unsqueeze(row["ids"]), unsqueeze(row["lengths"])
         self.flags = np.repeat(unsqueeze(row["trains"]) > 0, self.lengths)
         self.starts = np.cumsum(self.lengths) - self.lengths
-        self.tokens = _split(row["tokens"])
-        shard = np.fromiter(map(zlib.crc32, self.tokens), np.int64, len(self.tokens)) % shards
-        self.order = np.argsort(shard, kind="stable")
-        self.shard = shard[self.order]
+        self.order = np.argsort(token_shard, kind="stable")
+        self.shard = token_shard[self.order]
 
-    def token_requests(self) -> Iterator[tuple[int, list[bytes]]]:
-        n = np.bincount(self.ids[self.flags], minlength=len(self.tokens))
-        every = np.bincount(self.ids, minlength=len(self.tokens))
+    def token_requests(self, tokens: list[bytes]) -> Iterator[tuple[int, list[bytes]]]:
+        n = np.bincount(self.ids[self.flags], minlength=self.size)
+        every = np.bincount(self.ids, minlength=self.size)
         for shard, part in _parts(self.shard):
             own = self.order[part]
-            yield shard, [_compress(b" ".join(self.tokens[k] for k in own.tolist())), squeeze(n[own]), squeeze(every[own])]
+            yield shard, [_join(tokens[k] for k in own.tolist()), squeeze(n[own]), squeeze(every[own])]
 
     def learn(self, answers: list[list[bytes]], texts: int) -> None:
         """Take the token shards' answers, in order of the shards. The word that begins each text comes after all others."""
         got = [np.concatenate([unsqueeze(a[k]) for a in answers]) for k in range(3)]
-        full = [np.empty(len(self.tokens) + 1, np.int64) for _ in got]
+        full = [np.empty(self.size + 1, np.int64) for _ in got]
         for whole, values, begin in zip(full, got, (texts, 1, 1)):
             whole[self.order] = values
             whole[-1] = begin  # its number is 0, one less than what is sent
         self.count, self.number, self.often = full[0], full[1] - 1, full[2] > 0
         before = np.roll(self.ids, 1)
-        before[self.starts] = len(self.tokens)
+        before[self.starts] = self.size
         self.before = before
-        size, number = len(self.tokens) + 1, self.number
+        size, number = self.size + 1, self.number
         known = (number[before] >= 0) & (number[self.ids] >= 0)
         self.pairs = _Grams(before * size + self.ids, known, self.flags, shards=self.shards)
         v, w = np.divmod(self.pairs.keys, size)
@@ -182,9 +213,8 @@ class Chunk:
         for level, grams in ((2, self.pairs), (3, self.triples)):
             for shard, part in _parts(grams.shard):
                 own = grams.order[part]
-                words = [c[own] for c in grams.words]
-                lead = np.diff(words[0], prepend=0)  # sorted by the first word
-                yield level, shard, [squeeze(lead), *map(squeeze, words[1:]), squeeze(grams.n[own])]
+                # ranks follow the numbers, so these are sorted
+                yield level, shard, [*map(squeeze, gaps_of([c[own] for c in grams.words])), squeeze(grams.n[own])]
 
     def scores(self, pairs: list[bytes], triples: list[bytes], n: int, v: int) -> tuple[np.ndarray, ...]:
         """Of each text: tokens, known ones, base score and score, from the shards' answers in order of the shards."""
@@ -309,8 +339,8 @@ def answer_grams(n: int):
         rows = [(r["chunk"], r["level"], r["shard"], r["data"]) for r in requests.to_pylist()]
         asked = []
         for *_, data in rows:
-            lead, *rest = (unsqueeze(d) for d in data)
-            asked.append([np.cumsum(lead), *rest])
+            *gaps, own = map(unsqueeze, data)
+            asked.append([*words_of(gaps), own])
         *words, count = (np.concatenate(c) for c in zip(*asked))
         key = _one_key(words)
         order = np.argsort(key)
@@ -351,28 +381,40 @@ def fit_and_score(docs: DataFrame, trains: Column, id_col: str = "doc_id", text_
 
     def ask_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for k in range(batch.num_rows):
-                row = batch.slice(k, 1).to_pylist()[0]
-                yield _requests([(row["chunk"], 1, s, data) for s, data in Chunk(row, shards).token_requests()])
+            for row in batch.to_pylist():
+                tokens = _split(row["tokens"])
+                chunk = Chunk(row, token_shards(tokens, shards), shards)
+                yield _requests([(row["chunk"], 1, s, data) for s, data in chunk.token_requests(tokens)])
+
+    def without_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            place = batch.schema.get_field_index("tokens")
+            own = [squeeze(token_shards(_split(t.as_py()), shards)) for t in batch.column(place)]
+            yield batch.set_column(place, "shards", pa.array(own, pa.binary()))
+
+    def learned(row: dict) -> Chunk:
+        chunk = Chunk(row, unsqueeze(row["shards"]), shards)
+        chunk.learn([a["data"] for a in row["answers"]], n_texts)
+        return chunk
 
     def ask_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k in range(batch.num_rows):
-                row = batch.slice(k, 1).to_pylist()[0]
-                chunk = Chunk(row, shards)
-                chunk.learn([a["data"] for a in row["answers"]], n_texts)
-                rows = [(row["chunk"], *r) for r in chunk.gram_requests()]
+                row = batch.slice(k, 1).drop_columns("docs").to_pylist()[0]
+                rows = [(row["chunk"], *r) for r in learned(row).gram_requests()]
                 if rows:
                     yield _requests(rows)
 
-    parts = ["chunk", "ids", "lengths", "trains", "tokens"]
-    asked = chunks.select(*parts).mapInArrow(ask_tokens, ANSWER)
+    asked = chunks.select("chunk", "ids", "lengths", "trains", "tokens").mapInArrow(ask_tokens, ANSWER)
     tokens = scratch.write(asked.groupBy("shard").applyInArrow(answer_tokens(shards), ANSWER), "tokens")
     v = tokens.agg(F.sum("seen")).first()[0] or 0
 
-    by_chunk = lambda answers: answers.groupBy("chunk").agg(F.sort_array(F.collect_list(F.struct("level", "shard", "data"))).alias("answers"))
-    asked = chunks.select(*parts).join(by_chunk(tokens), "chunk").mapInArrow(ask_grams, ANSWER)
-    grams = scratch.write(asked.groupBy("level", "shard").applyInArrow(answer_grams(n), ANSWER), "grams")
+    by_chunk = lambda answers, name: answers.groupBy("chunk").agg(F.sort_array(F.collect_list(F.struct("level", "shard", "data"))).alias(name))
+    moved = chunks.select("chunk", "ids", "lengths", "trains", "tokens", "docs")
+    moved_type = T.StructType([T.StructField("shards", f.dataType) if f.name == "tokens" else f for f in moved.schema])
+    # one plan up to the scores: both readers of this join find the same exchanges, and n-grams' answers are written once
+    met = moved.mapInArrow(without_texts, moved_type).join(by_chunk(tokens, "answers"), "chunk")
+    grams = met.mapInArrow(ask_grams, ANSWER).groupBy("level", "shard").applyInArrow(answer_grams(n), ANSWER)
 
     doc_type = chunks.schema["docs"].dataType.elementType
     schema = T.StructType([T.StructField("doc", doc_type)]).add("n_tokens", "long").add("n_known", "long").add("base_score", "double").add("score", "double")
@@ -382,13 +424,13 @@ def fit_and_score(docs: DataFrame, trains: Column, id_col: str = "doc_id", text_
             for k in range(batch.num_rows):
                 one = batch.slice(k, 1)
                 row = one.drop_columns("docs").to_pylist()[0]
-                chunk = Chunk(row, shards)
-                at = lambda level: [a["data"] for a in row["answers"] if a["level"] == level]
-                chunk.learn(at(1), n_texts)
-                got = chunk.scores([a[0] for a in at(2)], [a[0] for a in at(3)], n, v)
+                at = lambda level: [a["data"][0] for a in row["grams"] or () if a["level"] == level]
+                got = learned(row).scores(at(2), at(3), n, v)
                 yield pa.RecordBatch.from_arrays([one.column("docs").flatten(), *map(pa.array, got)], schema.names)
 
-    scored = chunks.select(*parts, "docs").join(by_chunk(tokens.unionByName(grams)), "chunk").mapInArrow(score, schema)
+    # a chunk of which no token is in training asks for no n-grams
+    scored = scratch.write(met.join(by_chunk(grams, "grams"), "chunk", "left").mapInArrow(score, schema), "scores")
+    scratch.drop("chunks", "tokens")
     return scored.select(
         F.col("doc.id").alias(id_col),
         *[F.col("doc.kept")[c].alias(c) for c in keep],

@@ -95,6 +95,42 @@ def test_squeezed_numbers_round_trip(values):
     assert L.unsqueeze(L.squeeze(np.array(values, np.int64))).tolist() == values
 
 
+@given(st.lists(st.tuples(st.integers(0, 3), st.integers(0, 5), st.integers(0, 2**40))))
+def test_gaps_of_sorted_ngrams_round_trip_and_are_no_larger(rows):
+    words = [np.array([r[k] for r in sorted(rows)], np.int64) for k in range(3)]
+    gaps = L.gaps_of(words)
+    assert all(np.array_equal(a, b) for a, b in zip(L.words_of(gaps), words))
+    assert all((g >= 0).all() and (g <= w).all() for g, w in zip(gaps, words))
+
+
+def test_chunks_move_once_and_only_scores_stay_on_disk(spark, make_docs, monkeypatch):
+    """Both readers of the chunks and their tokens' answers share the exchanges, and no step's table outlives the call."""
+    for name in ("CHUNK", "SHARD"):
+        monkeypatch.setattr(L, name, 2000)
+    monkeypatch.setattr(L, "SPREAD", 50)
+    roots, plans, write = [], [], L.Scratch.write
+
+    def watched(self, df, name):
+        roots.append(self.root)
+        if name == "scores":
+            df.collect()
+            plans.append(df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0])
+        return write(self, df, name)
+
+    monkeypatch.setattr(L.Scratch, "write", watched)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = [(k, " ".join(f"w{(k * j) % 97}" for j in range(30))) for k in range(600)]
+        got = L.fit_and_score(make_docs(rows), F.col("doc_id") % 7 != 2)
+        assert got.count() == 600
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plans and plans[0].count("ReusedExchange") == 2
+    root = spark._jvm.org.apache.hadoop.fs.Path(roots[0])
+    files = root.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(root)
+    assert [f.getPath().getName() for f in files] == ["scores"]
+
+
 def plain_model(train):
     """The base and interpolated probabilities by dictionaries over every token, pair and triple of the training texts."""
     laid = [["<begin>", *tokens(x)] for x in train]
