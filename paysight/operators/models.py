@@ -154,8 +154,13 @@ def score(
 ) -> DataFrame:
     """Batch scoring (L9): any number of request rows through the fitted
     feature pipeline and regressor. Missing and empty skill answers get the
-    same fill as training. Adds ``pred_log`` and ``salary_pred``."""
+    same fill as training. Adds ``pred_log`` and ``salary_pred``. With a mapping
+    of names to regressors the features are made once for all of them, and the
+    added columns begin with the name and an underscore."""
     filled = fill_text(requests, text_cols, empty_too=True)
-    feats = pipeline.transform(filled)
-    out = regressor.transform(feats)
-    return out.withColumnRenamed("prediction", "pred_log").withColumn("salary_pred", F.expm1(F.col("pred_log")))
+    out = pipeline.transform(filled)
+    named = {f"{k}_": m for k, m in regressor.items()} if isinstance(regressor, Mapping) else {"": regressor}
+    for name, model in named.items():
+        out = model.transform(out).withColumnRenamed("prediction", f"{name}pred_log")
+        out = out.withColumn(f"{name}salary_pred", F.expm1(F.col(f"{name}pred_log")))
+    return out

@@ -531,15 +531,17 @@ def q_batch_score(spark, sf):
     save_model(train_lr(training_rows(g, False, EXACT, 80, False)[0], LR_V1), f"{run}/lr_v1")
     save_model(train_gbt_only(g, "v1"), f"{run}/gbt_v1")
     requests, saved = _requests(silver_df), load_pipeline(f"{run}/pipeline")
-    by_lr = score(requests, saved, load_regressor(f"{run}/lr_v1", "lr"))
-    by_gbt = score(requests, saved, load_regressor(f"{run}/gbt_v1", "gbt"))
+    models = {kind: load_regressor(f"{run}/{kind}_v1", kind) for kind in ("lr", "gbt")}
+    columns = [f"{kind}_{c}" for kind in models for c in ("pred_log", "salary_pred")]
+    # read by both comparisons and by the routing of the same features
+    scored = stage_table(score(requests, saved, models).select(*keys, "features", *columns), "scored")
     long = slots.long_features(fill_text(requests, empty_too=True), slots.feature_slots(spark, saved), keys)
     own_lr = slots.linear_scores(long, slots.saved_weights(spark, f"{run}/lr_v1"), keys)
-    routed = trees.route(by_gbt.select(*keys, "features"), trees.tree_nodes(spark, f"{run}/gbt_v1"), depth=GBT_V1["maxDepth"])
+    routed = trees.route(scored.select(*keys, "features"), trees.tree_nodes(spark, f"{run}/gbt_v1"), depth=GBT_V1["maxDepth"])
     own_gbt = routed.select(*keys, trees.boosted_prediction(F.col("parts")).alias("pred_log")).withColumn("salary_pred", F.expm1("pred_log"))
     out = requests.select(*keys)
-    for name, a, b in (("lr", by_lr, own_lr), ("gbt", by_gbt, own_gbt)):
-        a = a.select(*keys, F.col("pred_log").alias("p"), F.col("salary_pred").alias("s"))
+    for name, b in (("lr", own_lr), ("gbt", own_gbt)):
+        a = scored.select(*keys, F.col(f"{name}_pred_log").alias("p"), F.col(f"{name}_salary_pred").alias("s"))
         b = b.select(*keys, F.col("pred_log").alias("q"), F.col("salary_pred").alias("t"))
         close = lambda x, y: F.coalesce(F.abs(F.col(x) - F.col(y)) <= 1e-8 * (1 + F.abs(x)), F.lit(False))
         out = out.join(a.join(b, keys, "left").select(*keys, close("p", "q").alias(f"{name}_pred_log"), close("s", "t").alias(f"{name}_salary_pred")), keys, "left")

@@ -113,6 +113,32 @@ def test_pipeline_fit_save_load_score(spark, tmp_dir):
     assert abs(r["salary_pred"] - math.expm1(r["pred_log"])) < 1e-6
 
 
+def test_several_models_score_with_features_made_once(spark):
+    df = _survey_like(spark)
+    model = fit_features(df, FeatureSpec.resolve(df))
+    labelled = with_label(model.transform(df))
+    models = {"a": train_lr(labelled, LR_V1), "b": train_lr(labelled, {**LR_V1, "regParam": 0.5})}
+    both = score(df, model, models)
+    for name, regressor in models.items():
+        alone = score(df, model, regressor).select("ResponseId", "pred_log", "salary_pred")
+        assert sorted(both.select("ResponseId", f"{name}_pred_log", f"{name}_salary_pred").collect()) == sorted(alone.collect())
+    # a scaled vector of each row, not one for each model
+    assert both._jdf.queryExecution().optimizedPlan().toString().count("AS features#") == 1
+
+
+def test_vocabulary_reads_its_rows_once(spark):
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    df = spark.createDataFrame([(f"a;b{k % 3}", "x;y" if k % 2 else None) for k in range(60)], "t string, u string").repartition(2)
+    rows = vocabulary(df.mapInArrow(counted, df.schema), ["t", "u"], vocab_size=3).collect()
+    assert len(rows) == 5 and read.value == 60
+
+
 def _lr_data(spark):
     df = spark.range(1, 500).select(
         (F.col("id") % 50 + 1).cast("double").alias("x"),

@@ -1,5 +1,6 @@
 """The checks of fitted models hold for a right fit and fail for a wrong one."""
 
+import numpy as np
 import pytest
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor
@@ -39,6 +40,18 @@ def test_routes_give_the_predictions(data, boosted):
     assert leaf == 8
 
 
+def test_rows_are_routed_in_blocks_of_a_bounded_size(boosted, monkeypatch):
+    """The same leaves whatever the blocks, and features gathered from one block at a time."""
+    _, nodes = boosted
+    forest = T.Forest(nodes)
+    x = np.random.default_rng(1).random((50, 7))
+    whole = forest.leaves(x, 4)
+    sizes, plain = [], T.np.ascontiguousarray
+    monkeypatch.setattr(T, "BLOCK", 8)
+    monkeypatch.setattr(T.np, "ascontiguousarray", lambda part: sizes.append(len(part)) or plain(part))
+    assert np.array_equal(forest.leaves(x, 4), whole) and max(sizes) == 8 and sum(sizes) == 50
+
+
 def test_leaf_values_follow_from_the_rows(data, boosted):
     _, nodes = boosted
     r = T.audit_holds(T.leaf_audit(data, nodes, depth=4)).first()
