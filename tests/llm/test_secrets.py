@@ -1,4 +1,6 @@
+import random
 import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -200,3 +202,46 @@ def test_held_out_precision_and_recall(spark, make_docs):
     assert r.true_positives > 0
     assert r.true_positives >= 0.9 * (r.true_positives + r.false_positives) and r.true_positives >= 0.9 * (r.true_positives + r.false_negatives)
     assert tuple(S.held_out_counts(make_docs([])).first()) == (0, 0, 0, 0)
+
+
+PARTS = (
+    "password passwd PWD api_key token Secret auth bearer Bearer basic credential for or eyJ eyJhbGci eyJabcde.fgh a r er foo Über für ö 北京 \U0001f600 "
+    "\x1c \x85 0 7 42 2021 9a8b7c6d = == : := => > - ---- -----BEGIN PRIVATE KEY----- -----END ' \" \"' . , ; ! ? ) ( { } [ ] < @ # * + / _ ~ | \\ ` abcdefgh ABCDEFGHIJ -tail _v2"
+).split(" ") + [" ", " ", " ", " ", " ", "  ", "\n", "\n\n", "\t", "\r\n", "         "]
+
+
+def odd_texts(n):
+    """Texts strung together from parts of candidates and of what is near to one."""
+    pick = random.Random(9)
+    return ["".join(pick.choice(PARTS) for _ in range(pick.randint(1, 40))) for _ in range(n)]
+
+
+def test_passing_over_plain_text_loses_no_candidate(spark, make_docs):
+    docs = make_docs(list(enumerate(odd_texts(6000)))).select("doc_id", "text", "source")
+    docs = docs.union(spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", "source"))
+    # against the expression alone, tried at each character
+    plain = F.regexp_extract_all("text", F.lit(S.SEARCH), F.lit(0))
+    again = docs.select("text", plain.alias("runs"), F.split("text", S.SEARCH, -1).alias("pieces"), F.regexp_extract_all("text", F.lit(f"{S.SEARCH}(?=([\\s\\S]{{0,{S.CONTEXT}}}))"), F.lit(1)).alias("rights"))
+    want = {r.text: (r.runs, r.pieces if r.runs else [r.text], r.rights) for r in again.collect()}
+    found = 0
+    for r in S.candidates(docs, "text", "source").collect():
+        runs, pieces, rights = want[r.doc.text]
+        assert [c.text for c in r.found] == runs and list(r.pieces) == pieces and [c.right for c in r.found] == rights, r.doc.text
+        for c in r.found:
+            assert r.doc.text[c.start : c.start + len(c.text)] == c.text and c.left == r.doc.text[: c.start][-S.CONTEXT :]
+        found += len(runs)
+    assert found > 1000
+
+
+def test_a_long_row_of_signs_takes_time_in_proportion(spark, model, make_docs):
+    docs = make_docs([(1, "=" * 150_000), (2, ":" * 150_000), (3, "plain words " * 20_000)])
+    began = time.monotonic()
+    assert S.find_secrets(docs, model).count() == 0
+    assert time.monotonic() - began < 20
+
+
+def test_a_text_without_candidates_is_searched_once(spark, make_docs):
+    plan = S.candidates(make_docs([(1, "x")]), "text", "source")._jdf.queryExecution().optimizedPlan().toString()
+    body = [m.start() for m in re.finditer(r"(?:regexp_extract_all|split)\(body#", plan)]
+    again = [k for k in body if re.search(r"CASE WHEN \(size\(runs#\d+[^)]*\) > 0\) THEN $", plan[:k])]
+    assert len(body) == 2 and len(again) == 1
